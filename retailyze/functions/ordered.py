@@ -71,11 +71,15 @@ def running_total(df: DataFrame, order: Sequence[Column], value: str,
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    by: Sequence[str] = (), out_prefix: str = "q") -> DataFrame:
+                    by: Sequence[str] = (), out_prefix: str = "q",
+                    midpoint_median: bool = False) -> DataFrame:
     """One row per group with columns ``{out_prefix}_{i}`` for ``probs[i]``.
 
-    Quantile = lo + (hi - lo) * frac with pos = (n - 1) * p, lo/hi the values
-    at floor/ceil(pos) (NULLs ignored), i.e. linear interpolation.
+    pos = (n - 1) * p, a/b the values at floor/ceil(pos) (NULLs ignored),
+    t = pos - floor(pos); the result is numpy's linear interpolation
+    a + (b - a) * t, evaluated as b - (b - a) * (1 - t) when t >= 0.5.
+    ``midpoint_median`` makes p = 0.5 the mean of the two middle values
+    (pandas ``median``).
     """
     by = list(by)
     v = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
@@ -97,8 +101,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
               .join(targets, "_i")
               .groupBy(*by, "_q", "_pos", "_lo", "_hi")
               .agg(F.min("_v").alias("_vlo"), F.max("_v").alias("_vhi")))
-    q = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
-        F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_lo")))
+    a, b, t = F.col("_vlo"), F.col("_vhi"), F.col("_pos") - F.col("_lo")
+    q = (F.when(F.col("_hi") == F.col("_lo"), a)
+          .when(F.lit(midpoint_median) & (F.col("_q.p") == 0.5), (a + b) / 2.0)
+          .when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t))
+          .otherwise(a + (b - a) * t))
     long = sel.select(*by, F.col("_q.k").alias("_k"), q.alias("_val"))
     wide = long.groupBy(*by).agg(*[
         F.max(F.when(F.col("_k") == i, F.col("_val"))).alias(f"{out_prefix}_{i}")

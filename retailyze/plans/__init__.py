@@ -1,6 +1,6 @@
 """Query plans: fixtures over the driver tables and the registered queries."""
 
-from . import q_orders  # noqa: F401  (registers queries)
+from . import q_orders, q_sales  # noqa: F401  (registers queries)
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

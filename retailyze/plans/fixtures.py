@@ -77,7 +77,7 @@ def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("state"),
         F.concat(F.col("n_name"), F.lit("-"), (F.col("c_custkey") % 5).cast("string")).alias("city"),
         F.col("l_quantity").alias("quantity"),
-        F.col("l_discount").alias("discount"),
+        F.col("l_discount").cast("decimal(4,2)").alias("discount"),
         sales.alias("sales"),
         (sales - _cost_expr()).cast(MONEY).alias("profit"),
         F.col("o_orderpriority").alias("payment_method"),
@@ -93,7 +93,7 @@ sales_fact AS (
          p.p_type AS category, p.p_brand AS subcategory, p.p_name AS product_name,
          r.r_name AS region, n.n_name AS state,
          n.n_name || '-' || CAST(c.c_custkey % 5 AS VARCHAR) AS city,
-         l.l_quantity AS quantity, l.l_discount AS discount,
+         l.l_quantity AS quantity, CAST(l.l_discount AS DECIMAL(4,2)) AS discount,
          CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS sales,
          CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))
               - CAST(l.l_quantity AS DECIMAL(12,2)) * CAST(p.p_retailprice AS DECIMAL(12,2)) AS DECIMAL(18,4)) AS profit,
