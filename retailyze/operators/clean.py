@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import col
+from ..functions import col, mean
 from ..functions.ordered import exact_quantiles
 
 # Text that counts as a missing value in uploaded files.
@@ -103,19 +103,24 @@ def fill_missing(df: DataFrame, rules: Mapping[str, object]) -> DataFrame:
     """
     rules = {c: r for c, r in rules.items() if c in df.columns}
     drop = [c for c, r in rules.items() if r == "drop"]
-    stat_aggs = []
+    stat_aggs = [mean(F.col(c)).alias(f"_mean_{c}") for c, r in rules.items() if r == "mean"]
+    stats = df.agg(*stat_aggs) if stat_aggs else None
     for c, r in rules.items():
-        if r == "mean":
-            stat_aggs.append(F.avg(F.col(c)).alias(f"_mean_{c}"))
-        elif r == "median":
-            stat_aggs.append(F.median(F.col(c)).alias(f"_median_{c}"))
+        if r == "median":
+            med = exact_quantiles(df, c, [0.5], out_prefix=f"_median_{c}", midpoint_median=True)
+            med = med.select(F.col(f"_median_{c}_0").alias(f"_median_{c}"))
+            stats = med if stats is None else stats.join(med, how="inner", on=F.lit(True))
         elif r == "mode":
-            stat_aggs.append(F.mode(F.col(c), deterministic=True).alias(f"_mode_{c}"))
+            # most frequent non-NULL value, smallest on ties: a distributed count
+            # and a bounded top-1, never a value->count map in one task
+            top = (df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(f"_mode_{c}"))
+                     .agg(F.count(F.lit(1)).alias("_n"))
+                     .orderBy(F.desc("_n"), F.asc(f"_mode_{c}")).limit(1).drop("_n"))
+            stats = top if stats is None else stats.join(top, how="left", on=F.lit(True))
     out = df
-    if stat_aggs:
+    if stats is not None:
         # one-row statistics table: a proven size bound for the broadcast
-        stats = df.agg(*stat_aggs)
-        out = out.join(F.broadcast(stats), how="inner", on=F.lit(True))
+        out = out.join(F.broadcast(stats), how="left", on=F.lit(True))
     repl = {}
     for c, r in rules.items():
         dtype = df.schema[c].dataType
@@ -146,9 +151,10 @@ def fill_defaults(df: DataFrame, today: str, numeric: Mapping[str, float] | None
     return df.withColumns(repl)
 
 
-def cast_types(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
-    """C14: 'datetime' -> timestamp, 'numeric' -> double, 'string' -> string;
-    bad values become NULL."""
+def cast_types(df: DataFrame, rules: Mapping[str, str], numeric_type: str = "double") -> DataFrame:
+    """C14: 'datetime' -> timestamp, 'numeric' -> ``numeric_type`` (double by
+    default, a decimal for exact money), 'string' -> string; bad values
+    become NULL."""
     repl = {}
     for c, kind in rules.items():
         if c not in df.columns:
@@ -156,7 +162,7 @@ def cast_types(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
         if kind == "datetime":
             repl[c] = F.try_to_timestamp(F.col(c).cast("string"))
         elif kind == "numeric":
-            repl[c] = F.expr(f"try_cast(`{c}` AS double)")
+            repl[c] = F.expr(f"try_cast(`{c}` AS {numeric_type})")
         elif kind == "string":
             repl[c] = F.col(c).cast("string")
         else:

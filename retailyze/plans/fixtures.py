@@ -82,6 +82,7 @@ def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         (sales - _cost_expr()).cast(MONEY).alias("profit"),
         F.col("o_orderpriority").alias("payment_method"),
         F.col("o_orderstatus").alias("status"),
+        F.col("p_retailprice").cast("decimal(12,2)").alias("list_price"),
     )
 
 
@@ -97,7 +98,8 @@ sales_fact AS (
          CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS sales,
          CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))
               - CAST(l.l_quantity AS DECIMAL(12,2)) * CAST(p.p_retailprice AS DECIMAL(12,2)) AS DECIMAL(18,4)) AS profit,
-         o.o_orderpriority AS payment_method, o.o_orderstatus AS status
+         o.o_orderpriority AS payment_method, o.o_orderstatus AS status,
+         CAST(p.p_retailprice AS DECIMAL(12,2)) AS list_price
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
@@ -229,3 +231,62 @@ dirty_sales AS (
 def with_sql(*ctes: str) -> str:
     """``WITH`` prefix for the oracle from the given CTE blocks."""
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
+
+
+def config_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order rows under the names of the cleaning-rule config (orders source),
+    as text with deterministic dirt keyed on the order id: NULL customer name
+    (% 13), e-mail in upper case with spaces, invalid (% 7) or NULL (% 11),
+    formatted phone numbers, 'n/a' (% 19) or NULL (% 29) amounts, currency
+    text prices, NULL dates (% 31), NULL category (% 17), NULL discount (% 43),
+    NULL address (% 5), and every row of orders % 23 twice."""
+    s = sales_fact(spark, sf_dir)
+    k = F.col("order_id")
+    null_s = F.lit(None).cast("string")
+    base = s.select(
+        k.cast("string").alias("order_id"), F.col("line_no"),
+        F.col("customer_id").cast("string").alias("customer_id"),
+        F.when(k % 13 == 0, null_s).otherwise(
+            F.lower(F.regexp_replace(F.col("customer"), "#", "  #"))).alias("customer_name"),
+        F.when(k % 11 == 0, null_s).when(k % 7 == 0, F.lit("not-an-email")).otherwise(
+            F.concat(F.lit("  "), F.upper(F.regexp_replace(F.col("customer"), "#", ".")),
+                     F.lit("@Example.COM "))).alias("customer_email"),
+        F.concat(F.lit("+1 ("), F.lpad((F.col("customer_id") % 1000).cast("string"), 3, "0"),
+                 F.lit(") 555-"), F.lpad((k % 10000).cast("string"), 4, "0")).alias("customer_phone"),
+        F.when(k % 19 == 0, F.lit("n/a")).when(k % 29 == 0, null_s)
+         .otherwise(F.col("sales").cast("string")).alias("order_amount"),
+        F.concat(F.lit("$"), F.col("list_price").cast("string")).alias("product_price"),
+        F.when(k % 31 == 0, null_s).otherwise(F.date_format("order_date", "yyyy-MM-dd")).alias("order_date"),
+        F.col("quantity"),
+        F.when(k % 17 == 0, null_s).otherwise(F.col("category")).alias("product_category"),
+        F.col("product_name"),
+        F.when(k % 43 == 0, F.lit(None).cast("decimal(4,2)")).otherwise(F.col("discount")).alias("discount_amount"),
+        F.when(k % 5 == 0, null_s).otherwise(F.col("city")).alias("shipping_address"),
+    )
+    return base.unionByName(base.where(F.col("order_id").cast("bigint") % 23 == 0))
+
+
+CONFIG_ORDERS_SQL = SALES_FACT_SQL + """,
+config_base AS (
+  SELECT CAST(order_id AS VARCHAR) AS order_id, line_no, CAST(customer_id AS VARCHAR) AS customer_id,
+         CASE WHEN order_id % 13 = 0 THEN NULL ELSE lower(replace(customer, '#', '  #')) END AS customer_name,
+         CASE WHEN order_id % 11 = 0 THEN NULL WHEN order_id % 7 = 0 THEN 'not-an-email'
+              ELSE '  ' || upper(replace(customer, '#', '.')) || '@Example.COM ' END AS customer_email,
+         '+1 (' || lpad(CAST(customer_id % 1000 AS VARCHAR), 3, '0') || ') 555-'
+           || lpad(CAST(order_id % 10000 AS VARCHAR), 4, '0') AS customer_phone,
+         CASE WHEN order_id % 19 = 0 THEN 'n/a' WHEN order_id % 29 = 0 THEN NULL
+              ELSE CAST(sales AS VARCHAR) END AS order_amount,
+         '$' || CAST(list_price AS VARCHAR) AS product_price,
+         CASE WHEN order_id % 31 = 0 THEN NULL ELSE strftime(order_date, '%Y-%m-%d') END AS order_date,
+         quantity,
+         CASE WHEN order_id % 17 = 0 THEN NULL ELSE category END AS product_category,
+         product_name,
+         CASE WHEN order_id % 43 = 0 THEN NULL ELSE discount END AS discount_amount,
+         CASE WHEN order_id % 5 = 0 THEN NULL ELSE city END AS shipping_address
+  FROM sales_fact
+),
+config_orders AS (
+  SELECT * FROM config_base
+  UNION ALL
+  SELECT * FROM config_base WHERE CAST(order_id AS BIGINT) % 23 = 0
+)"""
