@@ -82,7 +82,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     (pandas ``median``).
     """
     by = list(by)
-    v = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    v = df.select(*by, F.col(value).try_cast("double").alias("_v")).where(F.col("_v").isNotNull())
     idx = global_index(v, [*[F.col(b).asc_nulls_first() for b in by], F.col("_v")], "_i")
     groups = idx.groupBy(*by).agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))
     p_arr = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(float(p)).alias("p"))

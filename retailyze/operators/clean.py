@@ -103,7 +103,12 @@ def fill_missing(df: DataFrame, rules: Mapping[str, object]) -> DataFrame:
     """
     rules = {c: r for c, r in rules.items() if c in df.columns}
     drop = [c for c, r in rules.items() if r == "drop"]
-    stat_aggs = [mean(F.col(c)).alias(f"_mean_{c}") for c, r in rules.items() if r == "mean"]
+    def numeric(c: str) -> Column:
+        # statistics of a text column are taken over its parseable values
+        dt = df.schema[c].dataType
+        return F.col(c) if isinstance(dt, T.NumericType) else F.col(c).try_cast("double")
+
+    stat_aggs = [mean(numeric(c)).alias(f"_mean_{c}") for c, r in rules.items() if r == "mean"]
     stats = df.agg(*stat_aggs) if stat_aggs else None
     for c, r in rules.items():
         if r == "median":
@@ -189,7 +194,7 @@ def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
         return df
     out = out.join(F.broadcast(fences), how="inner", on=F.lit(True))
     for c in cols:
-        x = F.col(c).cast("double")
+        x = F.col(c).try_cast("double")
         lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
         if action == "flag":
             out = out.withColumn(f"{c}_outlier", F.coalesce((x < lo) | (x > hi), F.lit(False)))
@@ -206,7 +211,7 @@ def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
 def outliers_zscore(df: DataFrame, c: str, threshold: float = 5.0) -> DataFrame:
     """Flag rows with |x - mean| / sample stddev > threshold."""
     stats = df.agg(F.avg(c).alias("_mu"), F.stddev_samp(c).alias("_sd"))
-    z = F.try_divide(F.abs(F.col(c).cast("double") - F.col("_mu")), F.col("_sd"))
+    z = F.try_divide(F.abs(F.col(c).try_cast("double") - F.col("_mu")), F.col("_sd"))
     return (df.join(F.broadcast(stats), how="inner", on=F.lit(True))
               .withColumn(f"{c}_z", z)
               .withColumn(f"{c}_outlier", F.coalesce(z > threshold, F.lit(False)))
@@ -222,7 +227,7 @@ def range_violations(df: DataFrame, rules: Mapping[str, Mapping[str, float]],
     for c, rule in rules.items():
         if c not in df.columns:
             continue
-        x = F.col(c).cast("double")
+        x = F.col(c).try_cast("double")
         if "min" in rule:
             checks.append(F.struct(F.lit(c).alias("column"), F.lit("min").alias("rule"),
                                    F.lit(float(rule["min"])).alias("bound"), x.alias("value"),

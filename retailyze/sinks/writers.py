@@ -121,11 +121,14 @@ def export_processed(df: DataFrame, out: str, quality_score: DataFrame | None =
 
 def to_envelope(df: DataFrame, ts: str | None = None) -> DataFrame:
     """Each row as a ``{"timestamp": ..., "data": {row}}`` JSON message in
-    column ``value`` (the shape a Kafka sink takes)."""
+    column ``value`` (the shape a Kafka sink takes). The timestamp is the
+    current time, or column ``ts`` (then left out of ``data``); other columns
+    of ``df`` that are not data (e.g. a topic) can be added afterwards."""
     t = F.col(ts) if ts else F.current_timestamp()
+    data = [c for c in df.columns if c != ts]
     return df.select(F.to_json(F.struct(
         F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("data"))).alias("value"))
+        F.struct(*[F.col(f"`{c}`") for c in data]).alias("data"))).alias("value"))
 
 
 def write_kafka(df: DataFrame, topic: str, servers: str) -> None:
