@@ -63,3 +63,18 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """Top-k by a total order; Catalyst plans TakeOrderedAndProject (per-task
     bounded heap, k rows per partition reach the final merge)."""
     return df.orderBy(*order).limit(k)
+
+
+def with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row statistics DataFrame to every row.
+
+    The statistics run once as a scalar subquery whose result is a constant in
+    the plan - no join, no shuffle of ``df``. A statistics frame with no row
+    gives NULLs; ``stats`` must not have more than one row (an aggregate
+    without grouping always has exactly one).
+    """
+    cols = stats.columns
+    s = stats.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_stats")).scalar()
+    return (df.withColumn("_stats", s)
+              .select(*[F.col(f"`{c}`") for c in df.columns],
+                      *[F.col("_stats").getField(c).alias(c) for c in cols]))

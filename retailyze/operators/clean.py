@@ -3,8 +3,8 @@
 All rules are built-in expressions; numeric coercion is ``try_cast`` and date
 coercion ``try_to_timestamp`` so bad values become NULL instead of failing the
 job under ANSI mode. Statistics a rule needs (mean, mode, quartiles, ...) are
-computed in one aggregate pass and attached as a one-row broadcast, which is
-a proven size bound.
+computed in one aggregate pass and attached as a scalar subquery (one row,
+evaluated once).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import col, mean
+from ..functions import col, mean, with_stats
 from ..functions.ordered import exact_quantiles
 
 # Text that counts as a missing value in uploaded files.
@@ -114,18 +114,20 @@ def fill_missing(df: DataFrame, rules: Mapping[str, object]) -> DataFrame:
         if r == "median":
             med = exact_quantiles(df, c, [0.5], out_prefix=f"_median_{c}", midpoint_median=True)
             med = med.select(F.col(f"_median_{c}_0").alias(f"_median_{c}"))
-            stats = med if stats is None else stats.join(med, how="inner", on=F.lit(True))
+            stats = med if stats is None else with_stats(stats, med)
         elif r == "mode":
             # most frequent non-NULL value, smallest on ties: a distributed count
             # and a bounded top-1, never a value->count map in one task
             top = (df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(f"_mode_{c}"))
                      .agg(F.count(F.lit(1)).alias("_n"))
                      .orderBy(F.desc("_n"), F.asc(f"_mode_{c}")).limit(1).drop("_n"))
-            stats = top if stats is None else stats.join(top, how="left", on=F.lit(True))
+            if stats is None:
+                stats = df.agg(F.count(F.lit(1)).alias("_rows"))
+            stats = with_stats(stats, top)
     out = df
     if stats is not None:
-        # one-row statistics table: a proven size bound for the broadcast
-        out = out.join(F.broadcast(stats), how="left", on=F.lit(True))
+        # one-row statistics: a scalar subquery, constant in the plan
+        out = with_stats(out, stats)
     repl = {}
     for c, r in rules.items():
         dtype = df.schema[c].dataType
@@ -189,10 +191,10 @@ def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
         q = q.select(
             (F.col(f"_q_{c}_0") - k * (F.col(f"_q_{c}_1") - F.col(f"_q_{c}_0"))).alias(f"_lo_{c}"),
             (F.col(f"_q_{c}_1") + k * (F.col(f"_q_{c}_1") - F.col(f"_q_{c}_0"))).alias(f"_hi_{c}"))
-        fences = q if fences is None else fences.join(q, how="inner", on=F.lit(True))
+        fences = q if fences is None else with_stats(fences, q)
     if fences is None:
         return df
-    out = out.join(F.broadcast(fences), how="inner", on=F.lit(True))
+    out = with_stats(out, fences)
     for c in cols:
         x = F.col(c).try_cast("double")
         lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
@@ -212,7 +214,7 @@ def outliers_zscore(df: DataFrame, c: str, threshold: float = 5.0) -> DataFrame:
     """Flag rows with |x - mean| / sample stddev > threshold."""
     stats = df.agg(F.avg(c).alias("_mu"), F.stddev_samp(c).alias("_sd"))
     z = F.try_divide(F.abs(F.col(c).try_cast("double") - F.col("_mu")), F.col("_sd"))
-    return (df.join(F.broadcast(stats), how="inner", on=F.lit(True))
+    return (with_stats(df, stats)
               .withColumn(f"{c}_z", z)
               .withColumn(f"{c}_outlier", F.coalesce(z > threshold, F.lit(False)))
               .drop("_mu", "_sd"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import mean
+from ..functions import mean, with_stats
 
 
 def valid_orders(df: DataFrame, status: str = "status", price: str = "price",
@@ -76,8 +76,8 @@ def executive_summary(df: DataFrame, category: str = "category_name_1",
     top = per_cat.agg(
         F.max_by(F.col(category), F.struct(F.col("_rev"), F.col(category))).alias("_top"),
         F.max("_rev").alias("_top_rev"))
-    # both sides are single-row aggregates: the join is 1 x 1
-    return kpi.join(F.broadcast(top), how="inner", on=F.lit(True)).select(
+    # the top-category row is attached as a scalar subquery (one row)
+    return with_stats(kpi, top).select(
         "total_revenue", "avg_order_value", "total_orders", "unique_customers",
         F.coalesce(F.col("_top"), F.lit("N/A")).alias("top_category"),
         F.coalesce(F.col("_top_rev"), F.lit(0).cast(per_cat.schema["_rev"].dataType))

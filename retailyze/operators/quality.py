@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import with_stats
+
 CHECK_SCHEMA = "check string, subject string, value double, threshold double, passed boolean"
 
 
@@ -98,7 +100,7 @@ def health_checks(events: DataFrame, now: str, freshness_hours: float = 12, min_
                                 F.count(F.lit(1)).cast("double")).alias("_err"))
     now_ts = F.lit(now).cast("timestamp")
     age_h = (F.unix_micros(now_ts) - F.unix_micros(F.col("_max_ts"))).cast("double") / 3.6e9
-    j = a.join(F.broadcast(d), how="inner", on=F.lit(True))  # 1 x 1 rows
+    j = with_stats(a, d)
     return j.select(F.explode(F.array(
         _check("data_freshness_hours", ts, age_h, freshness_hours, age_h <= F.lit(float(freshness_hours))),
         _check("min_daily_records", ts, F.col("_min_daily"), min_daily, F.col("_min_daily") >= min_daily),

@@ -4,8 +4,8 @@ pandas-origin semantics (see the operator notes): grouping drops NULL keys,
 empty sums are 0, NaN/inf are treated as missing where the original did so,
 top-k lists are tie-broken by the key. Every statistic that needs a global
 value (a total, a max, a quantile) gets it from a one-row aggregate attached
-with a broadcast join - a proven size bound - never by collecting to the
-driver.
+as a scalar subquery (computed once, a constant in the plan) - never by
+collecting to the driver.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import fsum, mean, month_key, pct
+from ..functions import fsum, mean, month_key, pct, with_stats
 from ..functions.ordered import exact_quantiles
 from ..functions.roles import detect_roles
 
@@ -28,8 +28,8 @@ def _all() -> Window:
 
 
 def _one_row_join(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a single-row statistics table to every row (broadcast, 1 row)."""
-    return df.join(F.broadcast(stats), how="inner", on=F.lit(True))
+    """Attach a single-row statistics table to every row (scalar subquery)."""
+    return with_stats(df, stats)
 
 
 def _nn(df: DataFrame, *keys: str) -> DataFrame:

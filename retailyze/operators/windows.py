@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import fsum, month_key, pct
+from ..functions import fsum, month_key, pct, with_stats
 from ..functions.ordered import running_total
 
 
@@ -45,7 +45,7 @@ def abc_analysis(df: DataFrame, k: int | None = 50, product: str = "product_name
                            out="cumulative_sales", rank="rank")
     if k is not None:
         ranked = ranked.where(F.col("rank") <= k)
-    out = ranked.join(F.broadcast(total), how="inner", on=F.lit(True))  # 1-row table
+    out = with_stats(ranked, total)  # the grand total, as a scalar subquery
     return out.select(product, "sales", "cumulative_sales",
                       pct("cumulative_sales", "_total").alias("cumulative_percent"), "rank")
 

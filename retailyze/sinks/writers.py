@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import with_stats
 from ..operators.shape import sanitize_columns
 
 
@@ -64,7 +65,7 @@ def json_document(sections: Mapping[str, DataFrame]) -> DataFrame:
     doc = None
     for name, sdf in sections.items():
         p = _packed(name, sdf)
-        doc = p if doc is None else doc.join(p, how="inner", on=F.lit(True))  # 1 x 1 rows
+        doc = p if doc is None else with_stats(doc, p)
     return doc
 
 
@@ -115,7 +116,7 @@ def export_processed(df: DataFrame, out: str, quality_score: DataFrame | None =
         aggs.append(F.coalesce(F.sum(profit), F.lit(0)).cast("double").alias("total_profit"))
     meta = df.agg(*aggs)
     if quality_score is not None:
-        meta = meta.join(quality_score.select("quality_score"), how="inner", on=F.lit(True))
+        meta = with_stats(meta, quality_score.select("quality_score"))
     meta.coalesce(1).write.mode("overwrite").json(f"{out}/metadata")
 
 
