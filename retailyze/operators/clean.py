@@ -275,11 +275,16 @@ def std_currency(df: DataFrame, cols: Iterable[str], to: str = "decimal(18,2)")
     sign ('(12.50)' is negative), then decimal(18,2); bad -> NULL."""
     repl = {}
     for c in cols:
-        if c in df.columns:
-            s = F.col(c).cast("string")
-            neg = s.rlike(r"^\s*\(.*\)\s*$")
-            num = F.regexp_replace(s, r"[^0-9.\-]", "").try_cast(to)
-            repl[c] = F.when(neg, -num).otherwise(num)
+        if c not in df.columns:
+            continue
+        if isinstance(df.schema[c].dataType, T.NumericType):
+            # already a number: no text round trip (a double renders as '1.0E7')
+            repl[c] = F.col(c).try_cast(to)
+            continue
+        s = F.col(c).cast("string")
+        neg = s.rlike(r"^\s*\(.*\)\s*$")
+        num = F.regexp_replace(s, r"[^0-9.\-]", "").try_cast(to)
+        repl[c] = F.when(neg, -num).otherwise(num)
     return df.withColumns(repl)
 
 

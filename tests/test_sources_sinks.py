@@ -171,3 +171,20 @@ def test_envelope_round_trip(spark):
     rows, rejects = parse_envelope(env.unionByName(bad), o.schema)
     assert rows.count() == 20 and rejects.count() == 2
     assert set(rows.columns) == {"event_time", "item_id", "status", "grand_total"}
+
+
+def test_table_and_profile_bundle(spark, tmp_dir):
+    from retailyze.operators import profile as PR
+    o = orders_fact(spark, SF_SMALL)
+    name = W.write_table(PR.basic_stats(o), "basic_stats", timestamped=True,
+                         now=dt.datetime(2024, 1, 31, 12, 0, 0))
+    assert name == "basic_stats_20240131_120000"
+    assert spark.table(name).first()["total_records"] == o.count()
+    sections = {"basic_stats": PR.basic_stats(o), "column_analysis": PR.column_profile(o),
+                "numeric_analysis": PR.numeric_profile(o), "categorical_analysis": PR.categorical_profile(o)}
+    paths = W.export_bundle(sections, tmp_dir, csv_sections=["basic_stats", "column_analysis"],
+                            document="big_data_complete_analytics")
+    doc = spark.read.json(paths["big_data_complete_analytics"]).first()
+    assert len(doc["column_analysis"]) == 10
+    cols = spark.read.option("header", True).csv(paths["column_analysis"]).columns
+    assert cols[:2] == ["position", "column_name"]
