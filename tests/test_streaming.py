@@ -67,13 +67,22 @@ def test_hourly_summary_stream_equals_batch(spark, tmp_dir):
 def test_watermark_drops_late_rows(spark, tmp_dir):
     schema = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("k", T.StringType()),
                            T.StructField("v", T.DoubleType())])
+    # Spark drops input rows against the watermark of the previous micro-batch
+    # (eviction uses the current one): after batch 0 the watermark is 11:10,
+    # so the 09:30 row arriving two batches later is dropped.
     batches = [
         [("2024-01-01 10:05:00", "a", 1.0), ("2024-01-01 12:10:00", "a", 2.0)],
-        [("2024-01-01 09:30:00", "a", 100.0), ("2024-01-01 14:00:00", "a", 3.0)],  # 09:30 is late
+        [("2024-01-01 14:00:00", "a", 3.0)],
+        [("2024-01-01 09:30:00", "a", 100.0), ("2024-01-01 15:00:00", "a", 4.0)],  # 09:30 is late
     ]
     for i, b in enumerate(batches):
+        # one file per batch, the late batch strictly newer: a fixed arrival order
         spark.createDataFrame(pd.DataFrame(b, columns=["ts", "k", "v"]).assign(
-            ts=lambda d: pd.to_datetime(d.ts))).write.mode("append").parquet(f"{tmp_dir}/src/b{i}")
+            ts=lambda d: pd.to_datetime(d.ts))).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/src/b{i}")
+        for root, _, files in os.walk(f"{tmp_dir}/src/b{i}"):
+            for f in files:
+                t = 1_700_000_000 + i * 100
+                os.utime(os.path.join(root, f), (t, t))
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(f"{tmp_dir}/src"))
     agg = S.hourly_summary(stream, "ts", ["k"], "v", watermark="1 hour")
@@ -81,6 +90,8 @@ def test_watermark_drops_late_rows(spark, tmp_dir):
          .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     out = spark.table("late").toPandas()
+    dropped = sum(o.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for o in p["stateOperators"])
+    assert dropped == 1
     assert 100.0 not in set(out["total_value"])
     assert "2024-01-01 10:00:00" in set(out["window_start"])
 
