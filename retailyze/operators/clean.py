@@ -182,19 +182,24 @@ def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
     """Tukey fences q1 - k*IQR, q3 + k*IQR per column (exact, linear
     quartiles). action: 'flag' adds ``<col>_outlier``; 'remove' keeps rows
     inside all fences (NULL values are kept); 'clip' caps values at the fences.
+
+    The quartiles of all columns come from one sort: the values are unpivoted
+    to (column, value) and ranked per column.
     """
     cols = [c for c in cols if c in df.columns]
-    out = df
-    fences = None
-    for c in cols:
-        q = exact_quantiles(df, c, [0.25, 0.75], out_prefix=f"_q_{c}")
-        q = q.select(
-            (F.col(f"_q_{c}_0") - k * (F.col(f"_q_{c}_1") - F.col(f"_q_{c}_0"))).alias(f"_lo_{c}"),
-            (F.col(f"_q_{c}_1") + k * (F.col(f"_q_{c}_1") - F.col(f"_q_{c}_0"))).alias(f"_hi_{c}"))
-        fences = q if fences is None else with_stats(fences, q)
-    if fences is None:
+    if not cols:
         return df
-    out = with_stats(out, fences)
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_c"), F.col(c).try_cast("double").alias("_x")) for i, c in enumerate(cols)
+    ])).alias("_p")).select("_p._c", "_p._x")
+    q = exact_quantiles(long, "_x", [0.25, 0.75], by=["_c"], out_prefix="_q")
+    # one row per column -> one row with lo/hi fences for every column
+    fences = q.agg(*[
+        F.max(F.when(F.col("_c") == i, F.col("_q_0") - k * (F.col("_q_1") - F.col("_q_0")))).alias(f"_lo_{c}")
+        for i, c in enumerate(cols)] + [
+        F.max(F.when(F.col("_c") == i, F.col("_q_1") + k * (F.col("_q_1") - F.col("_q_0")))).alias(f"_hi_{c}")
+        for i, c in enumerate(cols)])
+    out = with_stats(df, fences)
     for c in cols:
         x = F.col(c).try_cast("double")
         lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")

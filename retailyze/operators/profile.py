@@ -35,23 +35,41 @@ def basic_stats(df: DataFrame) -> DataFrame:
         F.lit(len(numeric_columns(df))).cast("bigint").alias("numeric_columns"))
 
 
+def _as_text(df: DataFrame, c: str) -> Column:
+    """A value's identity as text (-0.0 and 0.0 are one value, as in Spark's
+    grouping; NaN is one value)."""
+    x = _q(c)
+    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+        x = F.when(x == 0, F.lit(0.0)).otherwise(x)
+    return x.cast("string")
+
+
 def column_profile(df: DataFrame, n: int = 10) -> DataFrame:
     """For the first n columns - distinct values (NULL counts as one
-    value, like ``select(c).distinct().count()``), NULL count and type."""
+    value, like ``select(c).distinct().count()``), NULL count and type.
+
+    One job: every row is unpivoted into (column position, value) pairs, which
+    are counted with map-side partial aggregation (a value holding a third of
+    the rows is reduced on each mapper), then counted again per column."""
     cols = df.columns[:n]
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count_distinct(_q(c)).alias(f"d{i}"),
-                 F.max(F.when(_q(c).isNull(), 1).otherwise(0)).alias(f"h{i}"),
-                 F.count_if(_q(c).isNull()).alias(f"z{i}")]
-    wide = df.agg(*aggs)
     types = dict(df.dtypes)
-    rows = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"),
-                     (F.col(f"d{i}") + F.coalesce(F.col(f"h{i}"), F.lit(0))).cast("bigint").alias("distinct_values"),
-                     F.col(f"z{i}").cast("bigint").alias("null_count"),
-                     F.lit(types[c]).alias("data_type"))
-            for i, c in enumerate(cols)]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("position"), _as_text(df, c).alias("v")) for i, c in enumerate(cols)
+    ])).alias("p")).select("p.position", "p.v")
+    per_value = pairs.groupBy("position", "v").agg(F.count(F.lit(1)).alias("n"))
+    prof = per_value.groupBy("position").agg(
+        F.count(F.lit(1)).alias("distinct_values"),
+        F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(F.lit(0))).alias("null_count"))
+    names = F.array(*[F.lit(c) for c in cols])
+    kinds = F.array(*[F.lit(types[c]) for c in cols])
+    # a column of an empty table still gets its row (0 values)
+    spine = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("position"))
+    out = spine.join(prof, "position", "left")
+    return out.select(
+        "position", F.element_at(names, F.col("position") + 1).alias("column_name"),
+        F.coalesce("distinct_values", F.lit(0)).cast("bigint").alias("distinct_values"),
+        F.coalesce("null_count", F.lit(0)).cast("bigint").alias("null_count"),
+        F.element_at(kinds, F.col("position") + 1).alias("data_type"))
 
 
 def _stddev_exact(c: Column, dt: T.DataType) -> Column:

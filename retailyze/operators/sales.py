@@ -130,7 +130,8 @@ def value_counts(df: DataFrame, key: str) -> DataFrame:
 def value_share(df: DataFrame, key: str) -> DataFrame:
     """Counts with their share of all counted rows, in %."""
     vc = value_counts(df, key)
-    return vc.withColumn("share_pct", pct(F.col("count"), F.sum("count").over(_all())))
+    tot = vc.agg(F.sum("count").alias("_total"))  # one row: a scalar subquery
+    return with_stats(vc, tot).select(key, "count", pct(F.col("count"), F.col("_total")).alias("share_pct"))
 
 
 def order_kpis(df: DataFrame, value: str = "grand_total", category: str = "category_name_1") -> DataFrame:
@@ -221,9 +222,11 @@ def profitability(df: DataFrame, category: str = "category", sales: str = "sales
     shifted positive (+|min|+1) when any margin is negative."""
     g = _nn(df, category).groupBy(category).agg(fsum(sales).alias("sales"), fsum(profit).alias("profit"))
     g = g.withColumn("profit_margin", pct("profit", "sales"))
-    mn = F.min("profit_margin").over(_all())
-    return g.withColumn("bubble_size", F.when(mn < 0, F.col("profit_margin") + F.abs(mn) + 1.0)
-                        .otherwise(F.col("profit_margin")))
+    g = with_stats(g, g.agg(F.min("profit_margin").alias("_mn")))
+    mn = F.col("_mn")
+    return g.select(category, "sales", "profit", "profit_margin",
+                    F.when(mn < 0, F.col("profit_margin") + F.abs(mn) + 1.0)
+                     .otherwise(F.col("profit_margin")).alias("bubble_size"))
 
 
 def _edge_bins(x: Column, lo: Column, width: Column, bins: int) -> Column:
@@ -345,7 +348,10 @@ def _rollup_with_parent(df: DataFrame, outer: str, inner: str, measures: Sequenc
          .agg(*[fsum(m).alias(m) for m in measures], F.grouping_id().alias("_gid")))
     lvl = F.when(F.col("_gid") == 3, F.lit("total")).when(F.col("_gid") == 1, F.lit(outer)).otherwise(F.lit(inner))
     first = measures[0]
-    grand = F.max(F.when(F.col("_gid") == 3, F.col(first))).over(_all())
+    # grand total from a one-row aggregate; parent of an inner row from a
+    # window partitioned by the outer key
+    r = with_stats(r, r.agg(F.max(F.when(F.col("_gid") == 3, F.col(first))).alias("_grand")))
+    grand = F.col("_grand")
     parent_outer = F.max(F.when(F.col("_gid") == 1, F.col(first))).over(Window.partitionBy(outer))
     parent = F.when(F.col("_gid") == 0, parent_outer).when(F.col("_gid") == 1, grand).otherwise(F.col(first))
     return r.select(lvl.alias("level"), outer, inner, *measures,
@@ -543,9 +549,9 @@ def subcategory_matrix(df: DataFrame, subcategory: str = "subcategory", sales: s
     q = fsum(quantity) if quantity and quantity in df.columns else F.count(F.lit(1))
     g = _nn(df, subcategory).groupBy(subcategory).agg(fsum(sales).alias("sales"), fsum(profit).alias("profit"),
                                                       q.alias("quantity"))
-    g = g.withColumns({
-        "avg_sales": F.sum("sales").over(_all()).cast("double") / F.count(F.lit(1)).over(_all()).cast("double"),
-        "avg_profit": F.sum("profit").over(_all()).cast("double") / F.count(F.lit(1)).over(_all()).cast("double")})
+    g = with_stats(g, g.agg(
+        (F.sum("sales").cast("double") / F.count(F.lit(1)).cast("double")).alias("avg_sales"),
+        (F.sum("profit").cast("double") / F.count(F.lit(1)).cast("double")).alias("avg_profit")))
     hs, hp = _dbl("sales") >= F.col("avg_sales"), _dbl("profit") >= F.col("avg_profit")
     quad = (F.when(hs & hp, F.lit("high sales, high profit")).when(hs, F.lit("high sales, low profit"))
              .when(hp, F.lit("low sales, high profit")).otherwise(F.lit("low sales, low profit")))
@@ -558,8 +564,9 @@ def category_radar(df: DataFrame, category: str = "category", sales: str = "sale
     q = fsum(quantity) if quantity and quantity in df.columns else F.count(F.lit(1))
     g = _nn(df, category).groupBy(category).agg(fsum(sales).alias("sales"), fsum(profit).alias("profit"),
                                                 q.alias("quantity"))
-    return g.withColumns({f"{m}_norm": pct(F.col(m), F.max(m).over(_all()))
-                          for m in ("sales", "profit", "quantity")})
+    g = with_stats(g, g.agg(*[F.max(m).alias(f"_max_{m}") for m in ("sales", "profit", "quantity")]))
+    return g.select(category, "sales", "profit", "quantity",
+                    *[pct(F.col(m), F.col(f"_max_{m}")).alias(f"{m}_norm") for m in ("sales", "profit", "quantity")])
 
 
 def state_correlation(df: DataFrame, k: int = 15, state: str = "state", sales: str = "sales",
