@@ -127,8 +127,10 @@ def stamp(df: DataFrame, name: str = "processing_timestamp") -> DataFrame:
 
 def recent_orders(df: DataFrame, n: int = 10,
                   cols: Sequence[str] = ("increment_id", "category_name_1", "grand_total", "status"),
-                  date: str = "created_at", tie: Sequence[str] = ("item_id",)) -> DataFrame:
-    """The n most recent orders (TakeOrdered with a deterministic tie-break)."""
+                  date: str = "created_at",
+                  tie: Sequence[str] = ("item_id", "category_name_1", "grand_total", "status")) -> DataFrame:
+    """The n most recent orders (TakeOrdered; the tie-break runs through
+    every shown column, so equal keys cannot change the result)."""
     return (df.orderBy(F.desc_nulls_last(date), *[F.asc(t) for t in tie])
               .limit(n).select(*cols))
 

@@ -299,7 +299,7 @@ def p10(spark, d):
 
 @register("p12_recent_orders", with_sql(ORDERS_FACT_SQL) + """
 SELECT increment_id, category_name_1, CAST(grand_total AS DOUBLE) AS grand_total, status
-FROM orders_fact ORDER BY created_at DESC NULLS LAST, item_id LIMIT 10""")
+FROM orders_fact ORDER BY created_at DESC NULLS LAST, item_id, category_name_1, grand_total, status LIMIT 10""")
 def p12(spark, d):
     return P.recent_orders(orders_fact(spark, d), 10)
 
