@@ -139,3 +139,8 @@ def clean(df: DataFrame, cfg: Mapping | None = None, source: str | None = None,
     if p.get("derived_columns"):
         out = add_derived(out, p["derived_columns"], now_col=timestamp_col)
     return out
+
+
+def partition_columns(cfg: Mapping | None, source: str) -> list[str]:
+    """The configured partition columns of a source (``partitioning``)."""
+    return list(((cfg or DEFAULT_RULES).get("partitioning", {}).get(source) or {}).get("columns", []))

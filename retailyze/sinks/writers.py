@@ -48,10 +48,15 @@ def write_table(df: DataFrame, name: str, timestamped: bool = False,
     return name
 
 
-def write_partitioned(df: DataFrame, path: str, cols, mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, cols, mode: str = "overwrite",
+                      source: str | None = None) -> None:
     """Hive-style ``col=value`` directories (later scans prune on them).
-    Rows are clustered by the partition columns first so each task writes few
-    files per partition value."""
+    ``cols`` is a column list, or a rule config (then ``source`` picks its
+    ``partitioning`` entry). Rows are clustered by the partition columns first
+    so each task writes few files per partition value."""
+    if isinstance(cols, Mapping):
+        from ..operators.rules import partition_columns
+        cols = partition_columns(cols, source or "")
     cols = [cols] if isinstance(cols, str) else list(cols)
     df.repartition(*[F.col(c) for c in cols]).write.mode(mode).partitionBy(*cols).parquet(path)
 

@@ -142,3 +142,16 @@ def test_run_record_with_observed_counts(spark, tmp_dir):
     back = spark.read.json(f"{tmp_dir}/runs")
     assert back.count() == 2
     assert back.first()["metrics"]["records_ingested"] == float(orders_fact(spark, SF_SMALL).count())
+
+
+def test_partitioned_write_from_config(spark, tmp_dir):
+    import os
+    from retailyze.sinks.writers import write_partitioned
+    co = config_orders(spark, SF_SMALL)
+    out = clean(co, DEFAULT_RULES, "orders", timestamp_col=False)
+    write_partitioned(out, f"{tmp_dir}/orders", DEFAULT_RULES, source="orders")
+    years = [d for d in os.listdir(f"{tmp_dir}/orders") if d.startswith("order_year=")]
+    assert years and all(d2.startswith("order_month=")
+                         for d2 in os.listdir(os.path.join(tmp_dir, "orders", years[0])) if not d2.startswith("."))
+    back = spark.read.parquet(f"{tmp_dir}/orders")
+    assert back.count() == out.count()
