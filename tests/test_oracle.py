@@ -24,12 +24,6 @@ def test_query_matches_oracle(spark, con, name):
     assert a == b, f"{name}: equal only within 1e-9"
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_query_without_oracle_runs(spark, name):
-    df = QUERIES[name](spark, SF_SMALL)
-    assert df.count() >= 0
-
-
 def test_every_query_has_an_oracle_or_is_listed():
     missing = set(QUERIES) - set(ORACLE)
     assert not missing, missing
