@@ -305,14 +305,29 @@ def std_text(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 def bounded_sample(df: DataFrame, limit: int = 100_000, n: int = 50_000, seed: int = 42,
                    key: Sequence[str] | None = None) -> DataFrame:
-    """If the table has more than ``limit`` rows, an exact-size ``n``-row
-    sample chosen by a seeded hash (reproducible, independent of partitioning);
-    otherwise the table itself. Top-n by hash is a bounded per-task heap."""
-    if df.limit(limit + 1).count() <= limit:
+    """If the table has more than ``limit`` rows, the ``n`` rows with the
+    smallest seeded hash (reproducible, independent of partitioning, exactly n
+    rows); otherwise the table itself.
+
+    The hash is mapped to a uniform u in [0, 1). Rows with u below a threshold
+    a little above n / rows are kept as candidates (a filter, no shuffle); only
+    if fewer than n pass is the threshold widened. The final top-n by u then
+    runs over about 1.1 * n candidates instead of n rows from every task.
+    """
+    total = df.count()
+    if total <= limit:
         return df
     cols = list(key) if key else df.columns
     h = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in cols])
-    return df.withColumn("_h", h).orderBy("_h", *[F.col(f"`{c}`") for c in cols]).limit(n).drop("_h")
+    u = h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / float(1 << 53)
+    scored = df.withColumn("_u", u)
+    t = min(1.0, 1.1 * n / total + 1e-9)
+    while True:
+        cand = scored.where(F.col("_u") < F.lit(t))
+        if t >= 1.0 or cand.count() >= n:
+            break
+        t = min(1.0, t * 2)
+    return cand.orderBy("_u", *[F.col(f"`{c}`") for c in cols]).limit(n).drop("_u")
 
 
 __all__ = [n for n in dir() if not n.startswith("_")] + ["Window"]

@@ -63,6 +63,11 @@ def test_bounded_sample_is_exact_and_reproducible(spark):
     assert a.count() == 500
     key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     assert sorted(map(tuple, a.select(*key).collect())) == sorted(map(tuple, b.select(*key).collect()))
+    # same rows as ranking the whole table by the hash (no prefilter)
+    h = F.xxhash64(F.lit(7), *[F.col(c) for c in li.columns])
+    u = h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / float(1 << 53)
+    brute = li.withColumn("_u", u).orderBy("_u", *li.columns).limit(500).drop("_u")
+    assert sorted(map(tuple, a.select(*key).collect())) == sorted(map(tuple, brute.select(*key).collect()))
 
 
 def test_merge_source_overrides():
