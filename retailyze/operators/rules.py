@@ -16,6 +16,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from ..session import cut_lineage
 from . import clean as C
 from .shape import add_derived
 
@@ -122,6 +123,12 @@ def clean(df: DataFrame, cfg: Mapping | None = None, source: str | None = None,
     keys = [k for k in p.get("duplicate_subset", []) if k in out.columns]
     if keys:
         out = C.dedup_by(out, keys)
+        stats_needed = (any(r in ("mean", "median", "mode") for r in (p.get("missing_values") or {}).values())
+                        or bool((p.get("outliers") or {}).get("columns")))
+        if stats_needed:
+            # the statistics (mean, mode, quartiles) and the row path all read the
+            # deduplicated rows: materialize them once in the checkpoint dir
+            out = cut_lineage(out)
     if p.get("missing_values"):
         out = C.fill_missing(out, p["missing_values"])
     if p.get("data_types"):
