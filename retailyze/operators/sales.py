@@ -621,24 +621,36 @@ def margin_by_quintile(df: DataFrame, sales: str = "sales", profit: str = "profi
 
 
 # --------------------------------------------------------------- quality
-def quality_report(df: DataFrame) -> DataFrame:
-    """Rows, columns, missing cells, duplicate rows (rows that repeat an
-    earlier identical row) - one grouped pass with map-side combine."""
+def _grouped_rows(df: DataFrame) -> tuple[DataFrame, Column]:
     cols = [F.col(f"`{c}`") for c in df.columns]
     nulls = sum((F.when(c.isNull(), 1).otherwise(0) for c in cols), F.lit(0))
     g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-    g = g.select("_c", nulls.alias("_nulls"))
-    return g.agg(
-        fsum("_c").cast("bigint").alias("rows"),
-        F.lit(len(df.columns)).cast("bigint").alias("columns"),
-        fsum(F.col("_c") * F.col("_nulls")).cast("bigint").alias("missing_values"),
-        fsum(F.col("_c") - 1).cast("bigint").alias("duplicate_rows"))
+    return g.withColumn("_nulls", nulls), F.col("_c")
+
+
+def _quality_aggs(n_cols: int, c: Column) -> list[Column]:
+    return [fsum(c).cast("bigint").alias("rows"),
+            F.lit(n_cols).cast("bigint").alias("columns"),
+            fsum(c * F.col("_nulls")).cast("bigint").alias("missing_values"),
+            fsum(c - 1).cast("bigint").alias("duplicate_rows")]
+
+
+def quality_report(df: DataFrame) -> DataFrame:
+    """Rows, columns, missing cells, duplicate rows (rows that repeat an
+    earlier identical row) - one grouped pass with map-side combine."""
+    g, c = _grouped_rows(df)
+    return g.agg(*_quality_aggs(len(df.columns), c))
 
 
 def cleaning_summary(df: DataFrame, sales: str = "sales", profit: str = "profit",
                      discount: str = "discount") -> DataFrame:
-    """G49 plus total sales, total profit and mean discount %."""
-    q = quality_report(df)
-    f = df.agg(fsum(sales).alias("total_sales"), fsum(profit).alias("total_profit"),
-               (mean(discount) * 100.0).alias("avg_discount_pct"))
-    return _one_row_join(q, f)
+    """G49 plus total sales, total profit and mean discount %, all from
+    the same grouped pass (a value times its row multiplicity; exact for
+    decimal money)."""
+    g, c = _grouped_rows(df)
+    d = F.col(discount)
+    return g.agg(*_quality_aggs(len(df.columns), c),
+                 fsum(F.col(sales) * c).alias("total_sales"),
+                 fsum(F.col(profit) * c).alias("total_profit"),
+                 (F.try_divide(F.sum(d * c).cast("double"),
+                               F.sum(F.when(d.isNotNull(), c)).cast("double")) * 100.0).alias("avg_discount_pct"))
