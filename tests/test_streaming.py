@@ -130,3 +130,24 @@ def test_replay_in_batches_of_100(spark, tmp_dir):
     q.awaitTermination()
     sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
     assert max(sizes) <= 100 and sum(sizes) == 450
+
+
+def test_hourly_category_payment_summary_on_order_stream(spark, tmp_dir):
+    # the hourly category x payment summary of the order flow, fed by envelopes
+    o = _orders(spark)
+    env = to_envelope(o, ts="created_at")
+    env.repartition(3).write.mode("overwrite").text(f"{tmp_dir}/in")
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(f"{tmp_dir}/in")
+    rows, _ = S.parse_envelope(stream, o.drop("created_at").schema)
+    agg = S.hourly_summary(rows.where(F.col("status").isNotNull()), "event_time",
+                           ["category_name_1", "payment_method"], "grand_total", watermark="400 days")
+    q = (agg.writeStream.format("memory").queryName("orders_hourly").outputMode("complete")
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("orders_hourly").groupBy("category_name_1", "payment_method").agg(
+        F.sum("events").alias("n")).toPandas().sort_values(["category_name_1", "payment_method"])
+    from retailyze.operators.orders import category_payment_summary
+    exp = category_payment_summary(orders_fact(spark, SF_SMALL)).select(
+        "category_name_1", "payment_method", F.col("transaction_count").alias("n")).toPandas() \
+        .sort_values(["category_name_1", "payment_method"])
+    assert list(got["n"]) == list(exp["n"])
