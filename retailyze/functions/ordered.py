@@ -111,3 +111,23 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         F.max(F.when(F.col("_k") == i, F.col("_val"))).alias(f"{out_prefix}_{i}")
         for i in range(len(probs))])
     return wide
+
+
+def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
+              out_prefix: str = "q", method: str = "exact", accuracy: int = 10000,
+              midpoint_median: bool = False) -> DataFrame:
+    """Quantiles per group, same output shape for both methods.
+
+    ``exact`` (default): ``exact_quantiles``. ``approx``: ``percentile_approx``
+    - one aggregation with a bounded sketch per group and no sort, relative
+    rank error about 1 / ``accuracy``; for very large inputs where an
+    approximate cut-off is acceptable.
+    """
+    if method == "exact":
+        return exact_quantiles(df, value, probs, by, out_prefix, midpoint_median)
+    if method != "approx":
+        raise ValueError(f"unknown quantile method {method!r}")
+    x = F.col(value).try_cast("double")
+    pa = F.percentile_approx(x, [float(p) for p in probs], accuracy)
+    g = df.groupBy(*by).agg(pa.alias("_qa"))
+    return g.select(*by, *[F.col("_qa")[i].alias(f"{out_prefix}_{i}") for i in range(len(probs))])

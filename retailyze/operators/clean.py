@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import col, mean, with_stats
-from ..functions.ordered import exact_quantiles
+from ..functions.ordered import exact_quantiles, quantiles
 
 # Text that counts as a missing value in uploaded files.
 NA_TOKENS = ["", "NA", "N/A", "null", "NULL", "nan"]
@@ -178,7 +178,7 @@ def cast_types(df: DataFrame, rules: Mapping[str, str], numeric_type: str = "dou
 
 
 def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
-                 action: str = "flag") -> DataFrame:
+                 action: str = "flag", method: str = "exact") -> DataFrame:
     """Tukey fences q1 - k*IQR, q3 + k*IQR per column (exact, linear
     quartiles). action: 'flag' adds ``<col>_outlier``; 'remove' keeps rows
     inside all fences (NULL values are kept); 'clip' caps values at the fences.
@@ -192,7 +192,7 @@ def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("_c"), F.col(c).try_cast("double").alias("_x")) for i, c in enumerate(cols)
     ])).alias("_p")).select("_p._c", "_p._x")
-    q = exact_quantiles(long, "_x", [0.25, 0.75], by=["_c"], out_prefix="_q")
+    q = quantiles(long, "_x", [0.25, 0.75], by=["_c"], out_prefix="_q", method=method)
     # one row per column -> one row with lo/hi fences for every column
     fences = q.agg(*[
         F.max(F.when(F.col("_c") == i, F.col("_q_0") - k * (F.col("_q_1") - F.col("_q_0")))).alias(f"_lo_{c}")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fsum, mean, month_key, pct, with_stats
-from ..functions.ordered import exact_quantiles
+from ..functions.ordered import quantiles
 from ..functions.roles import detect_roles
 
 
@@ -325,11 +325,12 @@ def customer_value(df: DataFrame, k: int = 20, customer: str = "customer", sales
 SEGMENTS = ["High Value", "Medium Value", "Low Value"]
 
 
-def customer_segments(df: DataFrame, customer: str = "customer", sales: str = "sales") -> DataFrame:
+def customer_segments(df: DataFrame, customer: str = "customer", sales: str = "sales",
+                      method: str = "exact") -> DataFrame:
     """Customers by total sales: High > p80, Medium in (p50, p80],
     Low <= p50 (linear quantiles); count and revenue, all three rows always."""
     tot = _nn(df, customer).groupBy(customer).agg(fsum(sales).alias("_t"))
-    q = exact_quantiles(tot, "_t", [0.5, 0.8], out_prefix="_p")
+    q = quantiles(tot, "_t", [0.5, 0.8], out_prefix="_p", method=method)
     t = _one_row_join(tot, q)
     seg = (F.when(_dbl("_t") > F.col("_p_1"), F.lit(SEGMENTS[0]))
             .when(_dbl("_t") > F.col("_p_0"), F.lit(SEGMENTS[1])).otherwise(F.lit(SEGMENTS[2])))
@@ -371,7 +372,8 @@ def regional_hierarchy(df: DataFrame, region: str = "region", state: str = "stat
     return _rollup_with_parent(df, region, state, list(measures))
 
 
-def histogram(df: DataFrame, c: str, bins: int, with_median: bool = False) -> DataFrame:
+def histogram(df: DataFrame, c: str, bins: int, with_median: bool = False,
+              method: str = "exact") -> DataFrame:
     """``bins`` equal-width bins over [min, max] (the last bin closed),
     count per bin with empty bins present, plus the column mean (and median)."""
     x = _dbl(c)
@@ -383,7 +385,7 @@ def histogram(df: DataFrame, c: str, bins: int, with_median: bool = False) -> Da
         m = F.round(m, 9)
     st = df.agg(F.min(x).alias("_mn"), F.max(x).alias("_mx"), m.alias("mean"))
     if with_median:
-        med = exact_quantiles(df, c, [0.5], out_prefix="_med", midpoint_median=True).select(
+        med = quantiles(df, c, [0.5], out_prefix="_med", midpoint_median=True, method=method).select(
             F.col("_med_0").alias("median"))
         st = _one_row_join(st, med)
     st = st.withColumn("_w", (F.col("_mx") - F.col("_mn")) / float(bins))
@@ -439,11 +441,12 @@ def business_summary(df: DataFrame, sales: str = "sales", profit: str = "profit"
         "customers", "avg_sales")
 
 
-def box_stats(df: DataFrame, key: str = "category", value: str = "profit") -> DataFrame:
+def box_stats(df: DataFrame, key: str = "category", value: str = "profit",
+              method: str = "exact") -> DataFrame:
     """Per key min, q1, median, q3, max and the 1.5*IQR whisker ends
     (most extreme values inside the fences)."""
     d = _nn(df, key)
-    q = exact_quantiles(d, value, [0.25, 0.5, 0.75], by=[key], out_prefix="_q")
+    q = quantiles(d, value, [0.25, 0.5, 0.75], by=[key], out_prefix="_q", method=method)
     q = q.select(key, F.col("_q_0").alias("q1"), F.col("_q_1").alias("median"), F.col("_q_2").alias("q3"))
     # q has one row per key; joined on the key (AQE broadcasts it when small)
     x = _dbl(value)
@@ -598,12 +601,13 @@ def state_correlation(df: DataFrame, k: int = 15, state: str = "state", sales: s
 QUINTILES = ["Very Low", "Low", "Medium", "High", "Very High"]
 
 
-def margin_by_quintile(df: DataFrame, sales: str = "sales", profit: str = "profit") -> DataFrame:
+def margin_by_quintile(df: DataFrame, sales: str = "sales", profit: str = "profit",
+                       method: str = "exact") -> DataFrame:
     """Rows cut at the 20/40/60/80 % sales quantiles (right-closed, the
     first bin includes the minimum); per bin mean profit, mean sales and
     margin % = mean profit / mean sales * 100. Duplicate edges raise an error,
     as quantile cuts do."""
-    q = exact_quantiles(df, sales, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0], out_prefix="_e")
+    q = quantiles(df, sales, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0], out_prefix="_e", method=method)
     e = [F.col(f"_e_{i}") for i in range(6)]
     dup = (e[0] >= e[1]) | (e[1] >= e[2]) | (e[2] >= e[3]) | (e[3] >= e[4]) | (e[4] >= e[5])
     q = q.withColumn("_ok", F.when(dup, F.raise_error(F.lit("duplicate quantile edges"))).otherwise(F.lit(True)))

@@ -62,3 +62,19 @@ def test_median_midpoint(spark):
     df = spark.createDataFrame(pd.DataFrame({"x": [1.0, 2.0, 4.0, 10.0]}))
     q = exact_quantiles(df, "x", [0.5], midpoint_median=True).first()
     assert q["q_0"] == 3.0
+
+
+def test_approx_quantiles_are_close(spark):
+    from retailyze.functions.ordered import quantiles
+    li = _lineitem(spark).select("l_returnflag", "l_extendedprice")
+    ex = quantiles(li, "l_extendedprice", [0.25, 0.5, 0.75], by=["l_returnflag"]).toPandas().sort_values("l_returnflag")
+    ap = quantiles(li, "l_extendedprice", [0.25, 0.5, 0.75], by=["l_returnflag"],
+                   method="approx", accuracy=100000).toPandas().sort_values("l_returnflag")
+    pdf = li.toPandas()
+    for (_, e), (_, a) in zip(ex.iterrows(), ap.iterrows()):
+        xs = np.sort(pdf.loc[pdf.l_returnflag == e.l_returnflag, "l_extendedprice"].to_numpy())
+        for i in range(3):
+            # the approximate value is an element whose rank is within 1% of the exact one
+            r_exact = np.searchsorted(xs, e[f"q_{i}"])
+            r_approx = np.searchsorted(xs, a[f"q_{i}"])
+            assert abs(r_exact - r_approx) <= 0.01 * len(xs) + 1
