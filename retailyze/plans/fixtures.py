@@ -39,7 +39,7 @@ _FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
     par = spark.sparkContext.defaultParallelism
-    splits = df._jdf.rdd().getNumPartitions()
+    splits = df.rdd.getNumPartitions()  # file splits of the scan; no job runs
     if splits >= par:
         return df
     n = max(par, int(spark.conf.get("spark.sql.shuffle.partitions")))
