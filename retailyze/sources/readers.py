@@ -70,6 +70,30 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
                            for f in df.schema.fields if isinstance(f.dataType, T.StringType)})
 
 
+def retype_numeric_text(df: DataFrame) -> DataFrame:
+    """Text columns whose non-NULL values all parse as numbers become bigint
+    (all integral) or double - what type inference gives once NA tokens are
+    gone. One aggregate decides for every column (a single row reaches the
+    driver)."""
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not strings:
+        return df
+    aggs = []
+    for i, c in enumerate(strings):
+        x = F.col(f"`{c}`")
+        aggs += [F.count(x).alias(f"n{i}"), F.count(x.try_cast("double")).alias(f"d{i}"),
+                 F.count(x.try_cast("bigint")).alias(f"l{i}")]
+    r = df.agg(*aggs).first()
+    casts = {}
+    for i, c in enumerate(strings):
+        n = r[f"n{i}"]
+        if n and r[f"l{i}"] == n:
+            casts[c] = F.col(f"`{c}`").try_cast("bigint")
+        elif n and r[f"d{i}"] == n:
+            casts[c] = F.col(f"`{c}`").try_cast("double")
+    return df.withColumns(casts) if casts else df
+
+
 # Read attempts of the tolerant reader, in order.
 ROBUST_ATTEMPTS = [
     {"encoding": "utf-8", "sep": ","},
@@ -108,7 +132,8 @@ def read_csv_robust(spark: SparkSession, path: str, min_cols: int = 2, min_rows:
 
     Spark replaces undecodable bytes with U+FFFD instead of failing, so a UTF-8
     attempt is rejected when any cell or header holds that character (a scan
-    that stops at the first hit). Returns (DataFrame, the attempt used).
+    that stops at the first hit). Text columns that are numeric once the NA
+    tokens are NULL get a numeric type. Returns (DataFrame, the attempt used).
     """
     last_error = None
     for att in attempts:
@@ -129,7 +154,7 @@ def read_csv_robust(spark: SparkSession, path: str, min_cols: int = 2, min_rows:
                         continue
             if df.limit(min_rows).count() < min_rows:
                 continue
-            out = clean_headers(drop_index_columns(drop_empty_columns(null_tokens(df))))
+            out = clean_headers(drop_index_columns(drop_empty_columns(retype_numeric_text(null_tokens(df)))))
             if len(out.columns) < min_cols:
                 continue
             return out, dict(att)
@@ -160,7 +185,7 @@ def read_source(spark: SparkSession, cfg: Mapping) -> DataFrame:
           .option("encoding", _JAVA_CHARSET.get(enc, enc))
           .option("inferSchema", "true")
           .csv(path))
-    return null_tokens(df, c.get("na_values", NA_TOKENS))
+    return retype_numeric_text(null_tokens(df, c.get("na_values", NA_TOKENS)))
 
 
 def read_latest_json(spark: SparkSession, directory: str, pattern: str = "*.json") -> DataFrame:

@@ -71,6 +71,15 @@ def test_robust_reader_encodings_and_cleanup(spark, tmp_dir):
     assert df.columns == ["customer", "category", "sales"]  # index, empty dropped; header trimmed
     assert df.where(F.col("category").isNull()).count() == 1  # 'N/A' token
     assert df.where(F.col("customer").contains("Café")).count() == 30
+    assert dict(df.dtypes)["sales"] == "double"
+
+    # a numeric column with NA tokens is numeric once they are NULL
+    txt = _rows_text(spark).splitlines()
+    txt = [txt[0]] + [(",".join(line.split(",")[:3] + ["nan" if i == 5 else line.split(",")[3], ""]))
+                      for i, line in enumerate(txt[1:])]
+    _write_bytes(f"{tmp_dir}/a2/na.csv", "\n".join(txt) + "\n", "utf-8")
+    df, _ = R.read_csv_robust(spark, f"{tmp_dir}/a2/na.csv")
+    assert dict(df.dtypes)["sales"] == "double" and df.where(F.col("sales").isNull()).count() == 1
 
     _write_bytes(f"{tmp_dir}/b/cp.csv", _rows_text(spark), "cp1252")
     df, att = R.read_csv_robust(spark, f"{tmp_dir}/b/cp.csv")
