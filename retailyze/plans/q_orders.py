@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import orders as A
 from .fixtures import DIRTY_ORDERS_SQL, dirty_orders, with_sql
 from .registry import register
@@ -89,5 +87,3 @@ def c02(spark, d):
     from ..operators.clean import drop_null_ordinal
     return drop_null_ordinal(dirty_orders(spark, d).select("item_id", "status"), 1)
 
-
-__all__ = ["F"]

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from ..functions import pct
 from ..operators import sales as G
 from ..operators import windows as N
-from ..operators.orders import valid_orders
 from .fixtures import (ORDERS_FACT_SQL, SALES_FACT_SQL, orders_fact, sales_fact, with_sql)
 from .registry import register
 from .sqlbits import D, EDGE_BINS, FS, MEAN, PCT, QUANT
@@ -577,5 +573,3 @@ WINDOW w3 AS (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
 def n05(spark, d):
     return N.moving_averages(sales_fact(spark, d), (3, 6))
 
-
-__all__ = ["F", "pct", "valid_orders"]
