@@ -23,24 +23,32 @@ from ..session import cut_lineage
 _LOW_BITS = (1 << 33) - 1
 
 
-def global_index(df: DataFrame, order: Sequence[Column], name: str = "_idx") -> DataFrame:
-    """Add a 0-based position of each row in ``order`` (must be a total order).
-
-    The sorted data is checkpointed so the partition layout seen by the count
-    pass and by the numbering pass is the same one.
-    """
+def _sorted_tagged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Globally sorted rows with their sort partition ``_pid`` and position
+    ``_loc`` inside it (monotonically_increasing_id keeps the partition id in
+    the upper 31 bits, the row number in the lower 33). Checkpointed, so every
+    later pass sees the same partition layout, also after executor loss."""
     sorted_df = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
     sorted_df = cut_lineage(sorted_df)
-    tagged = sorted_df.withColumns({
+    return sorted_df.withColumns({
         "_pid": F.shiftright("_mid", 33),
         "_loc": F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)),
     }).drop("_mid")
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _offsets(per_pid: DataFrame) -> DataFrame:
+    """Rows before each sort partition, from its row count ``_n``."""
     # one row per partition: a global window here is over a tiny table
-    offsets = counts.select(
+    return per_pid.select(
         "_pid",
         (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
          - F.col("_n")).alias("_off"))
+
+
+def global_index(df: DataFrame, order: Sequence[Column], name: str = "_idx") -> DataFrame:
+    """Add a 0-based position of each row in ``order`` (must be a total order)."""
+    tagged = _sorted_tagged(df, order)
+    offsets = _offsets(tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")))
     return (tagged.join(F.broadcast(offsets), "_pid")
                   .withColumn(name, F.col("_off") + F.col("_loc"))
                   .drop("_off", "_loc"))
@@ -83,8 +91,17 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     """
     by = list(by)
     v = df.select(*by, F.col(value).try_cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    idx = global_index(v, [*[F.col(b).asc_nulls_first() for b in by], F.col("_v")], "_i")
-    groups = idx.groupBy(*by).agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    tagged = _sorted_tagged(v, [*[F.col(b).asc_nulls_first() for b in by], F.col("_v")])
+    # one pass over the sorted rows: per (partition, group) its row count and
+    # first local position; partition offsets and each group's global start
+    # and size follow from this small table
+    pg = tagged.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_first"))
+    offsets = _offsets(pg.groupBy("_pid").agg(F.sum("_cnt").alias("_n")))
+    groups = (pg.join(F.broadcast(offsets), "_pid")
+                .groupBy(*by).agg(F.min(F.col("_off") + F.col("_first")).alias("_start"),
+                                  F.sum("_cnt").alias("_n")))
+    idx = (tagged.join(F.broadcast(offsets), "_pid")
+                 .select(*by, "_v", (F.col("_off") + F.col("_loc")).alias("_i")))
     p_arr = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(float(p)).alias("p"))
                       for i, p in enumerate(probs)])
     tg = (groups.select(*by, "_start", "_n", F.explode(p_arr).alias("_q"))
