@@ -31,8 +31,8 @@ _PREPARED: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDict
 
 # Fact tables and their join key. When such a table scans into fewer splits
 # than the session can run at once (a small file with a single row group), it
-# is hash-partitioned by the key so the joins and aggregates above it run in
-# parallel; a later sort-merge join on the key reuses that partitioning. Large
+# is hash-partitioned by the key into as many partitions as the session runs
+# at once, so the joins and aggregates above it run in parallel. Large
 # multi-file inputs already have enough splits and are left untouched.
 _FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
@@ -42,8 +42,7 @@ def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
     splits = df.rdd.getNumPartitions()  # file splits of the scan; no job runs
     if splits >= par:
         return df
-    n = max(par, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n, F.col(key))
+    return df.repartition(par, F.col(key))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
