@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import bpe, sharding
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_path() -> str:
+    """The public word-level BPE file; a parameter of every operator that reads it."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -21,3 +27,8 @@ def _query(fn):
 @_query
 def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op9(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.op4(table(spark, sf_dir, "documents"), tokenizer_path())
