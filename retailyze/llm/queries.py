@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, sharding
+from . import bpe, packing, qda, rules, sharding
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,18 @@ def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op4(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@_query
+def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op1(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@_query
+def op3_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.op3(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op5_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qda.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
