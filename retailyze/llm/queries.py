@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, qda, rules, sharding
+from . import bpe, langid, packing, qda, rules, sharding
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ def op3_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qda.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op10_partial_matching_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.op10(table(spark, sf_dir, "documents"))
