@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing, qda, rules, sharding
+from . import bpe, langid, packing, qda, rules, sharding, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op5_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_partial_matching_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op10(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_simhash_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.op2(table(spark, sf_dir, "documents"))
