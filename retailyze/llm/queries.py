@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing, qda, rules, sharding, simhash
+from . import bpe, chat, langid, packing, qda, rules, sharding, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op10_partial_matching_language(spark: SparkSession, sf_dir: str) -> DataFram
 @_query
 def op2_simhash_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op2(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_chat_incremental_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op8(spark, table(spark, sf_dir, "conversations"))
