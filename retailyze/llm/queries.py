@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, packing, qda, rules, sharding, simhash
+from . import bpe, chat, langid, ngram_lm, packing, qda, rules, sharding, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op2_simhash_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame
 @_query
 def op8_chat_incremental_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op8(spark, table(spark, sf_dir, "conversations"))
+
+
+@_query
+def op7_backoff_automaton_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.op7(table(spark, sf_dir, "documents"))
