@@ -33,6 +33,13 @@ def words(text: Column) -> Column:
         F.split(bare, "[ \\t\\n\\x0B\\f\\r]+"))
 
 
+def once(expr: Column) -> Column:
+    """The same value, but computed where it is written: the optimizer doesn't move
+    non-deterministic columns, so a later filter on it can't copy a long
+    expression (and its higher-order functions) into several places."""
+    return F.when(F.spark_partition_id() >= 0, expr)
+
+
 def text_slices(texts: pa.Array, max_bytes: int) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``max_bytes`` of text each (one row at least)."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64()))

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold
+from .common import crc_fold, once
 from .textstats import fresh, with_text_stats
 
 #: Share of the pooled covariance, then of the scaled identity.
@@ -119,7 +119,7 @@ def score_quality(docs: DataFrame, model: Model, out: str = "score") -> DataFram
     df = with_text_stats(docs.drop(out), stats, windows=False)
     f = transformed(F.col(stats))
     keep = [F.col(f"`{c}`") for c in docs.columns if c != out]
-    df = df.select(*keep, F.array(*f).alias(feats))
+    df = df.select(*keep, once(F.array(*f)).alias(feats))
     return df.select(*keep, posterior(model, [F.col(feats)[i] for i in range(len(f))]).alias(out))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, ngram_lm, packing, qda, rules, sharding, simhash
+from . import bpe, chat, fingerprints, langid, ngram_lm, packing, qda, rules, sharding, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op8_chat_incremental_rendering(spark: SparkSession, sf_dir: str) -> DataFram
 @_query
 def op7_backoff_automaton_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.op7(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.op6(spark, table(spark, sf_dir, "documents"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import once, words
 
 #: Words of a window of ``n_repeat_words``.
 WINDOW = 8
@@ -65,7 +65,7 @@ def with_text_stats(df: DataFrame, out: str, text: str = "text", windows: bool =
         covered = F.transform(p, lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get(p, i + 1) - x, F.lit(WINDOW))))
         repeat = F.coalesce(F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))
     joined = F.array_join(W, "")
-    df = df.withColumn(out, F.struct(
+    df = df.withColumn(out, once(F.struct(
         F.size(W).cast("long").alias("n_words"), F.char_length(joined).cast("long").alias("word_chars"),
         _count(t, "#*$%&|<>").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
@@ -73,5 +73,5 @@ def with_text_stats(df: DataFrame, out: str, text: str = "text", windows: bool =
         F.size(F.array_distinct(W)).cast("long").alias("n_distinct"),
         _count(t, "\\p{Lu}").alias("n_upper"), _count(t, "0-9").alias("n_digits"),
         _count(t, ".,;:?").alias("n_punct"), _count(t, "!").alias("n_excl"),
-        repeat.alias("n_repeat_words")))
+        repeat.alias("n_repeat_words"))))
     return df.select(*kept, out)
