@@ -160,34 +160,45 @@ def base_failed(s: Column, min_words: int = 20, max_repeat_percent: int = 30) ->
     return (s["n_words"] < min_words) | (100 * s["n_repeat_words"] > max_repeat_percent * s["n_words"])
 
 
-def learn_quality_rules(docs: DataFrame, labels: DataFrame, **how) -> list[Rule]:
-    """Decision list from the documents that have a ``quality`` label (0: reject).
+def counted(docs: DataFrame, stats: str) -> DataFrame:
+    """doc_id and the struct ``stats`` of counts: what learning and judging need.
+    Only this leaves the tasks that read the texts; texts are never shuffled."""
+    return with_text_stats(docs.select("doc_id", "text"), stats).select("doc_id", stats)
+
+
+def learn_quality_rules(counts: DataFrame, stats: str, labels: DataFrame, **how) -> list[Rule]:
+    """Decision list from the counted documents that have a ``quality`` label (0:
+    reject).
 
     Null labels and labels without a document teach nothing. A document with
     several labels counts once for each.
     """
     y = labels.select(F.col("doc_id").alias("_key"), F.col("quality").alias("_quality")).where("_quality is not null")
-    rows = docs.select("doc_id", "text").join(y, F.col("doc_id") == F.col("_key")).select("doc_id", "text", "_quality")
-    s = with_text_stats(rows, "_stats")
-    return learn(s, ratios(F.col("_stats")), F.col("_quality"), F.col("doc_id"), **how)
+    rows = counts.join(y, F.col("doc_id") == F.col("_key"))
+    return learn(rows, ratios(F.col(stats)), F.col("_quality"), F.col("doc_id"), **how)
 
 
-def apply_quality_rules(docs: DataFrame, rules: list[Rule], out: str = "_quality_rules") -> DataFrame:
-    """``docs`` with a struct ``out``: the counts, base_failed, the number of the
-    rule that rejects (null: none) and kept. Null text has no words and fails
-    the base check. Equal rows get equal results; other columns stay."""
-    (stats,) = fresh(docs, "_stats")
-    df = with_text_stats(docs, stats)
+def judge(df: DataFrame, stats: str, rules: list[Rule], out: str) -> DataFrame:
+    """``df`` with a struct ``out`` in place of ``stats``: the counts, base_failed, the
+    number of the rule that rejects (null: none) and kept."""
     s = F.col(stats)
-    failed = base_failed(s)
-    rule = verdict(rules, ratios(s))
-    keep = [F.col(f"`{c}`") for c in docs.columns if c != out]
+    failed, rule = base_failed(s), verdict(rules, ratios(s))
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in (out, stats)]
     return df.select(*keep, F.struct(
         s["n_words"].alias("n_words"), s["word_chars"].alias("word_chars"), s["n_symbols"].alias("n_symbols"),
         s["n_dup_lines"].alias("n_dup_lines"), s["n_repeat_words"].alias("n_repeat_words"),
         failed.alias("base_failed"), rule.alias("rule"), (~failed & rule.isNull()).alias("kept")).alias(out))
 
 
+def apply_quality_rules(docs: DataFrame, rules: list[Rule], out: str) -> DataFrame:
+    """``docs`` with the struct ``out`` of ``judge``. Null text has no words and fails
+    the base check. Equal rows get equal results; other columns stay."""
+    (stats,) = fresh(docs, "_stats")
+    return judge(with_text_stats(docs, stats), stats, rules, out)
+
+
 def op3(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    rules = learn_quality_rules(docs, labels)
-    return apply_quality_rules(docs.select("doc_id", "text"), rules, "_r").select("doc_id", "_r.*")
+    """Counts and verdicts of all documents; the texts are read once."""
+    counts = cut_lineage(counted(docs, "_stats"))
+    rules = learn_quality_rules(counts, "_stats", labels)
+    return judge(counts, "_stats", rules, "_r").select("doc_id", "_r.*")
