@@ -16,12 +16,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, once
+from .common import crc_fold, cut_lineage, once
 from .textstats import fresh, with_text_stats
 
 #: Share of the pooled covariance, then of the scaled identity.
 POOLED, RIDGE = 0.15, 0.05
 THRESHOLD = 0.3
+DIMENSIONS = 9
 
 
 def transformed(s: Column) -> list[Column]:
@@ -102,29 +103,41 @@ def posterior(model: Model, features: list[Column]) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(F.greatest(F.least(-margin, F.lit(500.0)), F.lit(-500.0))))
 
 
-def learn_quality(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
-    """Fit on the labelled documents whose crc32(doc_id) mod ``folds`` is not 0."""
+def featured(docs: DataFrame, out: str) -> DataFrame:
+    """``docs`` with ``out``: the array of transformed statistics of each whole text."""
+    (stats,) = fresh(docs, "_stats")
+    df = with_text_stats(docs, stats, windows=False)
+    keep = [F.col(f"`{c}`") for c in docs.columns if c != out]
+    return df.select(*keep, once(F.array(*transformed(F.col(stats)))).alias(out))
+
+
+def _entries(feats: str) -> list[Column]:
+    return [F.col(feats)[i] for i in range(DIMENSIONS)]
+
+
+def learn_quality(rows: DataFrame, feats: str, labels: DataFrame, folds: int = 5) -> Model:
+    """Fit on the labelled rows (doc_id and ``feats``) whose crc32(doc_id) mod ``folds``
+    is not 0. Only ids and statistics are joined, never texts."""
     y = labels.where(crc_fold("doc_id", folds) != 0).select(
         F.col("doc_id").alias("_key"), F.col("quality").alias("_quality"))
-    rows = docs.select("doc_id", "text").join(y, F.col("doc_id") == F.col("_key")).select("text", "_quality")
-    rows = with_text_stats(rows, "_stats", windows=False).select("_quality", "_stats")
-    return fit(rows, transformed(F.col("_stats")), F.col("_quality"))
+    known = rows.select("doc_id", feats).join(y, F.col("doc_id") == F.col("_key"))
+    return fit(known, _entries(feats), F.col("_quality"))
 
 
 def score_quality(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     """``docs`` with ``out``, the probability of label 1. A null text is scored as an
     empty one; equal texts get equal scores; an input column named ``out`` is
     replaced and all others stay."""
-    (stats, feats) = fresh(docs, "_stats", "_feats")
-    df = with_text_stats(docs.drop(out), stats, windows=False)
-    f = transformed(F.col(stats))
+    (feats,) = fresh(docs, "_feats")
+    df = featured(docs, feats)
     keep = [F.col(f"`{c}`") for c in docs.columns if c != out]
-    df = df.select(*keep, once(F.array(*f)).alias(feats))
-    return df.select(*keep, posterior(model, [F.col(feats)[i] for i in range(len(f))]).alias(out))
+    return df.select(*keep, posterior(model, _entries(feats)).alias(out))
 
 
 def op5(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
-    model = learn_quality(docs, labels, folds)
-    scored = score_quality(docs.select("doc_id", "text"), model)
+    """Scores of all documents; the texts are read once."""
+    rows = cut_lineage(featured(docs.select("doc_id", "text"), "_feats").drop("text"))
+    model = learn_quality(rows, "_feats", labels, folds)
+    scored = rows.withColumn("score", posterior(model, _entries("_feats")))
     return scored.select("doc_id", F.coalesce(crc_fold("doc_id", folds) == 0, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
