@@ -27,7 +27,8 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base check and no learned rule rejects."""
-    learned = rules.learn_quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    counts = rules.counted(table(spark, sf_dir, "documents"), "_stats")
+    learned = rules.learn_quality_rules(counts, "_stats", table(spark, sf_dir, "labels"))
     (out,) = fresh(docs, "_rules")
     judged = rules.apply_quality_rules(docs, learned, out)
     return judged.where(F.col(out)["kept"]).select(*_columns(docs))
@@ -35,7 +36,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quadratic discriminant gives a score of at least its threshold."""
-    model = qda.learn_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    rows = qda.featured(table(spark, sf_dir, "documents").select("doc_id", "text"), "_feats")
+    model = qda.learn_quality(rows, "_feats", table(spark, sf_dir, "labels"))
     (out,) = fresh(docs, "_score")
     return qda.score_quality(docs, model, out).where(F.col(out) >= qda.THRESHOLD).select(*_columns(docs))
 
