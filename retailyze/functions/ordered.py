@@ -6,9 +6,10 @@
 * ``running_total`` is the cumulative sum over that order, computed per
   partition and shifted by the partition's offset.
 * ``exact_quantiles`` gives linear-interpolated quantiles (pandas / SQL
-  ``quantile_cont``) per group by selecting the two neighbouring ranks from
-  the globally sorted data; no group is ever gathered into one task, so a group
-  holding a third of all rows is still split across many sort partitions.
+  ``quantile_cont``) per group from the counts of distinct values: equal values
+  are one row before anything is sorted, and a group's distinct values are split
+  across many sort partitions, so neither a hot value nor a hot group is ever
+  gathered into one task.
 """
 
 from __future__ import annotations
@@ -90,44 +91,44 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     (pandas ``median``).
     """
     by = list(by)
-    v = df.select(*by, F.col(value).try_cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    tagged = _sorted_tagged(v, [*[F.col(b).asc_nulls_first() for b in by], F.col("_v")])
-    # one pass over the sorted rows: per (partition, group) its row count and
-    # first local position; partition offsets and each group's global start
-    # and size follow from this small table
-    pg = tagged.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_first"))
-    offsets = _offsets(pg.groupBy("_pid").agg(F.sum("_cnt").alias("_n")))
-    groups = (pg.join(F.broadcast(offsets), "_pid")
-                .groupBy(*by).agg(F.min(F.col("_off") + F.col("_first")).alias("_start"),
-                                  F.sum("_cnt").alias("_n")))
-    idx = (tagged.join(F.broadcast(offsets), "_pid")
-                 .select(*by, "_v", (F.col("_off") + F.col("_loc")).alias("_i")))
-    p_arr = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(float(p)).alias("p"))
-                      for i, p in enumerate(probs)])
-    tg = (groups.select(*by, "_start", "_n", F.explode(p_arr).alias("_q"))
-                .withColumn("_pos", (F.col("_n") - 1).cast("double") * F.col("_q.p"))
-                .withColumn("_lo", F.floor("_pos"))
-                .withColumn("_hi", F.ceil("_pos")))
-    # two target positions per (group, prob); the table has #groups * #probs * 2
-    # rows and is joined by position (AQE broadcasts it when it is small).
-    targets = tg.select(
-        "_q", "_pos", "_lo", "_hi", *by,
-        F.explode(F.array(F.col("_start") + F.col("_lo"), F.col("_start") + F.col("_hi"))).alias("_i"))
-    # positions are sorted by value inside a group, so min/max pick lo/hi
-    sel =(idx.select("_i", "_v")
-              .join(targets, "_i")
-              .groupBy(*by, "_q", "_pos", "_lo", "_hi")
-              .agg(F.min("_v").alias("_vlo"), F.max("_v").alias("_vhi")))
-    a, b, t = F.col("_vlo"), F.col("_vhi"), F.col("_pos") - F.col("_lo")
-    q = (F.when(F.col("_hi") == F.col("_lo"), a)
-          .when(F.lit(midpoint_median) & (F.col("_q.p") == 0.5), (a + b) / 2.0)
-          .when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t))
-          .otherwise(a + (b - a) * t))
-    long = sel.select(*by, F.col("_q.k").alias("_k"), q.alias("_val"))
-    wide = long.groupBy(*by).agg(*[
-        F.max(F.when(F.col("_k") == i, F.col("_val"))).alias(f"{out_prefix}_{i}")
-        for i in range(len(probs))])
-    return wide
+    x = F.col(value).try_cast("double")
+    v = df.select(*by, x.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    # equal values are one row with a count (combined before the shuffle), so
+    # neither a hot group nor a hot value reaches a sort task as its rows
+    counts = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
+    tagged = _sorted_tagged(counts, [*[F.col(b).asc_nulls_first() for b in by], F.col("_v")])
+    inside = Window.partitionBy("_pid", *by).orderBy("_loc").rowsBetween(Window.unboundedPreceding, 0)
+    tagged = tagged.withColumn("_upto", F.sum("_cnt").over(inside))
+    # one row per (sort partition, group): rows before it in its group, group size
+    cells = tagged.groupBy("_pid", *by).agg(F.sum("_cnt").alias("_pn"))
+    whole = Window.partitionBy(*by)
+    earlier = whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    cells = cells.select(F.col("_pid").alias("_cell"), *[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)],
+                         (F.sum("_pn").over(earlier) - F.col("_pn")).alias("_before"), F.sum("_pn").over(whole).alias("_n"))
+    same = F.col("_pid") == F.col("_cell")
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"_by{i}"))
+    rows = tagged.join(cells, same).select(
+        *by, "_v", "_n", (F.col("_before") + F.col("_upto") - F.col("_cnt")).alias("_from"),
+        (F.col("_before") + F.col("_upto")).alias("_to"))
+    # a row holds the ranks _from.._to-1; the value at a rank is a conditional maximum
+    aggs = [F.max("_n").alias("_n")]
+    for i, p in enumerate(probs):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        for name, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            aggs.append(F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), F.col("_v"))).alias(f"_{name}{i}"))
+    g = rows.groupBy(*by).agg(*aggs)
+    out = []
+    for i, p in enumerate(probs):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        a, b, t = F.col(f"_lo{i}"), F.col(f"_hi{i}"), pos - F.floor(pos)
+        q = F.when(F.floor(pos) == F.ceil(pos), a)
+        if midpoint_median and float(p) == 0.5:
+            q = q.otherwise((a + b) / 2.0)
+        else:
+            q = q.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
+        out.append(q.alias(f"{out_prefix}_{i}"))
+    return g.select(*by, *out)
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
