@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import inspect
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,16 +40,6 @@ def month_key(c) -> Column:
     return F.date_format(col(c), "yyyy-MM")
 
 
-def day_key(c) -> Column:
-    return F.date_format(col(c), "yyyy-MM-dd")
-
-
-def finite_or_zero(c) -> Column:
-    """NaN and +-inf to 0 (pandas ``replace([inf, -inf], 0)`` then fill)."""
-    x = col(c).cast("double")
-    return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(0.0)).otherwise(x)
-
-
 def finalize(df: DataFrame) -> DataFrame:
     """Money leaves the engine as double: DECIMAL columns are cast at the very
     end, after all exact arithmetic."""
@@ -59,10 +52,39 @@ def finalize(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
-    """Top-k by a total order; Catalyst plans TakeOrderedAndProject (per-task
-    bounded heap, k rows per partition reach the final merge)."""
-    return df.orderBy(*order).limit(k)
+# Date layouts tried in order after ISO text (month first, as in
+# US exports; year-first with slashes).
+DATE_FORMATS = ["yyyy/M/d", "yyyy/M/d H:mm:ss", "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M-d-yyyy",
+                "M-d-yyyy H:mm:ss"]
+
+
+def parse_date(c) -> Column:
+    """Text to timestamp: ISO first, then ``DATE_FORMATS``; NULL if none fits."""
+    s = col(c).cast("string")
+    return F.coalesce(F.try_to_timestamp(s), *[F.try_to_timestamp(s, F.lit(f)) for f in DATE_FORMATS])
+
+
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """NaN in float columns counts as missing, as in pandas; other columns and
+    tables without float columns are left untouched."""
+    floats = [f for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    return df.withColumns({f.name: F.when(~F.isnan(F.col(f"`{f.name}`")), F.col(f"`{f.name}`")) for f in floats}) \
+        if floats else df
+
+
+def nan_missing(namespace: dict) -> None:
+    """Let every public operator of a module see NaN as NULL in its first table."""
+    for name, fn in list(namespace.items()):
+        if inspect.isfunction(fn) and fn.__module__ == namespace["__name__"] and not name.startswith("_"):
+            namespace[name] = _without_nan(fn)
+
+
+def _without_nan(fn):
+    @functools.wraps(fn)
+    def run(df, *args, **kw):
+        return fn(nan_as_null(df) if isinstance(df, DataFrame) else df, *args, **kw)
+
+    return run
 
 
 def with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import mean, with_stats
+from ..functions import mean, nan_missing, with_stats
 
 
 def valid_orders(df: DataFrame, status: str = "status", price: str = "price",
@@ -93,3 +93,6 @@ def category_payment_summary(df: DataFrame, category: str = "category_name_1",
               .agg(F.sum(total).alias("total_revenue"),
                    F.count(F.lit(1)).alias("transaction_count"),
                    mean(total).alias("avg_transaction_value")))
+
+
+nan_missing(globals())

@@ -8,10 +8,14 @@ array of structs (no per-column Spark jobs, no driver loop over data).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import nan_as_null
+
 # The type names counted as numeric by the profiler.
 NUMERIC_TYPES = ["double", "float", "int", "bigint"]
 
@@ -44,14 +48,14 @@ def _as_text(df: DataFrame, c: str) -> Column:
     return x.cast("string")
 
 
-def column_profile(df: DataFrame, n: int = 10) -> DataFrame:
-    """For the first n columns - distinct values (NULL counts as one
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """For every column (or the given ones) - distinct values (NULL counts as one
     value, like ``select(c).distinct().count()``), NULL count and type.
 
     One job: every row is unpivoted into (column position, value) pairs, which
     are counted with map-side partial aggregation (a value holding a third of
     the rows is reduced on each mapper), then counted again per column."""
-    cols = df.columns[:n]
+    cols = list(columns or df.columns)
     types = dict(df.dtypes)
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("position"), _as_text(df, c).alias("v")) for i, c in enumerate(cols)
@@ -72,29 +76,19 @@ def column_profile(df: DataFrame, n: int = 10) -> DataFrame:
         F.element_at(kinds, F.col("position") + 1).alias("data_type"))
 
 
-def _stddev_exact(c: Column, dt: T.DataType) -> Column:
-    """Sample stddev; for integral/decimal columns from exact sums of x and x^2."""
-    if isinstance(dt, (T.IntegralType, T.DecimalType)):
-        x = c.cast("decimal(38,0)") if isinstance(dt, T.IntegralType) else c
-        n = F.count(c).cast("double")
-        sx, sxx = F.sum(x).cast("double"), F.sum(x * x).cast("double")
-        return F.sqrt(F.try_divide(sxx - sx * sx / n, n - F.lit(1.0)))
-    return F.stddev_samp(c)
-
-
-def numeric_profile(df: DataFrame, n: int = 5) -> DataFrame:
-    """A10: count, mean, sample stddev, min, max of the first n numeric
-    columns, long form (column_name, stat, value); NULL statistics read 0."""
-    cols = numeric_columns(df)[:n]
+def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """A10: count, mean, sample stddev, min, max of every numeric column (or
+    the given ones), NaN left out, long form (column_name, stat, value); NULL statistics read 0."""
+    df = nan_as_null(df)
+    cols = list(columns or numeric_columns(df))
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string, stat string, value double")
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
     aggs = []
     for i, c in enumerate(cols):
         x = _q(c)
         aggs += [F.count(x).cast("double").alias(f"n{i}"),
                  F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double")).alias(f"m{i}"),
-                 _stddev_exact(x, types[c]).alias(f"s{i}"),
+                 F.stddev_samp(x.cast("double")).alias(f"s{i}"),
                  F.min(x).cast("double").alias(f"lo{i}"), F.max(x).cast("double").alias(f"hi{i}")]
     wide = df.agg(*aggs)
     rows = []
@@ -105,12 +99,12 @@ def numeric_profile(df: DataFrame, n: int = 5) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def categorical_profile(df: DataFrame, n: int = 5, k: int = 10) -> DataFrame:
-    """The k most frequent values (NULL included) of the first n string
-    columns; ties by value. Each column is a distributed count followed by a
+def categorical_profile(df: DataFrame, columns: Sequence[str] | None = None, k: int = 10) -> DataFrame:
+    """The k most frequent values (NULL included) of every string column
+    (or the given ones); ties by value. Each column is a distributed count followed by a
     bounded top-k (TakeOrdered), so no column's values meet in one task."""
     parts = []
-    for i, c in enumerate(string_columns(df)[:n]):
+    for i, c in enumerate(columns or string_columns(df)):
         top = (df.groupBy(_q(c).alias("value")).agg(F.count(F.lit(1)).alias("count"))
                  .orderBy(F.desc("count"), F.asc_nulls_first("value")).limit(k))
         parts.append(top.select(F.lit(i).alias("position"), F.lit(c).alias("column_name"), "value", "count"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import fsum, mean, month_key, pct, with_stats
+from ..functions import fsum, mean, month_key, nan_missing, parse_date, pct, with_stats
 from ..functions.ordered import quantiles
 from ..functions.roles import detect_roles
 
@@ -76,11 +76,12 @@ def top_by_count(df: DataFrame, key: str, k: int = 5) -> DataFrame:
 
 
 def monthly_sales_prefix(df: DataFrame, date: str = "order_date", sales: str = "sales",
-                         k: int = 12) -> DataFrame:
-    """Sales by the first 7 characters of the date text, first k keys."""
+                         k: int | None = None) -> DataFrame:
+    """Sales by the first 7 characters of the date text, every month (the
+    first ``k`` keys only if ``k`` is given)."""
     key = F.substring(F.col(date).cast("string"), 1, 7)
     g = df.where(F.col(date).isNotNull()).groupBy(key.alias("month")).agg(fsum(sales).alias("sales"))
-    return g.orderBy("month").limit(k)
+    return g if k is None else g.orderBy("month").limit(k)
 
 
 def sum_by(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:
@@ -143,8 +144,8 @@ def order_kpis(df: DataFrame, value: str = "grand_total", category: str = "categ
 
 # ---------------------------------------------------------------- insights
 def insights(df: DataFrame, roles: Mapping[str, str] | None = None) -> DataFrame:
-    """One row - safe sums of sales and profit (|sum| >= 1e15 -> 0),
-    rows, average order value and margin % (0 when sales <= 0)."""
+    """One row - sums of sales and profit (NaN or infinite -> 0), rows,
+    average order value and margin % (0 when sales <= 0)."""
     roles = dict(roles or detect_roles(df))
     s, p = roles.get("sales"), roles.get("profit")
     zero = F.lit(0)
@@ -154,7 +155,7 @@ def insights(df: DataFrame, roles: Mapping[str, str] | None = None) -> DataFrame
     a = df.agg(*agg)
 
     def guard(c):
-        return F.when(F.abs(_dbl(c)) < F.lit(1e15), _dbl(c)).otherwise(F.lit(0.0))
+        return F.when(F.abs(_dbl(c)) < F.lit(float("inf")), _dbl(c)).otherwise(F.lit(0.0))
     a = a.select("total_orders", guard("_s").alias("total_sales"), guard("_p").alias("total_profit"))
     return a.select(
         "total_sales", "total_profit", "total_orders",
@@ -166,8 +167,7 @@ def insights(df: DataFrame, roles: Mapping[str, str] | None = None) -> DataFrame
 
 def date_range(df: DataFrame, date: str = "order_date") -> DataFrame:
     """G16: 'YYYY-MM-DD to YYYY-MM-DD' of the valid dates, else a fixed text."""
-    d = F.try_to_timestamp(F.col(date).cast("string")) if isinstance(
-        df.schema[date].dataType, T.StringType) else F.col(date)
+    d = parse_date(date) if isinstance(df.schema[date].dataType, T.StringType) else F.col(date)
     a = df.agg(F.min(d).alias("_lo"), F.max(d).alias("_hi"))
     return a.select(F.when(F.col("_lo").isNull(), F.lit("No valid dates available")).otherwise(
         F.concat(F.date_format("_lo", "yyyy-MM-dd"), F.lit(" to "),
@@ -459,41 +459,22 @@ def box_stats(df: DataFrame, key: str = "category", value: str = "profit",
         F.max(F.when(F.col("_x") <= hi_f, F.col("_x"))).alias("whisker_hi"))
 
 
-def _moments(x: Column, y: Column) -> list[Column]:
-    both = x.isNotNull() & y.isNotNull()
-    xs, ys = F.when(both, x), F.when(both, y)
-    return [F.count(xs).alias("_n"), F.sum(xs).alias("_sx"), F.sum(ys).alias("_sy"),
-            F.sum(xs * ys).alias("_sxy"), F.sum(xs * xs).alias("_sxx"), F.sum(ys * ys).alias("_syy")]
-
-
-def _corr_from_moments() -> Column:
-    n, sx, sy = _dbl("_n"), _dbl("_sx"), _dbl("_sy")
-    sxy, sxx, syy = _dbl("_sxy"), _dbl("_sxx"), _dbl("_syy")
-    cov = sxy - sx * sy / n
-    vx, vy = sxx - sx * sx / n, syy - sy * sy / n
-    return F.try_divide(cov, F.sqrt(vx * vy))
-
-
 def correlation(df: DataFrame, x: str = "sales", y: str = "profit") -> DataFrame:
-    """Pearson correlation over rows where both are present.
-
-    Computed from exact partial sums (map-side partial aggregation; decimal
-    inputs give exact sums), combined once in double."""
-    m = df.agg(*_moments(F.col(x), F.col(y)))
-    return m.select(_dbl("_n").cast("bigint").alias("n"), _corr_from_moments().alias("correlation"))
+    """Pearson correlation over rows where both are present (updated about
+    running means, so shifted data keep their digits)."""
+    a, b = _dbl(x), _dbl(y)
+    return df.agg(F.count(F.when(a.isNotNull() & b.isNotNull(), F.lit(1))).alias("n"),
+                  F.corr(a, b).alias("correlation"))
 
 
 def trend_line(df: DataFrame, x: str = "sales", y: str = "profit", n: int = 100) -> DataFrame:
     """Least-squares line y = slope * x + intercept and ``n`` evenly
     spaced points from min(x) to max(x)."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    m = df.agg(*_moments(F.col(x), F.col(y)),
-               F.min(F.when(both, _dbl(x))).alias("_mn"), F.max(F.when(both, _dbl(x))).alias("_mx"))
-    nn, sx, sy = _dbl("_n"), _dbl("_sx"), _dbl("_sy")
-    slope = F.try_divide(_dbl("_sxy") - sx * sy / nn, _dbl("_sxx") - sx * sx / nn)
-    m = m.where(F.col("_n") > 1).select("_mn", "_mx", slope.alias("slope"), sx.alias("_sx"),
-                                         sy.alias("_sy"), nn.alias("_nn"))
-    m = m.withColumn("intercept", (F.col("_sy") - F.col("slope") * F.col("_sx")) / F.col("_nn"))
+    a, b = _dbl(x), _dbl(y)
+    both = a.isNotNull() & b.isNotNull()
+    m = df.agg(F.count(F.when(both, F.lit(1))).alias("_n"), F.regr_slope(b, a).alias("slope"),
+               F.regr_intercept(b, a).alias("intercept"),
+               F.min(F.when(both, a)).alias("_mn"), F.max(F.when(both, a)).alias("_mx")).where(F.col("_n") > 1)
     pts = m.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
     step = (F.col("_mx") - F.col("_mn")) / float(n - 1)
     xv = F.when(F.col("i") == n - 1, F.col("_mx")).otherwise(F.col("i").cast("double") * step + F.col("_mn"))
@@ -541,8 +522,8 @@ def rfm(df: DataFrame, customer: str = "customer", date: str = "order_date",
 
 
 def rfm_top(df: DataFrame, n: int = 100, customer: str = "customer", **kw) -> DataFrame:
-    """The first n RFM rows in customer-key order."""
-    return rfm(df, customer=customer, **kw).orderBy(customer).limit(n)
+    """The n customers with the highest monetary value (ties by key)."""
+    return rfm(df, customer=customer, **kw).orderBy(F.desc("monetary"), F.asc(customer)).limit(n)
 
 
 def subcategory_matrix(df: DataFrame, subcategory: str = "subcategory", sales: str = "sales",
@@ -583,17 +564,9 @@ def state_correlation(df: DataFrame, k: int = 15, state: str = "state", sales: s
     top = top.select(state, *[_dbl(m).alias(m) for m in ("sales", "profit", "customer")])
     names = ["sales", "profit", "customer"]
     pairs = [(a, b) for a in names for b in names]
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        for j, c in enumerate(_moments(F.col(a), F.col(b))):
-            aggs.append(c.alias(f"_m{i}_{j}"))
-    m = top.agg(*aggs)
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        n, sx, sy, sxy, sxx, syy = [_dbl(f"_m{i}_{j}") for j in range(6)]
-        cov = sxy - sx * sy / n
-        r = F.try_divide(cov, F.sqrt((sxx - sx * sx / n) * (syy - sy * sy / n)))
-        rows.append(F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), r.alias("correlation")))
+    m = top.agg(*[F.corr(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
+    rows = [F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), F.col(f"_r{i}").alias("correlation"))
+            for i, (a, b) in enumerate(pairs)]
     return m.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
@@ -658,3 +631,6 @@ def cleaning_summary(df: DataFrame, sales: str = "sales", profit: str = "profit"
                  fsum(F.col(profit) * c).alias("total_profit"),
                  (F.try_divide(F.sum(d * c).cast("double"),
                                F.sum(F.when(d.isNotNull(), c)).cast("double")) * 100.0).alias("avg_discount_pct"))
+
+
+nan_missing(globals())

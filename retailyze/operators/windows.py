@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import fsum, month_key, pct, with_stats
+from ..functions import fsum, month_key, nan_missing, pct, with_stats
 from ..functions.ordered import running_total
 
 
@@ -41,10 +41,16 @@ def abc_analysis(df: DataFrame, k: int | None = 50, product: str = "product_name
     per = (df.where(F.col(product).isNotNull())
              .groupBy(product).agg(fsum(sales).alias("sales")))
     total = per.agg(F.sum("sales").alias("_total"))
+    if k is not None:  # k rows: a bounded top-k, then a window over them alone
+        top = per.orderBy(F.desc("sales"), F.asc(product)).limit(k)
+        w = Window.orderBy(F.desc("sales"), F.asc(product))
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        out = with_stats(top.withColumns({"cumulative_sales": F.sum("sales").over(upto),
+                                          "rank": F.row_number().over(w).cast("bigint")}), total)
+        return out.select(product, "sales", "cumulative_sales",
+                          pct("cumulative_sales", "_total").alias("cumulative_percent"), "rank")
     ranked = running_total(per, [F.desc("sales"), F.asc(product)], "sales",
                            out="cumulative_sales", rank="rank")
-    if k is not None:
-        ranked = ranked.where(F.col("rank") <= k)
     out = with_stats(ranked, total)  # the grand total, as a scalar subquery
     return out.select(product, "sales", "cumulative_sales",
                       pct("cumulative_sales", "_total").alias("cumulative_percent"), "rank")
@@ -75,3 +81,6 @@ def moving_averages(df: DataFrame, windows: Sequence[int] = (3, 6), date: str =
         cols[f"ma_{n}"] = F.when(F.count("sales").over(w) == n,
                                  F.sum("sales").over(w).cast("double") / F.lit(float(n)))
     return m.withColumns(cols)
+
+
+nan_missing(globals())

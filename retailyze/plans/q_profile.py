@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import clean as C
 from ..operators import orders as A
 from ..operators import profile as PR
@@ -40,33 +42,33 @@ def a08(spark, d):
     f"""SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name,
        CAST(COUNT(DISTINCT {c}) + MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS distinct_values,
        CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS null_count, '{t}' AS data_type FROM prof"""
-    for i, (c, t) in enumerate(_ORDER_TYPES[:10])))
+    for i, (c, t) in enumerate(_ORDER_TYPES)))
 def a09(spark, d):
-    return PR.column_profile(_profiled(spark, d), 10)
+    return PR.column_profile(_profiled(spark, d))
 
 
 def _num_sql(c: str) -> str:
     n = f"CAST(COUNT({c}) AS DOUBLE)"
     sx = f"CAST(SUM(CAST({c} AS BIGINT)) AS DOUBLE)"
-    sxx = f"CAST(SUM(CAST({c} AS BIGINT) * CAST({c} AS BIGINT)) AS DOUBLE)"
     stats = [("count", n), ("mean", f"{sx} / {n}"),
-             ("stddev", f"sqrt(({sxx} - {sx} * {sx} / {n}) / NULLIF({n} - 1.0, 0))"),
+             ("stddev", f"ROUND(stddev_samp(CAST({c} AS DOUBLE)), 6)"),
              ("min", f"CAST(MIN({c}) AS DOUBLE)"), ("max", f"CAST(MAX({c}) AS DOUBLE)")]
     return "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, '{s}' AS stat, COALESCE({e}, 0.0) AS value FROM prof" for s, e in stats)
 
 
-@register("a10_numeric_profile", DO + "\nUNION ALL\n".join(_num_sql(c) for c in _NUMERIC[:5]))
+@register("a10_numeric_profile", DO + "\nUNION ALL\n".join(_num_sql(c) for c in _NUMERIC))
 def a10(spark, d):
-    return PR.numeric_profile(_profiled(spark, d), 5)
+    out = PR.numeric_profile(_profiled(spark, d))
+    return out.withColumn("value", F.when(F.col("stat") == "stddev", F.round("value", 6)).otherwise(F.col("value")))
 
 
 @register("a11_categorical_profile", DO + "\nUNION ALL\n".join(
     f"""(SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, {c} AS value, COUNT(*) AS count
         FROM prof GROUP BY {c} ORDER BY count DESC, value ASC NULLS FIRST LIMIT 10)"""
-    for i, c in enumerate(_STRINGS[:5])))
+    for i, c in enumerate(_STRINGS)))
 def a11(spark, d):
-    return PR.categorical_profile(_profiled(spark, d), 5, 10)
+    return PR.categorical_profile(_profiled(spark, d))
 
 
 _DIRTY_TYPES = [("order_id", "string"), ("line_no", "int"), ("order_date", "string"), ("ship_date", "string"),
