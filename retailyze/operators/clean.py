@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import mean, with_stats
+from ..functions import mean, nan_as_null, parse_date, with_stats
 from ..functions.ordered import exact_quantiles, quantiles
 
 # Text that counts as a missing value in uploaded files.
@@ -53,12 +53,13 @@ def coerce_numeric(df: DataFrame, cols: Iterable[str] = ("sales", "profit", "dis
 
 def coerce_dates(df: DataFrame, cols: Iterable[str] = ("order_date", "ship_date"),
                  fmt: str | None = None) -> DataFrame:
-    """Text to timestamp, unparseable -> NULL."""
+    """Text to timestamp (ISO, slashed and US layouts, or ``fmt`` alone),
+    unparseable -> NULL."""
     present = [c for c in cols if c in df.columns]
 
     def conv(c: str) -> Column:
         s = F.col(c).cast("string")
-        return F.try_to_timestamp(s, F.lit(fmt)) if fmt else F.try_to_timestamp(s)
+        return F.try_to_timestamp(s, F.lit(fmt)) if fmt else parse_date(s)
     return df.withColumns({c: conv(c) for c in present})
 
 
@@ -79,13 +80,18 @@ def dedup_by(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] | No
     """One row per key combination, the first in ``order_by`` (default:
     all other columns ascending, so the result is deterministic).
 
-    ``min_by`` over a struct of the whole row is an aggregate, so the map side
-    pre-reduces each key before the shuffle and a hot key never lands in one
-    task as a full list of rows.
+    ``min`` (``min_by`` with an explicit order) over a struct of the row is an
+    aggregate, so the map side pre-reduces each key before the shuffle and a hot
+    key never lands in one task as a full list of rows.
     """
     others = [c for c in df.columns if c not in keys]
-    order = list(order_by) if order_by is not None else [F.col(f"`{c}`") for c in others]
+    if not others:
+        return df.dropDuplicates(list(keys))
     payload = F.struct(*[F.col(f"`{c}`").alias(c) for c in others])
+    if order_by is None:
+        g = df.groupBy(*keys).agg(F.min(payload).alias("_row"))
+        return g.select(*keys, "_row.*").select(*df.columns)
+    order = list(order_by)
     sort_key = F.struct(*[(o if isinstance(o, Column) else F.col(o)) for o in order])
     g = df.groupBy(*keys).agg(F.min_by(payload, sort_key).alias("_row"))
     return g.select(*keys, "_row.*").select(*df.columns)
@@ -95,12 +101,15 @@ def _literal_for(dtype: T.DataType, value):
     return F.lit(value).cast(dtype)
 
 
-def fill_missing(df: DataFrame, rules: Mapping[str, object]) -> DataFrame:
+def fill_missing(df: DataFrame, rules: Mapping[str, object], stats_from: DataFrame | None = None) -> DataFrame:
     """Per-column missing-value rule.
 
     rule = a constant | "mean" | "median" | "mode" | "drop".
-    Statistics for all mean/median/mode columns come from one aggregate pass.
+    Statistics for all mean/median/mode columns come from one aggregate pass
+    over ``stats_from`` (default: ``df`` itself).
     """
+    source = nan_as_null(stats_from if stats_from is not None else df)
+    df = nan_as_null(df)
     rules = {c: r for c, r in rules.items() if c in df.columns}
     drop = [c for c, r in rules.items() if r == "drop"]
     def numeric(c: str) -> Column:
@@ -109,20 +118,20 @@ def fill_missing(df: DataFrame, rules: Mapping[str, object]) -> DataFrame:
         return F.col(c) if isinstance(dt, T.NumericType) else F.col(c).try_cast("double")
 
     stat_aggs = [mean(numeric(c)).alias(f"_mean_{c}") for c, r in rules.items() if r == "mean"]
-    stats = df.agg(*stat_aggs) if stat_aggs else None
+    stats = source.agg(*stat_aggs) if stat_aggs else None
     for c, r in rules.items():
         if r == "median":
-            med = exact_quantiles(df, c, [0.5], out_prefix=f"_median_{c}", midpoint_median=True)
+            med = exact_quantiles(source, c, [0.5], out_prefix=f"_median_{c}", midpoint_median=True)
             med = med.select(F.col(f"_median_{c}_0").alias(f"_median_{c}"))
             stats = med if stats is None else with_stats(stats, med)
         elif r == "mode":
             # most frequent non-NULL value, smallest on ties: a distributed count
             # and a bounded top-1, never a value->count map in one task
-            top = (df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(f"_mode_{c}"))
+            top = (source.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(f"_mode_{c}"))
                      .agg(F.count(F.lit(1)).alias("_n"))
                      .orderBy(F.desc("_n"), F.asc(f"_mode_{c}")).limit(1).drop("_n"))
             if stats is None:
-                stats = df.agg(F.count(F.lit(1)).alias("_rows"))
+                stats = source.agg(F.count(F.lit(1)).alias("_rows"))
             stats = with_stats(stats, top)
     out = df
     if stats is not None:
@@ -167,7 +176,7 @@ def cast_types(df: DataFrame, rules: Mapping[str, str], numeric_type: str = "dou
         if c not in df.columns:
             continue
         if kind == "datetime":
-            repl[c] = F.try_to_timestamp(F.col(c).cast("string"))
+            repl[c] = parse_date(c)
         elif kind == "numeric":
             repl[c] = F.expr(f"try_cast(`{c}` AS {numeric_type})")
         elif kind == "string":
@@ -178,18 +187,20 @@ def cast_types(df: DataFrame, rules: Mapping[str, str], numeric_type: str = "dou
 
 
 def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
-                 action: str = "flag", method: str = "exact") -> DataFrame:
+                 action: str = "flag", method: str = "exact",
+                 stats_from: DataFrame | None = None) -> DataFrame:
     """Tukey fences q1 - k*IQR, q3 + k*IQR per column (exact, linear
     quartiles). action: 'flag' adds ``<col>_outlier``; 'remove' keeps rows
     inside all fences (NULL values are kept); 'clip' caps values at the fences.
 
-    The quartiles of all columns come from one sort: the values are unpivoted
-    to (column, value) and ranked per column.
+    The quartiles of all columns come from one sort: the values of
+    ``stats_from`` (default: ``df`` itself) are unpivoted to (column, value) and
+    ranked per column.
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    long = df.select(F.explode(F.array(*[
+    long = (stats_from if stats_from is not None else df).select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("_c"), F.col(c).try_cast("double").alias("_x")) for i, c in enumerate(cols)
     ])).alias("_p")).select("_p._c", "_p._x")
     q = quantiles(long, "_x", [0.25, 0.75], by=["_c"], out_prefix="_q", method=method)
@@ -303,11 +314,10 @@ def std_text(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns(repl)
 
 
-def bounded_sample(df: DataFrame, limit: int = 100_000, n: int = 50_000, seed: int = 42,
-                   key: Sequence[str] | None = None) -> DataFrame:
-    """If the table has more than ``limit`` rows, the ``n`` rows with the
-    smallest seeded hash (reproducible, independent of partitioning, exactly n
-    rows); otherwise the table itself.
+def bounded_sample(df: DataFrame, n: int, seed: int = 42, key: Sequence[str] | None = None) -> DataFrame:
+    """The ``n`` rows with the smallest seeded hash (reproducible,
+    independent of partitioning); all rows if there are no more. Nothing is
+    sampled unless a caller asks for a number of rows.
 
     The hash is mapped to a uniform u in [0, 1). Rows with u below a threshold
     a little above n / rows are kept as candidates (a filter, no shuffle); only
@@ -315,7 +325,7 @@ def bounded_sample(df: DataFrame, limit: int = 100_000, n: int = 50_000, seed: i
     runs over about 1.1 * n candidates instead of n rows from every task.
     """
     total = df.count()
-    if total <= limit:
+    if total <= n:
         return df
     cols = list(key) if key else df.columns
     h = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in cols])

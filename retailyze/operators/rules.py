@@ -4,8 +4,9 @@ The config has the JSON shape of the original rule file: a ``processing``
 block (duplicate subset, missing values, data types, outliers,
 standardization, derived columns) with per-source overrides in
 ``source_processing``, plus ``partitioning``, ``data_quality``,
-``final_validation`` and ``monitoring`` blocks. ``clean`` applies the steps in
-file order: dedup -> missing -> types -> outliers -> standardize -> derive.
+``final_validation`` and ``monitoring`` blocks. ``clean`` applies dedup ->
+standardize -> types -> missing -> outliers -> derive: a value is filled once it
+is known to be missing (bad text, number or address), and fills stay.
 """
 
 from __future__ import annotations
@@ -85,11 +86,11 @@ DEFAULT_RULES: dict = {
         {"query": "SELECT COUNT(*) FROM processed_customers", "expected_min": 5},
         {"query": "SELECT COUNT(*) FROM processed_products", "expected_min": 1},
     ]},
-    "streaming": {
+    "streaming": {"kafka": {
         "input_topics": ["raw-orders", "raw-customers", "raw-products"],
         "output_topics": {"raw-orders": "processed-orders", "raw-customers": "processed-customers",
                           "raw-products": "processed-products"},
-    },
+    }},
     "monitoring": {"health_checks": {"data_freshness_hours": 12, "min_daily_records": 100,
                                      "max_error_rate": 0.05}},
 }
@@ -116,33 +117,38 @@ def merged_processing(cfg: Mapping, source: str | None) -> dict:
 
 def clean(df: DataFrame, cfg: Mapping | None = None, source: str | None = None,
           outlier_action: str = "flag", numeric_type: str = "double",
-          timestamp_col: bool = True) -> DataFrame:
-    """The whole rule run on one source."""
+          timestamp_col: bool = True, stats_from: DataFrame | None = None) -> DataFrame:
+    """The whole rule run on one source. Means, modes and quartiles come
+    from ``stats_from`` (raw rows of the same shape), by default from ``df``."""
     p = merged_processing(cfg or DEFAULT_RULES, source)
     out = df
+
+    def typed(x: DataFrame) -> DataFrame:
+        st = p.get("standardization") or {}
+        x = C.std_email(x, st.get("email_columns", []))
+        x = C.std_phone(x, st.get("phone_columns", []))
+        x = C.std_currency(x, st.get("currency_columns", []))
+        x = C.std_text(x, st.get("text_columns", []))
+        return C.cast_types(x, p.get("data_types") or {}, numeric_type=numeric_type)
+
     keys = [k for k in p.get("duplicate_subset", []) if k in out.columns]
     if keys:
         out = C.dedup_by(out, keys)
         stats_needed = (any(r in ("mean", "median", "mode") for r in (p.get("missing_values") or {}).values())
                         or bool((p.get("outliers") or {}).get("columns")))
-        if stats_needed:
+        if stats_needed and stats_from is None:
             # the statistics (mean, mode, quartiles) and the row path all read the
             # deduplicated rows: materialize them once in the checkpoint dir
             out = cut_lineage(out)
+    out = typed(out)
+    reference = typed(stats_from) if stats_from is not None else None
     if p.get("missing_values"):
-        out = C.fill_missing(out, p["missing_values"])
-    if p.get("data_types"):
-        out = C.cast_types(out, p["data_types"], numeric_type=numeric_type)
+        out = C.fill_missing(out, p["missing_values"], stats_from=reference)
     o = p.get("outliers") or {}
     if o.get("columns"):
         if o.get("method", "iqr") != "iqr":
             raise ValueError(f"unsupported outlier method {o.get('method')!r}")
-        out = C.outliers_iqr(out, o["columns"], action=outlier_action)
-    st = p.get("standardization") or {}
-    out = C.std_email(out, st.get("email_columns", []))
-    out = C.std_phone(out, st.get("phone_columns", []))
-    out = C.std_currency(out, st.get("currency_columns", []))
-    out = C.std_text(out, st.get("text_columns", []))
+        out = C.outliers_iqr(out, o["columns"], action=outlier_action, stats_from=reference)
     if p.get("derived_columns"):
         out = add_derived(out, p["derived_columns"], now_col=timestamp_col)
     return out

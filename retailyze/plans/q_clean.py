@@ -307,6 +307,11 @@ def p12(spark, d):
 _C22_NUM = "TRY_CAST({c} AS DOUBLE)"
 
 
+def _currency_sql(c: str) -> str:
+    num = f"TRY_CAST(regexp_replace({c}, '[^0-9.\\-]', '', 'g') AS DECIMAL(18,2))"
+    return f"CAST(CASE WHEN regexp_matches({c}, '^\\s*\\(.*\\)\\s*$') THEN -{num} ELSE {num} END AS DECIMAL(18,2))"
+
+
 def _c22_sql() -> str:
     order = ", ".join(f"{c} ASC NULLS FIRST" for c in _CO_COLS if c != "order_id")
     email = f"lower({TRIM_WS('customer_email')})"
@@ -316,44 +321,35 @@ def _c22_sql() -> str:
 d AS (SELECT * EXCLUDE (rn) FROM (
         SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {order}) AS rn FROM config_orders)
       WHERE rn = 1),
-st AS (SELECT CAST(SUM(TRY_CAST(order_amount AS DOUBLE)) AS DOUBLE)
-              / CAST(COUNT(TRY_CAST(order_amount AS DOUBLE)) AS DOUBLE) AS mu FROM d),
-mo AS (SELECT product_category AS mo FROM d WHERE product_category IS NOT NULL
+s AS (SELECT * REPLACE (
+          CASE WHEN regexp_matches({email}, '{C.EMAIL_PATTERN}') THEN {email} END AS customer_email,
+          CASE WHEN length({dig}) > 0 THEN (CASE WHEN starts_with({ph}, '+') THEN '+' ELSE '' END) || {dig} END
+            AS customer_phone,
+          {_currency_sql('order_amount')} AS order_amount, {_currency_sql('product_price')} AS product_price,
+          {_initcap_sql('customer_name')} AS customer_name,
+          {_initcap_sql('product_name')} AS product_name)
+      FROM d),
+t AS (SELECT * REPLACE (TRY_CAST(order_date AS TIMESTAMP) AS order_date,
+                        CAST(order_amount AS DECIMAL(18,4)) AS order_amount) FROM s),
+st AS (SELECT CAST(CAST(SUM(order_amount) AS DOUBLE) / CAST(COUNT(order_amount) AS DOUBLE) AS DECIMAL(18,4)) AS mu FROM t),
+mo AS (SELECT product_category AS mo FROM t WHERE product_category IS NOT NULL
        GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1),
 f AS (SELECT order_id, line_no, customer_id, COALESCE(customer_name, 'Unknown') AS customer_name,
              COALESCE(customer_email, 'Unknown') AS customer_email, customer_phone,
-             COALESCE(order_amount, CAST((SELECT mu FROM st) AS VARCHAR)) AS order_amount,
+             COALESCE(order_amount, (SELECT mu FROM st)) AS order_amount,
              product_price, order_date, quantity,
              COALESCE(product_category, (SELECT mo FROM mo)) AS product_category, product_name,
              COALESCE(discount_amount, 0) AS discount_amount,
              COALESCE(shipping_address, 'Unknown') AS shipping_address
-      FROM d WHERE order_date IS NOT NULL),
-t AS (SELECT * REPLACE (TRY_CAST(order_date AS TIMESTAMP) AS order_date,
-                        TRY_CAST(order_amount AS DECIMAL(18,4)) AS order_amount) FROM f),
-qa AS (SELECT {QUANT('xs', 'n', 0.25)} AS q1, {QUANT('xs', 'n', 0.75)} AS q3
-       FROM (SELECT list_sort(list(CAST(order_amount AS DOUBLE))) AS xs, COUNT(order_amount) AS n
-             FROM t WHERE order_amount IS NOT NULL)),
-qq AS (SELECT {QUANT('xs', 'n', 0.25)} AS q1, {QUANT('xs', 'n', 0.75)} AS q3
-       FROM (SELECT list_sort(list(CAST(quantity AS DOUBLE))) AS xs, COUNT(quantity) AS n
-             FROM t WHERE quantity IS NOT NULL)),
-o AS (SELECT t.*,
+      FROM t WHERE order_date IS NOT NULL),
+qa AS (SELECT quantile_cont(CAST(order_amount AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(order_amount AS DOUBLE), 0.75) AS q3 FROM f),
+qq AS (SELECT quantile_cont(CAST(quantity AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(quantity AS DOUBLE), 0.75) AS q3 FROM f),
+o AS (SELECT f.*,
              COALESCE(CAST(order_amount AS DOUBLE) < qa.q1 - 1.5 * (qa.q3 - qa.q1)
                       OR CAST(order_amount AS DOUBLE) > qa.q3 + 1.5 * (qa.q3 - qa.q1), false) AS order_amount_outlier,
              COALESCE(quantity < qq.q1 - 1.5 * (qq.q3 - qq.q1) OR quantity > qq.q3 + 1.5 * (qq.q3 - qq.q1), false)
                AS quantity_outlier
-      FROM t, qa, qq),
-s AS (SELECT * REPLACE (
-          CASE WHEN regexp_matches({email}, '{C.EMAIL_PATTERN}') THEN {email} END AS customer_email,
-          CASE WHEN length({dig}) > 0 THEN (CASE WHEN starts_with({ph}, '+') THEN '+' ELSE '' END) || {dig} END
-            AS customer_phone,
-          TRY_CAST(order_amount AS DECIMAL(18,2)) AS order_amount,
-          CAST(CASE WHEN regexp_matches(product_price, '^\\s*\\(.*\\)\\s*$')
-                    THEN -TRY_CAST(regexp_replace(product_price, '[^0-9.\\-]', '', 'g') AS DECIMAL(18,2))
-                    ELSE TRY_CAST(regexp_replace(product_price, '[^0-9.\\-]', '', 'g') AS DECIMAL(18,2)) END
-               AS DECIMAL(18,2)) AS product_price,
-          {_initcap_sql('customer_name')} AS customer_name,
-          {_initcap_sql('product_name')} AS product_name)
-      FROM o)
+      FROM f, qa, qq)
 SELECT order_id, line_no, customer_id, customer_name, customer_email, customer_phone,
        CAST(order_amount AS DOUBLE) AS order_amount, CAST(product_price AS DOUBLE) AS product_price,
        {_ts('order_date')} AS order_date, quantity, product_category, product_name,
@@ -362,7 +358,7 @@ SELECT order_id, line_no, customer_id, customer_name, customer_email, customer_p
        CAST(year(order_date) AS INTEGER) AS order_year, CAST(month(order_date) AS INTEGER) AS order_month,
        order_amount > 1000 AS high_value_order,
        CASE WHEN order_amount > 500 THEN 'premium' ELSE 'standard' END AS customer_segment
-FROM s"""
+FROM o"""
 
 
 @register("c22_clean_rules", _c22_sql())

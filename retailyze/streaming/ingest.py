@@ -112,15 +112,25 @@ def _source_of(topic: str) -> str:
 
 def route(stream: DataFrame, schemas: Mapping[str, T.StructType], out_root: str, checkpoint: str,
           cfg: Mapping | None = None, topic_col: str = "topic", value_col: str = "value",
-          writer: Callable[[DataFrame, str], None] | None = None) -> StreamingQuery:
+          writer: Callable[[DataFrame, str], None] | None = None,
+          reference: Mapping[str, DataFrame] | None = None) -> StreamingQuery:
     """Per micro-batch, split messages by topic, parse each topic's
-    envelope, apply that source's cleaning rules and append to the mapped
-    output (``raw-orders`` -> ``processed-orders`` ...)."""
+    envelope, apply that source's cleaning rules and write to the mapped
+    output (``raw-orders`` -> ``processed-orders`` ...).
+
+    Each batch owns the folder ``batch_id=N`` of an output and overwrites it, so
+    a batch that is run again leaves no second copy. Messages that don't parse
+    and messages of a topic without target or schema are kept in ``rejects``
+    with their topic and reason. ``reference`` holds, per source, the rows that
+    means, modes and quartiles are taken from; without it they come from the
+    micro-batch and depend on how messages were batched."""
     cfg = cfg or DEFAULT_RULES
-    targets = dict(cfg["streaming"]["output_topics"])
+    block = cfg["streaming"]
+    targets = dict(block.get("kafka", block)["output_topics"])
+    known = [t for t in targets if t in schemas]
 
     def write(df: DataFrame, path: str) -> None:
-        df.write.mode("append").parquet(path)
+        df.write.mode("overwrite").parquet(path)
 
     sink = writer or write
 
@@ -128,13 +138,18 @@ def route(stream: DataFrame, schemas: Mapping[str, T.StructType], out_root: str,
         # the micro-batch is read once and split by topic from the cached copy
         batch = batch.select(topic_col, value_col).persist()
         try:
-            for topic, target in targets.items():
-                if topic not in schemas:
-                    continue
+            other = F.col(topic_col).isNull() | ~F.col(topic_col).isin(known)
+            rejected = batch.where(other).select(F.col(topic_col).alias("topic"), F.lit("no route").alias("reason"),
+                                                 F.col(value_col).cast("string").alias("value"))
+            for topic in known:
                 part = batch.where(F.col(topic_col) == topic).select(F.col(value_col).alias("value"))
-                rows, _ = parse_envelope(part, schemas[topic])
-                cleaned = clean(rows, cfg, _source_of(topic), timestamp_col=False)
-                sink(cleaned.withColumn("batch_id", F.lit(batch_id)), f"{out_root}/{target}")
+                rows, bad = parse_envelope(part, schemas[topic])
+                rejected = rejected.unionByName(bad.select(
+                    F.lit(topic).alias("topic"), F.lit("not an envelope").alias("reason"), "value"))
+                source = _source_of(topic)
+                cleaned = clean(rows, cfg, source, timestamp_col=False, stats_from=(reference or {}).get(source))
+                sink(cleaned, f"{out_root}/{targets[topic]}/batch_id={batch_id}")
+            sink(rejected, f"{out_root}/rejects/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
