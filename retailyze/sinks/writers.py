@@ -52,39 +52,34 @@ def write_partitioned(df: DataFrame, path: str, cols, mode: str = "overwrite",
                       source: str | None = None) -> None:
     """Hive-style ``col=value`` directories (later scans prune on them).
     ``cols`` is a column list, or a rule config (then ``source`` picks its
-    ``partitioning`` entry). Rows are clustered by the partition columns first
-    so each task writes few files per partition value."""
+    ``partitioning`` entry). Rows are rebalanced by the partition columns first:
+    each task writes few files per value, and a value that holds much of the
+    table is split over several tasks."""
     if isinstance(cols, Mapping):
         from ..operators.rules import partition_columns
         cols = partition_columns(cols, source or "")
     cols = [cols] if isinstance(cols, str) else list(cols)
-    df.repartition(*[F.col(c) for c in cols]).write.mode(mode).partitionBy(*cols).parquet(path)
+    df.hint("rebalance", *[F.col(c) for c in cols]).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
-def _packed(name: str, df: DataFrame) -> DataFrame:
-    return df.agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(name))
-
-
-def json_document(sections: Mapping[str, DataFrame]) -> DataFrame:
-    """One row whose columns are the sections as arrays of row structs."""
-    doc = None
-    for name, sdf in sections.items():
-        p = _packed(name, sdf)
-        doc = p if doc is None else with_stats(doc, p)
-    return doc
+def write_json_sections(sections: Mapping[str, DataFrame], out: str) -> None:
+    """One folder of JSON lines per section; rows stay distributed, nothing is
+    packed into one value or sent through the driver."""
+    for name, section in sections.items():
+        section.write.mode("overwrite").json(f"{out}/{name}")
 
 
 def export_bundle(sections: Mapping[str, DataFrame], out: str, csv_sections=None,
                   document: str = "complete_analytics") -> dict[str, str]:
-    """One CSV folder per chosen section plus one JSON document with
-    all sections."""
+    """One CSV folder per chosen section plus a JSON document folder
+    with every section as JSON lines."""
     paths = {}
     for name in (csv_sections if csv_sections is not None else sections.keys()):
         p = f"{out}/{name}"
-        write_csv(sections[name].coalesce(1), p)
+        write_csv(sections[name], p)
         paths[name] = p
     p = f"{out}/{document}"
-    json_document(sections).coalesce(1).write.mode("overwrite").json(p)
+    write_json_sections(sections, p)
     paths[document] = p
     return paths
 
@@ -94,10 +89,10 @@ def append_run_record(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("append").json(path)
 
 
-def export_dataset_json(summary: DataFrame, df: DataFrame, out: str, n: int = 100) -> None:
-    """A two-table JSON dataset: the one-row summary and the first n rows."""
-    doc = json_document({"summary": summary, "data": df.limit(n)})
-    doc.coalesce(1).write.mode("overwrite").json(out)
+def export_dataset_json(summary: DataFrame, df: DataFrame, out: str) -> None:
+    """A two-table JSON dataset: the one-row summary and all rows, each its
+    own folder of JSON lines."""
+    write_json_sections({"summary": summary, "data": df}, out)
 
 
 def publish_dataset(spark: SparkSession, data: DataFrame, name: str, out_csv: str) -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,17 +42,24 @@ ORDERS_RAW_SCHEMA = T.StructType([
     T.StructField("customer_id", T.StringType()),
 ])
 
-_CSV_OPTS = {"header": "true", "multiLine": "true", "escape": '"'}
+_CSV_OPTS = {"header": "true", "escape": '"'}
 
+# Text that the tolerant reader takes as missing.
+READ_NA_TOKENS = [*NA_TOKENS, "n/a", "None", "NaN", "-NaN", "-nan", "<NA>", "#N/A", "#N/A N/A", "#NA", "1.#IND",
+                  "1.#QNAN", "-1.#IND", "-1.#QNAN"]
 
-def read_orders_csv(spark: SparkSession, path: str, schema: T.StructType = ORDERS_RAW_SCHEMA) -> DataFrame:
-    """Typed CSV scan (header, multi-line fields, '"' escape), no inference pass."""
-    return spark.read.schema(schema).options(**_CSV_OPTS).csv(path)
 
+def read_orders_csv(spark: SparkSession, path: str, schema: T.StructType = ORDERS_RAW_SCHEMA,
+                    multiline: bool = False) -> DataFrame:
+    """Typed CSV scan (header, '"' escape), no inference pass. ``multiline``
+    allows line breaks inside quoted cells, but then one task reads a whole
+    file."""
+    return spark.read.schema(schema).options(**_CSV_OPTS, multiLine=multiline).csv(path)
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+
+def read_csv_inferred(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV scan with schema inference (one extra pass over the data)."""
-    return spark.read.options(**_CSV_OPTS).option("inferSchema", "true").csv(path)
+    return spark.read.options(**_CSV_OPTS, multiLine=multiline).option("inferSchema", "true").csv(path)
 
 
 def read_landing(spark: SparkSession, root: str) -> DataFrame:
@@ -111,7 +119,7 @@ _BAD_CHAR = "�"
 _STANDARD_CHARSETS = {"UTF-8", "ISO-8859-1", "US-ASCII", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"}
 
 
-def _attempt(spark: SparkSession, path: str, encoding: str, sep: str) -> DataFrame:
+def _attempt(spark: SparkSession, path: str, encoding: str, sep: str, multiline: bool) -> DataFrame:
     if _JAVA_CHARSET[encoding] not in _STANDARD_CHARSETS:
         # Spark 4 limits reader charsets to the standard set unless the JVM's
         # full charset list is enabled (needed for windows-1252)
@@ -120,15 +128,18 @@ def _attempt(spark: SparkSession, path: str, encoding: str, sep: str) -> DataFra
             .option("encoding", _JAVA_CHARSET[encoding])
             .option("ignoreLeadingWhiteSpace", "true")
             .option("inferSchema", "true")
+            .option("multiLine", multiline).option("escape", '"')
             .option("mode", "PERMISSIVE")
             .csv(path))
 
 
-def read_csv_robust(spark: SparkSession, path: str, min_cols: int = 2, min_rows: int = 10,
-                    attempts: Sequence[Mapping[str, str]] = ROBUST_ATTEMPTS) -> tuple[DataFrame, dict]:
+def read_csv_robust(spark: SparkSession, path: str, min_cols: int = 2,
+                    attempts: Sequence[Mapping[str, str]] = ROBUST_ATTEMPTS,
+                    multiline: bool = True) -> tuple[DataFrame, dict]:
     """Try encodings/separators in order and keep the first attempt that
-    decodes cleanly and has >= min_cols columns and >= min_rows rows; NA tokens
-    become NULL, empty and index-like columns are dropped, headers cleaned.
+    decodes cleanly and has >= min_cols columns, whatever its number of rows;
+    quoted cells may hold line breaks (``multiline=False`` makes large files
+    splittable instead); NA tokens become NULL, empty and index-like columns are dropped, headers cleaned.
 
     Spark replaces undecodable bytes with U+FFFD instead of failing, so a UTF-8
     attempt is rejected when any cell or header holds that character (a scan
@@ -138,7 +149,7 @@ def read_csv_robust(spark: SparkSession, path: str, min_cols: int = 2, min_rows:
     last_error = None
     for att in attempts:
         try:
-            df = _attempt(spark, path, att["encoding"], att["sep"])
+            df = _attempt(spark, path, att["encoding"], att["sep"], multiline)
             if len(df.columns) < min_cols:
                 continue
             if att["encoding"].startswith("utf-8"):
@@ -152,13 +163,14 @@ def read_csv_robust(spark: SparkSession, path: str, min_cols: int = 2, min_rows:
                         bad = cond if bad is None else bad | cond
                     if df.where(bad).limit(1).count() > 0:
                         continue
-            if df.limit(min_rows).count() < min_rows:
-                continue
-            out = clean_headers(drop_index_columns(drop_empty_columns(retype_numeric_text(null_tokens(df)))))
+            out = clean_headers(drop_index_columns(drop_empty_columns(
+                retype_numeric_text(null_tokens(df, READ_NA_TOKENS)))))
             if len(out.columns) < min_cols:
                 continue
             return out, dict(att)
-        except Exception as e:  # noqa: BLE001 - an attempt that cannot parse moves on
+        except AnalysisException as e:  # an attempt that cannot parse moves on
+            if "PATH_NOT_FOUND" in str(e):
+                raise
             last_error = e
     raise ValueError(f"could not read {path} with any encoding/separator combination") from last_error
 
@@ -191,19 +203,25 @@ def read_source(spark: SparkSession, cfg: Mapping) -> DataFrame:
 def read_latest_json(spark: SparkSession, directory: str, pattern: str = "*.json") -> DataFrame:
     """Rows of the most recently modified JSON file in a directory.
 
-    The newest file is found from the scan's file metadata (one small
-    aggregate), then only that file's rows are kept."""
-    df = spark.read.json(f"{directory}/{pattern}").select(
-        "*", F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_modification_time").alias("_mtime"))
-    latest = df.agg(F.max_by("_file", F.struct("_mtime", "_file")).alias("_latest"))
-    return (df.join(F.broadcast(latest), F.col("_file") == F.col("_latest"))
-              .drop("_file", "_mtime", "_latest"))
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping | None = None) -> DataFrame:
-    """A database table (or ``(SELECT ...) t`` query) over JDBC."""
-    return spark.read.jdbc(url, table, properties=dict(properties or {}))
+    The newest file is found from the file listing (paths and times only, no
+    content), then only that file is read."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
+             .select("path", "modificationTime"))
+    newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("p")).first()["p"]
+    if newest is None:
+        raise FileNotFoundError(f"no {pattern} in {directory}")
+    return spark.read.json(newest)
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping | None = None,
+              column: str | None = None, lower: int | None = None, upper: int | None = None,
+              num_partitions: int | None = None) -> DataFrame:
+    """A database table (or ``(SELECT ...) t`` query) over JDBC. With a
+    numeric or date ``column`` and its bounds the table is read by
+    ``num_partitions`` tasks, each a range of the column."""
+    split = {"column": column, "lowerBound": lower, "upperBound": upper,
+             "numPartitions": num_partitions} if column else {}
+    return spark.read.jdbc(url, table, properties=dict(properties or {}), **split)
 
 
 def read_registered(spark: SparkSession, registry_table: str, dataset_id: str) -> DataFrame:
