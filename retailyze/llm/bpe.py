@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import split_words, text_slices
 
 #: Bounds of the per-task memo tables (entries); they only save time.
-MEMO_WORDS, MEMO_PREFIXES, MEMO_ARCS, MEMO_PREFIX_LEN = 300_000, 300_000, 600_000, 24
+MEMO_WORDS, MEMO_PREFIXES, MEMO_ARCS, MEMO_PREFIX_LEN = 300_000, 400_000, 600_000, 24
 SLICE_BYTES = 2_000_000
 _FOREVER = 1 << 60
 _SHIFT = 24
@@ -109,6 +109,16 @@ def load(path: str) -> dict:
                    "longest": max(map(len, [*inner, *last])), "symbols": [symbols[b] for b in range(256)]}
 
 
+def reach(labels: dict[str, int], tail: int = 4) -> dict[str, int]:
+    """Length of the longest label for each ending of ``tail`` symbols: no label
+    of ``tail`` symbols or more ends otherwise."""
+    out: dict[str, int] = {}
+    for s in labels:
+        if len(s) >= tail:
+            out[s[-tail:]] = max(out.get(s[-tail:], 0), len(s))
+    return out
+
+
 def word_encoder(t: dict):
     """ids of one pre-split word given as byte symbols.
 
@@ -119,6 +129,7 @@ def word_encoder(t: dict):
     inner, last, longest = t["inner"], t["last"], t["longest"]
     memo = t.setdefault("memo", {"arcs": {}, "prefixes": {}, "words": {}})
     arcs, prefixes = memo["arcs"], memo["prefixes"]
+    inner_reach, last_reach = reach(inner).get, reach(last).get
     known, inner_get, last_get, seen = arcs.get, inner.get, last.get, prefixes.get
 
     def allowed(state: int, label: int) -> bool:
@@ -127,19 +138,22 @@ def word_encoder(t: dict):
         r = arcs[state << _SHIFT | label] = leaves(state, label, t)
         return r
 
-    def enter(prefix: str) -> tuple[int, int]:
-        """Label that enters the state after ``prefix``, and where it starts."""
+    def enter(prefix: str) -> int:
+        """Label that enters the state after ``prefix``, shifted, and where it
+        starts: one number, as millions of them are kept."""
         n = len(prefix)
-        hit = (inner_get(prefix), 0)
-        if hit[0] is None or n > longest:
-            for j in range(max(1, n - longest), n):
+        hit = inner_get(prefix)
+        if hit is not None:
+            hit <<= 5
+        else:
+            for j in range(max(1, n - inner_reach(prefix[-4:], 3)), n):
                 x = inner_get(prefix[j:])
                 if x is not None:
                     q = prefix[:j]
-                    q = (seen(q) or enter(q))[0]
+                    q = (seen(q) or enter(q)) >> 5
                     r = known(q << _SHIFT | x)
                     if r or r is None and allowed(q, x):
-                        hit = (x, j)
+                        hit = x << 5 | j
                         break
         if len(prefixes) >= MEMO_PREFIXES:
             prefixes.clear()
@@ -151,17 +165,22 @@ def word_encoder(t: dict):
         if x is not None:  # a usable label is the accepted path of its own string
             return [x]
         n = len(s)
-        for j in range(max(1, n - longest), n):
+        for j in range(max(1, n - last_reach(s[-4:], 3)), n):
             x = last_get(s[j:])
             if x is not None:
                 p = s[:j]
-                q, i = seen(p) or enter(p)
+                e = seen(p) or enter(p)
+                q = e >> 5
                 r = known(q << _SHIFT | x)
                 if r or r is None and allowed(q, x):
+                    i = e & 31
+                    if not i:
+                        return [q, x]
                     out = [x, q]
                     while i:
-                        q, i = seen(p := p[:i]) or enter(p)
-                        out.append(q)
+                        e = seen(p := p[:i]) or enter(p)
+                        i = e & 31
+                        out.append(e >> 5)
                     out.reverse()
                     return out
         return []
