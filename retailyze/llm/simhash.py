@@ -207,7 +207,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     stars = components(fingerprint_links(distinct.select("fp"), max_bits))
     rooted = distinct.join(stars, distinct["fp"] == stars["node"], "left").select(
         "fp", "_first", F.coalesce("root", "fp").alias("_root"))
-    lowest = rooted.groupBy("_root").agg(F.min("_first").alias("component_id"))
+    # written before it is joined back: the join's sides are then two plain
+    # shuffles, and the rows of one large component are split over several tasks
+    lowest = cut_lineage(rooted.groupBy("_root").agg(F.min("_first").alias("component_id")))
     ids = rooted.join(lowest, "_root").select("fp", "component_id")
     return rows.join(ids, "fp").select(key, "fp", "component_id")
 
