@@ -1,37 +1,51 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Word counts and n-gram counts come from all training documents. The frequent
-n-grams become a deterministic automaton: a state for each context that has
-followers, arcs weighted with the discounted log probability, and a failure arc
-to the next shorter context weighted with its backoff. A text is scored by one
-left-to-right traversal that carries the state.
-
-The automaton has a bounded size and is broadcast: the ``VOCABULARY`` most
-frequent words have arcs from the root, and an n-gram of order 2 or 3 is kept
-only if all its words are among the ``CONTEXT_WORDS`` most frequent for that
-order. Every other word's probability is its exact unigram probability; it
-comes by a join on the word, so no table that grows with the corpus has to fit
-into a task.
+Word counts and n-gram counts come from all training documents. Every n-gram of
+order 2 or 3 that occurs at least ``MIN_COUNT`` times is an arc of a deterministic
+automaton: a state for each context that has followers, arcs weighted with the
+discounted log probability, and a failure arc to the next shorter context weighted
+with its backoff. A text's score is the weight of its path.
+
+The automaton grows with the corpus, so it is a table. An arc's row holds its weight
+less that of the failure path which it replaces, plus the backoff of the context that
+it ends in. The weight of a path is then the sum of the rows of the text's words,
+pairs and triples; an n-gram without a row adds nothing. The most frequent words and
+arcs are broadcast; what a task can't resolve with them leaves it as (document,
+n-gram) rows and meets the table in an equality join. How much is broadcast doesn't
+change a score. ``build_automaton`` and ``traverse`` are the same automaton in memory.
+
+Words are numbers: the rank of a broadcast word, else a 64-bit hash with its sign bit
+set (two of 10^8 words share one with a probability of 0.0005).
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .common import crc_fold, cut_lineage, split_words, text_slices
 
-VOCABULARY, CONTEXT_WORDS, MAX_ARCS = 150_000, {2: 2048, 3: 256}, 150_000
+#: What is broadcast: words, ranks of the words of an arc by order, and arcs of an order.
+VOCABULARY, CONTEXT_WORDS, MAX_ARCS = 150_000, {2: 150_000, 3: 150_000}, 300_000
+#: An n-gram with fewer occurrences is no arc.
+MIN_COUNT = 2
 DISCOUNT = 0.5
 SLICE_BYTES = 4_000_000
 #: The end token, and the start of a text as a context. No word holds a line break.
 END, START = "\n", "\n\n"
 _BITS = 20
+#: In place of the second and third word of a shorter n-gram, and of a document's own row.
+_NONE, _OWN = 1 << 62, 1 << 61
+#: Bits of the filter of kept pairs; a fuller filter lets more rows pass to the joins.
+FILTER_BITS = 29
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -64,46 +78,112 @@ def most_frequent(counts: DataFrame, count: str, limit: int) -> DataFrame:
     return counts.where(cls >= least) if least is not None else counts.limit(0)
 
 
-def ngram_counts(docs: DataFrame, ids: dict[str, int], context_words: dict[int, int] = CONTEXT_WORDS,
-                 text: str = "text") -> DataFrame:
-    """(n, key, c): n-grams whose words are all among the most frequent; ``ids`` are
-    ranks, and the key holds them ``_BITS`` bits each, the last word lowest. Every
-    text starts with START and finishes with END."""
-    shared = docs.sparkSession.sparkContext.broadcast(ids)
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` from a Parquet table in the shared checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/ngrams-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def word_codes(distinct: pa.Array, ids: dict[str, int]) -> np.ndarray:
+    """Rank in ``ids``, or a negative hash."""
+    low, high = (1 << 63) - 1, 1 << 63
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter(((ids[w] if w in ids else (digest(w.encode()) & low) - high) for w in distinct.to_pylist()),
+                       np.int64, len(distinct))
+
+
+def _sequences(texts: pa.Array, ids: dict[str, int]):
+    """Whole sequences of a slice, each with START and END: offsets and codes of the
+    words, distinct words and their numbers (START and END come last), the sequence of
+    codes, the text of each position, and where a pair or a triple may begin."""
+    offsets, codes, distinct = split_words(texts)
+    n = len(texts)
+    numbers = np.append(word_codes(distinct, ids), [ids[START], ids[END]])
+    seq = np.full(len(codes) + 2 * n, len(distinct) + 1, np.int64)
+    seq[np.arange(len(codes)) + 2 * np.repeat(np.arange(n), np.diff(offsets)) + 1] = codes
+    first = offsets[:-1] + 2 * np.arange(n)
+    seq[first] = len(distinct)
+    doc = np.repeat(np.arange(n), np.diff(offsets) + 2)
+    pairs = np.flatnonzero(doc[1:] == doc[:-1])
+    triples = np.flatnonzero(doc[2:] == doc[:-2]) if len(doc) > 2 else np.zeros(0, np.int64)
+    return offsets, codes, distinct, numbers, seq, doc, pairs, triples
+
+
+def _place(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
+    """Place of a pair in a filter of 2^bits."""
+    x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ x >> np.uint64(31)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _maybe(seen: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """False only for pairs that aren't kept."""
+    at = _place(a, b, int(len(seen) * 8).bit_length() - 1)
+    return (seen[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def pair_filter(pairs: DataFrame, rows: int) -> np.ndarray:
+    """Bit table with a bit for each (a, b); it only saves rows on their way to a join."""
+    bits = min(FILTER_BITS, max(16, (16 * rows).bit_length()))
+    block = 15
+
+    def places(batches):
+        for batch in batches:
+            at = np.unique(_place(np.asarray(batch.column(0)), np.asarray(batch.column(1)), bits))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> block), pa.array(at & (1 << block) - 1)], ["block", "at"])
+
+    def tables(batches):
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            blocks, at = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            order = np.argsort(blocks, kind="stable")
+            blocks, at = blocks[order], at[order]
+            cuts = np.flatnonzero(np.diff(blocks)) + 1
+            for k, part in zip(blocks[np.append(0, cuts)].tolist() if len(blocks) else [], np.split(at, cuts)):
+                found.setdefault(k, np.zeros(1 << block, bool))[part] = True
+        for k, table in found.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k]), pa.array([np.packbits(table, bitorder="little").tobytes()], pa.binary())], ["block", "bits"])
+
+    out = np.zeros(1 << bits - 3, np.uint8)
+    wide = 1 << block - 3
+    dealt = pairs.select("a", "b").mapInArrow(places, "block long, at long").repartition("block")
+    for r in dealt.mapInArrow(tables, "block long, bits binary").toLocalIterator():
+        out[r["block"] * wide:(r["block"] + 1) * wide] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
+
+
+def ngram_counts(docs: DataFrame, shared, order: int, seen=None, text: str = "text") -> DataFrame:
+    """(a, b[, c], n): occurrences of all pairs or triples of words. Every text starts
+    with START and finishes with END. ``shared`` is the broadcast of the words' ranks,
+    ``seen`` that of a filter of kept pairs: a triple is as frequent as its pairs at most."""
+    names = ["a", "b", "c"][:order]
 
     def run(batches):
         ids = shared.value
-        far = 1 << _BITS
         for batch in batches:
             texts = batch.column(0)
-            for a, b in text_slices(texts, SLICE_BYTES):
-                offsets, codes, distinct = split_words(texts.slice(a, b - a))
-                of = np.fromiter((ids.get(w, far) for w in distinct.to_pylist()), np.int64, len(distinct))
-                n = b - a
-                at = np.arange(len(codes)) + 2 * np.repeat(np.arange(n), np.diff(offsets)) + 1
-                seq = np.empty(len(codes) + 2 * n, np.int64)
-                seq[at] = of[codes]
-                first = offsets[:-1] + 2 * np.arange(n)
-                seq[first] = ids[START]
-                seq[offsets[1:] + 2 * np.arange(n) + 1] = ids[END]
-                opens = np.zeros(len(seq), bool)
-                opens[first] = True
-                for order, limit in context_words.items():
-                    ok = np.ones(max(0, len(seq) - order + 1), bool)
-                    key = np.zeros(len(ok), np.int64)
-                    for j in range(order):
-                        part = seq[j:j + len(ok)]
-                        ok &= part < limit
-                        if j:  # a start mark only ever comes first
-                            ok &= ~opens[j:j + len(ok)]
-                        key = key << _BITS | part
-                    keys, c = np.unique(key[ok], return_counts=True)
-                    if len(keys):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(keys), order, np.int32)), pa.array(keys), pa.array(c)], ["n", "key", "c"])
-
-    return (docs.select(text).mapInArrow(run, "n int, key long, c long")
-            .groupBy("n", "key").agg(F.sum("c").alias("c")))
+            for start, stop in text_slices(texts, SLICE_BYTES):
+                *_, numbers, seq, _, pairs, triples = _sequences(texts.slice(start, stop - start), ids)
+                base = len(numbers)
+                if order == 2:
+                    keys, n = np.unique(seq[pairs] * base + seq[pairs + 1], return_counts=True)
+                    parts = [numbers[keys // base], numbers[keys % base]]
+                else:
+                    i = triples
+                    x, y, z = numbers[seq[i]], numbers[seq[i + 1]], numbers[seq[i + 2]]
+                    i = i[_maybe(seen.value, x, y) & _maybe(seen.value, y, z)]
+                    _, at, which = np.unique(seq[i] * base + seq[i + 1], return_index=True, return_inverse=True)
+                    keys, n = np.unique(which * base + seq[i + 2], return_counts=True)
+                    left = i[at[keys // base]] if len(keys) else i
+                    parts = [numbers[seq[left]], numbers[seq[left + 1]], numbers[keys % base]]
+                if len(keys):
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, parts), pa.array(n)], [*names, "n"])
+
+    schema = ", ".join(f"{x} long" for x in [*names, "n"])
+    return docs.select(text).mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 def build_automaton(words: list[tuple[str, int]], total: int, distinct: int, texts: int,
@@ -193,9 +273,36 @@ def traverse(t: dict, tokens: list[int]) -> float:
     return acc
 
 
+def _meet(df: DataFrame, words: DataFrame, key: str) -> DataFrame:
+    """``df`` with the columns of ``words`` (by a) for its word ``key``. Frequent words
+    would be hot keys of a join: their rows are broadcast."""
+    words, k = words.withColumnRenamed("a", key), F.col(key)
+    hot = df.where(k >= 0).join(F.broadcast(words.where(k >= 0)), key)
+    return hot.unionByName(df.where(k < 0).join(words.where(k < 0), key))
+
+
+def _backoff(kept: Column, lower: Column) -> Column:
+    least = F.lit(1e-9)
+    return F.log10(F.greatest(1.0 - kept, least) / F.greatest(1.0 - lower, least))
+
+
+def _hot(rows: DataFrame, names: list[str], ranks: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted packed keys and weights of the most frequent n-grams of frequent words."""
+    ranks = min(ranks, 1 << _BITS)
+    known = rows.where(" and ".join(f"{x} between 0 and {ranks - 1}" for x in names))
+    got = most_frequent(known, "n", limit).select(*names, "w").toArrow()
+    key = np.zeros(len(got), np.int64)
+    for x in names:
+        key = key << _BITS | got.column(x).to_numpy()
+    order = np.argsort(key)
+    return key[order], got.column("w").to_numpy()[order]
+
+
 def learn(docs: DataFrame, text: str = "text", vocabulary: int = VOCABULARY,
           context_words: dict[int, int] = CONTEXT_WORDS, max_arcs: int = MAX_ARCS) -> tuple[dict, DataFrame]:
-    """The automaton, and the (word, c) table of all words of ``docs``."""
+    """What is broadcast of the automaton, and the table of all its weights: (a, b, c,
+    n, w), where n is the count of a word that isn't broadcast."""
+    spark = docs.sparkSession
     counts = cut_lineage(word_counts(docs, text).where("c > 0"))
     total, distinct = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     total, distinct = total or 0, distinct or 0
@@ -205,70 +312,137 @@ def learn(docs: DataFrame, text: str = "text", vocabulary: int = VOCABULARY,
     # START and END come first: they are contexts and followers whatever their count
     ranked = sorted((x for x in top if x[0] != END), key=lambda x: (-x[1], x[0]))
     words = [(START, texts), (END, texts), *ranked]
-    frequent = {w: i for i, (w, _) in enumerate(words[:max(context_words.values())])}
-    grams = most_frequent(cut_lineage(ngram_counts(docs, frequent, context_words, text)).where("c > 1"), "c", max_arcs)
-    rows = [(r["n"], r["key"], r["c"]) for r in grams.collect()]
-    return build_automaton(words, total, distinct, texts, rows), counts
-
+    ids = {w: i for i, (w, _) in enumerate(words)}
+    shared = spark.sparkContext.broadcast(ids)
 
-def score(docs: DataFrame, model: dict, counts: DataFrame, text: str = "text") -> DataFrame:
+    def coded(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(word_codes(batch.column(0), shared.value)), batch.column(1)], ["a", "n"])
+
+    start = spark.range(1).select(F.lit(ids[START]).cast("long").alias("a"), F.lit(texts).cast("long").alias("n"))
+    numbered = _stored(counts.select("word", "c").mapInArrow(coded, "a long, n long").unionByName(start))
+    whole = max(total + distinct, 1)
+    kept = F.col("n") - DISCOUNT
+
+    pairs = _stored(ngram_counts(docs, shared, 2, text=text).where(F.col("n") >= MIN_COUNT))
+    pairs = _meet(pairs, numbered.select("a", F.col("n").alias("na")), "a")
+    pairs = _stored(_meet(pairs, numbered.select("a", F.col("n").alias("nb")), "b"))
+    lower = F.sum("nb") / F.lit(float(whole))
+    back = _stored(pairs.groupBy("a").agg(_backoff(F.sum(kept) / F.max("na"), lower).alias("back")))
+
+    seen = spark.sparkContext.broadcast(pair_filter(pairs, pairs.count()))
+    triples = ngram_counts(docs, shared, 3, seen, text).where(F.col("n") >= MIN_COUNT)
+    ends2 = pairs.select(F.col("a").alias("b"), F.col("b").alias("c"), (kept / F.col("na")).alias("p"))
+    triples = _stored(triples.join(ends2, ["b", "c"]))
+    sums = triples.groupBy("a", "b").agg(F.sum(kept).alias("kept"), F.sum("p").alias("lower"))
+    pairs = _meet(pairs, back, "a").join(sums, ["a", "b"], "left").withColumn(
+        "back2", F.when(F.col("kept").isNull(), 0.0).otherwise(_backoff(F.col("kept") / F.col("n"), F.col("lower"))))
+    pairs = _stored(pairs.select("a", "b", "n", "back2", (
+        F.log10(kept / F.col("na")) - F.col("back") - F.log10(F.col("nb") / F.lit(float(whole))) + F.col("back2")).alias("w")))
+    triples = triples.join(pairs.select("a", "b", F.col("n").alias("np"), "back2"), ["a", "b"])
+    triples = _stored(triples.select("a", "b", "c", "n", (
+        F.log10(kept / F.col("np")) - F.col("back2") - F.log10("p")).alias("w")))
+
+    none, back1 = F.lit(_NONE).cast("long"), F.coalesce("back", F.lit(0.0))
+    rare = numbered.where("a < 0").join(back.where("a < 0"), "a", "left").select(
+        "a", none.alias("b"), none.alias("c"), "n", (F.log10(F.col("n") / F.lit(float(whole))) + back1).alias("w"))
+    zero = F.lit(0).cast("long").alias("n")
+    table = rare.unionByName(pairs.select("a", "b", none.alias("c"), zero, "w")).unionByName(
+        triples.select("a", "b", "c", zero, "w"))
+
+    count = np.array([c for _, c in words], np.int64)
+    near = back.where("a >= 0").toArrow()
+    backs = np.zeros(len(words))
+    backs[near.column("a").to_numpy()] = near.column("back").to_numpy()
+    model = {"ids": ids, "count": count, "total": total, "distinct": distinct, "back": backs, "seen": seen,
+             "words": np.log10(np.maximum(count, 1) / whole) + backs,
+             "arcs": {2: _hot(pairs, ["a", "b"], context_words[2], max_arcs),
+                      3: _hot(triples, ["a", "b", "c"], context_words[3], max_arcs)}}
+    return model, table
+
+
+def _resolve(arcs: tuple[np.ndarray, np.ndarray], parts: list[np.ndarray]):
+    """(found, weight) of n-grams among the broadcast arcs."""
+    keys, weights = arcs
+    ok, key = np.ones(len(parts[0]), bool), np.zeros(len(parts[0]), np.int64)
+    for p in parts:
+        ok &= (p >= 0) & (p < 1 << _BITS)
+        key = key << _BITS | p
+    if not len(keys):
+        return np.zeros(len(ok), bool), np.zeros(len(ok))
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    ok &= keys[at] == key
+    return ok, np.where(ok, weights[at], 0.0)
+
+
+def score(docs: DataFrame, model: dict, table: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with n_tokens, n_known, base_score and score.
 
-    Words without a root arc leave the tasks as (document, word, times) rows and
-    meet the exact counts in a join. A null or empty text is its end token. Equal
-    rows get their own result each.
+    Words and n-grams that aren't broadcast leave the tasks as (document, n-gram,
+    times) rows and meet their weights in a join. A null or empty text is its end
+    token. Equal rows get their own result each.
     """
     total, distinct = model["total"], model["distinct"]
     kept = [c for c in docs.columns if c != text]
     docs = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias("_text"),
                        F.monotonically_increasing_id().alias("_row"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    seen = model["seen"]
+    shared = docs.sparkSession.sparkContext.broadcast({k: v for k, v in model.items() if k != "seen"})
     at = len(kept)
 
     def run(batches):
-        t = shared.value
+        t, maybe = shared.value, seen.value
         ids, end = t["ids"], t["ids"][END]
-        log1 = t.setdefault("log1", np.log10(np.array(t["count"], np.float64) + 1))
+        log1 = np.log10(t["count"].astype(np.float64) + 1)
         for batch in batches:
             for a, b in text_slices(batch.column(at), SLICE_BYTES):
-                offsets, codes, distinct = split_words(batch.column(at).slice(a, b - a))
                 n = b - a
-                of = np.fromiter((ids.get(w, -1) for w in distinct.to_pylist()), np.int64, len(distinct))
-                tokens = of[codes]
+                offsets, codes, distinct, numbers, seq, of, pairs, triples = _sequences(batch.column(at).slice(a, n), ids)
+                tokens = numbers[codes]
                 doc = np.repeat(np.arange(n), np.diff(offsets))
                 hot = tokens >= 0
                 base = np.bincount(doc[hot], weights=log1[tokens[hot]], minlength=n) + log1[end]
                 known = np.bincount(doc[hot], minlength=n) + (t["count"][end] > 0)
-                seq = tokens.tolist()
-                path = np.array([traverse(t, [*seq[offsets[i]:offsets[i + 1]], end]) for i in range(n)])
+                path = np.bincount(doc[hot], weights=t["words"][tokens[hot]], minlength=n).astype(float)
+                path += t["words"][end] + t["back"][ids[START]]
                 pair, times = np.unique(doc[~hot] * (len(distinct) + 1) + codes[~hot], return_counts=True)
                 rare_doc, rare = np.divmod(pair, len(distinct) + 1)
-                # one row of the document itself, under a key that no word can be
+                whole = numbers[seq]
+                none = np.full(len(seq), _NONE)
+                # per kind of row: document, the three words, times
                 rows = np.asarray(batch.column(at + 1).slice(a, n))
-                own = pa.array([f"\n{r}" for r in rows.tolist()])
-                part = batch.slice(a, n)
-                order = pa.array(np.concatenate([np.arange(n), rare_doc]))
-                zeros = np.zeros(len(rare), np.int64)
+                out = [(np.arange(n), rows, np.full(n, _OWN), none[:n], np.zeros(n, np.int64)),
+                       (rare_doc, numbers[rare], none[:len(rare)], none[:len(rare)], times)]
+                may = _maybe(maybe, whole[:-1], whole[1:])
+                for order, i in ((2, pairs), (3, triples)):
+                    i = i[may[i]] if order == 2 else i[may[i] & may[i + 1]]
+                    parts = [whole[i + j] for j in range(order)]
+                    ok, w = _resolve(t["arcs"][order], parts)
+                    path += np.bincount(of[i], weights=w, minlength=n)
+                    left = [p[~ok] for p in parts] + [none[:np.count_nonzero(~ok)]] * (3 - order)
+                    out.append((of[i][~ok], *left, np.ones(len(left[0]), np.int64)))
+                order, x, y, z, times = (np.concatenate(c) for c in zip(*out))
+                order, part = pa.array(order), batch.slice(a, n)
+                zeros = np.zeros(len(order) - n, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i).take(order) for i in range(at)), part.column(at + 1).take(order),
-                     pa.concat_arrays([own, distinct.take(pa.array(rare)).cast(pa.string())]),
-                     pa.array(np.concatenate([np.zeros(n, np.int64), times])),
+                     *map(pa.array, (x, y, z, times)),
                      pa.array(np.concatenate([np.diff(offsets) + 1, zeros])),
                      pa.array(np.concatenate([known, zeros])),
                      pa.array(np.concatenate([base, zeros.astype(float)])),
                      pa.array(np.concatenate([path, zeros.astype(float)]))],
-                    [*kept, "_row", "_word", "_times", "n_tokens", "n_known", "base_score", "score"])
+                    [*kept, "_row", "_a", "_b", "_c", "_times", "n_tokens", "n_known", "base_score", "score"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "_text"]
-    parts = docs.mapInArrow(run, ", ".join([*fields, "_word string, _times long, n_tokens long, n_known long, "
+    parts = docs.mapInArrow(run, ", ".join([*fields, "_a long, _b long, _c long, _times long, n_tokens long, n_known long, "
                                             "base_score double, score double"]))
-    looked = parts.join(counts.select(F.col("word").alias("_word"), F.col("c").alias("_c")), "_word", "left")
-    times, c = F.col("_times"), F.coalesce(F.col("_c"), F.lit(0))
+    looked = parts.join(table.select(*[F.col(x).alias(f"_{x}") for x in ("a", "b", "c", "n", "w")]), ["_a", "_b", "_c"], "left")
+    times, c = F.col("_times"), F.coalesce(F.col("_n"), F.lit(0))
+    word = F.col("_b") == _NONE
     norm = math.log10(total + distinct + 1)
-    smooth = math.log10(max(total + distinct, 1))
-    unseen = math.log10(max(distinct, 1))
+    unseen = math.log10(max(distinct, 1)) - math.log10(max(total + distinct, 1))
     rare_base: Column = times * F.log10(c + 1.0)
-    rare_score: Column = times * (F.when(c > 0, F.log10(F.greatest(c, F.lit(1)).cast("double"))).otherwise(unseen) - smooth)
+    rare_score: Column = times * F.coalesce("_w", F.when(word, unseen).otherwise(0.0))
     out = looked.groupBy("_row", *[F.col(f"`{x}`") for x in kept]).agg(
         F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.col("n_known") + F.when(c > 0, times).otherwise(0)).alias("n_known"),
@@ -282,7 +456,7 @@ def op7(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     (or whose doc_id is null) teach nothing."""
     docs = docs.select("doc_id", "text")
     fold = F.coalesce(crc_fold("doc_id", folds), F.lit(held))
-    model, counts = learn(docs.where(fold != held))
-    return score(docs, model, counts).select(
+    model, weights = learn(docs.where(fold != held))
+    return score(docs, model, weights).select(
         "doc_id", (fold == held).alias("held_out"), "n_tokens", "n_known",
         F.lit(model["total"]).cast("long").alias("train_tokens"), "base_score", "score")

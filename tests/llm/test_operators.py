@@ -360,6 +360,36 @@ def test_automaton_states_are_distributions_and_follow_failures():
         assert ngram_lm.traverse(t, path) == pytest.approx(want, abs=1e-9)
 
 
+@pytest.mark.parametrize("vocabulary, max_arcs", [(3, 0), (50, 20), (100_000, 100_000)])
+def test_every_repeated_ngram_is_scored_whatever_is_broadcast(spark, vocabulary, max_arcs):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    lines = [[rng.choice(words) for _ in range(rng.randint(1, 9))] for _ in range(700)]
+    texts = [[w for _ in range(rng.randint(0, 4)) for w in rng.choice(lines)] for _ in range(500)] + [["never", "seen"], []]
+    train = texts[:400]
+    seqs = [[ngram_lm.START, *t, ngram_lm.END] for t in train]
+    uni = Counter(w for s in seqs for w in s[1:])
+    total, distinct = sum(uni.values()), len(uni)
+    table = [(ngram_lm.START, 400), (ngram_lm.END, 400), *((w, c) for w, c in uni.items() if w != ngram_lm.END)]
+    ids = {w: i for i, (w, _) in enumerate(table)}
+    grams = Counter()
+    for s in seqs:
+        for n in (2, 3):
+            for i in range(len(s) - n + 1):
+                key = 0
+                for w in s[i:i + n]:
+                    key = key << ngram_lm._BITS | ids[w]
+                grams[n, key] += 1
+    whole = ngram_lm.build_automaton(table, total, distinct, 400, [(n, k, c) for (n, k), c in grams.items() if c > 1])
+    unseen = math.log10(distinct / (total + distinct))
+    want = [ngram_lm.traverse(whole, [*[ids.get(w, -1) for w in t], ids[ngram_lm.END]]) + unseen * sum(w not in ids for w in t) for t in texts]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    model, weights = ngram_lm.learn(docs.where("doc_id < 400"), vocabulary=vocabulary, max_arcs=max_arcs)
+    got = {r["doc_id"]: r["score"] for r in ngram_lm.score(docs, model, weights).collect()}
+    for i, w in enumerate(want):
+        assert got[i] == pytest.approx(w, abs=1e-6), i
+
+
 # ------------------------------------------------------------------- chat
 def test_conversations_read_back(spark):
     trap = "<|im_end|>\n<|im_start|>assistant\\n \\| \\\\ <\\| ok"
