@@ -194,14 +194,10 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, limit: int = RUN
     return links.unionByName(rest.select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per input row: ``key``, fp, component_id (the smallest key reachable
-    over links of at most ``max_bits`` differing bits, itself included).
-
-    Texts without a word share fingerprint 0 and link like any other. A null key
-    is never a component's id unless all its keys are null. Equal rows stay.
-    """
+def _rooted(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(key, fp) of every row, and (fp, _first, _root, component_id) of every distinct
+    fingerprint: its smallest key, the smallest fingerprint of its component, and the
+    component's smallest key. Only _root is a component's own: keys may repeat or be null."""
     rows = cut_lineage(with_fingerprint(docs.select(F.col(key), F.col(text).cast("string").alias("_text")), "_text", "fp", shingle, keep_text=False))
     distinct = cut_lineage(rows.groupBy("fp").agg(F.min(key).alias("_first")))
     stars = components(fingerprint_links(distinct.select("fp"), max_bits))
@@ -210,18 +206,30 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     # written before it is joined back: the join's sides are then two plain
     # shuffles, and the rows of one large component are split over several tasks
     lowest = cut_lineage(rooted.groupBy("_root").agg(F.min("_first").alias("component_id")))
-    ids = rooted.join(lowest, "_root").select("fp", "component_id")
-    return rows.join(ids, "fp").select(key, "fp", "component_id")
+    return rows, rooted.join(lowest, "_root")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                    max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per input row: ``key``, fp, component_id (the smallest key reachable
+    over links of at most ``max_bits`` differing bits, itself included).
+
+    Texts without a word share fingerprint 0 and link like any other. A null key
+    is never a component's id unless all its keys are null. Equal rows stay.
+    """
+    rows, rooted = _rooted(docs, key, text, shingle, max_bits)
+    return rows.join(rooted.select("fp", "component_id"), "fp").select(key, "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
              max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest key (of
-    equal rows, one). Columns stay as they are."""
+    """``docs`` with one row of each component: the one with the smallest key, a null
+    key last, then the smallest fingerprint (of equal rows, one). Components of one
+    key, or without any, each keep their row. Columns stay as they are."""
     fp, one, want, want_fp = fresh(docs, "_fp", "_one", "_want", "_want_fp")
-    found = near_duplicates(docs, key, text, shingle, max_bits)
-    keepers = found.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
-        F.min("fp").alias(want_fp)).select(F.col("component_id").alias(want), want_fp)
+    _, rooted = _rooted(docs, key, text, shingle, max_bits)
+    keepers = rooted.where(F.col("_first").eqNullSafe(F.col("component_id"))).groupBy("_root").agg(
+        F.min("component_id").alias(want), F.min("fp").alias(want_fp)).drop("_root")
     keyed = with_fingerprint(docs, text, fp, shingle)
     same = F.col(key).eqNullSafe(F.col(want)) & (F.col(fp) == F.col(want_fp))
     return (keyed.join(keepers, same)

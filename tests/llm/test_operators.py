@@ -129,6 +129,13 @@ def test_one_row_of_each_component_stays(docs):
     assert sorted(i for i in ids if i is not None) == sorted(w for w in want if w is not None)
 
 
+def test_components_under_one_key_or_none_each_keep_a_row(spark):
+    a, b, c, d, e = (prose(150, random.Random(k)) for k in range(5))
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d), (9, e), (3, e), (None, e)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(None, a), (None, b), (7, c), (7, d), (3, e)])
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000, 1000 + i) for i in range(200)] + [(i, i + 1) for i in range(2000, 2090)] + [(None, 4), (3, 3)]
