@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, langid, ngram_lm, packing, qda, rules, sharding, simhash
+from . import (bpe, chat, fingerprints, langid, ngram_lm, orchard, packing, pieces, qda, rules, sharding,
+               simhash, variants)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_model_path() -> str:
+    """The public SentencePiece model; a parameter of the operator that reads it."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def _query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -72,3 +79,21 @@ def op7_backoff_automaton_scoring(spark: SparkSession, sf_dir: str) -> DataFrame
 @_query
 def op6_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.op6(spark, table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_kd_tree_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.op11(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_prefix_table_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.op12(table(spark, sf_dir, "documents"), piece_model_path())
+
+
+@_query
+def op13_orchard_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.op13(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op13_orchard_clustering"] = orchard.ORACLE_SQL
