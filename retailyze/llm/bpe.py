@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import split_words, text_slices
 
 #: Bounds of the per-task memo tables (entries); they only save time.
-MEMO_WORDS, MEMO_PREFIXES, MEMO_ARCS, MEMO_PREFIX_LEN = 300_000, 400_000, 600_000, 24
-SLICE_BYTES = 2_000_000
+MEMO_WORDS, MEMO_PREFIXES, MEMO_ARCS, MEMO_PREFIX_LEN = 600_000, 400_000, 600_000, 24
+SLICE_BYTES = 6_000_000
 _FOREVER = 1 << 60
 _SHIFT = 24
 

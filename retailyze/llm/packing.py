@@ -51,12 +51,14 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
             keys, texts = batch.column(0), batch.column(1)
             for a, b in text_slices(texts, bpe.SLICE_BYTES):
                 offsets, ids = to_ids(texts.slice(a, b - a))
-                rows = []
+                raw, rows = memoryview(np.ascontiguousarray(ids)).cast("B"), []
                 for i in range(b - a):
-                    raw = ids[offsets[i]:offsets[i + 1]].tobytes() + end
-                    for k, at in enumerate(range(0, len(raw), 4 * capacity)):
-                        part = raw[at:at + 4 * capacity]
-                        rows.append((a + i, k, at >> 2, len(part) >> 2, zlib.crc32(part)))
+                    first, stop = 4 * int(offsets[i]), 4 * int(offsets[i + 1])
+                    for k, at in enumerate(range(first, stop + 1, 4 * capacity)):
+                        part = raw[at:min(at + 4 * capacity, stop)]
+                        last = len(part) < 4 * capacity  # the end id has room here
+                        crc = zlib.crc32(end, zlib.crc32(part)) if last else zlib.crc32(part)
+                        rows.append((a + i, k, (at - first) >> 2, (len(part) >> 2) + last, crc))
                 row, piece, start, length, crc = (np.array(c, np.int64) for c in zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [keys.take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)], names)
