@@ -52,18 +52,6 @@ def finalize(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-# Date layouts tried in order after ISO text (month first, as in
-# US exports; year-first with slashes).
-DATE_FORMATS = ["yyyy/M/d", "yyyy/M/d H:mm:ss", "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M-d-yyyy",
-                "M-d-yyyy H:mm:ss"]
-
-
-def parse_date(c) -> Column:
-    """Text to timestamp: ISO first, then ``DATE_FORMATS``; NULL if none fits."""
-    s = col(c).cast("string")
-    return F.coalesce(F.try_to_timestamp(s), *[F.try_to_timestamp(s, F.lit(f)) for f in DATE_FORMATS])
-
-
 def nan_as_null(df: DataFrame) -> DataFrame:
     """NaN in float columns counts as missing, as in pandas; other columns and
     tables without float columns are left untouched."""

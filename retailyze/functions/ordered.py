@@ -79,23 +79,21 @@ def running_total(df: DataFrame, order: Sequence[Column], value: str,
     return res.drop("_pid", "_start", "_local", "_gidx")
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    by: Sequence[str] = (), out_prefix: str = "q",
-                    midpoint_median: bool = False) -> DataFrame:
-    """One row per group with columns ``{out_prefix}_{i}`` for ``probs[i]``.
-
-    pos = (n - 1) * p, a/b the values at floor/ceil(pos) (NULLs ignored),
-    t = pos - floor(pos); the result is numpy's linear interpolation
-    a + (b - a) * t, evaluated as b - (b - a) * (1 - t) when t >= 0.5.
-    ``midpoint_median`` makes p = 0.5 the mean of the two middle values
-    (pandas ``median``).
-    """
+def ranked_values(df: DataFrame, value: str, by: Sequence[str] = (), sums: Sequence[str] = ()) -> DataFrame:
+    """One row per group and distinct value: ``_v`` (double), ``_cnt``, the ranks
+    ``_from`` .. ``_to`` - 1 it holds in its group, the group's size ``_n``, and
+    ``_sum_<c>`` / ``_count_<c>`` of the named columns. NULL and NaN values are left
+    out. The table is sorted, checkpointed and much smaller than ``df`` where values
+    repeat: whatever asks for order statistics and what lies between them reads it
+    instead of the rows."""
     by = list(by)
     x = F.col(value).try_cast("double")
-    v = df.select(*by, x.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    v = df.select(*by, x.alias("_v"), *[F.col(c).alias(f"_in_{c}") for c in sums]).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v"))
     # equal values are one row with a count (combined before the shuffle), so
     # neither a hot group nor a hot value reaches a sort task as its rows
-    counts = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_cnt"), *[
+        a for c in sums for a in (F.sum(f"_in_{c}").alias(f"_sum_{c}"), F.count(f"_in_{c}").alias(f"_count_{c}"))])
     tagged = _sorted_tagged(counts, [*[F.col(b).asc_nulls_first() for b in by], F.col("_v")])
     inside = Window.partitionBy("_pid", *by).orderBy("_loc").rowsBetween(Window.unboundedPreceding, 0)
     tagged = tagged.withColumn("_upto", F.sum("_cnt").over(inside))
@@ -108,9 +106,30 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     same = F.col("_pid") == F.col("_cell")
     for i, b in enumerate(by):
         same = same & F.col(b).eqNullSafe(F.col(f"_by{i}"))
-    rows = tagged.join(cells, same).select(
-        *by, "_v", "_n", (F.col("_before") + F.col("_upto") - F.col("_cnt")).alias("_from"),
+    kept = [f"_{k}_{c}" for c in sums for k in ("sum", "count")]
+    return tagged.join(cells, same).select(
+        *by, "_v", "_n", "_cnt", *kept, (F.col("_before") + F.col("_upto") - F.col("_cnt")).alias("_from"),
         (F.col("_before") + F.col("_upto")).alias("_to"))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
+                    by: Sequence[str] = (), out_prefix: str = "q",
+                    midpoint_median: bool = False) -> DataFrame:
+    """One row per group with columns ``{out_prefix}_{i}`` for ``probs[i]``.
+
+    pos = (n - 1) * p, a/b the values at floor/ceil(pos) (NULLs ignored),
+    t = pos - floor(pos); the result is numpy's linear interpolation
+    a + (b - a) * t, evaluated as b - (b - a) * (1 - t) when t >= 0.5.
+    ``midpoint_median`` makes p = 0.5 the mean of the two middle values
+    (pandas ``median``).
+    """
+    return quantiles_of(ranked_values(df, value, by), probs, by, out_prefix, midpoint_median)
+
+
+def quantiles_of(rows: DataFrame, probs: Sequence[float], by: Sequence[str] = (), out_prefix: str = "q",
+                 midpoint_median: bool = False) -> DataFrame:
+    """``exact_quantiles`` of a table that ``ranked_values`` made."""
+    by = list(by)
     # a row holds the ranks _from.._to-1; the value at a rank is a conditional maximum
     aggs = [F.max("_n").alias("_n")]
     for i, p in enumerate(probs):

@@ -11,12 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import mean, nan_as_null, parse_date, with_stats
+from ..functions import mean, nan_as_null, with_stats
+from ..functions.amounts import parse_amounts
+from ..functions.layouts import parse_dates
 from ..functions.ordered import exact_quantiles, quantiles
+from ..functions.rowhash import comparable, distinct_rows, has_map
 
 # Text that counts as a missing value in uploaded files.
 NA_TOKENS = ["", "NA", "N/A", "null", "NULL", "nan"]
@@ -53,20 +56,19 @@ def coerce_numeric(df: DataFrame, cols: Iterable[str] = ("sales", "profit", "dis
 
 def coerce_dates(df: DataFrame, cols: Iterable[str] = ("order_date", "ship_date"),
                  fmt: str | None = None) -> DataFrame:
-    """Text to timestamp (ISO, slashed and US layouts, or ``fmt`` alone),
-    unparseable -> NULL."""
+    """Text to timestamp, unparseable -> NULL. ISO, year-first, eight-digit,
+    named-month and numeric layouts; day first or month first is voted per column
+    (``functions.layouts``). ``fmt``: that layout alone."""
     present = [c for c in cols if c in df.columns]
-
-    def conv(c: str) -> Column:
-        s = F.col(c).cast("string")
-        return F.try_to_timestamp(s, F.lit(fmt)) if fmt else parse_date(s)
-    return df.withColumns({c: conv(c) for c in present})
+    if fmt:
+        return df.withColumns({c: F.try_to_timestamp(F.col(c).cast("string"), F.lit(fmt)) for c in present})
+    return parse_dates(df, present) if present else df
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
-    """Drop exact duplicate rows (hash aggregate on all columns, partial
-    aggregation before the shuffle)."""
-    return df.dropDuplicates()
+    """Drop exact duplicate rows. Fingerprints are counted first; only rows
+    whose fingerprint repeats are compared by value (``functions.rowhash``)."""
+    return distinct_rows(df)
 
 
 def trim_text(df: DataFrame, cols: Iterable[str] = (
@@ -80,21 +82,24 @@ def dedup_by(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] | No
     """One row per key combination, the first in ``order_by`` (default:
     all other columns ascending, so the result is deterministic).
 
-    ``min`` (``min_by`` with an explicit order) over a struct of the row is an
-    aggregate, so the map side pre-reduces each key before the shuffle and a hot
-    key never lands in one task as a full list of rows.
+    A row number of 1 is asked for, so Spark keeps one row of each key on the map
+    side (window group limit) before it shuffles: a hot key reaches its task as one
+    row from every mapper. Map columns are ordered by their sorted pairs.
     """
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.dropDuplicates(list(keys))
-    payload = F.struct(*[F.col(f"`{c}`").alias(c) for c in others])
-    if order_by is None:
-        g = df.groupBy(*keys).agg(F.min(payload).alias("_row"))
-        return g.select(*keys, "_row.*").select(*df.columns)
-    order = list(order_by)
-    sort_key = F.struct(*[(o if isinstance(o, Column) else F.col(o)) for o in order])
-    g = df.groupBy(*keys).agg(F.min_by(payload, sort_key).alias("_row"))
-    return g.select(*keys, "_row.*").select(*df.columns)
+    order = list(order_by) if order_by is not None else []
+    order = [o if isinstance(o, Column) else F.col(o) for o in order]
+    # ties of an explicit order, and the default: all other columns ascending
+    order += [comparable(F.col(f"`{f.name}`"), f.dataType).asc_nulls_first() for f in df.schema.fields if f.name in others]
+    place = "_place"
+    while place in df.columns:
+        place = "_" + place
+    by = [comparable(F.col(f"`{f.name}`"), f.dataType) if has_map(f.dataType) else F.col(f"`{f.name}`")
+          for k in keys for f in df.schema.fields if f.name == k]
+    w = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn(place, F.row_number().over(w)).where(F.col(place) == 1).drop(place)
 
 
 def _literal_for(dtype: T.DataType, value):
@@ -167,31 +172,42 @@ def fill_defaults(df: DataFrame, today: str, numeric: Mapping[str, float] | None
     return df.withColumns(repl)
 
 
-def cast_types(df: DataFrame, rules: Mapping[str, str], numeric_type: str = "double") -> DataFrame:
-    """C14: 'datetime' -> timestamp, 'numeric' -> ``numeric_type`` (double by
-    default, a decimal for exact money), 'string' -> string; bad values
-    become NULL."""
+def cast_types(df: DataFrame, rules: Mapping[str, str], numeric_type: str = "double",
+               votes_from: DataFrame | None = None) -> DataFrame:
+    """C14: 'datetime' -> timestamp (layouts voted per column, as in C05, over
+    ``votes_from`` or ``df``), 'numeric' -> ``numeric_type`` (double by default, a
+    decimal for exact money), 'string' -> string; bad values become NULL."""
+    dates = [c for c, kind in rules.items() if kind == "datetime" and c in df.columns]
     repl = {}
     for c, kind in rules.items():
         if c not in df.columns:
             continue
         if kind == "datetime":
-            repl[c] = parse_date(c)
-        elif kind == "numeric":
+            continue
+        if kind == "numeric":
             repl[c] = F.expr(f"try_cast(`{c}` AS {numeric_type})")
         elif kind == "string":
             repl[c] = F.col(c).cast("string")
         else:
             raise ValueError(f"unknown type rule {kind!r} for {c}")
+    if dates:
+        df = parse_dates(df, dates, votes_from)
     return df.withColumns(repl)
 
 
+def _number(c: str) -> Column:
+    """A column's value as a double; text that is no number and NaN are NULL."""
+    x = F.col(f"`{c}`").try_cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
                  action: str = "flag", method: str = "exact",
                  stats_from: DataFrame | None = None) -> DataFrame:
     """Tukey fences q1 - k*IQR, q3 + k*IQR per column (exact, linear
     quartiles). action: 'flag' adds ``<col>_outlier``; 'remove' keeps rows
     inside all fences (NULL values are kept); 'clip' caps values at the fences.
+    Text that is no number and NaN count as NULL: no outliers, kept as they are.
 
     The quartiles of all columns come from one sort: the values of
     ``stats_from`` (default: ``df`` itself) are unpivoted to (column, value) and
@@ -201,7 +217,7 @@ def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
     if not cols:
         return df
     long = (stats_from if stats_from is not None else df).select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_c"), F.col(c).try_cast("double").alias("_x")) for i, c in enumerate(cols)
+        F.struct(F.lit(i).alias("_c"), _number(c).alias("_x")) for i, c in enumerate(cols)
     ])).alias("_p")).select("_p._c", "_p._x")
     q = quantiles(long, "_x", [0.25, 0.75], by=["_c"], out_prefix="_q", method=method)
     # one row per column -> one row with lo/hi fences for every column
@@ -212,14 +228,14 @@ def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
         for i, c in enumerate(cols)])
     out = with_stats(df, fences)
     for c in cols:
-        x = F.col(c).try_cast("double")
+        x = _number(c)
         lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
         if action == "flag":
             out = out.withColumn(f"{c}_outlier", F.coalesce((x < lo) | (x > hi), F.lit(False)))
         elif action == "remove":
             out = out.where(x.isNull() | ((x >= lo) & (x <= hi)))
         elif action == "clip":
-            out = out.withColumn(c, F.when(x < lo, lo).when(x > hi, hi).otherwise(x))
+            out = out.withColumn(c, F.when(x < lo, lo).when(x > hi, hi).otherwise(x))  # NaN and text: NULL
         else:
             raise ValueError(action)
     keep = list(df.columns) + ([f"{c}_outlier" for c in cols] if action == "flag" else [])
@@ -227,9 +243,14 @@ def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
 
 
 def outliers_zscore(df: DataFrame, c: str, threshold: float = 5.0) -> DataFrame:
-    """Flag rows with |x - mean| / sample stddev > threshold."""
-    stats = df.agg(F.avg(c).alias("_mu"), F.stddev_samp(c).alias("_sd"))
-    z = F.try_divide(F.abs(F.col(c).try_cast("double") - F.col("_mu")), F.col("_sd"))
+    """Flag rows with |x - mean| / sample stddev > threshold. Text that is no
+    number and NaN are left out of the mean and are never flagged; with fewer than
+    two values or equal values nothing is. Mean and deviation are those of the finite
+    values; an infinite one is an outlier of them."""
+    exact = isinstance(df.schema[c].dataType, (T.DecimalType, T.IntegralType))
+    finite = F.when(F.abs(_number(c)) < F.lit(float("inf")), _number(c))
+    stats = df.agg((mean(c) if exact else F.avg(finite)).alias("_mu"), F.stddev_samp(finite).alias("_sd"))
+    z = F.try_divide(F.abs(_number(c) - F.col("_mu")), F.col("_sd"))
     return (with_stats(df, stats)
               .withColumn(f"{c}_z", z)
               .withColumn(f"{c}_outlier", F.coalesce(z > threshold, F.lit(False)))
@@ -240,12 +261,12 @@ def range_violations(df: DataFrame, rules: Mapping[str, Mapping[str, float]],
                      key: Sequence[str] = ()) -> DataFrame:
     """C17: rows breaking a min/max rule, one output row per (row, broken rule):
     key columns, column, rule, bound, value. One scan; rules become an array
-    that is exploded and filtered."""
+    that is exploded and filtered. NaN and text that is no number break no rule."""
     checks = []
     for c, rule in rules.items():
         if c not in df.columns:
             continue
-        x = F.col(c).try_cast("double")
+        x = _number(c)
         if "min" in rule:
             checks.append(F.struct(F.lit(c).alias("column"), F.lit("min").alias("rule"),
                                    F.lit(float(rule["min"])).alias("bound"), x.alias("value"),
@@ -286,22 +307,16 @@ def std_phone(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns(repl)
 
 
-def std_currency(df: DataFrame, cols: Iterable[str], to: str = "decimal(18,2)") -> DataFrame:
-    """C20: strip currency symbols, thousands separators and spaces, keep the
-    sign ('(12.50)' is negative), then decimal(18,2); bad -> NULL."""
-    repl = {}
-    for c in cols:
-        if c not in df.columns:
-            continue
-        if isinstance(df.schema[c].dataType, T.NumericType):
-            # already a number: no text round trip (a double renders as '1.0E7')
-            repl[c] = F.col(c).try_cast(to)
-            continue
-        s = F.col(c).cast("string")
-        neg = s.rlike(r"^\s*\(.*\)\s*$")
-        num = F.regexp_replace(s, r"[^0-9.\-]", "").try_cast(to)
-        repl[c] = F.when(neg, -num).otherwise(num)
-    return df.withColumns(repl)
+def std_currency(df: DataFrame, cols: Iterable[str], to: str = "decimal(18,2)",
+                 votes_from: DataFrame | None = None) -> DataFrame:
+    """C20: money text to decimal(18,2): symbols and units off, '(12.50)', '-12.50'
+    and '12.50-' negative, exponents, decimal point or comma as the column's own
+    numbers tell (``functions.amounts``); anything else -> NULL. Numbers are only
+    cast (a double renders as '1.0E7')."""
+    present = [c for c in cols if c in df.columns]
+    numeric = [c for c in present if isinstance(df.schema[c].dataType, T.NumericType)]
+    df = df.withColumns({c: F.col(f"`{c}`").try_cast(to) for c in numeric})
+    return parse_amounts(df, [c for c in present if c not in numeric], to, votes_from)
 
 
 def std_text(df: DataFrame, cols: Iterable[str]) -> DataFrame:

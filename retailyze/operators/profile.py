@@ -39,41 +39,111 @@ def basic_stats(df: DataFrame) -> DataFrame:
         F.lit(len(numeric_columns(df))).cast("bigint").alias("numeric_columns"))
 
 
-def _as_text(df: DataFrame, c: str) -> Column:
-    """A value's identity as text (-0.0 and 0.0 are one value, as in Spark's
-    grouping; NaN is one value)."""
-    x = _q(c)
-    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
-        x = F.when(x == 0, F.lit(0.0)).otherwise(x)
-    return x.cast("string")
+#: Values of one bitmap (Spark's), bitmaps a column may have inside the one-row
+#: aggregate, and values of its range a row may stand for where bitmaps are grouped.
+BITMAP, BITMAPS, SPARSE = 32_768, 16, 64
+
+
+def _as_whole(dtype: T.DataType, c: Column) -> Column | None:
+    """A value's identity as a long, where its type has one."""
+    if isinstance(dtype, (T.IntegralType, T.BooleanType)):
+        return c.cast("bigint")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
+        return (c * F.lit(10 ** dtype.scale).cast(f"decimal({dtype.scale + 1},0)")).cast("bigint") if dtype.scale else c.cast("bigint")
+    return None
+
+
+def _distinct_by_bitmap(df: DataFrame, columns: dict[int, tuple[Column, int, int]]) -> DataFrame:
+    """(position, distinct non-NULL values, NULLs) of columns with few possible values:
+    one bit for each, in one aggregate over all columns; a task hands on its bitmaps."""
+    aggs, rows = [], []
+    for i, (v, low, span) in columns.items():
+        at = v - F.lit(low)
+        bits = [F.bitmap_construct_agg(F.when((at >= k * BITMAP) & (at < (k + 1) * BITMAP), at - k * BITMAP)).alias(f"b{i}_{k}")
+                for k in range(-(-span // BITMAP))]
+        aggs += [*bits, F.count_if(v.isNull()).alias(f"z{i}")]
+        found = F.lit(0).cast("bigint")
+        for k in range(len(bits)):
+            found = found + F.coalesce(F.bitmap_count(F.col(f"b{i}_{k}")), F.lit(0))
+        rows.append(F.struct(F.lit(i).alias("position"), found.alias("d"), F.col(f"z{i}").alias("z")))
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def _distinct_by_bitmap_groups(df: DataFrame, i: int, v: Column, low: int) -> DataFrame:
+    """The same for one dense column of any range: a bitmap for each stretch of values."""
+    at = v - F.lit(low)
+    per_stretch = df.select(F.floor(at / BITMAP).alias("k"), F.pmod(at, F.lit(BITMAP)).alias("bit")).groupBy("k").agg(
+        F.bitmap_construct_agg("bit").alias("b"), F.count_if(F.col("bit").isNull()).alias("z"))
+    return per_stretch.agg(F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.bitmap_count("b"))), F.lit(0)).alias("d"),
+                           F.coalesce(F.sum("z"), F.lit(0)).alias("z")).select(F.lit(i).alias("position"), "d", "z")
+
+
+def _distinct_by_value(df: DataFrame, columns: dict[int, tuple[str, Column]]) -> DataFrame:
+    """The same for all other columns: (position, value) pairs are counted, combined on
+    the map side. A pair holds the value as a long, a double or a text - none is
+    turned into text that has a shorter form."""
+    none = {"l": F.lit(None).cast("bigint"), "x": F.lit(None).cast("double"), "s": F.lit(None).cast("string")}
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("position"), *[(v if k == kind else none[k]).alias(k) for k in none])
+        for i, (kind, v) in columns.items()])).alias("p")).select("p.*")
+    per_value = pairs.groupBy("position", *none).agg(F.count(F.lit(1)).alias("n"))
+    empty = F.col("l").isNull() & F.col("x").isNull() & F.col("s").isNull()
+    return per_value.groupBy("position").agg(F.count_if(~empty).alias("d"),
+                                             F.coalesce(F.sum(F.when(empty, F.col("n"))), F.lit(0)).alias("z"))
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """For every column (or the given ones) - distinct values (NULL counts as one
     value, like ``select(c).distinct().count()``), NULL count and type.
 
-    One job: every row is unpivoted into (column position, value) pairs, which
-    are counted with map-side partial aggregation (a value holding a third of
-    the rows is reduced on each mapper), then counted again per column."""
+    Exact, by what a column's values allow: whole numbers (also booleans and dates)
+    of a small or dense range are bits of a bitmap, so a task hands on bitmaps and
+    not values; the others are counted by value. -0.0 and 0.0 are one value, NaN too.
+    """
     cols = list(columns or df.columns)
-    types = dict(df.dtypes)
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("position"), _as_text(df, c).alias("v")) for i, c in enumerate(cols)
-    ])).alias("p")).select("p.position", "p.v")
-    per_value = pairs.groupBy("position", "v").agg(F.count(F.lit(1)).alias("n"))
-    prof = per_value.groupBy("position").agg(
-        F.count(F.lit(1)).alias("distinct_values"),
-        F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(F.lit(0))).alias("null_count"))
+    types, fields = dict(df.dtypes), {f.name: f.dataType for f in df.schema.fields}
+    whole = {i: _as_whole(fields[c], _q(c)) for i, c in enumerate(cols)}
+    ranged = {i: v for i, v in whole.items() if v is not None and not isinstance(fields[cols[i]], (T.TimestampType, T.DecimalType))}
+    ends = df.agg(F.count(F.lit(1)).alias("rows"), *[
+        a for i, v in ranged.items() for a in (F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"))]).first()  # one row
+    small, parts, rest = {}, [], {}
+    for i, c in enumerate(cols):
+        if i in ranged:
+            low, high = ends[f"lo{i}"] or 0, ends[f"hi{i}"] or 0
+            span = high - low + 1
+            if span <= BITMAP * BITMAPS:
+                small[i] = (ranged[i], low, span)
+                continue
+            if span <= SPARSE * ends["rows"]:
+                parts.append(_distinct_by_bitmap_groups(df, i, ranged[i], low))
+                continue
+        if whole[i] is not None:
+            rest[i] = ("l", whole[i])
+        elif isinstance(fields[c], (T.FloatType, T.DoubleType)):
+            rest[i] = ("x", _q(c).cast("double"))
+        else:
+            rest[i] = ("s", _q(c).cast("string"))
+    if small:
+        parts.append(_distinct_by_bitmap(df, small))
+    if rest:
+        parts.append(_distinct_by_value(df, rest))
+    prof = parts[0]
+    for p in parts[1:]:
+        prof = prof.unionByName(p)
     names = F.array(*[F.lit(c) for c in cols])
     kinds = F.array(*[F.lit(types[c]) for c in cols])
     # a column of an empty table still gets its row (0 values)
-    spine = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("position"))
-    out = spine.join(prof, "position", "left")
+    spine = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("at"))
+    out = spine.join(prof, F.col("at") == F.col("position"), "left")
+    nulls = F.coalesce("z", F.lit(0)).cast("bigint")
     return out.select(
-        "position", F.element_at(names, F.col("position") + 1).alias("column_name"),
-        F.coalesce("distinct_values", F.lit(0)).cast("bigint").alias("distinct_values"),
-        F.coalesce("null_count", F.lit(0)).cast("bigint").alias("null_count"),
-        F.element_at(kinds, F.col("position") + 1).alias("data_type"))
+        F.col("at").alias("position"), F.element_at(names, F.col("at") + 1).alias("column_name"),
+        (F.coalesce("d", F.lit(0)) + F.when(nulls > 0, 1).otherwise(0)).cast("bigint").alias("distinct_values"),
+        nulls.alias("null_count"), F.element_at(kinds, F.col("at") + 1).alias("data_type"))
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import with_stats
+from ..functions import nan_as_null, with_stats
 
 CHECK_SCHEMA = "check string, subject string, value double, threshold double, passed boolean"
 
@@ -26,9 +26,10 @@ def _check(check: str, subject: str, value: Column, threshold: float, passed: Co
 
 def quality_score(df: DataFrame, cols: Sequence[str] = ("category_name_1", "total_revenue"),
                   min_score: float = 90.0, fail: bool = False) -> DataFrame:
-    """Q01: rows, NULL count of each given column, score = 100 - 10 * total
+    """Q01: rows, NULL (or NaN) count of each given column, score = 100 - 10 * total
     NULLs, passed = score >= min_score. ``fail=True`` makes the job raise when
     the score is too low (checked inside the plan, no driver round trip)."""
+    df = nan_as_null(df)
     aggs = [F.count(F.lit(1)).alias("record_count")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols]
     a = df.agg(*aggs)
@@ -56,8 +57,9 @@ def check_required(df: DataFrame, cols: Sequence[str], subject: str = "table") -
 
 
 def check_null_thresholds(df: DataFrame, thresholds: Mapping[str, float], subject: str = "table") -> DataFrame:
-    """Q04: NULL share of each column, in %, at most its threshold (one pass).
-    A missing column fails with value NULL."""
+    """Q04: NULL (or NaN) share of each column, in %, at most its threshold (one
+    pass). A missing column fails with value NULL."""
+    df = nan_as_null(df)
     present = {c: t for c, t in thresholds.items() if c in df.columns}
     n = F.count(F.lit(1))
     structs = []
@@ -91,18 +93,27 @@ def health_checks(events: DataFrame, now: str, freshness_hours: float = 12, min_
                   max_error_rate: float = 0.05, ts: str = "ts", kind: str = "event_type",
                   error_value: str = "error") -> DataFrame:
     """Q06: data freshness (hours since the newest row <= limit), the smallest
-    daily row count (>= minimum) and the error share (<= maximum)."""
+    daily row count (>= minimum) and the error share (<= maximum).
+
+    Days are counted on a spine from the first row's day to the last one that began
+    before ``now``, so a day without rows counts 0. An empty table fails the first two checks (no age, a
+    count of 0) and has an error share of 0."""
     t = F.col(ts).cast("timestamp")
-    daily = events.groupBy(F.to_date(t).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    d = daily.agg(F.min("_n").alias("_min_daily"))
+    now_ts = F.lit(now).cast("timestamp")
+    daily = events.where(t.isNotNull()).groupBy(F.to_date(t).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    last = F.to_date(now_ts - F.expr("INTERVAL 1 MICROSECOND"))
+    first = daily.agg(F.least(F.min("_d"), last).alias("_first"))
+    # one row per calendar day; an empty table has the last one alone
+    spine = first.select(F.explode(F.sequence(F.coalesce("_first", last), last)).alias("_day"))
+    d = spine.join(daily, F.col("_day") == F.col("_d"), "left").agg(F.min(F.coalesce("_n", F.lit(0))).alias("_min_daily"))
     a = events.agg(F.max(t).alias("_max_ts"),
                    F.try_divide(F.count_if(F.col(kind) == F.lit(error_value)).cast("double"),
                                 F.count(F.lit(1)).cast("double")).alias("_err"))
-    now_ts = F.lit(now).cast("timestamp")
     age_h = (F.unix_micros(now_ts) - F.unix_micros(F.col("_max_ts"))).cast("double") / 3.6e9
-    j = with_stats(a, d)
+    j = with_stats(a, d).withColumn("_err", F.coalesce("_err", F.lit(0.0)))
+    fresh = F.coalesce(age_h <= F.lit(float(freshness_hours)), F.lit(False))
     return j.select(F.explode(F.array(
-        _check("data_freshness_hours", ts, age_h, freshness_hours, age_h <= F.lit(float(freshness_hours))),
+        _check("data_freshness_hours", ts, age_h, freshness_hours, fresh),
         _check("min_daily_records", ts, F.col("_min_daily"), min_daily, F.col("_min_daily") >= min_daily),
         _check("max_error_rate", kind, F.col("_err"), max_error_rate, F.col("_err") <= F.lit(max_error_rate)),
     )).alias("r")).select("r.*")

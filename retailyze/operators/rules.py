@@ -118,18 +118,19 @@ def merged_processing(cfg: Mapping, source: str | None) -> dict:
 def clean(df: DataFrame, cfg: Mapping | None = None, source: str | None = None,
           outlier_action: str = "flag", numeric_type: str = "double",
           timestamp_col: bool = True, stats_from: DataFrame | None = None) -> DataFrame:
-    """The whole rule run on one source. Means, modes and quartiles come
-    from ``stats_from`` (raw rows of the same shape), by default from ``df``."""
+    """The whole rule run on one source. Means, modes, quartiles
+    and the votes on date layouts and decimal marks come from ``stats_from`` (raw
+    rows of the same shape), by default from ``df``."""
     p = merged_processing(cfg or DEFAULT_RULES, source)
     out = df
 
-    def typed(x: DataFrame) -> DataFrame:
+    def typed(x: DataFrame, votes: DataFrame | None = None) -> DataFrame:
         st = p.get("standardization") or {}
         x = C.std_email(x, st.get("email_columns", []))
         x = C.std_phone(x, st.get("phone_columns", []))
-        x = C.std_currency(x, st.get("currency_columns", []))
+        x = C.std_currency(x, st.get("currency_columns", []), votes_from=votes)
         x = C.std_text(x, st.get("text_columns", []))
-        return C.cast_types(x, p.get("data_types") or {}, numeric_type=numeric_type)
+        return C.cast_types(x, p.get("data_types") or {}, numeric_type=numeric_type, votes_from=votes)
 
     keys = [k for k in p.get("duplicate_subset", []) if k in out.columns]
     if keys:
@@ -140,7 +141,7 @@ def clean(df: DataFrame, cfg: Mapping | None = None, source: str | None = None,
             # the statistics (mean, mode, quartiles) and the row path all read the
             # deduplicated rows: materialize them once in the checkpoint dir
             out = cut_lineage(out)
-    out = typed(out)
+    out = typed(out, stats_from)
     reference = typed(stats_from) if stats_from is not None else None
     if p.get("missing_values"):
         out = C.fill_missing(out, p["missing_values"], stats_from=reference)

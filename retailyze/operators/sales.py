@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import fsum, mean, month_key, nan_missing, parse_date, pct, with_stats
-from ..functions.ordered import quantiles
+from ..functions import fsum, mean, month_key, nan_missing, pct, with_stats
+from ..functions.layouts import parse_dates
+from ..functions.ordered import quantiles, quantiles_of, ranked_values
+from ..functions.rowhash import repeated_row_count
 from ..functions.roles import detect_roles
 
 
@@ -63,8 +65,9 @@ def round_half_up(c: Column, d: int = 2) -> Column:
 
 # --------------------------------------------------------------------- KPIs
 def sales_kpis(df: DataFrame, sales: str = "sales", profit: str = "profit") -> DataFrame:
-    """Total sales, total profit, rows, margin % (NULL when sales sum to 0)."""
-    return df.agg(fsum(sales).alias("total_sales"), fsum(profit).alias("total_profit"),
+    """Total sales, total profit, rows, margin % (NULL when sales sum to 0).
+    Infinite values count as 0, as NaN does."""
+    return df.agg(fsum(_num(df, sales)).alias("total_sales"), fsum(_num(df, profit)).alias("total_profit"),
                   F.count(F.lit(1)).alias("total_orders")).withColumn(
         "profit_margin", pct("total_profit", "total_sales"))
 
@@ -166,8 +169,11 @@ def insights(df: DataFrame, roles: Mapping[str, str] | None = None) -> DataFrame
 
 
 def date_range(df: DataFrame, date: str = "order_date") -> DataFrame:
-    """G16: 'YYYY-MM-DD to YYYY-MM-DD' of the valid dates, else a fixed text."""
-    d = parse_date(date) if isinstance(df.schema[date].dataType, T.StringType) else F.col(date)
+    """G16: 'YYYY-MM-DD to YYYY-MM-DD' of the valid dates, else a fixed text. Text
+    dates are read by the column's voted layout."""
+    if isinstance(df.schema[date].dataType, T.StringType):
+        df = parse_dates(df.select(date), [date])
+    d = F.col(date)
     a = df.agg(F.min(d).alias("_lo"), F.max(d).alias("_hi"))
     return a.select(F.when(F.col("_lo").isNull(), F.lit("No valid dates available")).otherwise(
         F.concat(F.date_format("_lo", "yyyy-MM-dd"), F.lit(" to "),
@@ -375,7 +381,10 @@ def regional_hierarchy(df: DataFrame, region: str = "region", state: str = "stat
 def histogram(df: DataFrame, c: str, bins: int, with_median: bool = False,
               method: str = "exact") -> DataFrame:
     """``bins`` equal-width bins over [min, max] (the last bin closed),
-    count per bin with empty bins present, plus the column mean (and median)."""
+    count per bin with empty bins present, plus the column mean (and median).
+    Infinite values count as missing, as NaN does."""
+    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+        df = df.withColumn(c, F.when(F.abs(F.col(c)) < F.lit(float("inf")), F.col(c)))
     x = _dbl(c)
     # the mean is taken on the column itself (exact for decimal money); a
     # floating column's mean is rounded to 9 places, below the noise of the
@@ -446,25 +455,50 @@ def box_stats(df: DataFrame, key: str = "category", value: str = "profit",
     """Per key min, q1, median, q3, max and the 1.5*IQR whisker ends
     (most extreme values inside the fences)."""
     d = _nn(df, key)
-    q = quantiles(d, value, [0.25, 0.5, 0.75], by=[key], out_prefix="_q", method=method)
-    q = q.select(key, F.col("_q_0").alias("q1"), F.col("_q_1").alias("median"), F.col("_q_2").alias("q3"))
+    if method == "exact":
+        # quartiles and whiskers come from one table of distinct values: the rows are read once
+        rows = ranked_values(d, value, [key])
+        q = quantiles_of(rows, [0.25, 0.5, 0.75], [key], "_q")
+    else:
+        rows = d.select(key, _dbl(value).alias("_v"), F.lit(1).alias("_cnt")).where(F.col("_v").isNotNull())
+        q = quantiles(d, value, [0.25, 0.5, 0.75], by=[key], out_prefix="_q", method=method)
+    q = q.select(F.col(key).alias("_key"), F.col("_q_0").alias("q1"), F.col("_q_1").alias("median"), F.col("_q_2").alias("q3"))
     # q has one row per key; joined on the key (AQE broadcasts it when small)
-    x = _dbl(value)
-    j = d.select(key, x.alias("_x")).where(F.col("_x").isNotNull()).join(q, key)
+    j = rows.join(q, F.col(key) == F.col("_key"))
+    v = F.col("_v")
     lo_f = F.col("q1") - (F.col("q3") - F.col("q1")) * 1.5
     hi_f = F.col("q3") + (F.col("q3") - F.col("q1")) * 1.5
     return j.groupBy(key, "q1", "median", "q3").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"),
-        F.min(F.when(F.col("_x") >= lo_f, F.col("_x"))).alias("whisker_lo"),
-        F.max(F.when(F.col("_x") <= hi_f, F.col("_x"))).alias("whisker_hi"))
+        F.sum("_cnt").cast("bigint").alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.min(F.when(v >= lo_f, v)).alias("whisker_lo"), F.max(F.when(v <= hi_f, v)).alias("whisker_hi"))
+
+
+def _co_moments(x: Column, y: Column, name: str = "") -> list[Column]:
+    """Aggregates over the rows where both are present and finite: count, centred
+    sums of squares and of products (``_n``, ``_xx``, ``_yy``, ``_xy`` + name). They
+    are updated and merged about running means, so shifted data keep their digits."""
+    inf = F.lit(float("inf"))
+    both = (F.abs(x) < inf) & (F.abs(y) < inf)
+    a, b = F.when(both, x), F.when(both, y)
+    n = F.count(F.when(both, F.lit(1)))
+    # population moments times n: the centred sums themselves, no division by n - 1
+    return [n.alias(f"_n{name}"), F.var_pop(a).alias(f"_xx{name}"), F.var_pop(b).alias(f"_yy{name}"),
+            F.covar_pop(a, b).alias(f"_xy{name}"), F.min(a).alias(f"_xlo{name}"), F.max(a).alias(f"_xhi{name}"),
+            F.min(b).alias(f"_ylo{name}"), F.max(b).alias(f"_yhi{name}")]
+
+
+def _pearson(name: str = "") -> Column:
+    """Correlation from ``_co_moments``; NULL with fewer than two pairs or where one
+    side has a single value (there is no correlation with a constant)."""
+    varies = (F.col(f"_xlo{name}") < F.col(f"_xhi{name}")) & (F.col(f"_ylo{name}") < F.col(f"_yhi{name}"))
+    r = F.try_divide(F.col(f"_xy{name}"), F.sqrt(F.col(f"_xx{name}")) * F.sqrt(F.col(f"_yy{name}")))
+    return F.when((F.col(f"_n{name}") > 1) & varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def correlation(df: DataFrame, x: str = "sales", y: str = "profit") -> DataFrame:
-    """Pearson correlation over rows where both are present (updated about
-    running means, so shifted data keep their digits)."""
-    a, b = _dbl(x), _dbl(y)
-    return df.agg(F.count(F.when(a.isNotNull() & b.isNotNull(), F.lit(1))).alias("n"),
-                  F.corr(a, b).alias("correlation"))
+    """Pearson correlation over rows where both are present; NULL where a
+    column is constant."""
+    return df.agg(*_co_moments(_dbl(x), _dbl(y))).select(F.col("_n").alias("n"), _pearson().alias("correlation"))
 
 
 def trend_line(df: DataFrame, x: str = "sales", y: str = "profit", n: int = 100) -> DataFrame:
@@ -564,8 +598,8 @@ def state_correlation(df: DataFrame, k: int = 15, state: str = "state", sales: s
     top = top.select(state, *[_dbl(m).alias(m) for m in ("sales", "profit", "customer")])
     names = ["sales", "profit", "customer"]
     pairs = [(a, b) for a in names for b in names]
-    m = top.agg(*[F.corr(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), F.col(f"_r{i}").alias("correlation"))
+    m = top.agg(*[c for i, (a, b) in enumerate(pairs) for c in _co_moments(F.col(a), F.col(b), str(i))])
+    rows = [F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), _pearson(str(i)).alias("correlation"))
             for i, (a, b) in enumerate(pairs)]
     return m.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
@@ -580,57 +614,60 @@ def margin_by_quintile(df: DataFrame, sales: str = "sales", profit: str = "profi
     first bin includes the minimum); per bin mean profit, mean sales and
     margin % = mean profit / mean sales * 100. Duplicate edges raise an error,
     as quantile cuts do."""
-    q = quantiles(df, sales, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0], out_prefix="_e", method=method)
+    probs = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
+    if method == "exact":
+        # edges and bins come from one table of distinct sales values with their sums
+        both = df.select(F.col(sales).alias("s"), F.col(profit).alias("p"))
+        rows = ranked_values(both, "s", sums=["s", "p"])
+        q = quantiles_of(rows, probs, out_prefix="_e")
+        x = F.col("_v")
+        means = [F.try_divide(F.sum(f"_sum_{c}").cast("double"), F.sum(f"_count_{c}").cast("double")).alias(name)
+                 for c, name in (("p", "profit"), ("s", "sales"))]
+    else:
+        q = quantiles(df, sales, probs, out_prefix="_e", method=method)
+        rows, x = df.where(F.col(sales).isNotNull()), _dbl(sales)
+        means = [mean(profit).alias("profit"), mean(sales).alias("sales")]
     e = [F.col(f"_e_{i}") for i in range(6)]
     dup = (e[0] >= e[1]) | (e[1] >= e[2]) | (e[2] >= e[3]) | (e[3] >= e[4]) | (e[4] >= e[5])
     q = q.withColumn("_ok", F.when(dup, F.raise_error(F.lit("duplicate quantile edges"))).otherwise(F.lit(True)))
-    x = _dbl(sales)
-    rows = _one_row_join(df.where(F.col(sales).isNotNull()), q)
+    rows = _one_row_join(rows, q)
     b = F.lit(0)
     for i in range(1, 5):
         b = b + F.when(x > e[i], 1).otherwise(0)
     labels = F.array(*[F.lit(s) for s in QUINTILES])
-    g = rows.where(F.col("_ok")).groupBy(b.alias("segment_order")).agg(
-        mean(profit).alias("profit"), mean(sales).alias("sales"))
+    g = rows.where(F.col("_ok")).groupBy(b.alias("segment_order")).agg(*means)
     return g.select(F.element_at(labels, F.col("segment_order") + 1).alias("sales_segment"),
                     "segment_order", "profit", "sales",
                     (F.col("profit") / F.col("sales") * 100.0).alias("profit_margin"))
 
 
 # --------------------------------------------------------------- quality
-def _grouped_rows(df: DataFrame) -> tuple[DataFrame, Column]:
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    nulls = sum((F.when(c.isNull(), 1).otherwise(0) for c in cols), F.lit(0))
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-    return g.withColumn("_nulls", nulls), F.col("_c")
-
-
-def _quality_aggs(n_cols: int, c: Column) -> list[Column]:
-    return [fsum(c).cast("bigint").alias("rows"),
-            F.lit(n_cols).cast("bigint").alias("columns"),
-            fsum(c * F.col("_nulls")).cast("bigint").alias("missing_values"),
-            fsum(c - 1).cast("bigint").alias("duplicate_rows")]
+def _quality_aggs(df: DataFrame) -> list[Column]:
+    cells = [F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0) for c in df.columns]
+    missing = cells[0] if cells else F.lit(0)
+    for c in cells[1:]:
+        missing = missing + c
+    return [F.count(F.lit(1)).cast("bigint").alias("rows"), F.lit(len(df.columns)).cast("bigint").alias("columns"),
+            fsum(missing).cast("bigint").alias("missing_values")]
 
 
 def quality_report(df: DataFrame) -> DataFrame:
     """Rows, columns, missing cells, duplicate rows (rows that repeat an
-    earlier identical row) - one grouped pass with map-side combine."""
-    g, c = _grouped_rows(df)
-    return g.agg(*_quality_aggs(len(df.columns), c))
+    earlier identical row). Duplicates are counted fingerprint first, so whole rows
+    are neither grouped nor shuffled (``functions.rowhash``)."""
+    return _one_row_join(df.agg(*_quality_aggs(df)), repeated_row_count(df)).select(
+        "rows", "columns", "missing_values", F.coalesce("duplicate_rows", F.lit(0)).alias("duplicate_rows"))
 
 
 def cleaning_summary(df: DataFrame, sales: str = "sales", profit: str = "profit",
                      discount: str = "discount") -> DataFrame:
-    """G49 plus total sales, total profit and mean discount %, all from
-    the same grouped pass (a value times its row multiplicity; exact for
-    decimal money)."""
-    g, c = _grouped_rows(df)
-    d = F.col(discount)
-    return g.agg(*_quality_aggs(len(df.columns), c),
-                 fsum(F.col(sales) * c).alias("total_sales"),
-                 fsum(F.col(profit) * c).alias("total_profit"),
-                 (F.try_divide(F.sum(d * c).cast("double"),
-                               F.sum(F.when(d.isNotNull(), c)).cast("double")) * 100.0).alias("avg_discount_pct"))
+    """G49 plus total sales, total profit and mean discount % of the same scan
+    (exact for decimal money)."""
+    totals = df.agg(*_quality_aggs(df), fsum(sales).alias("total_sales"), fsum(profit).alias("total_profit"),
+                    (mean(discount) * 100.0).alias("avg_discount_pct"))
+    return _one_row_join(totals, repeated_row_count(df)).select(
+        "rows", "columns", "missing_values", F.coalesce("duplicate_rows", F.lit(0)).alias("duplicate_rows"),
+        "total_sales", "total_profit", "avg_discount_pct")
 
 
 nan_missing(globals())

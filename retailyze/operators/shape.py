@@ -93,8 +93,10 @@ def add_derived(df: DataFrame, cfg: Mapping, now_col: bool = True) -> DataFrame:
 
 def row_margin(df: DataFrame, profit: str = "profit", sales: str = "sales",
                out: str = "profit_margin") -> DataFrame:
-    """Per-row profit / sales * 100; a zero or missing sales value gives 0."""
-    return df.withColumn(out, F.coalesce(pct(profit, sales), F.lit(0.0)))
+    """Per-row profit / sales * 100; 0 where sales are zero or missing, and
+    wherever the result is no finite number (NaN or infinite profit)."""
+    margin = pct(profit, sales)
+    return df.withColumn(out, F.when(F.abs(margin) < F.lit(float("inf")), margin + 0.0).otherwise(F.lit(0.0)))
 
 
 def add_calendar(df: DataFrame, date: str = "order_date") -> DataFrame:

@@ -178,20 +178,23 @@ def _q04_sql_part() -> str:
 _NOW = "2024-01-31 00:00:00"
 
 
-def _q06_sql_part() -> str:
+def _q06_sql_part(events: str = "events") -> str:
     age = (f"CAST(epoch_us(TIMESTAMP '{_NOW}') - epoch_us(MAX(ts)) AS DOUBLE) / 3.6e9")
     return f"""SELECT 'data_freshness_hours' AS "check", 'ts' AS subject, {age} AS value,
        CAST({_HC['data_freshness_hours']} AS DOUBLE) AS threshold, {age} <= {float(_HC['data_freshness_hours'])} AS passed
-FROM events
+FROM {events}
 UNION ALL
 SELECT 'min_daily_records', 'ts', CAST(MIN(n) AS DOUBLE), CAST({_HC['min_daily_records']} AS DOUBLE),
        MIN(n) >= {_HC['min_daily_records']}
-FROM (SELECT CAST(ts AS DATE) AS d, COUNT(*) AS n FROM events GROUP BY 1)
+FROM (SELECT day, COUNT(e.ts) AS n
+      FROM (SELECT unnest(generate_series((SELECT MIN(ts) FROM {events})::DATE::TIMESTAMP, TIMESTAMP '{_NOW}' - INTERVAL 1 MICROSECOND,
+                                          INTERVAL 1 DAY))::DATE AS day) s
+      LEFT JOIN {events} e ON CAST(e.ts AS DATE) = s.day GROUP BY day)
 UNION ALL
 SELECT 'max_error_rate', 'event_type', CAST(COUNT_IF(event_type = 'error') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE),
        {float(_HC['max_error_rate'])},
        CAST(COUNT_IF(event_type = 'error') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) <= {float(_HC['max_error_rate'])}
-FROM events"""
+FROM {events}"""
 
 
 @register("q02_min_records", CO + _q02_sql_part())
@@ -210,6 +213,17 @@ def q06(spark, d):
                            min_daily=_HC["min_daily_records"], max_error_rate=_HC["max_error_rate"])
 
 
+@register("q06_health_checks_gap", """WITH moved AS (
+  SELECT CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' THEN ts + INTERVAL 1 DAY ELSE ts END AS ts, event_type FROM events)
+""" + _q06_sql_part("moved"))
+def q06_gap(spark, d):
+    """All events, those of one day dated a day later: that day has none."""
+    day = F.to_date("ts") == F.lit("2024-01-10").cast("date")
+    moved = table(spark, d, "events").withColumn("ts", F.when(day, F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts")))
+    return Q.health_checks(moved, now=_NOW, freshness_hours=_HC["data_freshness_hours"],
+                           min_daily=_HC["min_daily_records"], max_error_rate=_HC["max_error_rate"])
+
+
 @register("q07_grade_checks", CO + f""",
 checks AS ({_q02_sql_part()}
 UNION ALL
