@@ -88,7 +88,9 @@ def main() -> None:
     from retailyze.plans.fixtures import prepare_facts
     t0 = time.time()
     cache = os.environ.get("BENCH_CACHE_FACTS", "1") == "1"
-    prepare_facts(spark, sf_dir, f"{scratch}/facts", cache=cache)
+    # files of a size that all cores have some to read
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    prepare_facts(spark, sf_dir, f"{scratch}/facts", cache=cache, records_per_file=max(10_000, -(-rows // (2 * int(cpus)))))
     prep = round(time.time() - t0, 3)
     times = {}
     for name, fn in QUERIES.items():

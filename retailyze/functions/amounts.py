@@ -48,13 +48,16 @@ def _parts(c: str) -> dict[str, Column]:
             "open": ~scientific & mantissa.rlike(OPEN)}
 
 
+def comma_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: ``<i>_yes`` / ``<i>_no``, numbers of the i-th column that tell a decimal
+    comma / point."""
+    return df.agg(*[F.count_if(_parts(c)[k]).alias(f"{i}_{n}") for i, c in enumerate(cols)
+                    for n, k in (("yes", "comma"), ("no", "point"))])
+
+
 def comma_votes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row, a boolean per column: is its decimal mark the comma?"""
-    aggs = []
-    for c in cols:
-        p = _parts(c)
-        aggs.append((F.count_if(p["comma"]) > F.count_if(p["point"])).alias(c))
-    return df.agg(*aggs)
+    return comma_counts(df, cols).select(*[(F.col(f"{i}_yes") > F.col(f"{i}_no")).alias(c) for i, c in enumerate(cols)])
 
 
 def read_amount(c: str, comma: Column, to: str) -> Column:
@@ -69,13 +72,15 @@ def read_amount(c: str, comma: Column, to: str) -> Column:
 
 
 def parse_amounts(df: DataFrame, cols: Sequence[str], to: str = "decimal(18,2)",
-                  votes_from: DataFrame | None = None) -> DataFrame:
+                  votes_from: DataFrame | None = None, votes: DataFrame | None = None) -> DataFrame:
     """``df`` with the given text columns as numbers of type ``to``; the decimal mark
-    is voted on over ``votes_from`` (default: ``df``)."""
+    is voted on over ``votes_from`` (default: ``df``), or the one row ``votes`` has
+    been counted before."""
     if not cols:
         return df
     marks = {c: f"_comma_{i}" for i, c in enumerate(cols)}
-    source = votes_from if votes_from is not None else df
-    votes = comma_votes(source, cols).select(*[F.col(f"`{c}`").alias(m) for c, m in marks.items()])
+    if votes is None:
+        votes = comma_votes(votes_from if votes_from is not None else df, cols)
+    votes = votes.select(*[F.col(f"`{c}`").alias(m) for c, m in marks.items()])
     out = with_stats(df, votes)
     return out.withColumns({c: read_amount(c, F.col(m), to) for c, m in marks.items()}).drop(*marks.values())

@@ -40,10 +40,16 @@ def _trimmed(c: str) -> Column:
     return F.regexp_replace(F.regexp_replace(s, SHORT_1900, "${d}19${y}"), SHORT_2000, "${d}20${y}")
 
 
+def day_first_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: ``<i>_yes`` / ``<i>_no``, texts of the i-th column that can be read day
+    first / month first."""
+    return df.agg(*[F.count_if(_trimmed(c).rlike(p)).alias(f"{i}_{n}") for i, c in enumerate(cols)
+                    for n, p in (("yes", DAY_FIRST), ("no", MONTH_FIRST))])
+
+
 def day_first_votes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row, a boolean per column: is it read day first?"""
-    return df.agg(*[(F.count_if(_trimmed(c).rlike(DAY_FIRST)) > F.count_if(_trimmed(c).rlike(MONTH_FIRST))).alias(c)
-                    for c in cols])
+    return day_first_counts(df, cols).select(*[(F.col(f"{i}_yes") > F.col(f"{i}_no")).alias(c) for i, c in enumerate(cols)])
 
 
 def iso_text(s: Column, day_first: Column) -> Column:
@@ -66,16 +72,23 @@ def read_iso(t: Column) -> Column:
              .when(t.rlike(r"^[+\-]?\d{4}"), F.try_to_timestamp(t)))
 
 
-def parse_dates(df: DataFrame, cols: Sequence[str], votes_from: DataFrame | None = None) -> DataFrame:
+def text_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    return [c for c in cols if isinstance(df.schema[c].dataType, (T.StringType, T.CharType, T.VarcharType))]
+
+
+def parse_dates(df: DataFrame, cols: Sequence[str], votes_from: DataFrame | None = None,
+                votes: DataFrame | None = None) -> DataFrame:
     """``df`` with the given columns as timestamps. Text columns are voted on over
-    ``votes_from`` (default: ``df``); dates and timestamps are only cast."""
-    text = [c for c in cols if isinstance(df.schema[c].dataType, (T.StringType, T.CharType, T.VarcharType))]
+    ``votes_from`` (default: ``df``), or the one row ``votes`` has been counted before;
+    dates and timestamps are only cast."""
+    text = text_columns(df, cols)
     out = df.withColumns({c: F.col(f"`{c}`").try_cast("timestamp") for c in cols if c not in text})
     if not text:
         return out
     marks = {c: f"_day_first_{i}" for i, c in enumerate(text)}
-    source = votes_from if votes_from is not None else df
-    votes = day_first_votes(source, text).select(*[F.col(f"`{c}`").alias(m) for c, m in marks.items()])
+    if votes is None:
+        votes = day_first_votes(votes_from if votes_from is not None else df, text)
+    votes = votes.select(*[F.col(f"`{c}`").alias(m) for c, m in marks.items()])
     out = with_stats(out, votes)
     out = out.withColumns({c: iso_text(_trimmed(c), F.col(m)) for c, m in marks.items()})
     return out.withColumns({c: read_iso(F.col(f"`{c}`")) for c in text}).drop(*marks.values())

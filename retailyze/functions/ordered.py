@@ -79,20 +79,23 @@ def running_total(df: DataFrame, order: Sequence[Column], value: str,
     return res.drop("_pid", "_start", "_local", "_gidx")
 
 
-def ranked_values(df: DataFrame, value: str, by: Sequence[str] = (), sums: Sequence[str] = ()) -> DataFrame:
+def ranked_values(df: DataFrame, value: str, by: Sequence[str] = (), sums: Sequence[str] = (),
+                  weight: str | None = None) -> DataFrame:
     """One row per group and distinct value: ``_v`` (double), ``_cnt``, the ranks
     ``_from`` .. ``_to`` - 1 it holds in its group, the group's size ``_n``, and
     ``_sum_<c>`` / ``_count_<c>`` of the named columns. NULL and NaN values are left
-    out. The table is sorted, checkpointed and much smaller than ``df`` where values
+    out. A row stands for ``weight`` equal ones, if given. The table is sorted, checkpointed and much smaller than ``df`` where values
     repeat: whatever asks for order statistics and what lies between them reads it
     instead of the rows."""
     by = list(by)
     x = F.col(value).try_cast("double")
-    v = df.select(*by, x.alias("_v"), *[F.col(c).alias(f"_in_{c}") for c in sums]).where(
+    times = F.count(F.lit(1)) if weight is None else F.sum("_w")
+    weights = [] if weight is None else [F.col(weight).alias("_w")]
+    v = df.select(*by, x.alias("_v"), *weights, *[F.col(c).alias(f"_in_{c}") for c in sums]).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
     # equal values are one row with a count (combined before the shuffle), so
     # neither a hot group nor a hot value reaches a sort task as its rows
-    counts = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_cnt"), *[
+    counts = v.groupBy(*by, "_v").agg(times.alias("_cnt"), *[
         a for c in sums for a in (F.sum(f"_in_{c}").alias(f"_sum_{c}"), F.count(f"_in_{c}").alias(f"_count_{c}"))])
     tagged = _sorted_tagged(counts, [*[F.col(b).asc_nulls_first() for b in by], F.col("_v")])
     inside = Window.partitionBy("_pid", *by).orderBy("_loc").rowsBetween(Window.unboundedPreceding, 0)

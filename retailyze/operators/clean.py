@@ -106,13 +106,16 @@ def _literal_for(dtype: T.DataType, value):
     return F.lit(value).cast(dtype)
 
 
-def fill_missing(df: DataFrame, rules: Mapping[str, object], stats_from: DataFrame | None = None) -> DataFrame:
+def fill_missing(df: DataFrame, rules: Mapping[str, object], stats_from: DataFrame | None = None,
+                 stats: DataFrame | None = None) -> DataFrame:
     """Per-column missing-value rule.
 
     rule = a constant | "mean" | "median" | "mode" | "drop".
     Statistics for all mean/median/mode columns come from one aggregate pass
-    over ``stats_from`` (default: ``df`` itself).
+    over ``stats_from`` (default: ``df`` itself), or are given as the one row ``stats``
+    with columns ``_mean_<c>``, ``_median_<c>``, ``_mode_<c>``.
     """
+    given = stats
     source = nan_as_null(stats_from if stats_from is not None else df)
     df = nan_as_null(df)
     rules = {c: r for c, r in rules.items() if c in df.columns}
@@ -123,8 +126,8 @@ def fill_missing(df: DataFrame, rules: Mapping[str, object], stats_from: DataFra
         return F.col(c) if isinstance(dt, T.NumericType) else F.col(c).try_cast("double")
 
     stat_aggs = [mean(numeric(c)).alias(f"_mean_{c}") for c, r in rules.items() if r == "mean"]
-    stats = source.agg(*stat_aggs) if stat_aggs else None
-    for c, r in rules.items():
+    stats = given if given is not None else source.agg(*stat_aggs) if stat_aggs else None
+    for c, r in rules.items() if given is None else ():
         if r == "median":
             med = exact_quantiles(source, c, [0.5], out_prefix=f"_median_{c}", midpoint_median=True)
             med = med.select(F.col(f"_median_{c}_0").alias(f"_median_{c}"))
@@ -173,7 +176,7 @@ def fill_defaults(df: DataFrame, today: str, numeric: Mapping[str, float] | None
 
 
 def cast_types(df: DataFrame, rules: Mapping[str, str], numeric_type: str = "double",
-               votes_from: DataFrame | None = None) -> DataFrame:
+               votes_from: DataFrame | None = None, votes: DataFrame | None = None) -> DataFrame:
     """C14: 'datetime' -> timestamp (layouts voted per column, as in C05, over
     ``votes_from`` or ``df``), 'numeric' -> ``numeric_type`` (double by default, a
     decimal for exact money), 'string' -> string; bad values become NULL."""
@@ -191,7 +194,7 @@ def cast_types(df: DataFrame, rules: Mapping[str, str], numeric_type: str = "dou
         else:
             raise ValueError(f"unknown type rule {kind!r} for {c}")
     if dates:
-        df = parse_dates(df, dates, votes_from)
+        df = parse_dates(df, dates, votes_from, votes)
     return df.withColumns(repl)
 
 
@@ -203,7 +206,7 @@ def _number(c: str) -> Column:
 
 def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
                  action: str = "flag", method: str = "exact",
-                 stats_from: DataFrame | None = None) -> DataFrame:
+                 stats_from: DataFrame | None = None, fences: DataFrame | None = None) -> DataFrame:
     """Tukey fences q1 - k*IQR, q3 + k*IQR per column (exact, linear
     quartiles). action: 'flag' adds ``<col>_outlier``; 'remove' keeps rows
     inside all fences (NULL values are kept); 'clip' caps values at the fences.
@@ -211,21 +214,16 @@ def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
 
     The quartiles of all columns come from one sort: the values of
     ``stats_from`` (default: ``df`` itself) are unpivoted to (column, value) and
-    ranked per column.
+    ranked per column. Or the fences are given as one row with columns ``_lo_<c>`` and
+    ``_hi_<c>``.
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    long = (stats_from if stats_from is not None else df).select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_c"), _number(c).alias("_x")) for i, c in enumerate(cols)
-    ])).alias("_p")).select("_p._c", "_p._x")
-    q = quantiles(long, "_x", [0.25, 0.75], by=["_c"], out_prefix="_q", method=method)
-    # one row per column -> one row with lo/hi fences for every column
-    fences = q.agg(*[
-        F.max(F.when(F.col("_c") == i, F.col("_q_0") - k * (F.col("_q_1") - F.col("_q_0")))).alias(f"_lo_{c}")
-        for i, c in enumerate(cols)] + [
-        F.max(F.when(F.col("_c") == i, F.col("_q_1") + k * (F.col("_q_1") - F.col("_q_0")))).alias(f"_hi_{c}")
-        for i, c in enumerate(cols)])
+    if fences is None:
+        fences = _fences(stats_from if stats_from is not None else df, cols, k, method)
+    else:
+        fences = fences.select(*[f"_{e}_{c}" for c in cols for e in ("lo", "hi")])
     out = with_stats(df, fences)
     for c in cols:
         x = _number(c)
@@ -242,6 +240,24 @@ def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
     return out.select(*keep)
 
 
+def _fences(df: DataFrame, cols: Sequence[str], k: float, method: str = "exact") -> DataFrame:
+    """One row: ``_lo_<c>``, ``_hi_<c>`` of every column."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_c"), _number(c).alias("_x")) for i, c in enumerate(cols)
+    ])).alias("_p")).select("_p._c", "_p._x")
+    q = quantiles(long, "_x", [0.25, 0.75], by=["_c"], out_prefix="_q", method=method)
+    return fences_of(q, cols, k)
+
+
+def fences_of(quartiles: DataFrame, cols: Sequence[str], k: float) -> DataFrame:
+    """One row of fences from rows (``_c``: place in ``cols``, ``_q_0``, ``_q_1``)."""
+    return quartiles.agg(*[
+        F.max(F.when(F.col("_c") == i, F.col("_q_0") - k * (F.col("_q_1") - F.col("_q_0")))).alias(f"_lo_{c}")
+        for i, c in enumerate(cols)] + [
+        F.max(F.when(F.col("_c") == i, F.col("_q_1") + k * (F.col("_q_1") - F.col("_q_0")))).alias(f"_hi_{c}")
+        for i, c in enumerate(cols)])
+
+
 def outliers_zscore(df: DataFrame, c: str, threshold: float = 5.0) -> DataFrame:
     """Flag rows with |x - mean| / sample stddev > threshold. Text that is no
     number and NaN are left out of the mean and are never flagged; with fewer than
@@ -308,7 +324,7 @@ def std_phone(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def std_currency(df: DataFrame, cols: Iterable[str], to: str = "decimal(18,2)",
-                 votes_from: DataFrame | None = None) -> DataFrame:
+                 votes_from: DataFrame | None = None, votes: DataFrame | None = None) -> DataFrame:
     """C20: money text to decimal(18,2): symbols and units off, '(12.50)', '-12.50'
     and '12.50-' negative, exponents, decimal point or comma as the column's own
     numbers tell (``functions.amounts``); anything else -> NULL. Numbers are only
@@ -316,7 +332,7 @@ def std_currency(df: DataFrame, cols: Iterable[str], to: str = "decimal(18,2)",
     present = [c for c in cols if c in df.columns]
     numeric = [c for c in present if isinstance(df.schema[c].dataType, T.NumericType)]
     df = df.withColumns({c: F.col(f"`{c}`").try_cast(to) for c in numeric})
-    return parse_amounts(df, [c for c in present if c not in numeric], to, votes_from)
+    return parse_amounts(df, [c for c in present if c not in numeric], to, votes_from, votes)
 
 
 def std_text(df: DataFrame, cols: Iterable[str]) -> DataFrame:

@@ -17,6 +17,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from ..functions.layouts import text_columns
 from ..session import cut_lineage
 from . import clean as C
 from .shape import add_derived
@@ -117,39 +118,45 @@ def merged_processing(cfg: Mapping, source: str | None) -> dict:
 
 def clean(df: DataFrame, cfg: Mapping | None = None, source: str | None = None,
           outlier_action: str = "flag", numeric_type: str = "double",
-          timestamp_col: bool = True, stats_from: DataFrame | None = None) -> DataFrame:
+          timestamp_col: bool = True, stats_from: DataFrame | None = None, running=None) -> DataFrame:
     """The whole rule run on one source. Means, modes, quartiles
     and the votes on date layouts and decimal marks come from ``stats_from`` (raw
-    rows of the same shape), by default from ``df``."""
+    rows of the same shape), by default from ``df``; or from ``running``
+    (``streaming.running.RunningStatistics``), to which those of ``df`` are added."""
     p = merged_processing(cfg or DEFAULT_RULES, source)
     out = df
 
     def typed(x: DataFrame, votes: DataFrame | None = None) -> DataFrame:
         st = p.get("standardization") or {}
+        money = [c for c in st.get("currency_columns", []) if c in x.columns]
+        dates = [c for c, kind in (p.get("data_types") or {}).items() if kind == "datetime" and c in x.columns]
+        marks = running.amount_votes(x, text_columns(x, money)) if running else None
+        layouts = running.date_votes(x, text_columns(x, dates)) if running else None
         x = C.std_email(x, st.get("email_columns", []))
         x = C.std_phone(x, st.get("phone_columns", []))
-        x = C.std_currency(x, st.get("currency_columns", []), votes_from=votes)
+        x = C.std_currency(x, money, votes_from=votes, votes=marks)
         x = C.std_text(x, st.get("text_columns", []))
-        return C.cast_types(x, p.get("data_types") or {}, numeric_type=numeric_type, votes_from=votes)
+        return C.cast_types(x, p.get("data_types") or {}, numeric_type=numeric_type, votes_from=votes, votes=layouts)
 
     keys = [k for k in p.get("duplicate_subset", []) if k in out.columns]
     if keys:
         out = C.dedup_by(out, keys)
         stats_needed = (any(r in ("mean", "median", "mode") for r in (p.get("missing_values") or {}).values())
                         or bool((p.get("outliers") or {}).get("columns")))
-        if stats_needed and stats_from is None:
+        if stats_needed and (stats_from is None or running):
             # the statistics (mean, mode, quartiles) and the row path all read the
             # deduplicated rows: materialize them once in the checkpoint dir
             out = cut_lineage(out)
     out = typed(out, stats_from)
-    reference = typed(stats_from) if stats_from is not None else None
-    if p.get("missing_values"):
-        out = C.fill_missing(out, p["missing_values"], stats_from=reference)
+    reference = typed(stats_from) if stats_from is not None and not running else None
     o = p.get("outliers") or {}
+    known = running.statistics(out, p.get("missing_values") or {}, o.get("columns") or []) if running else None
+    if p.get("missing_values"):
+        out = C.fill_missing(out, p["missing_values"], stats_from=reference, stats=known)
     if o.get("columns"):
         if o.get("method", "iqr") != "iqr":
             raise ValueError(f"unsupported outlier method {o.get('method')!r}")
-        out = C.outliers_iqr(out, o["columns"], action=outlier_action, stats_from=reference)
+        out = C.outliers_iqr(out, o["columns"], action=outlier_action, stats_from=reference, fences=known)
     if p.get("derived_columns"):
         out = add_derived(out, p["derived_columns"], now_col=timestamp_col)
     return out

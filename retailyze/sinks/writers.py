@@ -1,8 +1,8 @@
 """Writers and export bundles.
 
-Result sections are DataFrames; a JSON "document" of several sections is
-built with ``collect_list(struct(...))`` per section on the executors, so only
-the (small, aggregated) sections are packed - never the fact table.
+Result sections are DataFrames. A section that goes out in several formats is
+computed once and written from there; a JSON "document" of several sections is a
+folder of JSON lines for each, so rows stay distributed.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,15 +73,21 @@ def write_json_sections(sections: Mapping[str, DataFrame], out: str) -> None:
 def export_bundle(sections: Mapping[str, DataFrame], out: str, csv_sections=None,
                   document: str = "complete_analytics") -> dict[str, str]:
     """One CSV folder per chosen section plus a JSON document folder
-    with every section as JSON lines."""
-    paths = {}
-    for name in (csv_sections if csv_sections is not None else sections.keys()):
-        p = f"{out}/{name}"
-        write_csv(sections[name], p)
-        paths[name] = p
-    p = f"{out}/{document}"
-    write_json_sections(sections, p)
-    paths[document] = p
+    with every section as JSON lines. A section written in both formats is kept from
+    its first write and computed once."""
+    chosen = list(csv_sections if csv_sections is not None else sections.keys())
+    paths = {name: f"{out}/{name}" for name in chosen}
+    paths[document] = f"{out}/{document}"
+    for name, section in sections.items():
+        if name not in chosen:
+            section.write.mode("overwrite").json(f"{paths[document]}/{name}")
+            continue
+        staged = section.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_csv(staged, paths[name])
+            staged.write.mode("overwrite").json(f"{paths[document]}/{name}")
+        finally:
+            staged.unpersist()
     return paths
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.rules import DEFAULT_RULES, clean
+from .running import RunningStatistics
 
 
 def envelope_schema(data_schema: T.StructType) -> T.StructType:
@@ -121,9 +122,12 @@ def route(stream: DataFrame, schemas: Mapping[str, T.StructType], out_root: str,
     Each batch owns the folder ``batch_id=N`` of an output and overwrites it, so
     a batch that is run again leaves no second copy. Messages that don't parse
     and messages of a topic without target or schema are kept in ``rejects``
-    with their topic and reason. ``reference`` holds, per source, the rows that
-    means, modes and quartiles are taken from; without it they come from the
-    micro-batch and depend on how messages were batched."""
+    with their topic and reason.
+
+    Means, modes, quartiles and votes on layouts come from ``reference`` (rows per
+    source) or else from all batches so far: each adds its counts under
+    ``state/<source>`` and keeps its parsed rows there, from which ``settle`` cleans a
+    source once more with the statistics of the whole stream."""
     cfg = cfg or DEFAULT_RULES
     block = cfg["streaming"]
     targets = dict(block.get("kafka", block)["output_topics"])
@@ -147,7 +151,13 @@ def route(stream: DataFrame, schemas: Mapping[str, T.StructType], out_root: str,
                 rejected = rejected.unionByName(bad.select(
                     F.lit(topic).alias("topic"), F.lit("not an envelope").alias("reason"), "value"))
                 source = _source_of(topic)
-                cleaned = clean(rows, cfg, source, timestamp_col=False, stats_from=(reference or {}).get(source))
+                given = (reference or {}).get(source)
+                state = f"{out_root}/state/{source}"
+                if given is None:
+                    rows.write.mode("overwrite").parquet(f"{state}/rows/batch_id={batch_id}")
+                    rows = rows.sparkSession.read.schema(rows.schema).parquet(f"{state}/rows/batch_id={batch_id}")
+                running = RunningStatistics(state, batch_id) if given is None else None
+                cleaned = clean(rows, cfg, source, timestamp_col=False, stats_from=given, running=running)
                 sink(cleaned, f"{out_root}/{targets[topic]}/batch_id={batch_id}")
             sink(rejected, f"{out_root}/rejects/batch_id={batch_id}")
         finally:
@@ -157,6 +167,14 @@ def route(stream: DataFrame, schemas: Mapping[str, T.StructType], out_root: str,
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def settle(spark: SparkSession, source: str, out_root: str, out: str, cfg: Mapping | None = None) -> None:
+    """All rows that ``route`` has kept of a source, cleaned as one table: duplicates
+    across batches go and every row is judged by the statistics of all, however the
+    stream was cut into batches."""
+    rows = spark.read.parquet(f"{out_root}/state/{source}/rows").drop("batch_id")
+    clean(rows, cfg or DEFAULT_RULES, source, timestamp_col=False).write.mode("overwrite").parquet(out)
+
+
 def replay_files(df: DataFrame, out_dir: str, batch: int = 100) -> None:
     """T07 (producer): write rows as JSON files of at most ``batch`` rows."""
     df.write.mode("overwrite").option("maxRecordsPerFile", str(batch)).json(out_dir)
