@@ -7,15 +7,15 @@ the newest, where does a registered dataset live).
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import NA_TOKENS
-from ..operators.shape import clean_headers, drop_empty_columns, drop_index_columns
+from ..operators.shape import clean_headers, drop_index_columns
 
 # The raw order-export schema (21 columns, all nullable).
 ORDERS_RAW_SCHEMA = T.StructType([
@@ -113,66 +113,99 @@ ROBUST_ATTEMPTS = [
 ]
 _JAVA_CHARSET = {"utf-8": "UTF-8", "utf-8-sig": "UTF-8", "cp1252": "windows-1252",
                  "iso-8859-1": "ISO-8859-1", "latin-1": "ISO-8859-1"}
-_BAD_CHAR = "�"
-
-
-_STANDARD_CHARSETS = {"UTF-8", "ISO-8859-1", "US-ASCII", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"}
-
-
-def _attempt(spark: SparkSession, path: str, encoding: str, sep: str, multiline: bool) -> DataFrame:
-    if _JAVA_CHARSET[encoding] not in _STANDARD_CHARSETS:
-        # Spark 4 limits reader charsets to the standard set unless the JVM's
-        # full charset list is enabled (needed for windows-1252)
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    return (spark.read.option("header", "true").option("sep", sep)
-            .option("encoding", _JAVA_CHARSET[encoding])
-            .option("ignoreLeadingWhiteSpace", "true")
-            .option("inferSchema", "true")
-            .option("multiLine", multiline).option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+# Bytes that windows-1252 leaves undefined, and its characters for the other
+# bytes from 0x80 to 0x9F, which ISO-8859-1 reads as control characters.
+_UNDEFINED_1252 = "\x81\x8d\x8f\x90\x9d"
+_CONTROLS = "".join(chr(b) for b in range(0x80, 0xA0) if chr(b) not in _UNDEFINED_1252)
+_CHARS_1252 = _CONTROLS.encode("latin-1").decode("cp1252")
+
+
+def profile_text(spark: SparkSession, path: str) -> dict:
+    """One pass over a text file's bytes, one row back: lines, lines that are no UTF-8,
+    lines that windows-1252 can't hold, lines with an odd number of quotes (a cell
+    goes on in the next line), and the first line's bytes."""
+    text = spark.read.text(path).where(F.length("value") > 0)
+    raw = F.col("value").cast("binary")
+    quotes = F.length(raw) - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")).cast("binary"))
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    rows = text.select(F.is_valid_utf8("value").alias("utf8"), F.decode(raw, "ISO-8859-1").rlike(f"[{_UNDEFINED_1252}]").alias("no1252"),
+                       (quotes % 2 == 1).alias("odd"), raw.alias("raw"), place.alias("place"))
+    r = rows.agg(F.count(F.lit(1)).alias("lines"), F.count_if(~F.col("utf8")).alias("not_utf8"),
+                 F.count_if("no1252").alias("not_1252"), F.count_if("odd").alias("odd_quotes"),
+                 F.min_by("raw", "place").alias("first")).first()
+    return r.asDict() | {"first": bytes(r["first"] or b"")}
+
+
+def _fits(profile: Mapping, encoding: str, sep: str, min_cols: int) -> bool:
+    """Would this attempt decode cleanly and give at least ``min_cols`` columns?"""
+    if profile["not_utf8"] if encoding.startswith("utf-8") else encoding == "cp1252" and profile["not_1252"]:
+        return False
+    header = profile["first"].decode("latin-1")
+    return profile["lines"] > 0 and len(next(csv.reader([header], delimiter=sep))) >= min_cols
+
+
+def _text_scan(spark: SparkSession, path: str, encoding: str, sep: str, multiline: bool) -> DataFrame:
+    """All cells as text. windows-1252 is read as ISO-8859-1, a charset that every
+    session allows, and its own characters are put in."""
+    df = (spark.read.option("header", "true").option("sep", sep).option("inferSchema", "false")
+          .option("encoding", "UTF-8" if encoding.startswith("utf-8") else "ISO-8859-1")
+          .option("ignoreLeadingWhiteSpace", "true").option("multiLine", multiline).option("escape", '"')
+          .option("mode", "PERMISSIVE").csv(path))
+    if encoding == "cp1252":
+        df = df.select(*[F.translate(F.col(f"`{c}`"), _CONTROLS, _CHARS_1252).alias(c.translate(str.maketrans(_CONTROLS, _CHARS_1252)))
+                         for c in df.columns])
+    return df
+
+
+def typed_cells(df: DataFrame) -> DataFrame:
+    """Text columns with the type that all their non-NULL values have (int, bigint,
+    double, date, timestamp, boolean; else text); columns without a value are left
+    out. One aggregate decides for all columns."""
+    if not df.columns:
+        return df
+    aggs = []
+    for i, c in enumerate(df.columns):
+        x = F.col(f"`{c}`")
+        day = x.rlike(r"^\d{4}-\d{2}-\d{2}$")
+        aggs += [F.count(x).alias(f"n{i}"), F.count(x.try_cast("int")).alias(f"int{i}"), F.count(x.try_cast("bigint")).alias(f"bigint{i}"),
+                 F.count(x.try_cast("double")).alias(f"double{i}"), F.count(F.when(day, x.try_cast("date"))).alias(f"date{i}"),
+                 F.count(F.when(x.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(x))).alias(f"timestamp{i}"),
+                 F.count_if(F.lower(x).isin("true", "false")).alias(f"boolean{i}")]
+    r = df.agg(*aggs).first()
+    out = []
+    for i, c in enumerate(df.columns):
+        n = r[f"n{i}"]
+        kind = next((k for k in ("int", "bigint", "double", "date", "timestamp", "boolean") if r[f"{k}{i}"] == n), "string")
+        if n:
+            out.append(F.col(f"`{c}`").try_cast(kind).alias(c) if kind != "string" else F.col(f"`{c}`"))
+    return df.select(*out)
 
 
 def read_csv_robust(spark: SparkSession, path: str, min_cols: int = 2,
                     attempts: Sequence[Mapping[str, str]] = ROBUST_ATTEMPTS,
-                    multiline: bool = True) -> tuple[DataFrame, dict]:
-    """Try encodings/separators in order and keep the first attempt that
-    decodes cleanly and has >= min_cols columns, whatever its number of rows;
-    quoted cells may hold line breaks (``multiline=False`` makes large files
-    splittable instead); NA tokens become NULL, empty and index-like columns are dropped, headers cleaned.
-
-    Spark replaces undecodable bytes with U+FFFD instead of failing, so a UTF-8
-    attempt is rejected when any cell or header holds that character (a scan
-    that stops at the first hit). Text columns that are numeric once the NA
-    tokens are NULL get a numeric type. Returns (DataFrame, the attempt used).
+                    multiline: bool | None = None) -> tuple[DataFrame, dict]:
+    """The first of ``attempts`` (encoding, separator) under which the file decodes
+    and has >= min_cols columns, whatever its number of rows; NA tokens become NULL,
+    columns get the type of all their values, empty and index-like columns are
+    dropped, headers cleaned. Returns (DataFrame, the attempt used).
+
+    One pass over the bytes decides on the attempt (``profile_text``), one over the
+    cells on the types. Quoted cells may hold line breaks: where a line has an odd
+    number of quotes each file is read by one task, else files are split
+    (``multiline`` sets it by hand). No session setting is changed.
     """
-    last_error = None
+    profile = profile_text(spark, path)
+    if multiline is None:
+        multiline = profile["odd_quotes"] > 0
     for att in attempts:
-        try:
-            df = _attempt(spark, path, att["encoding"], att["sep"], multiline)
-            if len(df.columns) < min_cols:
-                continue
-            if att["encoding"].startswith("utf-8"):
-                if any(_BAD_CHAR in c for c in df.columns):
-                    continue
-                strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-                if strings:
-                    bad = None
-                    for c in strings:
-                        cond = F.col(f"`{c}`").contains(_BAD_CHAR)
-                        bad = cond if bad is None else bad | cond
-                    if df.where(bad).limit(1).count() > 0:
-                        continue
-            out = clean_headers(drop_index_columns(drop_empty_columns(
-                retype_numeric_text(null_tokens(df, READ_NA_TOKENS)))))
-            if len(out.columns) < min_cols:
-                continue
+        if not _fits(profile, att["encoding"], att["sep"], min_cols):
+            continue
+        cells = null_tokens(_text_scan(spark, path, att["encoding"], att["sep"], multiline), READ_NA_TOKENS)
+        named = [c for c in cells.columns if c.strip() and not c.startswith("Unnamed")]
+        out = clean_headers(drop_index_columns(typed_cells(cells.select(*[F.col(f"`{c}`") for c in named]))))
+        if len(out.columns) >= min_cols:
             return out, dict(att)
-        except AnalysisException as e:  # an attempt that cannot parse moves on
-            if "PATH_NOT_FOUND" in str(e):
-                raise
-            last_error = e
-    raise ValueError(f"could not read {path} with any encoding/separator combination") from last_error
+    raise ValueError(f"could not read {path} with any encoding/separator combination")
 
 
 def read_head(spark: SparkSession, path: str, n: int, fmt: str = "csv") -> DataFrame:

@@ -109,6 +109,43 @@ def test_robust_reader_encodings_and_cleanup(spark, tmp_dir):
     assert df.count() == 2 and df.where(F.col("b") == "x\ny").count() == 1
 
 
+def test_robust_reader_profiles_once_and_reads_once(spark, tmp_dir):
+    conf = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.legacy.javaCharsets")
+    _write_bytes(f"{tmp_dir}/a/x.csv", "id;name;Preis €;day;at;flag;big;n\n0;\u201cA\u201d–€;1.5;2024-01-02;2024-01-02 03:04:05;true;5000000000;7\n"
+                 "1;Zoë;NA;2024-01-03;2024-01-02;False;1;n/a\n", "cp1252")
+    attempts = [{"encoding": "utf-8", "sep": ","}, {"encoding": "cp1252", "sep": ","}, {"encoding": "cp1252", "sep": ";"}]
+    df, att = R.read_csv_robust(spark, f"{tmp_dir}/a/x.csv", attempts=attempts)
+    assert att == attempts[2]
+    assert dict(df.dtypes) == {"name": "string", "Preis €": "double", "day": "date", "at": "timestamp", "flag": "boolean",
+                               "big": "bigint", "n": "int"}  # id was 0..n-1
+    assert {r["name"] for r in df.collect()} == {"\u201cA\u201d–€", "Zoë"}
+    # bytes that windows-1252 doesn't have: the next attempt
+    with open(f"{tmp_dir}/raw.csv", "wb") as f:
+        f.write(b"a,b\n1,x\x81\xe9\n")
+    df, att = R.read_csv_robust(spark, f"{tmp_dir}/raw.csv")
+    assert att["encoding"] == "iso-8859-1" and df.first()["b"] == "x\x81é"
+    # U+FFFD itself is a character
+    _write_bytes(f"{tmp_dir}/c/x.csv", "a,b\n1,�\n", "utf-8")
+    assert R.read_csv_robust(spark, f"{tmp_dir}/c/x.csv")[1]["encoding"] == "utf-8"
+    p = R.profile_text(spark, f"{tmp_dir}/a/x.csv")
+    assert (p["lines"], p["not_utf8"], p["odd_quotes"]) == (3, 3, 0)
+    with pytest.raises(ValueError):
+        _write_bytes(f"{tmp_dir}/e/x.csv", "", "utf-8")
+        R.read_csv_robust(spark, f"{tmp_dir}/e/x.csv")
+    assert conf == (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.legacy.javaCharsets"))
+
+
+def test_robust_reader_splits_files_without_open_quotes(spark, tmp_dir):
+    _write_bytes(f"{tmp_dir}/a/x.csv", "a,b\n" + "".join(f'{i},"v,{i}"\n' for i in range(40_000)), "utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df, _ = R.read_csv_robust(spark, f"{tmp_dir}/a/x.csv")
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 40_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_head_source_and_json(spark, tmp_dir):
     raw = _raw_orders(spark)
     W.write_csv(raw, f"{tmp_dir}/o")
