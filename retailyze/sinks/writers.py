@@ -31,20 +31,49 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def publish_summary(df: DataFrame, url: str, run_date: _dt.date, base: str = "ecommerce_summary",
                     properties: Mapping | None = None) -> tuple[str, str]:
     """Replace the dated table ``<base>_YYYYMMDD`` and ``<base>_current``
-    in a database with the summary rows (JDBC, overwrite)."""
+    in a database with the summary rows (JDBC, overwrite).
+
+    The current table is copied from the finished dated one, so the summary is
+    computed once, a run that fails in computing it never reaches the current table,
+    and both hold the same rows."""
     props = dict(properties or {})
     dated = f"{base}_{run_date.strftime('%Y%m%d')}"
     current = f"{base}_current"
-    for t in (dated, current):
-        df.write.mode("overwrite").jdbc(url, t, properties=props)
+    df.write.mode("overwrite").jdbc(url, dated, properties=props)
+    df.sparkSession.read.jdbc(url, dated, properties=props).write.mode("overwrite").jdbc(url, current, properties=props)
     return dated, current
 
 
+def replace_table(df: DataFrame, name: str, keep: int = 2) -> str:
+    """Publish ``df`` under ``name``: the rows are written to a new version table and
+    only then does the name, a view, point to it. Readers see the old rows or the new
+    ones, never a half-written table, and a write that fails leaves the old ones in
+    place. The last ``keep`` versions stay for readers that began with them."""
+    spark = df.sparkSession
+    database, _, short = name.rpartition(".")
+    prefix = f"{short}__v"
+    quoted = lambda t: f"`{database}`.`{t}`" if database else f"`{t}`"
+    version = f"{prefix}{_dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}"
+    df.write.mode("errorifexists").saveAsTable(quoted(version))
+    listed = spark.catalog.listTables(database or None)
+    if any(t.name == short.lower() and t.tableType != "VIEW" and not t.isTemporary for t in listed):
+        # a plain table of this name, from before there were versions, becomes the first one
+        spark.sql(f"ALTER TABLE {quoted(short)} RENAME TO {quoted(prefix + '0')}")
+        listed = spark.catalog.listTables(database or None)
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted(short)} AS SELECT * FROM {quoted(version)}")
+    versions = sorted(t.name for t in listed if t.name.startswith(prefix.lower()) and t.tableType != "VIEW")
+    for old in versions[:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(old)}")
+    return name
+
+
 def write_table(df: DataFrame, name: str, timestamped: bool = False,
                 now: _dt.datetime | None = None) -> str:
-    """Catalog table overwrite; optional ``_YYYYMMDD_HHMMSS`` suffix."""
-    if timestamped:
-        name = f"{name}_{(now or _dt.datetime.now()).strftime('%Y%m%d_%H%M%S')}"
+    """Catalog table overwrite (``replace_table``); with ``timestamped`` a table
+    of its own, suffixed ``_YYYYMMDD_HHMMSS``."""
+    if not timestamped:
+        return replace_table(df, name)
+    name = f"{name}_{(now or _dt.datetime.now()).strftime('%Y%m%d_%H%M%S')}"
     df.write.mode("overwrite").saveAsTable(name)
     return name
 
@@ -103,11 +132,10 @@ def export_dataset_json(summary: DataFrame, df: DataFrame, out: str) -> None:
 
 
 def publish_dataset(spark: SparkSession, data: DataFrame, name: str, out_csv: str) -> str:
-    """Names sanitized, then table ``processed_data_<name>`` and a CSV copy."""
-    clean = sanitize_columns(data)
-    table = f"processed_data_{name}"
-    clean.write.mode("overwrite").saveAsTable(table)
-    write_csv(clean, out_csv)
+    """Names sanitized, then table ``processed_data_<name>`` (``replace_table``) and
+    a CSV copy of the published rows."""
+    table = replace_table(sanitize_columns(data), f"processed_data_{name}")
+    write_csv(spark.table(table), out_csv)
     return table
 
 

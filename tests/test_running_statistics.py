@@ -97,3 +97,24 @@ def test_a_section_in_two_formats_is_computed_once(spark, tmp_dir):
     assert spark.read.option("header", True).csv(paths["both"]).count() == 40
     assert spark.read.json(f"{paths['complete_analytics']}/both").count() == 40
     assert spark.read.json(f"{paths['complete_analytics']}/one").count() == 7
+
+
+def test_a_failed_publication_leaves_the_old_rows(spark, tmp_dir):
+    name = "swap_test"
+    W.write_table(spark.range(5), name)
+    assert spark.table(name).count() == 5
+    bad = spark.range(100).select(F.when(F.col("id") == 77, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        W.write_table(bad, name)
+    assert spark.table(name).count() == 5
+    for n in (6, 7, 8):
+        W.write_table(spark.range(n), name)
+        assert spark.table(name).count() == n
+    versions = [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{name}__v")]
+    assert len(versions) <= 3
+    # a plain table of that name is taken over
+    spark.range(3).write.saveAsTable("swap_plain")
+    W.write_table(spark.range(4), "swap_plain")
+    assert spark.table("swap_plain").count() == 4
+    assert W.publish_dataset(spark, spark.range(9).toDF("a b"), "swap", f"{tmp_dir}/csv") == "processed_data_swap"
+    assert spark.table("processed_data_swap").count() == spark.read.option("header", True).csv(f"{tmp_dir}/csv").count() == 9
