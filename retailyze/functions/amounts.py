@@ -34,25 +34,40 @@ POINT, COMMA = _certain(r"\.", ","), _certain(",", r"\.")
 OPEN = r"^[1-9]\d{0,2}[.,]\d{3}$"
 
 
-def _parts(c: str) -> dict[str, Column]:
-    s = F.regexp_replace(F.col(f"`{c}`").cast("string"), NOTHING, "")
-    body = F.regexp_extract(s, AMOUNT, 1)
-    mantissa, power = F.regexp_extract(body, r"^[\d.,]+", 0), F.regexp_extract(body, r"[eE]([+\-]?\d+)$", 1)
-    scientific = power != ""
-    unit = F.regexp_replace(s, r"[eE][+\-]?\d{1,2}", "")  # the sign of the exponent isn't the amount's
-    return {"mantissa": mantissa, "power": power,
-            "negative": s.startswith("(") | unit.contains("-"),
-            "plain": mantissa.rlike(r"^\d+$"),
-            "point": mantissa.rlike(POINT) | (scientific & mantissa.rlike(r"^\d+\.\d{3}$")),
-            "comma": mantissa.rlike(COMMA) | (scientific & mantissa.rlike(r"^\d+,\d{3}$")),
-            "open": ~scientific & mantissa.rlike(OPEN)}
+#: Numbers as programs write them, a sign of money in front at most, need no grammar:
+#: their point is no thousands mark.
+SIGNS = "$€£¥"
+SIMPLE = rf"^-?[{SIGNS}]?\d+(?:\.(?:\d{{1,2}}|\d{{4,}}))?$"
+
+
+def _split(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``_s<i>``: the text without blanks, and ``_p<i>``: mantissa and exponent of each
+    column that is no simple number. Each step is a projection of its own, so that
+    no pattern is matched twice."""
+    df = df.withColumns({f"_s{i}": F.btrim(F.col(f"`{c}`").cast("string"), F.lit(" ")) for i, c in enumerate(cols)})
+    df = df.withColumns({f"_p{i}": F.col(f"_s{i}").rlike(SIMPLE) for i in range(len(cols))})
+    df = df.withColumns({f"_s{i}": F.when(F.col(f"_p{i}"), F.translate(f"_s{i}", SIGNS, "")).otherwise(
+        F.regexp_replace(f"_s{i}", NOTHING, "")) for i in range(len(cols))})
+    return df.withColumns({f"_p{i}": F.when(~F.col(f"_p{i}"), F.split(F.lower(F.regexp_extract(f"_s{i}", AMOUNT, 1)), "e"))
+                           for i in range(len(cols))})
+
+
+def _kinds(i: int) -> dict[str, Column]:
+    m, scientific = F.get(F.col(f"_p{i}"), F.lit(0)), F.size(f"_p{i}") > 1
+    return {"mantissa": m, "scientific": scientific, "power": F.get(F.col(f"_p{i}"), F.lit(1)),
+            "point": m.rlike(POINT) | (scientific & m.rlike(r"^\d+\.\d{3}$")),
+            "comma": m.rlike(COMMA) | (scientific & m.rlike(r"^\d+,\d{3}$"))}
 
 
 def comma_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row: ``<i>_yes`` / ``<i>_no``, numbers of the i-th column that tell a decimal
     comma / point."""
-    return df.agg(*[F.count_if(_parts(c)[k]).alias(f"{i}_{n}") for i, c in enumerate(cols)
-                    for n, k in (("yes", "comma"), ("no", "point"))])
+    aggs = []
+    for i in range(len(cols)):
+        k = _kinds(i)
+        simple = F.col(f"_p{i}").isNull() & F.col(f"_s{i}").contains(".")
+        aggs += [F.count_if(k["comma"]).alias(f"{i}_yes"), F.count_if(simple | k["point"]).alias(f"{i}_no")]
+    return _split(df.select(*[F.col(f"`{c}`") for c in cols]), cols).agg(*aggs)
 
 
 def comma_votes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -60,15 +75,18 @@ def comma_votes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return comma_counts(df, cols).select(*[(F.col(f"{i}_yes") > F.col(f"{i}_no")).alias(c) for i, c in enumerate(cols)])
 
 
-def read_amount(c: str, comma: Column, to: str) -> Column:
-    p = _parts(c)
-    m = p["mantissa"]
-    by_point = F.regexp_replace(m, ",", "")
-    by_comma = F.regexp_replace(F.regexp_replace(m, r"\.", ""), ",", ".")
-    text = (F.when(p["plain"], m).when(p["point"], by_point).when(p["comma"], by_comma)
-             .when(p["open"], F.when(comma, by_comma).otherwise(by_point)))
-    number = F.concat(text, F.when(p["power"] != "", F.concat(F.lit("E"), p["power"])).otherwise("")).try_cast(to)
-    return F.when(p["negative"], -number).otherwise(number)
+def _number(i: int, comma: Column, to: str) -> Column:
+    """The split text's number, by the grammar and the column's decimal mark."""
+    k = _kinds(i)
+    m, s = k["mantissa"], F.col(f"_s{i}")
+    by_point = F.translate(m, ",", "")
+    by_comma = F.translate(F.translate(m, ".", ""), ",", ".")
+    text = (F.when(m.rlike(r"^\d+$"), m).when(k["point"], by_point).when(k["comma"], by_comma)
+             .when(~k["scientific"] & m.rlike(OPEN), F.when(comma, by_comma).otherwise(by_point)))
+    number = F.when(k["scientific"], F.concat(text, F.lit("E"), k["power"])).otherwise(text).try_cast(to)
+    # the sign of the exponent isn't the amount's
+    unit = F.when(k["scientific"], F.regexp_replace(s, r"[eE][+\-]?\d{1,2}", "")).otherwise(s)
+    return F.when(F.col(f"_p{i}").isNull(), s.try_cast(to)).when(s.startswith("(") | unit.contains("-"), -number).otherwise(number)
 
 
 def parse_amounts(df: DataFrame, cols: Sequence[str], to: str = "decimal(18,2)",
@@ -82,5 +100,6 @@ def parse_amounts(df: DataFrame, cols: Sequence[str], to: str = "decimal(18,2)",
     if votes is None:
         votes = comma_votes(votes_from if votes_from is not None else df, cols)
     votes = votes.select(*[F.col(f"`{c}`").alias(m) for c, m in marks.items()])
-    out = with_stats(df, votes)
-    return out.withColumns({c: read_amount(c, F.col(m), to) for c, m in marks.items()}).drop(*marks.values())
+    out = _split(with_stats(df, votes), cols)
+    return out.withColumns({c: _number(i, F.col(m), to) for i, (c, m) in enumerate(marks.items())}).select(
+        *[F.col(f"`{c}`") for c in df.columns])

@@ -21,6 +21,8 @@ from . import with_stats
 # years that belong to the 20th century.
 _DAY, _MONTH = r"(0?[1-9]|[12]\d|3[01])", r"(0?[1-9]|1[0-2])"
 _REST = r"((?:[ T].*)?)$"
+#: How most texts look already: nothing has to be turned around.
+ISO = r"^\d{4}-\d"
 MONTH_FIRST = rf"^{_MONTH}[/.\-]{_DAY}[/.\-](\d{{4}}){_REST}"
 DAY_FIRST = rf"^{_DAY}[/.\-]{_MONTH}[/.\-](\d{{4}}){_REST}"
 SHORT_1900 = r"^(?<d>\d{1,2}[/.\-]\d{1,2}[/.\-])(?<y>69|[7-9]\d)(?!\d)"
@@ -34,17 +36,20 @@ MONTH_DAY = rf"^{_NAME}\.? +(?<d>\d{{1,2}}),? +(?<y>\d{{4}})(?<r>(?:[ T].*)?)$"
 DAY_MONTH = rf"^(?<d>\d{{1,2}})[ \-]+{_NAME}\.?[ \-,]+(?<y>\d{{4}})(?<r>(?:[ T].*)?)$"
 
 
+#: What votes: a numeric date in one order, its year of two or four digits.
+VOTE_MONTH_FIRST = rf"^{_MONTH}[/.\-]{_DAY}[/.\-](\d{{4}}|\d{{2}}){_REST}"
+VOTE_DAY_FIRST = rf"^{_DAY}[/.\-]{_MONTH}[/.\-](\d{{4}}|\d{{2}}){_REST}"
+
+
 def _trimmed(c: str) -> Column:
-    """The text without blanks around it, two-digit years written out."""
-    s = F.btrim(F.col(f"`{c}`").cast("string"), F.lit(" \t\r\n"))
-    return F.regexp_replace(F.regexp_replace(s, SHORT_1900, "${d}19${y}"), SHORT_2000, "${d}20${y}")
+    return F.btrim(F.col(f"`{c}`").cast("string"), F.lit(" \t\r\n"))
 
 
 def day_first_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row: ``<i>_yes`` / ``<i>_no``, texts of the i-th column that can be read day
     first / month first."""
     return df.agg(*[F.count_if(_trimmed(c).rlike(p)).alias(f"{i}_{n}") for i, c in enumerate(cols)
-                    for n, p in (("yes", DAY_FIRST), ("no", MONTH_FIRST))])
+                    for n, p in (("yes", VOTE_DAY_FIRST), ("no", VOTE_MONTH_FIRST))])
 
 
 def day_first_votes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -55,6 +60,7 @@ def day_first_votes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def iso_text(s: Column, day_first: Column) -> Column:
     """A trimmed text with its date as year-month-day (a named month by its first three
     letters), other texts as they are. Only shapes are matched, nothing is parsed."""
+    s = F.regexp_replace(F.regexp_replace(s, SHORT_1900, "${d}19${y}"), SHORT_2000, "${d}20${y}")
     s = F.when(day_first, F.regexp_replace(s, DAY_FIRST, "$3-$2-$1$4")).otherwise(
         F.regexp_replace(s, MONTH_FIRST, "$3-$1-$2$4"))
     s = F.regexp_replace(F.regexp_replace(s, EIGHT_DIGITS, "$1-$2-$3$4"), YEAR_FIRST, "$1-$2-$3$4")
@@ -90,5 +96,6 @@ def parse_dates(df: DataFrame, cols: Sequence[str], votes_from: DataFrame | None
         votes = day_first_votes(votes_from if votes_from is not None else df, text)
     votes = votes.select(*[F.col(f"`{c}`").alias(m) for c, m in marks.items()])
     out = with_stats(out, votes)
-    out = out.withColumns({c: iso_text(_trimmed(c), F.col(m)) for c, m in marks.items()})
+    out = out.withColumns({c: F.when(_trimmed(c).rlike(ISO), _trimmed(c)).otherwise(iso_text(_trimmed(c), F.col(m)))
+                           for c, m in marks.items()})
     return out.withColumns({c: read_iso(F.col(f"`{c}`")) for c in text}).drop(*marks.values())

@@ -614,28 +614,20 @@ def margin_by_quintile(df: DataFrame, sales: str = "sales", profit: str = "profi
     first bin includes the minimum); per bin mean profit, mean sales and
     margin % = mean profit / mean sales * 100. Duplicate edges raise an error,
     as quantile cuts do."""
-    probs = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
-    if method == "exact":
-        # edges and bins come from one table of distinct sales values with their sums
-        both = df.select(F.col(sales).alias("s"), F.col(profit).alias("p"))
-        rows = ranked_values(both, "s", sums=["s", "p"])
-        q = quantiles_of(rows, probs, out_prefix="_e")
-        x = F.col("_v")
-        means = [F.try_divide(F.sum(f"_sum_{c}").cast("double"), F.sum(f"_count_{c}").cast("double")).alias(name)
-                 for c, name in (("p", "profit"), ("s", "sales"))]
-    else:
-        q = quantiles(df, sales, probs, out_prefix="_e", method=method)
-        rows, x = df.where(F.col(sales).isNotNull()), _dbl(sales)
-        means = [mean(profit).alias("profit"), mean(sales).alias("sales")]
+    q = quantiles(df, sales, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0], out_prefix="_e", method=method)
     e = [F.col(f"_e_{i}") for i in range(6)]
     dup = (e[0] >= e[1]) | (e[1] >= e[2]) | (e[2] >= e[3]) | (e[3] >= e[4]) | (e[4] >= e[5])
     q = q.withColumn("_ok", F.when(dup, F.raise_error(F.lit("duplicate quantile edges"))).otherwise(F.lit(True)))
-    rows = _one_row_join(rows, q)
+    # the rows are read again, but only five groups of them are shuffled: a table of
+    # values with their sums would be as long as the rows where sales hardly repeat
+    x = _dbl(sales)
+    rows = _one_row_join(df.where(F.col(sales).isNotNull()), q)
     b = F.lit(0)
     for i in range(1, 5):
         b = b + F.when(x > e[i], 1).otherwise(0)
     labels = F.array(*[F.lit(s) for s in QUINTILES])
-    g = rows.where(F.col("_ok")).groupBy(b.alias("segment_order")).agg(*means)
+    g = rows.where(F.col("_ok")).groupBy(b.alias("segment_order")).agg(
+        mean(profit).alias("profit"), mean(sales).alias("sales"))
     return g.select(F.element_at(labels, F.col("segment_order") + 1).alias("sales_segment"),
                     "segment_order", "profit", "sales",
                     (F.col("profit") / F.col("sales") * 100.0).alias("profit_margin"))

@@ -10,6 +10,7 @@ from ..operators import profile as PR
 from ..operators import quality as Q
 from ..operators import sales as G
 from ..operators.rules import DEFAULT_RULES
+from ..session import cut_lineage
 from .fixtures import (CONFIG_ORDERS_SQL, DIRTY_ORDERS_SQL, DIRTY_SALES_SQL, config_orders,
                        dirty_orders, dirty_sales, table, with_sql)
 from .registry import register
@@ -121,11 +122,12 @@ _CLEAN_NULLS = " + ".join(f"(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in
 
 
 def _basic_cleaning(df):
-    """The upload cleaning path: numbers, dates, exact duplicates, text."""
+    """The upload cleaning path: numbers, dates, exact duplicates, text. The result is
+    written once: what follows reads it several times."""
     x = C.coerce_numeric(df, to="decimal(18,4)")
     x = C.coerce_dates(x)
     x = C.dedup_rows(x)
-    return C.trim_text(x)
+    return cut_lineage(C.trim_text(x))
 
 
 @register("g50_cleaning_summary", _CLEANED_SQL + f"""
