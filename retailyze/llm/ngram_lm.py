@@ -1,462 +1,422 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Word counts and n-gram counts come from all training documents. Every n-gram of
-order 2 or 3 that occurs at least ``MIN_COUNT`` times is an arc of a deterministic
-automaton: a state for each context that has followers, arcs weighted with the
-discounted log probability, and a failure arc to the next shorter context weighted
-with its backoff. A text's score is the weight of its path.
-
-The automaton grows with the corpus, so it is a table. An arc's row holds its weight
-less that of the failure path which it replaces, plus the backoff of the context that
-it ends in. The weight of a path is then the sum of the rows of the text's words,
-pairs and triples; an n-gram without a row adds nothing. The most frequent words and
-arcs are broadcast; what a task can't resolve with them leaves it as (document,
-n-gram) rows and meets the table in an equality join. How much is broadcast doesn't
-change a score. ``build_automaton`` and ``traverse`` are the same automaton in memory.
-
-Words are numbers: the rank of a broadcast word, else a 64-bit hash with its sign bit
-set (two of 10^8 words share one with a probability of 0.0005).
+Word, pair and triple counts come from all training documents. Every pair and triple
+that occurs at least ``MIN_COUNT`` times is an arc of a deterministic automaton: a
+state for each word and each such pair, arcs weighted with the discounted log
+probability, and from each state a failure arc to its next shorter context, weighted
+with the state's backoff. A text is read from left to right: an arc of the state that
+is reached, else its failure arc and again, down to the root.
+
+The automaton grows with the corpus and is nowhere whole. Texts are tokenised once,
+into blocks (``BLOCK_BYTES`` of text). A block needs only the arcs of its own words,
+so it asks for them: each of its distinct n-grams goes, with its count in the block's
+training texts, to the bucket of its 64-bit hash; the bucket adds up the counts of all
+blocks and answers every asker with the total. Three such exchanges carry words and
+pairs; triples of kept pairs, and what the followers of a word weigh; what the
+followers of a pair weigh. An n-gram goes out once a block, so a very frequent one makes
+as many rows as there are blocks, and buckets are cut by hash: their number grows with
+the corpus, not their size. Asks and answers are packed arrays, one row a block and bucket.
+
+Then each block builds its part of the automaton and traverses its texts. The state
+after a word depends on the last two words alone, so long texts are cut into stretches
+(``STRETCH`` words) that find their state from the two words before them, and all
+stretches of a block step together, a word at a time.
+
+Words and n-grams are known by 64-bit hashes (two of 10^8 words share one with a
+probability of 0.0003; from some 10^9 distinct n-grams a few counts are merged).
 """
 
 from __future__ import annotations
 
 import math
-import uuid
+from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 from .common import crc_fold, cut_lineage, split_words, text_slices
 
-#: What is broadcast: words, ranks of the words of an arc by order, and arcs of an order.
-VOCABULARY, CONTEXT_WORDS, MAX_ARCS = 150_000, {2: 150_000, 3: 150_000}, 300_000
 #: An n-gram with fewer occurrences is no arc.
 MIN_COUNT = 2
 DISCOUNT = 0.5
-SLICE_BYTES = 4_000_000
+#: Text of a block, tokens that a bucket stands for, words of a stretch.
+BLOCK_BYTES, BUCKET_TOKENS, STRETCH = 12_000_000, 2_000_000, 512
 #: The end token, and the start of a text as a context. No word holds a line break.
 END, START = "\n", "\n\n"
-_BITS = 20
-#: In place of the second and third word of a shorter n-gram, and of a document's own row.
-_NONE, _OWN = 1 << 62, 1 << 61
-#: Bits of the filter of kept pairs; a fuller filter lets more rows pass to the joins.
-FILTER_BITS = 29
-
+#: Kinds of asks: counts of words, pairs and triples; followers of words and pairs.
+WORD, PAIR, TRIPLE, AFTER_WORD, AFTER_PAIR = range(5)
+_ADDED = ("n_tokens", "n_known", "base_score", "score")
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed blob, bytes of equal weight together."""
+    raw = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays)
+    return np.array([len(raw), *map(len, arrays)], np.int64).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, *types) -> list[np.ndarray]:
+    head = np.frombuffer(blob, np.int64, len(types) + 1)
+    if not head[0]:
+        return [np.zeros(0, t) for t in types]
+    raw = pa.decompress(blob[head.nbytes:], decompressed_size=int(head[0]), codec="zstd", asbytes=True)
+    out, at = [], 0
+    for n, t in zip(head[1:].tolist(), types):
+        size = np.dtype(t).itemsize
+        planes = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).view(t).ravel())
+        at += n * size
+    return out
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, c) over whole texts, one end token for each text."""
 
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(0)
-            for a, b in text_slices(texts, SLICE_BYTES):
-                _, codes, distinct = split_words(texts.slice(a, b - a))
-                n = np.bincount(codes, minlength=len(distinct))
-                seen = np.flatnonzero(n)
-                words = pa.concat_arrays([distinct.take(pa.array(seen)).cast(pa.string()), pa.array([END])])
-                yield pa.RecordBatch.from_arrays([words, pa.array(np.append(n[seen], b - a))], ["word", "n"])
-
-    return docs.select(text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
-
-
-def most_frequent(counts: DataFrame, count: str, limit: int) -> DataFrame:
-    """All rows above a count such that they are ``limit`` at most. The threshold
-    comes from a histogram of logarithmic count classes (some hundred rows), so
-    nothing but the chosen rows is gathered."""
-    cls = F.floor(F.log(F.col(count).cast("double")) * 50)
-    taken, least = 0, None
-    for r in counts.groupBy(cls.alias("k")).count().orderBy(F.desc("k")).collect():
-        taken += r["count"]
-        if taken > limit:
-            break
-        least = r["k"]
-    return counts.where(cls >= least) if least is not None else counts.limit(0)
-
-
-def _stored(df: DataFrame) -> DataFrame:
-    """``df`` from a Parquet table in the shared checkpoint folder."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/ngrams-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def word_codes(distinct: pa.Array, ids: dict[str, int]) -> np.ndarray:
-    """Rank in ``ids``, or a negative hash."""
-    low, high = (1 << 63) - 1, 1 << 63
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter(((ids[w] if w in ids else (digest(w.encode()) & low) - high) for w in distinct.to_pylist()),
-                       np.int64, len(distinct))
-
-
-def _sequences(texts: pa.Array, ids: dict[str, int]):
-    """Whole sequences of a slice, each with START and END: offsets and codes of the
-    words, distinct words and their numbers (START and END come last), the sequence of
-    codes, the text of each position, and where a pair or a triple may begin."""
-    offsets, codes, distinct = split_words(texts)
-    n = len(texts)
-    numbers = np.append(word_codes(distinct, ids), [ids[START], ids[END]])
-    seq = np.full(len(codes) + 2 * n, len(distinct) + 1, np.int64)
-    seq[np.arange(len(codes)) + 2 * np.repeat(np.arange(n), np.diff(offsets)) + 1] = codes
-    first = offsets[:-1] + 2 * np.arange(n)
-    seq[first] = len(distinct)
-    doc = np.repeat(np.arange(n), np.diff(offsets) + 2)
-    pairs = np.flatnonzero(doc[1:] == doc[:-1])
-    triples = np.flatnonzero(doc[2:] == doc[:-2]) if len(doc) > 2 else np.zeros(0, np.int64)
-    return offsets, codes, distinct, numbers, seq, doc, pairs, triples
-
-
-def _place(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
-    """Place of a pair in a filter of 2^bits."""
-    x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64)
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of a context's hash and a word's."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
     x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return ((x ^ x >> np.uint64(31)) >> np.uint64(64 - bits)).astype(np.int64)
-
+    return x ^ x >> np.uint64(31)
 
-def _maybe(seen: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """False only for pairs that aren't kept."""
-    at = _place(a, b, int(len(seen) * 8).bit_length() - 1)
-    return (seen[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
+def tokenised(docs: DataFrame, train: Column, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(block, tokens, learned, docs, body): blocks of whole texts as word numbers. ``docs``
+    holds the other columns, ``learned`` counts the tokens of training texts."""
+    kept = [c for c in docs.columns if c != text and c.lower() not in _ADDED]
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias("_text"),
+                       F.coalesce(train, F.lit(False)).alias("_train"))
+    at = len(kept)
 
-def pair_filter(pairs: DataFrame, rows: int) -> np.ndarray:
-    """Bit table with a bit for each (a, b); it only saves rows on their way to a join."""
-    bits = min(FILTER_BITS, max(16, (16 * rows).bit_length()))
-    block = 15
-
-    def places(batches):
+    def run(batches):
+        number, digest = TaskContext.get().partitionId() << 32, xxhash.xxh3_64_intdigest
         for batch in batches:
-            at = np.unique(_place(np.asarray(batch.column(0)), np.asarray(batch.column(1)), bits))
-            yield pa.RecordBatch.from_arrays([pa.array(at >> block), pa.array(at & (1 << block) - 1)], ["block", "at"])
-
-    def tables(batches):
-        found: dict[int, np.ndarray] = {}
+            for a, b in text_slices(batch.column(at), block_bytes):
+                part, n = batch.slice(a, b - a), b - a
+                offsets, codes, distinct = split_words(part.column(at))
+                hashes = np.fromiter((digest(w.encode()) for w in [*distinct.to_pylist(), START, END]), np.uint64, len(distinct) + 2)
+                lens = np.diff(offsets) + 2
+                seq = np.full(len(codes) + 2 * n, len(distinct) + 1, np.int32)
+                seq[np.arange(len(codes)) + 2 * np.repeat(np.arange(n), lens - 2) + 1] = codes
+                seq[np.cumsum(lens) - lens] = len(distinct)
+                taught = np.asarray(part.column(at + 1).cast(pa.uint8()))
+                others = pa.RecordBatch.from_arrays([part.column(i) for i in range(at)], kept) if at else pa.record_batch({})
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, others.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(others)
+                learned = int((lens - 1)[taught > 0].sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x], t) for x, t in ((number, pa.int64()), (int(lens.sum()) - n, pa.int64()), (learned, pa.int64()),
+                                                   (sink.getvalue().to_pybytes(), pa.binary()),
+                                                   (_pack(hashes, seq, lens.astype(np.int32), taught), pa.binary()))],
+                    ["block", "tokens", "learned", "docs", "body"])
+                number += 1
+
+    return rows.mapInArrow(run, "block long, tokens long, learned long, docs binary, body binary")
+
+
+class Block:
+    """A block's n-grams, numbered as they appear, and the answers that it has got."""
+
+    def __init__(self, body: bytes, got: list | None = None):
+        self.hashes, seq, lens, taught = _unpack(body, np.uint64, np.int32, np.int32, np.uint8)
+        self.seq, self.lens = seq.astype(np.int64), lens.astype(np.int64)
+        self.width = len(self.hashes)
+        self.taught = np.repeat(taught > 0, lens)
+        doc = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
+        self.inside = doc[1:] == doc[:-1]
+        self.answers: dict[int, list[bytes]] = {}
+        for part in sorted(got or [], key=lambda r: (r["kind"], r["bucket"])):
+            self.answers.setdefault(part["kind"], []).append(part["payload"])
+
+    def _answer(self, kind: int, keys: np.ndarray, as_type=np.int64) -> np.ndarray:
+        """Answers of a kind, which stand in the order of their keys."""
+        got = [_unpack(p, as_type)[0] for p in self.answers.get(kind, [])]
+        out = np.zeros(len(keys), as_type)
+        if got:
+            out[np.argsort(keys, kind="stable")] = np.concatenate(got)
+        return out
+
+    def words(self) -> np.ndarray:
+        """Occurrences of each word in the block's training texts."""
+        return np.bincount(self.seq[self.taught], minlength=self.width)
+
+    def pairs(self) -> None:
+        at = np.flatnonzero(self.inside)
+        number, pairs = pd.factorize(self.seq[at] * self.width + self.seq[at + 1])
+        self.a, self.b = pairs // self.width, pairs % self.width
+        self.pair = np.full(len(self.seq), -1)
+        self.pair[at] = number
+        self.pair_count = np.bincount(number[self.taught[at]], minlength=len(pairs))
+        self.pair_keys = _mixed(self.hashes[self.a], self.hashes[self.b])
+
+    def counted(self) -> None:
+        """Corpus counts of words and pairs; the kept pairs, renumbered."""
+        self.word_total = self._answer(WORD, self.hashes) >> 1
+        self.pairs()
+        total = self._answer(PAIR, self.pair_keys)
+        kept = np.flatnonzero(total)
+        place = np.full(len(total) + 1, -1)  # the last one: not a pair
+        place[kept] = np.arange(len(kept))
+        self.pair = place[self.pair]
+        self.a, self.b, self.pair_keys = self.a[kept], self.b[kept], self.pair_keys[kept]
+        self.pair_total, self.pair_owned = total[kept] >> 1, (total[kept] & 1).astype(bool)
+
+    def triples(self) -> None:
+        """Triples of kept pairs: their first pair, last pair, last word."""
+        at = np.flatnonzero((self.pair[:-1] >= 0) & (self.pair[1:] >= 0))
+        number, triples = pd.factorize(self.pair[at] * self.width + self.seq[at + 2] if len(at) else np.zeros(0, np.int64))
+        self.first, self.last_word = triples // self.width, triples % self.width
+        self.second = np.zeros(len(triples), np.int64)
+        self.second[number] = self.pair[at + 1]
+        self.triple_count = np.bincount(number[self.taught[at]], minlength=len(triples))
+        self.triple_keys = _mixed(self.pair_keys[self.first], self.hashes[self.last_word])
+
+    def weighed(self) -> None:
+        """Corpus counts of triples; the kept ones."""
+        self.triples()
+        total = self._answer(TRIPLE, self.triple_keys)
+        kept = np.flatnonzero(total)
+        self.first, self.second, self.last_word = self.first[kept], self.second[kept], self.last_word[kept]
+        self.triple_total, self.triple_owned = total[kept] >> 1, (total[kept] & 1).astype(bool)
+
+    def contexts(self) -> np.ndarray:
+        """Pairs that something can follow."""
+        return np.flatnonzero(self.b != self.width - 1)
+
+
+def _parts(kind: int, keys: np.ndarray, buckets: int, *values: np.ndarray):
+    """(kind, bucket, payload) of keys and their values, in the order of the keys."""
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], [v[order] for v in values]
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)]):
+        yield kind, int(bucket[a]), _pack(np.diff(keys[a:b], prepend=np.uint64(0)), *(v[a:b] for v in values))
+
+
+def _backoff(kept: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    return np.log10(np.maximum(1.0 - kept, 1e-9) / np.maximum(1.0 - lower, 1e-9))
+
+
+def _reply(kind: int, blobs: list[bytes], least: int):
+    """Answer to each blob of one bucket, and how many n-grams it is the first to name."""
+    counts = kind <= TRIPLE
+    types = [np.uint64, np.int64] if counts else [np.uint64, np.int64, np.float64, np.float64]
+    parts = [_unpack(b, *types) for b in blobs]
+    keys = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+    values = [np.concatenate(c) for c in list(zip(*parts))[1:]]
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    first, group = np.flatnonzero(new), np.cumsum(new) - 1
+    sums = [np.add.reduceat(v[order], first) for v in (values if counts else values[1:])]
+    if counts:
+        total = np.where(sums[0] >= least, sums[0], 0)
+        answer = 2 * total[group] + (new & (total[group] > 0))  # the low bit: first to name it
+    else:
+        whole = np.maximum(values[0][order][first], 1)
+        answer = np.where(sums[0] > 0, _backoff(sums[0] / whole, sums[1]), 0.0)[group]
+    out = np.empty(len(keys), answer.dtype)
+    out[order] = answer
+    for part in np.split(out, np.cumsum([len(p[0]) for p in parts])[:-1]):
+        yield _pack(part), int((part & 1).sum()) if counts else 0
+
+
+def exchange(blocks: DataFrame, ask: Callable, buckets: int, min_count: int = MIN_COUNT) -> DataFrame:
+    """(block, kind, bucket, fresh, payload): the answers to what ``ask(block)`` yields.
+    The first answer that names an n-gram of the training texts counts it in ``fresh``."""
+
+    def asked(batches):
         for batch in batches:
-            blocks, at = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            order = np.argsort(blocks, kind="stable")
-            blocks, at = blocks[order], at[order]
-            cuts = np.flatnonzero(np.diff(blocks)) + 1
-            for k, part in zip(blocks[np.append(0, cuts)].tolist() if len(blocks) else [], np.split(at, cuts)):
-                found.setdefault(k, np.zeros(1 << block, bool))[part] = True
-        for k, table in found.items():
+            got = batch.column("got") if "got" in batch.schema.names else [None] * batch.num_rows
+            for number, body, answers in zip(batch.column("block").to_pylist(), batch.column("body"), got):
+                block = Block(body.as_buffer().to_pybytes(), answers.as_py() if answers is not None else None)
+                for kind, bucket, payload in ask(block):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([number]), pa.array([kind], pa.int32()), pa.array([bucket]), pa.array([payload], pa.binary())],
+                        ["block", "kind", "bucket", "payload"])
+
+    def replies(held):
+        kind, bucket = held[0][1:3]
+        for (number, *_), (payload, fresh) in zip(held, _reply(kind, [h[3] for h in held], 1 if kind == WORD else min_count)):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k]), pa.array([np.packbits(table, bitorder="little").tobytes()], pa.binary())], ["block", "bits"])
+                [pa.array([number]), pa.array([kind], pa.int32()), pa.array([bucket]), pa.array([fresh]), pa.array([payload], pa.binary())],
+                ["block", "kind", "bucket", "fresh", "payload"])
 
-    out = np.zeros(1 << bits - 3, np.uint8)
-    wide = 1 << block - 3
-    dealt = pairs.select("a", "b").mapInArrow(places, "block long, at long").repartition("block")
-    for r in dealt.mapInArrow(tables, "block long, bits binary").toLocalIterator():
-        out[r["block"] * wide:(r["block"] + 1) * wide] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return out
-
-
-def ngram_counts(docs: DataFrame, shared, order: int, seen=None, text: str = "text") -> DataFrame:
-    """(a, b[, c], n): occurrences of all pairs or triples of words. Every text starts
-    with START and finishes with END. ``shared`` is the broadcast of the words' ranks,
-    ``seen`` that of a filter of kept pairs: a triple is as frequent as its pairs at most."""
-    names = ["a", "b", "c"][:order]
-
-    def run(batches):
-        ids = shared.value
+    def answered(batches):
+        held: list[tuple] = []
         for batch in batches:
-            texts = batch.column(0)
-            for start, stop in text_slices(texts, SLICE_BYTES):
-                *_, numbers, seq, _, pairs, triples = _sequences(texts.slice(start, stop - start), ids)
-                base = len(numbers)
-                if order == 2:
-                    keys, n = np.unique(seq[pairs] * base + seq[pairs + 1], return_counts=True)
-                    parts = [numbers[keys // base], numbers[keys % base]]
-                else:
-                    i = triples
-                    x, y, z = numbers[seq[i]], numbers[seq[i + 1]], numbers[seq[i + 2]]
-                    i = i[_maybe(seen.value, x, y) & _maybe(seen.value, y, z)]
-                    _, at, which = np.unique(seq[i] * base + seq[i + 1], return_index=True, return_inverse=True)
-                    keys, n = np.unique(which * base + seq[i + 2], return_counts=True)
-                    left = i[at[keys // base]] if len(keys) else i
-                    parts = [numbers[seq[left]], numbers[seq[left + 1]], numbers[keys % base]]
-                if len(keys):
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, parts), pa.array(n)], [*names, "n"])
-
-    schema = ", ".join(f"{x} long" for x in [*names, "n"])
-    return docs.select(text).mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
-
-
-def build_automaton(words: list[tuple[str, int]], total: int, distinct: int, texts: int,
-                    ngrams: list[tuple[int, int, int]], discount: float = DISCOUNT) -> dict:
-    """Plain tables of the automaton from (word, count), most frequent first, the
-    corpus totals and (order, key, count) rows.
-
-    State 0 is the empty context. Root probabilities are c / (N + V); what is
-    left, V / (N + V), is the probability of a word that was never seen.
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and held[0][1:3] != row[1:3]:
+                    yield from replies(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from replies(held)
+
+    asks = blocks.mapInArrow(asked, "block long, kind int, bucket long, payload binary")
+    dealt = asks.repartition(buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
+    return cut_lineage(dealt.mapInArrow(answered, "block long, kind int, bucket long, fresh long, payload binary"))
+
+
+def _with_answers(blocks: DataFrame, answers: DataFrame) -> DataFrame:
+    each = answers.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "payload")).alias("got"))
+    return blocks.join(each, "block", "left")
+
+
+def automaton(block: Block, tokens: int, distinct: int) -> dict:
+    """The block's part of the automaton. State 0 is the root, then come its words, then
+    its kept pairs. An arc's key is its state times the number of words, plus its word."""
+    width, c, whole = block.width, block.word_total, max(tokens + distinct, 1)
+    pairs = 1 + width + np.arange(len(block.a))
+    back = np.zeros(1 + width + len(pairs))
+    back[1:1 + width] = block._answer(AFTER_WORD, block.hashes, np.float64)
+    followed = block.contexts()
+    back[pairs[followed]] = block._answer(AFTER_PAIR, block.pair_keys[followed], np.float64)
+    keys = np.concatenate([[-1], (1 + block.a) * width + block.b, pairs[block.first] * width + block.last_word])
+    weights = np.concatenate([[0.0], np.log10((block.pair_total - DISCOUNT) / np.maximum(c[block.a], 1)),
+                              np.log10((block.triple_total - DISCOUNT) / block.pair_total[block.first])])
+    to = np.concatenate([[0], pairs, pairs[block.second]])
+    order = np.argsort(keys)
+    return {"width": width, "keys": keys[order], "weights": weights[order], "to": to[order], "back": back,
+            "fail": np.concatenate([np.zeros(1 + width, np.int64), 1 + block.b]),
+            "root": np.log10(np.where(c > 0, c, max(distinct, 1)) / whole)}
+
+
+def step(t: dict, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """States after a word each, and the weights of the arcs and failure arcs taken."""
+    weight, after = np.zeros(len(state)), 1 + word
+    open_ = np.flatnonzero(state)
+    state = state[open_]
+    weight_of_root = np.ones(len(word), bool)
+    while len(open_):
+        key = state * t["width"] + word[open_]
+        at = np.minimum(np.searchsorted(t["keys"], key), len(t["keys"]) - 1)
+        hit = t["keys"][at] == key
+        done, arc = open_[hit], at[hit]
+        weight[done] += t["weights"][arc]
+        after[done] = t["to"][arc]
+        weight_of_root[done] = False
+        open_, state = open_[~hit], state[~hit]
+        weight[open_] += t["back"][state]
+        state = t["fail"][state]
+        open_, state = open_[state > 0], state[state > 0]
+    weight[weight_of_root] += t["root"][word[weight_of_root]]
+    return after, weight
+
+
+def traverse(t: dict, seq: np.ndarray, lens: np.ndarray, stretch: int = STRETCH) -> np.ndarray:
+    """Weight of each text's path from its start state. ``seq`` holds the texts' words one
+    text after the other, each with START before and END behind; ``lens`` their lengths."""
+    first = np.cumsum(lens) - lens
+    cuts = -(-(lens - 1) // stretch)
+    of = np.repeat(np.arange(len(lens)), cuts)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    begin = first[of] + 1 + nth * stretch
+    size = np.minimum(stretch, first[of] + lens[of] - begin)
+    order = np.argsort(-size, kind="stable")
+    of, begin, size, nth = of[order], begin[order], size[order], nth[order]
+    state = 1 + seq[begin - 1]
+    later = np.flatnonzero(nth)
+    state[later], _ = step(t, 1 + seq[begin[later] - 2], seq[begin[later] - 1])
+    total = np.zeros(len(of))
+    for i in range(int(size[0]) if len(size) else 0):
+        n = int(np.searchsorted(-size, -i, side="left"))
+        state[:n], weight = step(t, state[:n], seq[begin[:n] + i])
+        total[:n] += weight
+    return np.bincount(of, weights=total, minlength=len(lens))
+
+
+def score_corpus(docs: DataFrame, train: Column, text: str = "text", block_bytes: int = BLOCK_BYTES,
+                 bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
+    """``docs`` without ``text``, with n_tokens, n_known, train_tokens, base_score and
+    score; the rows where ``train`` holds teach.
+
+    A null or empty text is its end token. Equal rows get their own result each, columns
+    named like the added ones are replaced, an empty table gives an empty result.
+    Without a training row every word is unseen. A text stays whole in its block.
     """
-    ids = {w: i for i, (w, _) in enumerate(words)}
-    root = [math.log10(max(c, 1) / max(total + distinct, 1)) for _, c in words]
-    counts: dict[int, dict[int, int]] = {2: {}, 3: {}}
-    for n, key, c in ngrams:
-        counts.setdefault(n, {})[key] = c
-    low = (1 << _BITS) - 1
-    state_of: dict[int, int] = {}  # context key -> state, by order of the context
-    followers: dict[int, list[tuple[int, int]]] = {}
-    for n in (2, 3):
-        for key, c in counts[n].items():
-            ctx = key >> _BITS
-            if n == 3 and ctx not in counts[2]:
-                continue  # a context is a state only if it can be reached
-            followers.setdefault(n << 60 | ctx, []).append((key & low, c))
-    for ctx in followers:
-        state_of[ctx] = len(state_of) + 1
-    start = ids[START]
-
-    def context_total(n: int, ctx: int) -> int:
-        if n == 3:
-            return counts[2][ctx]
-        return texts if ctx == start else words[ctx][1]
-
-    def state(n: int, ctx: int) -> int:
-        return state_of.get(n << 60 | ctx, 0)
-
-    arcs: dict[int, float] = {}
-    fail, back = [0] * (len(state_of) + 1), [0.0] * (len(state_of) + 1)
-
-    def follow(s: int, w: int) -> float:
-        """log10 P(w) from state s, through failure arcs."""
-        lp = 0.0
-        while s and (s << _BITS | w) not in arcs:
-            lp, s = lp + back[s], fail[s]
-        return lp + (arcs[s << _BITS | w] if s else root[w])
-
-    for tagged, s in sorted(state_of.items(), key=lambda x: x[0] >> 60):
-        n, ctx = tagged >> 60, tagged & ((1 << 60) - 1)
-        fail[s] = state(2, ctx & low) if n == 3 else 0
-        whole = max(context_total(n, ctx), sum(c for _, c in followers[tagged]))
-        kept = lower = 0.0
-        for w, c in followers[tagged]:
-            p = (c - discount) / whole
-            lower += 10 ** follow(fail[s], w)
-            kept += p
-            arcs[s << _BITS | w] = math.log10(p)
-        back[s] = math.log10(max(1.0 - kept, 1e-9) / max(1.0 - lower, 1e-9))
-    by_state = {s: tagged for tagged, s in state_of.items()}
-    to: dict[int, int] = {}
-    for key in arcs:
-        s, w = key >> _BITS, key & low
-        n, ctx = by_state[s] >> 60, by_state[s] & ((1 << 60) - 1)
-        to[key] = state(3, (ctx & low) << _BITS | w) or state(2, w)
-    return {"ids": ids, "root": root, "root_to": [state(2, i) for i in range(len(words))],
-            "arcs": {k: (lp, to[k]) for k, lp in arcs.items()}, "fail": fail, "back": back,
-            "start": state(2, start), "count": [c for _, c in words], "total": total, "distinct": distinct}
-
-
-def traverse(t: dict, tokens: list[int]) -> float:
-    """log10 weight of the path of ``tokens`` (-1: a word without a root arc, which
-    pays the failure arcs down to the root and nothing else)."""
-    arcs, root, root_to, fail, back = t["arcs"].get, t["root"], t["root_to"], t["fail"], t["back"]
-    s, acc = t["start"], 0.0
-    for w in tokens:
-        while s:
-            arc = arcs(s << _BITS | w) if w >= 0 else None
-            if arc is not None:
-                acc += arc[0]
-                s = arc[1]
-                break
-            acc += back[s]
-            s = fail[s]
-        else:
-            if w >= 0:
-                acc += root[w]
-                s = root_to[w]
-    return acc
-
-
-def _meet(df: DataFrame, words: DataFrame, key: str) -> DataFrame:
-    """``df`` with the columns of ``words`` (by a) for its word ``key``. Frequent words
-    would be hot keys of a join: their rows are broadcast."""
-    words, k = words.withColumnRenamed("a", key), F.col(key)
-    hot = df.where(k >= 0).join(F.broadcast(words.where(k >= 0)), key)
-    return hot.unionByName(df.where(k < 0).join(words.where(k < 0), key))
-
-
-def _backoff(kept: Column, lower: Column) -> Column:
-    least = F.lit(1e-9)
-    return F.log10(F.greatest(1.0 - kept, least) / F.greatest(1.0 - lower, least))
-
-
-def _hot(rows: DataFrame, names: list[str], ranks: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted packed keys and weights of the most frequent n-grams of frequent words."""
-    ranks = min(ranks, 1 << _BITS)
-    known = rows.where(" and ".join(f"{x} between 0 and {ranks - 1}" for x in names))
-    got = most_frequent(known, "n", limit).select(*names, "w").toArrow()
-    key = np.zeros(len(got), np.int64)
-    for x in names:
-        key = key << _BITS | got.column(x).to_numpy()
-    order = np.argsort(key)
-    return key[order], got.column("w").to_numpy()[order]
-
-
-def learn(docs: DataFrame, text: str = "text", vocabulary: int = VOCABULARY,
-          context_words: dict[int, int] = CONTEXT_WORDS, max_arcs: int = MAX_ARCS) -> tuple[dict, DataFrame]:
-    """What is broadcast of the automaton, and the table of all its weights: (a, b, c,
-    n, w), where n is the count of a word that isn't broadcast."""
+    docs = docs.drop("train_tokens")
     spark = docs.sparkSession
-    counts = cut_lineage(word_counts(docs, text).where("c > 0"))
-    total, distinct = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
-    total, distinct = total or 0, distinct or 0
-    top = [(r["word"], r["c"]) for r in most_frequent(counts, "c", vocabulary).collect()]
-    ends = counts.where(F.col("word") == END).first()
-    texts = ends["c"] if ends else 0
-    # START and END come first: they are contexts and followers whatever their count
-    ranked = sorted((x for x in top if x[0] != END), key=lambda x: (-x[1], x[0]))
-    words = [(START, texts), (END, texts), *ranked]
-    ids = {w: i for i, (w, _) in enumerate(words)}
-    shared = spark.sparkContext.broadcast(ids)
-
-    def coded(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(word_codes(batch.column(0), shared.value)), batch.column(1)], ["a", "n"])
-
-    start = spark.range(1).select(F.lit(ids[START]).cast("long").alias("a"), F.lit(texts).cast("long").alias("n"))
-    numbered = _stored(counts.select("word", "c").mapInArrow(coded, "a long, n long").unionByName(start))
-    whole = max(total + distinct, 1)
-    kept = F.col("n") - DISCOUNT
-
-    pairs = _stored(ngram_counts(docs, shared, 2, text=text).where(F.col("n") >= MIN_COUNT))
-    pairs = _meet(pairs, numbered.select("a", F.col("n").alias("na")), "a")
-    pairs = _stored(_meet(pairs, numbered.select("a", F.col("n").alias("nb")), "b"))
-    lower = F.sum("nb") / F.lit(float(whole))
-    back = _stored(pairs.groupBy("a").agg(_backoff(F.sum(kept) / F.max("na"), lower).alias("back")))
-
-    seen = spark.sparkContext.broadcast(pair_filter(pairs, pairs.count()))
-    triples = ngram_counts(docs, shared, 3, seen, text).where(F.col("n") >= MIN_COUNT)
-    ends2 = pairs.select(F.col("a").alias("b"), F.col("b").alias("c"), (kept / F.col("na")).alias("p"))
-    triples = _stored(triples.join(ends2, ["b", "c"]))
-    sums = triples.groupBy("a", "b").agg(F.sum(kept).alias("kept"), F.sum("p").alias("lower"))
-    pairs = _meet(pairs, back, "a").join(sums, ["a", "b"], "left").withColumn(
-        "back2", F.when(F.col("kept").isNull(), 0.0).otherwise(_backoff(F.col("kept") / F.col("n"), F.col("lower"))))
-    pairs = _stored(pairs.select("a", "b", "n", "back2", (
-        F.log10(kept / F.col("na")) - F.col("back") - F.log10(F.col("nb") / F.lit(float(whole))) + F.col("back2")).alias("w")))
-    triples = triples.join(pairs.select("a", "b", F.col("n").alias("np"), "back2"), ["a", "b"])
-    triples = _stored(triples.select("a", "b", "c", "n", (
-        F.log10(kept / F.col("np")) - F.col("back2") - F.log10("p")).alias("w")))
-
-    none, back1 = F.lit(_NONE).cast("long"), F.coalesce("back", F.lit(0.0))
-    rare = numbered.where("a < 0").join(back.where("a < 0"), "a", "left").select(
-        "a", none.alias("b"), none.alias("c"), "n", (F.log10(F.col("n") / F.lit(float(whole))) + back1).alias("w"))
-    zero = F.lit(0).cast("long").alias("n")
-    table = rare.unionByName(pairs.select("a", "b", none.alias("c"), zero, "w")).unionByName(
-        triples.select("a", "b", "c", zero, "w"))
-
-    count = np.array([c for _, c in words], np.int64)
-    near = back.where("a >= 0").toArrow()
-    backs = np.zeros(len(words))
-    backs[near.column("a").to_numpy()] = near.column("back").to_numpy()
-    model = {"ids": ids, "count": count, "total": total, "distinct": distinct, "back": backs, "seen": seen,
-             "words": np.log10(np.maximum(count, 1) / whole) + backs,
-             "arcs": {2: _hot(pairs, ["a", "b"], context_words[2], max_arcs),
-                      3: _hot(triples, ["a", "b", "c"], context_words[3], max_arcs)}}
-    return model, table
-
-
-def _resolve(arcs: tuple[np.ndarray, np.ndarray], parts: list[np.ndarray]):
-    """(found, weight) of n-grams among the broadcast arcs."""
-    keys, weights = arcs
-    ok, key = np.ones(len(parts[0]), bool), np.zeros(len(parts[0]), np.int64)
-    for p in parts:
-        ok &= (p >= 0) & (p < 1 << _BITS)
-        key = key << _BITS | p
-    if not len(keys):
-        return np.zeros(len(ok), bool), np.zeros(len(ok))
-    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    ok &= keys[at] == key
-    return ok, np.where(ok, weights[at], 0.0)
-
-
-def score(docs: DataFrame, model: dict, table: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without ``text``, with n_tokens, n_known, base_score and score.
-
-    Words and n-grams that aren't broadcast leave the tasks as (document, n-gram,
-    times) rows and meet their weights in a join. A null or empty text is its end
-    token. Equal rows get their own result each.
-    """
-    total, distinct = model["total"], model["distinct"]
-    kept = [c for c in docs.columns if c != text]
-    docs = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias("_text"),
-                       F.monotonically_increasing_id().alias("_row"))
-    seen = model["seen"]
-    shared = docs.sparkSession.sparkContext.broadcast({k: v for k, v in model.items() if k != "seen"})
-    at = len(kept)
+    plain = tokenised(docs, train, text, block_bytes)
+    # written by block, so that the answers come to the blocks and the blocks stay
+    # where they are; adaptive plans don't tell how their rows are dealt
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        blocks = cut_lineage(plain.repartition(parts, "block"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    all_tokens, tokens = (x or 0 for x in blocks.agg(F.sum("tokens"), F.sum("learned")).first())
+    buckets = max(spark.sparkContext.defaultParallelism, -(-all_tokens // bucket_tokens))
+
+    def ask_counts(block: Block):
+        yield from _parts(WORD, block.hashes, buckets, block.words())
+        block.pairs()
+        yield from _parts(PAIR, block.pair_keys, buckets, block.pair_count)
+
+    answers = exchange(blocks.select("block", "body"), ask_counts, buckets)
+    known = answers.where(F.col("kind") == WORD).agg(F.sum("fresh")).first()[0] or 0
+    distinct = max(0, known - 1)  # START is no token
+    whole = max(tokens + distinct, 1)
+
+    def ask_triples(block: Block):
+        block.counted()
+        block.triples()
+        yield from _parts(TRIPLE, block.triple_keys, buckets, block.triple_count)
+        mine = block.pair_owned
+        a, b = block.a[mine], block.b[mine]
+        kept = np.bincount(a, weights=block.pair_total[mine] - DISCOUNT, minlength=block.width)
+        lower = np.bincount(a, weights=block.word_total[b] / whole, minlength=block.width)
+        yield from _parts(AFTER_WORD, block.hashes, buckets, block.word_total, kept, lower)
+
+    answers = answers.unionByName(exchange(_with_answers(blocks.select("block", "body"), answers), ask_triples, buckets))
+
+    def ask_followers(block: Block):
+        block.counted()
+        block.weighed()
+        mine = block.triple_owned
+        first, second = block.first[mine], block.second[mine]
+        n = len(block.a)
+        kept = np.bincount(first, weights=block.triple_total[mine] - DISCOUNT, minlength=n)
+        p = (block.pair_total[second] - DISCOUNT) / np.maximum(block.word_total[block.a[second]], 1)
+        lower = np.bincount(first, weights=p, minlength=n)
+        at = block.contexts()
+        yield from _parts(AFTER_PAIR, block.pair_keys[at], buckets, block.pair_total[at], kept[at], lower[at])
+
+    answers = answers.unionByName(exchange(_with_answers(blocks.select("block", "body"), answers), ask_followers, buckets))
+    kept = [c for c in docs.columns if c != text and c.lower() not in _ADDED]
+    norm = math.log10(tokens + distinct + 1)
 
     def run(batches):
-        t, maybe = shared.value, seen.value
-        ids, end = t["ids"], t["ids"][END]
-        log1 = np.log10(t["count"].astype(np.float64) + 1)
         for batch in batches:
-            for a, b in text_slices(batch.column(at), SLICE_BYTES):
-                n = b - a
-                offsets, codes, distinct, numbers, seq, of, pairs, triples = _sequences(batch.column(at).slice(a, n), ids)
-                tokens = numbers[codes]
-                doc = np.repeat(np.arange(n), np.diff(offsets))
-                hot = tokens >= 0
-                base = np.bincount(doc[hot], weights=log1[tokens[hot]], minlength=n) + log1[end]
-                known = np.bincount(doc[hot], minlength=n) + (t["count"][end] > 0)
-                path = np.bincount(doc[hot], weights=t["words"][tokens[hot]], minlength=n).astype(float)
-                path += t["words"][end] + t["back"][ids[START]]
-                pair, times = np.unique(doc[~hot] * (len(distinct) + 1) + codes[~hot], return_counts=True)
-                rare_doc, rare = np.divmod(pair, len(distinct) + 1)
-                whole = numbers[seq]
-                none = np.full(len(seq), _NONE)
-                # per kind of row: document, the three words, times
-                rows = np.asarray(batch.column(at + 1).slice(a, n))
-                out = [(np.arange(n), rows, np.full(n, _OWN), none[:n], np.zeros(n, np.int64)),
-                       (rare_doc, numbers[rare], none[:len(rare)], none[:len(rare)], times)]
-                may = _maybe(maybe, whole[:-1], whole[1:])
-                for order, i in ((2, pairs), (3, triples)):
-                    i = i[may[i]] if order == 2 else i[may[i] & may[i + 1]]
-                    parts = [whole[i + j] for j in range(order)]
-                    ok, w = _resolve(t["arcs"][order], parts)
-                    path += np.bincount(of[i], weights=w, minlength=n)
-                    left = [p[~ok] for p in parts] + [none[:np.count_nonzero(~ok)]] * (3 - order)
-                    out.append((of[i][~ok], *left, np.ones(len(left[0]), np.int64)))
-                order, x, y, z, times = (np.concatenate(c) for c in zip(*out))
-                order, part = pa.array(order), batch.slice(a, n)
-                zeros = np.zeros(len(order) - n, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i).take(order) for i in range(at)), part.column(at + 1).take(order),
-                     *map(pa.array, (x, y, z, times)),
-                     pa.array(np.concatenate([np.diff(offsets) + 1, zeros])),
-                     pa.array(np.concatenate([known, zeros])),
-                     pa.array(np.concatenate([base, zeros.astype(float)])),
-                     pa.array(np.concatenate([path, zeros.astype(float)]))],
-                    [*kept, "_row", "_a", "_b", "_c", "_times", "n_tokens", "n_known", "base_score", "score"])
-
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "_text"]
-    parts = docs.mapInArrow(run, ", ".join([*fields, "_a long, _b long, _c long, _times long, n_tokens long, n_known long, "
-                                            "base_score double, score double"]))
-    looked = parts.join(table.select(*[F.col(x).alias(f"_{x}") for x in ("a", "b", "c", "n", "w")]), ["_a", "_b", "_c"], "left")
-    times, c = F.col("_times"), F.coalesce(F.col("_n"), F.lit(0))
-    word = F.col("_b") == _NONE
-    norm = math.log10(total + distinct + 1)
-    unseen = math.log10(max(distinct, 1)) - math.log10(max(total + distinct, 1))
-    rare_base: Column = times * F.log10(c + 1.0)
-    rare_score: Column = times * F.coalesce("_w", F.when(word, unseen).otherwise(0.0))
-    out = looked.groupBy("_row", *[F.col(f"`{x}`") for x in kept]).agg(
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(c > 0, times).otherwise(0)).alias("n_known"),
-        (F.sum(F.col("base_score") + rare_base) - F.sum("n_tokens") * norm).alias("base_score"),
-        F.sum(F.col("score") + rare_score).alias("score"))
-    return out.drop("_row")
+            for others, body, got in zip(batch.column("docs"), batch.column("body"), batch.column("got")):
+                block = Block(body.as_buffer().to_pybytes(), got.as_py())
+                block.counted()
+                block.weighed()
+                path = traverse(automaton(block, tokens, distinct), block.seq, block.lens)
+                c, n = block.word_total[block.seq], block.lens - 1
+                first = np.cumsum(block.lens) - block.lens
+                c[first] = 0  # START is no token
+                base = np.add.reduceat(np.log10(c + 1.0), first) - n * norm
+                got_known = np.add.reduceat((c > 0).astype(np.int64), first)
+                with pa.ipc.open_stream(others.as_buffer()) as stream:
+                    for part in stream:
+                        yield pa.RecordBatch.from_arrays(
+                            [*part.columns, pa.array(n), pa.array(got_known), pa.array(np.full(len(n), tokens)),
+                             pa.array(base), pa.array(path)], [*kept, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in kept]).schema.fields]
+    return _with_answers(blocks.select("block", "docs", "body"), answers).mapInArrow(
+        run, ", ".join([*fields, "n_tokens long, n_known long, train_tokens long, base_score double, score double"]))
 
 
 def op7(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     """Scores of all documents; those whose crc32(doc_id) mod ``folds`` is ``held``
     (or whose doc_id is null) teach nothing."""
-    docs = docs.select("doc_id", "text")
     fold = F.coalesce(crc_fold("doc_id", folds), F.lit(held))
-    model, weights = learn(docs.where(fold != held))
-    return score(docs, model, weights).select(
-        "doc_id", (fold == held).alias("held_out"), "n_tokens", "n_known",
-        F.lit(model["total"]).cast("long").alias("train_tokens"), "base_score", "score")
+    return score_corpus(docs.select("doc_id", "text"), fold != held).select(
+        "doc_id", (fold == held).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

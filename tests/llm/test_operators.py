@@ -290,111 +290,100 @@ def test_base_scores_and_counts(docs):
     assert ngram_lm.op7(docs.limit(0)).count() == 0
 
 
-def test_rare_words_meet_their_counts_by_join(spark, docs):
-    """With a tiny root vocabulary the result is the same up to the n-grams."""
-    rows = docs.select("doc_id", "text").where("doc_id is not null")
-    results = []
-    for vocabulary in (10, 100_000):
-        model, counts = ngram_lm.learn(rows, vocabulary=vocabulary, context_words={2: 2, 3: 2}, max_arcs=0)
-        got = ngram_lm.score(rows, model, counts).groupBy("doc_id").agg(F.sum("score"), F.sum("base_score"), F.sum("n_known"))
-        results.append({r[0]: r[1:] for r in got.collect()})
-    for k, v in results[0].items():
-        assert v == pytest.approx(results[1][k], rel=1e-9)
-
-
-def test_automaton_states_are_distributions_and_follow_failures():
-    rng = random.Random(3)
-    texts = [[rng.choice("abcde") for _ in range(rng.randint(0, 12))] for _ in range(300)]
-    seqs = [[ngram_lm.START, *t, ngram_lm.END] for t in texts]
+def _backoff_model(train):
+    """(log10 probability of a word after a history, all words), straight from the counts."""
+    seqs = [[ngram_lm.START, *t, ngram_lm.END] for t in train]
     uni = Counter(w for s in seqs for w in s[1:])
-    words = [(ngram_lm.START, 300), (ngram_lm.END, 300), *sorted(((w, c) for w, c in uni.items() if w != ngram_lm.END), key=lambda x: (-x[1], x[0]))]
-    ids = {w: i for i, (w, _) in enumerate(words)}
-    grams = Counter()
-    for s in seqs:
-        for n in (2, 3):
-            for i in range(len(s) - n + 1):
-                key = 0
-                for w in s[i:i + n]:
-                    key = key << ngram_lm._BITS | ids[w]
-                grams[n, key] += 1
     total, distinct = sum(uni.values()), len(uni)
-    t = ngram_lm.build_automaton(words, total, distinct, 300, [(n, k, c) for (n, k), c in grams.items() if c > 2])
-    unseen = math.log10(distinct / (total + distinct))
-
-    def from_state(s, w):
-        acc = 0.0
-        while True:
-            arc = t["arcs"].get(s << ngram_lm._BITS | w) if s else None
-            if arc:
-                return acc + arc[0]
-            if not s:
-                return acc + (t["root"][w] if w >= 0 else unseen)
-            acc, s = acc + t["back"][s], t["fail"][s]
-
-    assert len(t["fail"]) > 10
-    for s in range(len(t["fail"])):
-        mass = sum(10 ** from_state(s, w) for w in [-1, *range(1, len(words))])
-        assert mass == pytest.approx(1.0, abs=1e-9)
-
-    followers = defaultdict(dict)  # contexts with kept n-grams, by their words
-    for (n, key), c in grams.items():
-        parts = tuple(key >> ngram_lm._BITS * (n - 1 - j) & (1 << ngram_lm._BITS) - 1 for j in range(n))
-        if c > 2 and (n == 2 or grams[2, key >> ngram_lm._BITS] > 2):
-            followers[parts[:-1]][parts[-1]] = c
+    grams = Counter(tuple(s[i:i + n]) for n in (2, 3) for s in seqs for i in range(len(s) - n + 1))
+    followers = defaultdict(dict)
+    for g, n in grams.items():
+        if n >= ngram_lm.MIN_COUNT:
+            followers[g[:-1]][g[-1]] = n
 
     def times(ctx):
-        return words[ctx[0]][1] if len(ctx) == 1 else grams[2, ctx[0] << ngram_lm._BITS | ctx[1]]
+        return grams[ctx] if len(ctx) == 2 else len(train) if ctx == (ngram_lm.START,) else uni[ctx[0]]
 
     def prob(ctx, w):
-        """Discounted backoff straight from the counts."""
         if not ctx:
-            return words[w][1] / (total + distinct)
+            return (uni[w] or distinct) / (total + distinct)
         got = followers.get(ctx)
         if not got:
             return prob(ctx[1:], w)
-        whole = max(times(ctx), sum(got.values()))
         if w in got:
-            return (got[w] - ngram_lm.DISCOUNT) / whole
-        left = 1 - sum((c - ngram_lm.DISCOUNT) / whole for c in got.values())
+            return (got[w] - ngram_lm.DISCOUNT) / times(ctx)
+        left = 1 - sum((c - ngram_lm.DISCOUNT) / times(ctx) for c in got.values())
         return left / (1 - sum(prob(ctx[1:], x) for x in got)) * prob(ctx[1:], w)
 
-    for text in texts[:60]:
-        path = [*[ids[w] for w in text], ids[ngram_lm.END]]
-        history, want = (ids[ngram_lm.START],), 0.0
-        for w in path:
-            want += math.log10(prob(history[-2:], w))
-            history += (w,)
-        assert ngram_lm.traverse(t, path) == pytest.approx(want, abs=1e-9)
-
-
-@pytest.mark.parametrize("vocabulary, max_arcs", [(3, 0), (50, 20), (100_000, 100_000)])
-def test_every_repeated_ngram_is_scored_whatever_is_broadcast(spark, vocabulary, max_arcs):
-    rng = random.Random(8)
-    words = [f"w{i}" for i in range(3000)]
-    lines = [[rng.choice(words) for _ in range(rng.randint(1, 9))] for _ in range(700)]
-    texts = [[w for _ in range(rng.randint(0, 4)) for w in rng.choice(lines)] for _ in range(500)] + [["never", "seen"], []]
-    train = texts[:400]
-    seqs = [[ngram_lm.START, *t, ngram_lm.END] for t in train]
-    uni = Counter(w for s in seqs for w in s[1:])
-    total, distinct = sum(uni.values()), len(uni)
-    table = [(ngram_lm.START, 400), (ngram_lm.END, 400), *((w, c) for w, c in uni.items() if w != ngram_lm.END)]
-    ids = {w: i for i, (w, _) in enumerate(table)}
-    grams = Counter()
-    for s in seqs:
-        for n in (2, 3):
-            for i in range(len(s) - n + 1):
-                key = 0
-                for w in s[i:i + n]:
-                    key = key << ngram_lm._BITS | ids[w]
-                grams[n, key] += 1
-    whole = ngram_lm.build_automaton(table, total, distinct, 400, [(n, k, c) for (n, k), c in grams.items() if c > 1])
-    unseen = math.log10(distinct / (total + distinct))
-    want = [ngram_lm.traverse(whole, [*[ids.get(w, -1) for w in t], ids[ngram_lm.END]]) + unseen * sum(w not in ids for w in t) for t in texts]
-    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
-    model, weights = ngram_lm.learn(docs.where("doc_id < 400"), vocabulary=vocabulary, max_arcs=max_arcs)
-    got = {r["doc_id"]: r["score"] for r in ngram_lm.score(docs, model, weights).collect()}
-    for i, w in enumerate(want):
-        assert got[i] == pytest.approx(w, abs=1e-6), i
+    def score(t):
+        h, acc = (ngram_lm.START,), 0.0
+        for w in [*t, ngram_lm.END]:
+            acc += math.log10(prob(h[-2:], w))
+            h += (w,)
+        return acc
+
+    return prob, score, uni, followers
+
+
+def _lines(seed=8, words=600, texts=500):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(words)]
+    lines = [[rng.choice(words) for _ in range(rng.randint(1, 9))] for _ in range(200)]
+    out = [[w for _ in range(rng.randint(0, 4)) for w in rng.choice(lines)] for _ in range(texts)]
+    return out + [["never", "seen"], [], [w for _ in range(300) for w in rng.choice(lines)]]
+
+
+def test_brute_force_backoff_sums_to_one():
+    prob, _, uni, followers = _backoff_model(_lines(3, 12, 120))
+    assert len(followers) > 20
+    for ctx in followers:
+        assert sum(prob(ctx, w) for w in [*uni, "no such word"]) == pytest.approx(1.0, abs=1e-9)
+
+
+@pytest.mark.parametrize("block_bytes, bucket_tokens", [(300, 100), (4000, 10**6), (10**7, 10**6)])
+def test_every_repeated_ngram_is_an_arc_however_texts_are_cut(spark, block_bytes, bucket_tokens):
+    texts = _lines()
+    _, score, uni, _ = _backoff_model(texts[:400])
+    rows = [(i, " ".join(t), "x") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Score string").repartition(3)
+    out = ngram_lm.score_corpus(docs, F.col("doc_id") < 400, block_bytes=block_bytes, bucket_tokens=bucket_tokens)
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert out.columns == ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"] and len(got) == len(texts)
+    for i, t in enumerate(texts):
+        assert got[i]["score"] == pytest.approx(score(t), abs=1e-6), i
+        assert got[i]["n_known"] == sum(w in uni for w in t) + 1
+
+
+def test_stretches_carry_their_state(spark):
+    """Any cut of the texts gives the same path weights."""
+    texts = _lines(5)
+    docs = spark.createDataFrame([(" ".join(t),) for t in texts], "text string").coalesce(1)
+    (row,) = ngram_lm.tokenised(docs, F.lit(True)).collect()
+    block = ngram_lm.Block(bytes(row["body"]))
+    asks = [(ngram_lm.WORD, block.hashes, block.words())]
+    block.pairs()
+    asks.append((ngram_lm.PAIR, block.pair_keys, block.pair_count))
+
+    def answered(kind, keys, *values):
+        for k, _, payload in ngram_lm._parts(kind, keys, 1, *values):
+            block.answers[k] = [p for p, _ in ngram_lm._reply(k, [payload], 1 if k == ngram_lm.WORD else 2)]
+
+    for ask in asks:
+        answered(*ask)
+    block.counted()
+    block.triples()
+    answered(ngram_lm.TRIPLE, block.triple_keys, block.triple_count)
+    block.weighed()
+    t = ngram_lm.automaton(block, int(row["learned"]), block.width - 1)
+    whole = ngram_lm.traverse(t, block.seq, block.lens, 10**6)
+    for stretch in (1, 2, 7, 100):
+        assert ngram_lm.traverse(t, block.seq, block.lens, stretch) == pytest.approx(whole, abs=1e-9)
+
+
+def test_lm_without_training_rows(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (2, None)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in ngram_lm.score_corpus(docs, F.lit(False)).collect())
+    assert got == [(1, 3, 0, 0), (2, 1, 0, 0), (2, 1, 0, 0)]
 
 
 # ------------------------------------------------------------------- chat
