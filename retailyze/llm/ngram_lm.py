@@ -263,7 +263,7 @@ def exchange(blocks: DataFrame, ask: Callable, buckets: int, min_count: int = MI
 
 def _with_answers(blocks: DataFrame, answers: DataFrame) -> DataFrame:
     each = answers.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "payload")).alias("got"))
-    return blocks.join(each, "block", "left")
+    return blocks.join(each.hint("merge"), "block", "left")  # answers grow with the corpus: no broadcast
 
 
 def automaton(block: Block, tokens: int, distinct: int) -> dict:
