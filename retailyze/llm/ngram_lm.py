@@ -11,11 +11,12 @@ The automaton grows with the corpus and is nowhere whole. Texts are tokenised on
 into blocks (``BLOCK_BYTES`` of text). A block needs only the arcs of its own words,
 so it asks for them: each of its distinct n-grams goes, with its count in the block's
 training texts, to the bucket of its 64-bit hash; the bucket adds up the counts of all
-blocks and answers every asker with the total. Three such exchanges carry words and
-pairs; triples of kept pairs, and what the followers of a word weigh; what the
+blocks and answers every asker with the total. Four such exchanges carry words; pairs of
+repeated words; triples of kept pairs, and what the followers of a word weigh; what the
 followers of a pair weigh. An n-gram goes out once a block, so a very frequent one makes
-as many rows as there are blocks, and buckets are cut by hash: their number grows with
+as many entries as there are blocks, and buckets are cut by hash: their number grows with
 the corpus, not their size. Asks and answers are packed arrays, one row a block and bucket.
+Backoffs travel as multiples of 2^-27.
 
 Then each block builds its part of the automaton and traverses its texts. The state
 after a word depends on the last two words alone, so long texts are cut into stretches
@@ -45,11 +46,12 @@ from .common import crc_fold, cut_lineage, split_words, text_slices
 MIN_COUNT = 2
 DISCOUNT = 0.5
 #: Text of a block, tokens that a bucket stands for, words of a stretch.
-BLOCK_BYTES, BUCKET_TOKENS, STRETCH = 12_000_000, 2_000_000, 512
+BLOCK_BYTES, BUCKET_TOKENS, STRETCH = 16_000_000, 2_000_000, 512
 #: The end token, and the start of a text as a context. No word holds a line break.
 END, START = "\n", "\n\n"
 #: Kinds of asks: counts of words, pairs and triples; followers of words and pairs.
 WORD, PAIR, TRIPLE, AFTER_WORD, AFTER_PAIR = range(5)
+_FIXED = float(1 << 27)
 _ADDED = ("n_tokens", "n_known", "base_score", "score")
 
 
@@ -92,10 +94,18 @@ def tokenised(docs: DataFrame, train: Column, text: str = "text", block_bytes: i
     def run(batches):
         number, digest = TaskContext.get().partitionId() << 32, xxhash.xxh3_64_intdigest
         for batch in batches:
-            for a, b in text_slices(batch.column(at), block_bytes):
+            size = batch.column(at).nbytes
+            even = int(size / max(1, -(-size // block_bytes)) * 1.02) + 1
+            for a, b in text_slices(batch.column(at), even):
                 part, n = batch.slice(a, b - a), b - a
                 offsets, codes, distinct = split_words(part.column(at))
-                hashes = np.fromiter((digest(w.encode()) for w in [*distinct.to_pylist(), START, END]), np.uint64, len(distinct) + 2)
+                hashes = np.fromiter((digest(w.encode()) for w in distinct.to_pylist()), np.uint64, len(distinct))
+                # frequent words get small numbers, equally frequent ones stand by hash: both pack well
+                order = np.lexsort((hashes, -np.bincount(codes, minlength=len(distinct))))
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                codes = rank[codes]
+                hashes = np.append(hashes[order], np.array([digest(START.encode()), digest(END.encode())], np.uint64))
                 lens = np.diff(offsets) + 2
                 seq = np.full(len(codes) + 2 * n, len(distinct) + 1, np.int32)
                 seq[np.arange(len(codes)) + 2 * np.repeat(np.arange(n), lens - 2) + 1] = codes
@@ -109,7 +119,7 @@ def tokenised(docs: DataFrame, train: Column, text: str = "text", block_bytes: i
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x], t) for x, t in ((number, pa.int64()), (int(lens.sum()) - n, pa.int64()), (learned, pa.int64()),
                                                    (sink.getvalue().to_pybytes(), pa.binary()),
-                                                   (_pack(hashes, seq, lens.astype(np.int32), taught), pa.binary()))],
+                                                   (_pack(np.diff(hashes, prepend=np.uint64(0)), seq, lens.astype(np.int32), taught), pa.binary()))],
                     ["block", "tokens", "learned", "docs", "body"])
                 number += 1
 
@@ -120,7 +130,8 @@ class Block:
     """A block's n-grams, numbered as they appear, and the answers that it has got."""
 
     def __init__(self, body: bytes, got: list | None = None):
-        self.hashes, seq, lens, taught = _unpack(body, np.uint64, np.int32, np.int32, np.uint8)
+        steps, seq, lens, taught = _unpack(body, np.uint64, np.int32, np.int32, np.uint8)
+        self.hashes = np.cumsum(steps, dtype=np.uint64)
         self.seq, self.lens = seq.astype(np.int64), lens.astype(np.int64)
         self.width = len(self.hashes)
         self.taught = np.repeat(taught > 0, lens)
@@ -143,7 +154,10 @@ class Block:
         return np.bincount(self.seq[self.taught], minlength=self.width)
 
     def pairs(self) -> None:
-        at = np.flatnonzero(self.inside)
+        """Pairs of words that both repeat in the corpus: no other pair does."""
+        self.word_total = self._answer(WORD, self.hashes) >> 1
+        self.often = self.word_total >= MIN_COUNT
+        at = np.flatnonzero(self.inside & self.often[self.seq[:-1]] & self.often[self.seq[1:]])
         number, pairs = pd.factorize(self.seq[at] * self.width + self.seq[at + 1])
         self.a, self.b = pairs // self.width, pairs % self.width
         self.pair = np.full(len(self.seq), -1)
@@ -152,8 +166,7 @@ class Block:
         self.pair_keys = _mixed(self.hashes[self.a], self.hashes[self.b])
 
     def counted(self) -> None:
-        """Corpus counts of words and pairs; the kept pairs, renumbered."""
-        self.word_total = self._answer(WORD, self.hashes) >> 1
+        """Corpus counts of pairs; the kept pairs, renumbered."""
         self.pairs()
         total = self._answer(PAIR, self.pair_keys)
         kept = np.flatnonzero(total)
@@ -172,18 +185,26 @@ class Block:
         self.second[number] = self.pair[at + 1]
         self.triple_count = np.bincount(number[self.taught[at]], minlength=len(triples))
         self.triple_keys = _mixed(self.pair_keys[self.first], self.hashes[self.last_word])
+        self.triple_at, self.triple = at, number
 
     def weighed(self) -> None:
         """Corpus counts of triples; the kept ones."""
         self.triples()
         total = self._answer(TRIPLE, self.triple_keys)
+        arc = np.zeros(len(self.seq), bool)
+        arc[self.triple_at[total[self.triple] > 0]] = True
+        fails = (self.pair[:-2] >= 0) & self.inside[1:] & ~arc[:-2]
+        self.fails = np.zeros(len(self.a), bool)
+        self.fails[self.pair[:-2][fails]] = True
         kept = np.flatnonzero(total)
         self.first, self.second, self.last_word = self.first[kept], self.second[kept], self.last_word[kept]
         self.triple_total, self.triple_owned = total[kept] >> 1, (total[kept] & 1).astype(bool)
 
     def contexts(self) -> np.ndarray:
-        """Pairs that something can follow."""
-        return np.flatnonzero(self.b != self.width - 1)
+        """Pairs whose failure arc is taken here, or about whose followers the block reports."""
+        mask = self.fails.copy()
+        mask[self.first[self.triple_owned]] = True
+        return np.flatnonzero(mask)
 
 
 def _parts(kind: int, keys: np.ndarray, buckets: int, *values: np.ndarray):
@@ -217,30 +238,41 @@ def _reply(kind: int, blobs: list[bytes], least: int):
         answer = 2 * total[group] + (new & (total[group] > 0))  # the low bit: first to name it
     else:
         whole = np.maximum(values[0][order][first], 1)
-        answer = np.where(sums[0] > 0, _backoff(sums[0] / whole, sums[1]), 0.0)[group]
+        back = np.where(sums[0] > 0, _backoff(sums[0] / whole, sums[1]), 0.0)
+        answer = np.rint(back * _FIXED).astype(np.int32)[group]
     out = np.empty(len(keys), answer.dtype)
     out[order] = answer
     for part in np.split(out, np.cumsum([len(p[0]) for p in parts])[:-1]):
         yield _pack(part), int((part & 1).sum()) if counts else 0
 
 
-def exchange(blocks: DataFrame, ask: Callable, buckets: int, min_count: int = MIN_COUNT) -> DataFrame:
+def _by_block(df: DataFrame, parts: int) -> DataFrame:
+    """``df`` written by block: a later join on the block moves none of its rows again.
+    An adaptive plan wouldn't tell how its rows are dealt."""
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut_lineage(df.repartition(parts, "block"))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def exchange(blocks: DataFrame, ask: Callable, buckets: int) -> DataFrame:
     """(block, kind, bucket, fresh, payload): the answers to what ``ask(block)`` yields.
     The first answer that names an n-gram of the training texts counts it in ``fresh``."""
 
     def asked(batches):
         for batch in batches:
-            got = batch.column("got") if "got" in batch.schema.names else [None] * batch.num_rows
-            for number, body, answers in zip(batch.column("block").to_pylist(), batch.column("body"), got):
-                block = Block(body.as_buffer().to_pybytes(), answers.as_py() if answers is not None else None)
-                for kind, bucket, payload in ask(block):
+            for i, number in enumerate(batch.column("block").to_pylist()):
+                for kind, bucket, payload in ask(_block(batch, i)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([number]), pa.array([kind], pa.int32()), pa.array([bucket]), pa.array([payload], pa.binary())],
                         ["block", "kind", "bucket", "payload"])
 
     def replies(held):
         kind, bucket = held[0][1:3]
-        for (number, *_), (payload, fresh) in zip(held, _reply(kind, [h[3] for h in held], 1 if kind == WORD else min_count)):
+        for (number, *_), (payload, fresh) in zip(held, _reply(kind, [h[3] for h in held], 1 if kind == WORD else MIN_COUNT)):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([kind], pa.int32()), pa.array([bucket]), pa.array([fresh]), pa.array([payload], pa.binary())],
                 ["block", "kind", "bucket", "fresh", "payload"])
@@ -258,12 +290,19 @@ def exchange(blocks: DataFrame, ask: Callable, buckets: int, min_count: int = MI
 
     asks = blocks.mapInArrow(asked, "block long, kind int, bucket long, payload binary")
     dealt = asks.repartition(buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
-    return cut_lineage(dealt.mapInArrow(answered, "block long, kind int, bucket long, fresh long, payload binary"))
+    return dealt.mapInArrow(answered, "block long, kind int, bucket long, fresh long, payload binary")
+
 
+def _with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
+    for i, part in enumerate(answers):
+        each = part.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "payload")).alias(f"got{i}"))
+        blocks = blocks.join(each.hint("merge"), "block", "left")  # answers grow with the corpus: no broadcast
+    return blocks
 
-def _with_answers(blocks: DataFrame, answers: DataFrame) -> DataFrame:
-    each = answers.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "payload")).alias("got"))
-    return blocks.join(each.hint("merge"), "block", "left")  # answers grow with the corpus: no broadcast
+
+def _block(batch: pa.RecordBatch, i: int) -> Block:
+    got = [x for name in batch.schema.names if name.startswith("got") for x in batch.column(name)[i].as_py() or []]
+    return Block(batch.column("body")[i].as_buffer().to_pybytes(), got)
 
 
 def automaton(block: Block, tokens: int, distinct: int) -> dict:
@@ -272,9 +311,9 @@ def automaton(block: Block, tokens: int, distinct: int) -> dict:
     width, c, whole = block.width, block.word_total, max(tokens + distinct, 1)
     pairs = 1 + width + np.arange(len(block.a))
     back = np.zeros(1 + width + len(pairs))
-    back[1:1 + width] = block._answer(AFTER_WORD, block.hashes, np.float64)
-    followed = block.contexts()
-    back[pairs[followed]] = block._answer(AFTER_PAIR, block.pair_keys[followed], np.float64)
+    often, followed = np.flatnonzero(block.often), block.contexts()
+    back[1 + often] = block._answer(AFTER_WORD, block.hashes[often], np.int32) / _FIXED
+    back[pairs[followed]] = block._answer(AFTER_PAIR, block.pair_keys[followed], np.int32) / _FIXED
     keys = np.concatenate([[-1], (1 + block.a) * width + block.b, pairs[block.first] * width + block.last_word])
     weights = np.concatenate([[0.0], np.log10((block.pair_total - DISCOUNT) / np.maximum(c[block.a], 1)),
                               np.log10((block.triple_total - DISCOUNT) / block.pair_total[block.first])])
@@ -340,27 +379,24 @@ def score_corpus(docs: DataFrame, train: Column, text: str = "text", block_bytes
     """
     docs = docs.drop("train_tokens")
     spark = docs.sparkSession
-    plain = tokenised(docs, train, text, block_bytes)
-    # written by block, so that the answers come to the blocks and the blocks stay
-    # where they are; adaptive plans don't tell how their rows are dealt
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        blocks = cut_lineage(plain.repartition(parts, "block"))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    blocks = _by_block(tokenised(docs, train, text, block_bytes), parts)
     all_tokens, tokens = (x or 0 for x in blocks.agg(F.sum("tokens"), F.sum("learned")).first())
     buckets = max(spark.sparkContext.defaultParallelism, -(-all_tokens // bucket_tokens))
 
-    def ask_counts(block: Block):
+    bodies, answers = blocks.select("block", "body"), []
+
+    def ask_words(block: Block):
         yield from _parts(WORD, block.hashes, buckets, block.words())
+
+    answers.append(_by_block(exchange(bodies, ask_words, buckets), parts))
+    distinct = max(0, (answers[0].agg(F.sum("fresh")).first()[0] or 0) - 1)  # START is no token
+
+    def ask_pairs(block: Block):
         block.pairs()
         yield from _parts(PAIR, block.pair_keys, buckets, block.pair_count)
 
-    answers = exchange(blocks.select("block", "body"), ask_counts, buckets)
-    known = answers.where(F.col("kind") == WORD).agg(F.sum("fresh")).first()[0] or 0
-    distinct = max(0, known - 1)  # START is no token
+    answers.append(_by_block(exchange(_with_answers(bodies, answers), ask_pairs, buckets), parts))
     whole = max(tokens + distinct, 1)
 
     def ask_triples(block: Block):
@@ -371,9 +407,10 @@ def score_corpus(docs: DataFrame, train: Column, text: str = "text", block_bytes
         a, b = block.a[mine], block.b[mine]
         kept = np.bincount(a, weights=block.pair_total[mine] - DISCOUNT, minlength=block.width)
         lower = np.bincount(a, weights=block.word_total[b] / whole, minlength=block.width)
-        yield from _parts(AFTER_WORD, block.hashes, buckets, block.word_total, kept, lower)
+        at = np.flatnonzero(block.often)
+        yield from _parts(AFTER_WORD, block.hashes[at], buckets, block.word_total[at], kept[at], lower[at])
 
-    answers = answers.unionByName(exchange(_with_answers(blocks.select("block", "body"), answers), ask_triples, buckets))
+    answers.append(_by_block(exchange(_with_answers(bodies, answers), ask_triples, buckets), parts))
 
     def ask_followers(block: Block):
         block.counted()
@@ -387,14 +424,14 @@ def score_corpus(docs: DataFrame, train: Column, text: str = "text", block_bytes
         at = block.contexts()
         yield from _parts(AFTER_PAIR, block.pair_keys[at], buckets, block.pair_total[at], kept[at], lower[at])
 
-    answers = answers.unionByName(exchange(_with_answers(blocks.select("block", "body"), answers), ask_followers, buckets))
+    answers.append(exchange(_with_answers(bodies, answers), ask_followers, buckets))
     kept = [c for c in docs.columns if c != text and c.lower() not in _ADDED]
     norm = math.log10(tokens + distinct + 1)
 
     def run(batches):
         for batch in batches:
-            for others, body, got in zip(batch.column("docs"), batch.column("body"), batch.column("got")):
-                block = Block(body.as_buffer().to_pybytes(), got.as_py())
+            for i, others in enumerate(batch.column("docs")):
+                block = _block(batch, i)
                 block.counted()
                 block.weighed()
                 path = traverse(automaton(block, tokens, distinct), block.seq, block.lens)

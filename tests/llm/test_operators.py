@@ -360,16 +360,14 @@ def test_stretches_carry_their_state(spark):
     docs = spark.createDataFrame([(" ".join(t),) for t in texts], "text string").coalesce(1)
     (row,) = ngram_lm.tokenised(docs, F.lit(True)).collect()
     block = ngram_lm.Block(bytes(row["body"]))
-    asks = [(ngram_lm.WORD, block.hashes, block.words())]
-    block.pairs()
-    asks.append((ngram_lm.PAIR, block.pair_keys, block.pair_count))
 
     def answered(kind, keys, *values):
         for k, _, payload in ngram_lm._parts(kind, keys, 1, *values):
             block.answers[k] = [p for p, _ in ngram_lm._reply(k, [payload], 1 if k == ngram_lm.WORD else 2)]
 
-    for ask in asks:
-        answered(*ask)
+    answered(ngram_lm.WORD, block.hashes, block.words())
+    block.pairs()
+    answered(ngram_lm.PAIR, block.pair_keys, block.pair_count)
     block.counted()
     block.triples()
     answered(ngram_lm.TRIPLE, block.triple_keys, block.triple_count)
