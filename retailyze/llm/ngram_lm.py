@@ -16,15 +16,16 @@ repeated words; triples of kept pairs, and what the followers of a word weigh; w
 followers of a pair weigh. An n-gram goes out once a block, so a very frequent one makes
 as many entries as there are blocks, and buckets are cut by hash: their number grows with
 the corpus, not their size. Asks and answers are packed arrays, one row a block and bucket.
-Backoffs travel as multiples of 2^-27.
+What followers weigh travels as multiples of 2^-40, backoffs as multiples of 2^-27.
 
 Then each block builds its part of the automaton and traverses its texts. The state
 after a word depends on the last two words alone, so long texts are cut into stretches
 (``STRETCH`` words) that find their state from the two words before them, and all
 stretches of a block step together, a word at a time.
 
-Words and n-grams are known by 64-bit hashes (two of 10^8 words share one with a
-probability of 0.0003; from some 10^9 distinct n-grams a few counts are merged).
+Words are known by 64-bit hashes (two of 10^8 share one with a probability of 0.0003),
+pairs and triples by 56 bits: among n distinct ones, a count is merged with another's
+with a probability of n / 2^56 (1 in 7 million at 10^10).
 """
 
 from __future__ import annotations
@@ -35,12 +36,13 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, cut_lineage, split_words, text_slices
+from .common import crc_fold, cut_lineage, split_words
 
 #: An n-gram with fewer occurrences is no arc.
 MIN_COUNT = 2
@@ -51,7 +53,7 @@ BLOCK_BYTES, BUCKET_TOKENS, STRETCH = 16_000_000, 2_000_000, 512
 END, START = "\n", "\n\n"
 #: Kinds of asks: counts of words, pairs and triples; followers of words and pairs.
 WORD, PAIR, TRIPLE, AFTER_WORD, AFTER_PAIR = range(5)
-_FIXED = float(1 << 27)
+_FIXED, _SHARE, _SPARE_BITS = float(1 << 27), float(1 << 40), 8
 _ADDED = ("n_tokens", "n_known", "base_score", "score")
 
 
@@ -94,9 +96,13 @@ def tokenised(docs: DataFrame, train: Column, text: str = "text", block_bytes: i
     def run(batches):
         number, digest = TaskContext.get().partitionId() << 32, xxhash.xxh3_64_intdigest
         for batch in batches:
+            if not batch.num_rows:
+                continue
             size = batch.column(at).nbytes
-            even = int(size / max(1, -(-size // block_bytes)) * 1.02) + 1
-            for a, b in text_slices(batch.column(at), even):
+            ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0)).astype(np.int64) + 1)
+            pieces = -(-size // block_bytes)
+            cuts = np.unique(np.searchsorted(ends, ends[-1] * np.arange(1, pieces + 1) / pieces) + 1) if pieces else []
+            for a, b in zip([0, *cuts[:-1]], cuts):
                 part, n = batch.slice(a, b - a), b - a
                 offsets, codes, distinct = split_words(part.column(at))
                 hashes = np.fromiter((digest(w.encode()) for w in distinct.to_pylist()), np.uint64, len(distinct))
@@ -212,11 +218,19 @@ def _parts(kind: int, keys: np.ndarray, buckets: int, *values: np.ndarray):
     order = np.argsort(keys, kind="stable")
     keys, values = keys[order], [v[order] for v in values]
     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    if kind not in (WORD, AFTER_WORD):
+        keys = keys >> np.uint64(_SPARE_BITS)
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else np.zeros(0, np.int64)
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)]):
         yield kind, int(bucket[a]), _pack(np.diff(keys[a:b], prepend=np.uint64(0)), *(v[a:b] for v in values))
 
 
+def _followers(whole: np.ndarray, kept: np.ndarray, lower: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """What a block reports of the contexts ``at``, in whole numbers."""
+    kept = np.rint(kept[at] / DISCOUNT).astype(np.int64)
+    return [np.where(kept > 0, whole[at], 0), kept, np.rint(lower[at] * _SHARE).astype(np.int64)]
+
+
 def _backoff(kept: np.ndarray, lower: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(1.0 - kept, 1e-9) / np.maximum(1.0 - lower, 1e-9))
 
@@ -224,7 +238,7 @@ def _backoff(kept: np.ndarray, lower: np.ndarray) -> np.ndarray:
 def _reply(kind: int, blobs: list[bytes], least: int):
     """Answer to each blob of one bucket, and how many n-grams it is the first to name."""
     counts = kind <= TRIPLE
-    types = [np.uint64, np.int64] if counts else [np.uint64, np.int64, np.float64, np.float64]
+    types = [np.uint64] + [np.int64] * (1 if counts else 3)
     parts = [_unpack(b, *types) for b in blobs]
     keys = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
     values = [np.concatenate(c) for c in list(zip(*parts))[1:]]
@@ -237,8 +251,8 @@ def _reply(kind: int, blobs: list[bytes], least: int):
         total = np.where(sums[0] >= least, sums[0], 0)
         answer = 2 * total[group] + (new & (total[group] > 0))  # the low bit: first to name it
     else:
-        whole = np.maximum(values[0][order][first], 1)
-        back = np.where(sums[0] > 0, _backoff(sums[0] / whole, sums[1]), 0.0)
+        whole = np.maximum(np.maximum.reduceat(values[0][order], first), 1)
+        back = np.where(sums[0] > 0, _backoff(sums[0] * DISCOUNT / whole, sums[1] / _SHARE), 0.0)
         answer = np.rint(back * _FIXED).astype(np.int32)[group]
     out = np.empty(len(keys), answer.dtype)
     out[order] = answer
@@ -408,7 +422,7 @@ def score_corpus(docs: DataFrame, train: Column, text: str = "text", block_bytes
         kept = np.bincount(a, weights=block.pair_total[mine] - DISCOUNT, minlength=block.width)
         lower = np.bincount(a, weights=block.word_total[b] / whole, minlength=block.width)
         at = np.flatnonzero(block.often)
-        yield from _parts(AFTER_WORD, block.hashes[at], buckets, block.word_total[at], kept[at], lower[at])
+        yield from _parts(AFTER_WORD, block.hashes[at], buckets, *_followers(block.word_total, kept, lower, at))
 
     answers.append(_by_block(exchange(_with_answers(bodies, answers), ask_triples, buckets), parts))
 
@@ -422,7 +436,7 @@ def score_corpus(docs: DataFrame, train: Column, text: str = "text", block_bytes
         p = (block.pair_total[second] - DISCOUNT) / np.maximum(block.word_total[block.a[second]], 1)
         lower = np.bincount(first, weights=p, minlength=n)
         at = block.contexts()
-        yield from _parts(AFTER_PAIR, block.pair_keys[at], buckets, block.pair_total[at], kept[at], lower[at])
+        yield from _parts(AFTER_PAIR, block.pair_keys[at], buckets, *_followers(block.pair_total, kept, lower, at))
 
     answers.append(exchange(_with_answers(bodies, answers), ask_followers, buckets))
     kept = [c for c in docs.columns if c != text and c.lower() not in _ADDED]
