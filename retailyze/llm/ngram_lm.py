@@ -48,7 +48,7 @@ from .common import crc_fold, cut_lineage, split_words
 MIN_COUNT = 2
 DISCOUNT = 0.5
 #: Text of a block, tokens that a bucket stands for, words of a stretch.
-BLOCK_BYTES, BUCKET_TOKENS, STRETCH = 16_000_000, 2_000_000, 512
+BLOCK_BYTES, BUCKET_TOKENS, STRETCH = 13_000_000, 2_000_000, 512
 #: The end token, and the start of a text as a context. No word holds a line break.
 END, START = "\n", "\n\n"
 #: Kinds of asks: counts of words, pairs and triples; followers of words and pairs.
@@ -138,7 +138,7 @@ class Block:
     def __init__(self, body: bytes, got: list | None = None):
         steps, seq, lens, taught = _unpack(body, np.uint64, np.int32, np.int32, np.uint8)
         self.hashes = np.cumsum(steps, dtype=np.uint64)
-        self.seq, self.lens = seq.astype(np.int64), lens.astype(np.int64)
+        self.seq, self.lens = seq, lens.astype(np.int64)
         self.width = len(self.hashes)
         self.taught = np.repeat(taught > 0, lens)
         doc = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
@@ -164,9 +164,9 @@ class Block:
         self.word_total = self._answer(WORD, self.hashes) >> 1
         self.often = self.word_total >= MIN_COUNT
         at = np.flatnonzero(self.inside & self.often[self.seq[:-1]] & self.often[self.seq[1:]])
-        number, pairs = pd.factorize(self.seq[at] * self.width + self.seq[at + 1])
+        number, pairs = pd.factorize(self.seq[at].astype(np.int64) * self.width + self.seq[at + 1])
         self.a, self.b = pairs // self.width, pairs % self.width
-        self.pair = np.full(len(self.seq), -1)
+        self.pair = np.full(len(self.seq), -1, np.int32)
         self.pair[at] = number
         self.pair_count = np.bincount(number[self.taught[at]], minlength=len(pairs))
         self.pair_keys = _mixed(self.hashes[self.a], self.hashes[self.b])
@@ -176,7 +176,7 @@ class Block:
         self.pairs()
         total = self._answer(PAIR, self.pair_keys)
         kept = np.flatnonzero(total)
-        place = np.full(len(total) + 1, -1)  # the last one: not a pair
+        place = np.full(len(total) + 1, -1, np.int32)  # the last one: not a pair
         place[kept] = np.arange(len(kept))
         self.pair = place[self.pair]
         self.a, self.b, self.pair_keys = self.a[kept], self.b[kept], self.pair_keys[kept]
@@ -185,13 +185,13 @@ class Block:
     def triples(self) -> None:
         """Triples of kept pairs: their first pair, last pair, last word."""
         at = np.flatnonzero((self.pair[:-1] >= 0) & (self.pair[1:] >= 0))
-        number, triples = pd.factorize(self.pair[at] * self.width + self.seq[at + 2] if len(at) else np.zeros(0, np.int64))
+        number, triples = pd.factorize(self.pair[at].astype(np.int64) * self.width + self.seq[at + 2] if len(at) else np.zeros(0, np.int64))
         self.first, self.last_word = triples // self.width, triples % self.width
         self.second = np.zeros(len(triples), np.int64)
         self.second[number] = self.pair[at + 1]
         self.triple_count = np.bincount(number[self.taught[at]], minlength=len(triples))
         self.triple_keys = _mixed(self.pair_keys[self.first], self.hashes[self.last_word])
-        self.triple_at, self.triple = at, number
+        self.triple_at, self.triple = at.astype(np.int32), number.astype(np.int32)
 
     def weighed(self) -> None:
         """Corpus counts of triples; the kept ones."""
@@ -205,6 +205,7 @@ class Block:
         kept = np.flatnonzero(total)
         self.first, self.second, self.last_word = self.first[kept], self.second[kept], self.last_word[kept]
         self.triple_total, self.triple_owned = total[kept] >> 1, (total[kept] & 1).astype(bool)
+        del self.triple_at, self.triple, self.triple_keys, self.triple_count
 
     def contexts(self) -> np.ndarray:
         """Pairs whose failure arc is taken here, or about whose followers the block reports."""
@@ -340,7 +341,7 @@ def automaton(block: Block, tokens: int, distinct: int) -> dict:
 
 def step(t: dict, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """States after a word each, and the weights of the arcs and failure arcs taken."""
-    weight, after = np.zeros(len(state)), 1 + word
+    weight, after = np.zeros(len(state)), 1 + word.astype(np.int64)
     open_ = np.flatnonzero(state)
     state = state[open_]
     weight_of_root = np.ones(len(word), bool)
@@ -371,9 +372,9 @@ def traverse(t: dict, seq: np.ndarray, lens: np.ndarray, stretch: int = STRETCH)
     size = np.minimum(stretch, first[of] + lens[of] - begin)
     order = np.argsort(-size, kind="stable")
     of, begin, size, nth = of[order], begin[order], size[order], nth[order]
-    state = 1 + seq[begin - 1]
+    state = 1 + seq[begin - 1].astype(np.int64)
     later = np.flatnonzero(nth)
-    state[later], _ = step(t, 1 + seq[begin[later] - 2], seq[begin[later] - 1])
+    state[later], _ = step(t, 1 + seq[begin[later] - 2].astype(np.int64), seq[begin[later] - 1])
     total = np.zeros(len(of))
     for i in range(int(size[0]) if len(size) else 0):
         n = int(np.searchsorted(-size, -i, side="left"))
@@ -448,7 +449,10 @@ def score_corpus(docs: DataFrame, train: Column, text: str = "text", block_bytes
                 block = _block(batch, i)
                 block.counted()
                 block.weighed()
-                path = traverse(automaton(block, tokens, distinct), block.seq, block.lens)
+                t = automaton(block, tokens, distinct)
+                del block.pair, block.inside, block.taught, block.answers, block.a, block.b, block.pair_keys
+                path = traverse(t, block.seq, block.lens)
+                del t
                 c, n = block.word_total[block.seq], block.lens - 1
                 first = np.cumsum(block.lens) - block.lens
                 c[first] = 0  # START is no token
