@@ -16,16 +16,15 @@ repeated words; triples of kept pairs, and what the followers of a word weigh; w
 followers of a pair weigh. An n-gram goes out once a block, so a very frequent one makes
 as many entries as there are blocks, and buckets are cut by hash: their number grows with
 the corpus, not their size. Asks and answers are packed arrays, one row a block and bucket.
-What followers weigh travels as multiples of 2^-40, backoffs as multiples of 2^-27.
+What followers weigh travels as multiples of 2^-32, backoffs as multiples of 2^-27.
 
 Then each block builds its part of the automaton and traverses its texts. The state
 after a word depends on the last two words alone, so long texts are cut into stretches
 (``STRETCH`` words) that find their state from the two words before them, and all
 stretches of a block step together, a word at a time.
 
-Words are known by 64-bit hashes (two of 10^8 share one with a probability of 0.0003),
-pairs and triples by 56 bits: among n distinct ones, a count is merged with another's
-with a probability of n / 2^56 (1 in 7 million at 10^10).
+Words and n-grams are known by 56 bits of a hash: among n distinct ones, a count is
+merged with another's with a probability of n / 2^56 (1 in 7 million at 10^10).
 """
 
 from __future__ import annotations
@@ -48,19 +47,19 @@ from .common import crc_fold, cut_lineage, split_words
 MIN_COUNT = 2
 DISCOUNT = 0.5
 #: Text of a block, tokens that a bucket stands for, words of a stretch.
-BLOCK_BYTES, BUCKET_TOKENS, STRETCH = 13_000_000, 2_000_000, 512
+BLOCK_BYTES, BUCKET_TOKENS, STRETCH = 13_000_000, 1_500_000, 512
 #: The end token, and the start of a text as a context. No word holds a line break.
 END, START = "\n", "\n\n"
 #: Kinds of asks: counts of words, pairs and triples; followers of words and pairs.
 WORD, PAIR, TRIPLE, AFTER_WORD, AFTER_PAIR = range(5)
-_FIXED, _SHARE, _SPARE_BITS = float(1 << 27), float(1 << 40), 8
+_FIXED, _SHARE, _SPARE_BITS = float(1 << 27), float(1 << 32), 8
 _ADDED = ("n_tokens", "n_known", "base_score", "score")
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed blob, bytes of equal weight together."""
     raw = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays)
-    return np.array([len(raw), *map(len, arrays)], np.int64).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+    return np.array([len(raw), *map(len, arrays)], np.int64).tobytes() + pa.Codec("zstd", 3).compress(raw, asbytes=True)
 
 
 def _unpack(blob: bytes, *types) -> list[np.ndarray]:
@@ -111,7 +110,7 @@ def tokenised(docs: DataFrame, train: Column, text: str = "text", block_bytes: i
                 rank = np.empty(len(order), np.int64)
                 rank[order] = np.arange(len(order))
                 codes = rank[codes]
-                hashes = np.append(hashes[order], np.array([digest(START.encode()), digest(END.encode())], np.uint64))
+                hashes = np.append(hashes[order], np.array([digest(START.encode()), digest(END.encode())], np.uint64)) >> np.uint64(_SPARE_BITS)
                 lens = np.diff(offsets) + 2
                 seq = np.full(len(codes) + 2 * n, len(distinct) + 1, np.int32)
                 seq[np.arange(len(codes)) + 2 * np.repeat(np.arange(n), lens - 2) + 1] = codes
@@ -137,7 +136,7 @@ class Block:
 
     def __init__(self, body: bytes, got: list | None = None):
         steps, seq, lens, taught = _unpack(body, np.uint64, np.int32, np.int32, np.uint8)
-        self.hashes = np.cumsum(steps, dtype=np.uint64)
+        self.hashes = np.cumsum(steps, dtype=np.uint64) << np.uint64(_SPARE_BITS)
         self.seq, self.lens = seq, lens.astype(np.int64)
         self.width = len(self.hashes)
         self.taught = np.repeat(taught > 0, lens)
@@ -219,8 +218,7 @@ def _parts(kind: int, keys: np.ndarray, buckets: int, *values: np.ndarray):
     order = np.argsort(keys, kind="stable")
     keys, values = keys[order], [v[order] for v in values]
     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    if kind not in (WORD, AFTER_WORD):
-        keys = keys >> np.uint64(_SPARE_BITS)
+    keys = keys >> np.uint64(_SPARE_BITS)
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else np.zeros(0, np.int64)
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)]):
         yield kind, int(bucket[a]), _pack(np.diff(keys[a:b], prepend=np.uint64(0)), *(v[a:b] for v in values))
