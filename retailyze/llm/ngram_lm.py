@@ -47,7 +47,7 @@ from .common import crc_fold, cut_lineage, split_words
 MIN_COUNT = 2
 DISCOUNT = 0.5
 #: Text of a block, tokens that a bucket stands for, words of a stretch.
-BLOCK_BYTES, BUCKET_TOKENS, STRETCH = 13_000_000, 1_500_000, 512
+BLOCK_BYTES, BUCKET_TOKENS, STRETCH = 10_000_000, 1_500_000, 512
 #: The end token, and the start of a text as a context. No word holds a line break.
 END, START = "\n", "\n\n"
 #: Kinds of asks: counts of words, pairs and triples; followers of words and pairs.
