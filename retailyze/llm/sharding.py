@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage
+from .textstats import fresh
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -46,16 +47,17 @@ def number_within(df: DataFrame, group: str, out: str) -> DataFrame:
     checkpointed once, so that both passes see the same partitions also after
     a lost executor.
     """
-    tagged = cut_lineage(df.withColumn("_mid", F.monotonically_increasing_id()))
-    tagged = tagged.withColumn("_part", F.shiftright("_mid", 33))
-    cells = tagged.groupBy(F.col(group).alias("_g"), F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cells.select("_g", "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy(group, "_part").orderBy("_mid")
-    return (tagged.withColumn("_row", F.row_number().over(inside) - 1)
-            .join(starts, (F.col(group) == F.col("_g")) & (F.col("_part") == F.col("_p")))
-            .withColumn(out, (F.col("_start") + F.col("_row")).cast("long"))
-            .drop("_g", "_p", "_n", "_start", "_row", "_mid", "_part"))
+    mid, part, row, g, p, n, start = fresh(df, "_mid", "_part", "_row", "_g", "_p", "_n", "_start")
+    tagged = cut_lineage(df.withColumn(mid, F.monotonically_increasing_id()))
+    tagged = tagged.withColumn(part, F.shiftright(mid, 33))
+    cells = tagged.groupBy(F.col(group).alias(g), F.col(part).alias(p)).agg(F.count(F.lit(1)).alias(n))
+    before = Window.partitionBy(g).orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.select(g, p, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    inside = Window.partitionBy(group, part).orderBy(mid)
+    return (tagged.withColumn(row, F.row_number().over(inside) - 1)
+            .join(starts, (F.col(group) == F.col(g)) & (F.col(part) == F.col(p)))
+            .withColumn(out, (F.col(start) + F.col(row)).cast("long"))
+            .drop(g, p, start, row, mid, part))
 
 
 def shard_records(df: DataFrame, key: str = "doc_id", weights: Sequence[float] = (1.0,) * 40,

@@ -521,3 +521,10 @@ def test_pipeline_stages(spark, docs, labels, tmp_dir):
     assert rows.where("doc_id in (100, 101, 102, 103, 104, 107, 108)").count() == 0
     packed = corpus_pipeline.run(spark, tmp_dir)
     assert {r[0] for r in packed.select("doc_id").collect()} == {r[0] for r in rows.select("doc_id").collect()}
+
+
+def test_shards_keep_columns_named_like_helpers(spark):
+    df = spark.createDataFrame([(i % 7, i, -i, i) for i in range(50)], "doc_id long, _mid long, _part long, _n long")
+    out = sharding.shard_records(df)
+    assert {"_mid", "_part", "_n"} <= set(out.columns)
+    assert sorted((r["_mid"], r["_part"], r["_n"]) for r in out.collect()) == [(i, -i, i) for i in range(50)]
