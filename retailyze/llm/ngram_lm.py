@@ -23,8 +23,11 @@ after a word depends on the last two words alone, so long texts are cut into str
 (``STRETCH`` words) that find their state from the two words before them, and all
 stretches of a block step together, a word at a time.
 
-Words and n-grams are known by 56 bits of a hash: among n distinct ones, a count is
-merged with another's with a probability of n / 2^56 (1 in 7 million at 10^10).
+Words and triples are known by 56 bits of a hash: among n distinct ones, a count is
+merged with another's with a probability of n / 2^56 (1 in 7 million at 10^10). The
+answers to words number the repeated ones, and a pair of them is known by its two
+numbers, exactly (beyond 2^28 numbers by a hash as above): the fewer words there are,
+the shorter are the keys that travel.
 """
 
 from __future__ import annotations
@@ -84,6 +87,15 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
+def _spread(x: np.ndarray, bits: int) -> np.ndarray:
+    """A permutation of the whole numbers below 2^bits, in the top bits of 64."""
+    mask, half = np.uint64((1 << bits) - 1), np.uint64(bits // 2)
+    for odd in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9):
+        x = x * np.uint64(odd) & mask
+        x = x ^ x >> half
+    return x << np.uint64(64 - bits)
+
+
 def tokenised(docs: DataFrame, train: Column, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block, tokens, learned, docs, body): blocks of whole texts as word numbers. ``docs``
     holds the other columns, ``learned`` counts the tokens of training texts."""
@@ -132,9 +144,11 @@ def tokenised(docs: DataFrame, train: Column, text: str = "text", block_bytes: i
 
 
 class Block:
-    """A block's n-grams, numbered as they appear, and the answers that it has got."""
+    """A block's n-grams, numbered as they appear, and the answers that it has got.
+    ``number_bits``: bits of the numbers of repeated words (0: pairs go by hash)."""
 
-    def __init__(self, body: bytes, got: list | None = None):
+    def __init__(self, body: bytes, got: list | None = None, number_bits: int = 0):
+        self.number_bits = number_bits
         steps, seq, lens, taught = _unpack(body, np.uint64, np.int32, np.int32, np.uint8)
         self.hashes = np.cumsum(steps, dtype=np.uint64) << np.uint64(_SPARE_BITS)
         self.seq, self.lens = seq, lens.astype(np.int64)
@@ -146,9 +160,10 @@ class Block:
         for part in sorted(got or [], key=lambda r: (r["kind"], r["bucket"])):
             self.answers.setdefault(part["kind"], []).append(part["payload"])
 
-    def _answer(self, kind: int, keys: np.ndarray, as_type=np.int64) -> np.ndarray:
+    def _answer(self, kind: int, keys: np.ndarray, as_type=np.int64, nth: int = 0) -> np.ndarray:
         """Answers of a kind, which stand in the order of their keys."""
-        got = [_unpack(p, as_type)[0] for p in self.answers.get(kind, [])]
+        types = [np.int64, np.int64] if kind == WORD else [as_type]
+        got = [_unpack(p, *types)[nth] for p in self.answers.get(kind, [])]
         out = np.zeros(len(keys), as_type)
         if got:
             out[np.argsort(keys, kind="stable")] = np.concatenate(got)
@@ -168,7 +183,11 @@ class Block:
         self.pair = np.full(len(self.seq), -1, np.int32)
         self.pair[at] = number
         self.pair_count = np.bincount(number[self.taught[at]], minlength=len(pairs))
-        self.pair_keys = _mixed(self.hashes[self.a], self.hashes[self.b])
+        if self.number_bits:
+            number = self._answer(WORD, self.hashes, nth=1).astype(np.uint64)
+            self.pair_keys = _spread(number[self.a] << np.uint64(self.number_bits) | number[self.b], 2 * self.number_bits)
+        else:
+            self.pair_keys = _mixed(self.hashes[self.a], self.hashes[self.b])
 
     def counted(self) -> None:
         """Corpus counts of pairs; the kept pairs, renumbered."""
@@ -234,8 +253,9 @@ def _backoff(kept: np.ndarray, lower: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(1.0 - kept, 1e-9) / np.maximum(1.0 - lower, 1e-9))
 
 
-def _reply(kind: int, blobs: list[bytes], least: int):
-    """Answer to each blob of one bucket, and how many n-grams it is the first to name."""
+def _reply(kind: int, blobs: list[bytes], least: int, bucket: int = 0, buckets: int = 1):
+    """Answer to each blob of one bucket, and how many n-grams it is the first to name.
+    Answers to words also number the repeated ones, frequent ones first."""
     counts = kind <= TRIPLE
     types = [np.uint64] + [np.int64] * (1 if counts else 3)
     parts = [_unpack(b, *types) for b in blobs]
@@ -253,10 +273,15 @@ def _reply(kind: int, blobs: list[bytes], least: int):
         whole = np.maximum(np.maximum.reduceat(values[0][order], first), 1)
         back = np.where(sums[0] > 0, _backoff(sums[0] * DISCOUNT / whole, sums[1] / _SHARE), 0.0)
         answer = np.rint(back * _FIXED).astype(np.int32)[group]
-    out = np.empty(len(keys), answer.dtype)
-    out[order] = answer
-    for part in np.split(out, np.cumsum([len(p[0]) for p in parts])[:-1]):
-        yield _pack(part), int((part & 1).sum()) if counts else 0
+    columns = [answer]
+    if kind == WORD:
+        number, repeated = np.zeros(len(total), np.int64), np.flatnonzero(total >= MIN_COUNT)
+        number[repeated[np.argsort(-total[repeated], kind="stable")]] = np.arange(len(repeated)) * buckets + bucket
+        columns.append(number[group])
+    cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
+    back_to = np.argsort(order)
+    for each in zip(*(np.split(c[back_to], cuts) for c in columns)):
+        yield _pack(*each), int((each[0] & 1).sum()) if counts else 0
 
 
 def _by_block(df: DataFrame, parts: int) -> DataFrame:
@@ -271,24 +296,27 @@ def _by_block(df: DataFrame, parts: int) -> DataFrame:
         conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
-def exchange(blocks: DataFrame, ask: Callable, buckets: int) -> DataFrame:
-    """(block, kind, bucket, fresh, payload): the answers to what ``ask(block)`` yields.
-    The first answer that names an n-gram of the training texts counts it in ``fresh``."""
+def exchange(blocks: DataFrame, ask: Callable, buckets: int, number_bits: int = 0) -> DataFrame:
+    """(block, kind, bucket, fresh, largest, payload): the answers to what ``ask(block)``
+    yields. The first answer that names an n-gram of the training texts counts it in
+    ``fresh``; ``largest`` is the largest number that it gives to a word."""
 
     def asked(batches):
         for batch in batches:
             for i, number in enumerate(batch.column("block").to_pylist()):
-                for kind, bucket, payload in ask(_block(batch, i)):
+                for kind, bucket, payload in ask(_block(batch, i, number_bits)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([number]), pa.array([kind], pa.int32()), pa.array([bucket]), pa.array([payload], pa.binary())],
                         ["block", "kind", "bucket", "payload"])
 
     def replies(held):
         kind, bucket = held[0][1:3]
-        for (number, *_), (payload, fresh) in zip(held, _reply(kind, [h[3] for h in held], 1 if kind == WORD else MIN_COUNT)):
+        given = _reply(kind, [h[3] for h in held], 1 if kind == WORD else MIN_COUNT, bucket, buckets)
+        for (number, *_), (payload, fresh) in zip(held, given):
+            largest = int(_unpack(payload, np.int64, np.int64)[1].max(initial=0)) if kind == WORD else 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([kind], pa.int32()), pa.array([bucket]), pa.array([fresh]), pa.array([payload], pa.binary())],
-                ["block", "kind", "bucket", "fresh", "payload"])
+                [pa.array([number]), pa.array([kind], pa.int32()), pa.array([bucket]), pa.array([fresh]), pa.array([largest]),
+                 pa.array([payload], pa.binary())], ["block", "kind", "bucket", "fresh", "largest", "payload"])
 
     def answered(batches):
         held: list[tuple] = []
@@ -303,7 +331,7 @@ def exchange(blocks: DataFrame, ask: Callable, buckets: int) -> DataFrame:
 
     asks = blocks.mapInArrow(asked, "block long, kind int, bucket long, payload binary")
     dealt = asks.repartition(buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
-    return dealt.mapInArrow(answered, "block long, kind int, bucket long, fresh long, payload binary")
+    return dealt.mapInArrow(answered, "block long, kind int, bucket long, fresh long, largest long, payload binary")
 
 
 def _with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
@@ -313,9 +341,9 @@ def _with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
     return blocks
 
 
-def _block(batch: pa.RecordBatch, i: int) -> Block:
+def _block(batch: pa.RecordBatch, i: int, number_bits: int) -> Block:
     got = [x for name in batch.schema.names if name.startswith("got") for x in batch.column(name)[i].as_py() or []]
-    return Block(batch.column("body")[i].as_buffer().to_pybytes(), got)
+    return Block(batch.column("body")[i].as_buffer().to_pybytes(), got, number_bits)
 
 
 def automaton(block: Block, tokens: int, distinct: int) -> dict:
@@ -403,13 +431,16 @@ def score_corpus(docs: DataFrame, train: Column, text: str = "text", block_bytes
         yield from _parts(WORD, block.hashes, buckets, block.words())
 
     answers.append(_by_block(exchange(bodies, ask_words, buckets), parts))
-    distinct = max(0, (answers[0].agg(F.sum("fresh")).first()[0] or 0) - 1)  # START is no token
+    named, largest = (x or 0 for x in answers[0].agg(F.sum("fresh"), F.max("largest")).first())
+    distinct = max(0, named - 1)  # START is no token
+    bits = max(1, largest.bit_length())
+    bits = bits if 2 * bits <= 64 - _SPARE_BITS else 0
 
     def ask_pairs(block: Block):
         block.pairs()
         yield from _parts(PAIR, block.pair_keys, buckets, block.pair_count)
 
-    answers.append(_by_block(exchange(_with_answers(bodies, answers), ask_pairs, buckets), parts))
+    answers.append(_by_block(exchange(_with_answers(bodies, answers), ask_pairs, buckets, bits), parts))
     whole = max(tokens + distinct, 1)
 
     def ask_triples(block: Block):
@@ -423,7 +454,7 @@ def score_corpus(docs: DataFrame, train: Column, text: str = "text", block_bytes
         at = np.flatnonzero(block.often)
         yield from _parts(AFTER_WORD, block.hashes[at], buckets, *_followers(block.word_total, kept, lower, at))
 
-    answers.append(_by_block(exchange(_with_answers(bodies, answers), ask_triples, buckets), parts))
+    answers.append(_by_block(exchange(_with_answers(bodies, answers), ask_triples, buckets, bits), parts))
 
     def ask_followers(block: Block):
         block.counted()
@@ -437,14 +468,14 @@ def score_corpus(docs: DataFrame, train: Column, text: str = "text", block_bytes
         at = block.contexts()
         yield from _parts(AFTER_PAIR, block.pair_keys[at], buckets, *_followers(block.pair_total, kept, lower, at))
 
-    answers.append(exchange(_with_answers(bodies, answers), ask_followers, buckets))
+    answers.append(exchange(_with_answers(bodies, answers), ask_followers, buckets, bits))
     kept = [c for c in docs.columns if c != text and c.lower() not in _ADDED]
     norm = math.log10(tokens + distinct + 1)
 
     def run(batches):
         for batch in batches:
             for i, others in enumerate(batch.column("docs")):
-                block = _block(batch, i)
+                block = _block(batch, i, bits)
                 block.counted()
                 block.weighed()
                 t = automaton(block, tokens, distinct)
