@@ -301,13 +301,11 @@ def exchange(blocks: DataFrame, ask: Callable, buckets: int, number_bits: int =
     yields. The first answer that names an n-gram of the training texts counts it in
     ``fresh``; ``largest`` is the largest number that it gives to a word."""
 
-    def asked(batches):
-        for batch in batches:
-            for i, number in enumerate(batch.column("block").to_pylist()):
-                for kind, bucket, payload in ask(_block(batch, i, number_bits)):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([number]), pa.array([kind], pa.int32()), pa.array([bucket]), pa.array([payload], pa.binary())],
-                        ["block", "kind", "bucket", "payload"])
+    def asked(row):
+        asks = list(ask(_block(row, number_bits)))
+        kinds, to, payloads = zip(*asks) if asks else ((), (), ())
+        return pa.table([pa.array([row.column("block")[0].as_py()] * len(kinds), pa.int64()), pa.array(kinds, pa.int32()),
+                         pa.array(to, pa.int64()), pa.array(payloads, pa.binary())], ["block", "kind", "bucket", "payload"])
 
     def replies(held):
         kind, bucket = held[0][1:3]
@@ -329,7 +327,7 @@ def exchange(blocks: DataFrame, ask: Callable, buckets: int, number_bits: int =
         if held:
             yield from replies(held)
 
-    asks = blocks.mapInArrow(asked, "block long, kind int, bucket long, payload binary")
+    asks = blocks.groupBy("block").applyInArrow(asked, "block long, kind int, bucket long, payload binary")
     dealt = asks.repartition(buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
     return dealt.mapInArrow(answered, "block long, kind int, bucket long, fresh long, largest long, payload binary")
 
@@ -341,9 +339,10 @@ def _with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
     return blocks
 
 
-def _block(batch: pa.RecordBatch, i: int, number_bits: int) -> Block:
-    got = [x for name in batch.schema.names if name.startswith("got") for x in batch.column(name)[i].as_py() or []]
-    return Block(batch.column("body")[i].as_buffer().to_pybytes(), got, number_bits)
+def _block(row: pa.Table, number_bits: int) -> Block:
+    """A task's blocks come one by one, as groups, so their number doesn't matter to its memory."""
+    got = [x for name in row.column_names if name.startswith("got") for x in row.column(name)[0].as_py() or []]
+    return Block(row.column("body")[0].as_py(), got, number_bits)
 
 
 def automaton(block: Block, tokens: int, distinct: int) -> dict:
@@ -472,29 +471,26 @@ def score_corpus(docs: DataFrame, train: Column, text: str = "text", block_bytes
     kept = [c for c in docs.columns if c != text and c.lower() not in _ADDED]
     norm = math.log10(tokens + distinct + 1)
 
-    def run(batches):
-        for batch in batches:
-            for i, others in enumerate(batch.column("docs")):
-                block = _block(batch, i, bits)
-                block.counted()
-                block.weighed()
-                t = automaton(block, tokens, distinct)
-                del block.pair, block.inside, block.taught, block.answers, block.a, block.b, block.pair_keys
-                path = traverse(t, block.seq, block.lens)
-                del t
-                c, n = block.word_total[block.seq], block.lens - 1
-                first = np.cumsum(block.lens) - block.lens
-                c[first] = 0  # START is no token
-                base = np.add.reduceat(np.log10(c + 1.0), first) - n * norm
-                got_known = np.add.reduceat((c > 0).astype(np.int64), first)
-                with pa.ipc.open_stream(others.as_buffer()) as stream:
-                    for part in stream:
-                        yield pa.RecordBatch.from_arrays(
-                            [*part.columns, pa.array(n), pa.array(got_known), pa.array(np.full(len(n), tokens)),
-                             pa.array(base), pa.array(path)], [*kept, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    def run(row):
+        block = _block(row, bits)
+        block.counted()
+        block.weighed()
+        t = automaton(block, tokens, distinct)
+        del block.pair, block.inside, block.taught, block.answers, block.a, block.b, block.pair_keys
+        path = traverse(t, block.seq, block.lens)
+        del t
+        c, n = block.word_total[block.seq], block.lens - 1
+        first = np.cumsum(block.lens) - block.lens
+        c[first] = 0  # START is no token
+        base = np.add.reduceat(np.log10(c + 1.0), first) - n * norm
+        got_known = np.add.reduceat((c > 0).astype(np.int64), first)
+        with pa.ipc.open_stream(row.column("docs")[0].as_buffer()) as stream:
+            (part,) = stream
+        return pa.table([*part.columns, pa.array(n), pa.array(got_known), pa.array(np.full(len(n), tokens)),
+                         pa.array(base), pa.array(path)], [*kept, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in kept]).schema.fields]
-    return _with_answers(blocks.select("block", "docs", "body"), answers).mapInArrow(
+    return _with_answers(blocks.select("block", "docs", "body"), answers).groupBy("block").applyInArrow(
         run, ", ".join([*fields, "n_tokens long, n_known long, train_tokens long, base_score double, score double"]))
 
 
