@@ -6,12 +6,18 @@ an unseen byte pays the context's escape probability (distinct followers
 over followers plus distinct followers) and is looked up in the next shorter
 context without the bytes already excluded, down to a uniform order -1 over
 the 256 bytes. With the counts frozen, the code length of every (context,
-byte) pair is a constant, so the trees become one table; a text's exact code
-length in each language is a sum of table entries. The shortest code wins.
+byte) pair is a constant, so each tree becomes a table of its own; a text's
+exact code length in a language is a sum of that table's entries. The shortest
+code wins.
+
+Trees are built one language a task from a bounded sample; only their tables
+come to the driver and are broadcast (at most ``MAX_CONTEXTS`` times 257 numbers
+and 257^3 context numbers a language; a Latin script takes 2 to 6 MB).
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Sequence
 
 import numpy as np
@@ -24,8 +30,12 @@ from .common import crc_fold
 from .textstats import fresh
 
 ORDER = 3
-#: Bounds of the training sample (per language) and of the context table.
-SAMPLE_ROWS, SAMPLE_BYTES, MAX_CONTEXTS = 600, 1_500_000, 8192
+#: Bounds of a language's training sample and of its contexts. A sample of Latin script
+#: has some 10,000 contexts; one that had more than the bound would keep the most frequent.
+SAMPLE_ROWS, SAMPLE_BYTES, MAX_CONTEXTS = 600, 1_500_000, 32_768
+#: Documents over this share of the byte bound teach only where shorter ones are few.
+LONG_SHARE = 20
+_ROWS = 4096
 CHUNK = 1 << 19
 UNKNOWN = "und"
 
@@ -34,9 +44,10 @@ def training_sample(docs: DataFrame, folds: int = 5, rows: int = SAMPLE_ROWS, si
                     key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Per language at most ``rows`` whole documents (in the order of a hash of the
     key) until ``size`` bytes are reached, from documents with a language whose
-    crc32(key) mod ``folds`` is not 0. Only (language, count) rows and the sample
-    itself leave the executors; a hash threshold keeps the candidates few before
-    they are ranked."""
+    crc32(key) mod ``folds`` is not 0. Documents of more than a twentieth of ``size``
+    come last, so a language with twenty shorter candidates has twenty documents at
+    least. Only (language, count) rows leave the executors; a hash threshold keeps
+    the candidates few before they are ranked."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (crc_fold(key, folds) != 0)).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
         F.xxhash64(F.col(key), F.lit(10)).alias("h"))
@@ -47,49 +58,40 @@ def training_sample(docs: DataFrame, folds: int = 5, rows: int = SAMPLE_ROWS, si
     limit = F.create_map(*[x for k, n in counts.items() for x in (
         F.lit(k), F.lit(min(scale, int(scale * (3.0 * rows + 50) / n))))])
     few = known.where(F.pmod("h", F.lit(scale)) < limit[F.col("lang")])
-    ranked = Window.partitionBy("lang").orderBy("h", "text")
+    ranked = Window.partitionBy("lang").orderBy(F.octet_length("text") * LONG_SHARE > size, "h", "text")
     few = few.withColumn("i", F.row_number().over(ranked)).where(F.col("i") <= rows)
     before = F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("i").rowsBetween(Window.unboundedPreceding, -1))
     return few.withColumn("b", F.coalesce(before, F.lit(0))).where(F.col("b") < size).select("lang", "text")
 
 
-def build_tables(sample: Sequence[tuple[str, str]], order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> dict:
-    """Plain tables of the frozen trees: code lengths by (context, byte class,
-    language), the context of the last ``order`` byte classes, byte classes."""
-    langs = sorted({lang for lang, _ in sample})
-    if not langs:
-        return {"langs": []}
-    raw = {k: [_folded(t) for lang, t in sample if lang == k] for k in langs}
+def language_tree(texts: Sequence[str], order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> dict:
+    """The frozen tree of one language as plain tables: code lengths by (context,
+    byte class), the context of the last ``order`` byte classes, byte classes.
+    Every language has its own contexts, whatever the others hold."""
+    parts = [_folded(t) for t in texts]
     present = np.zeros(256, bool)
-    for parts in raw.values():
-        for p in parts:
-            present[p] = True
+    for p in parts:
+        present[p] = True
     lut = np.zeros(256, np.int64)
     lut[present] = np.arange(1, present.sum() + 1)
-    base = int(present.sum()) + 1  # class 0: a byte never seen, or before the text
+    base = int(present.sum()) + 1  # class 0: a byte this language never had, or before the text
     lut[65:91] = lut[97:123]
-    streams = {k: np.concatenate([np.concatenate([np.zeros(order, np.int64), lut[p]]) for p in parts])
-               for k, parts in raw.items()}
+    s = np.concatenate([np.concatenate([np.zeros(order, np.int64), lut[p]]) for p in parts])
 
-    def history(s: np.ndarray, k: int) -> np.ndarray:
+    def history(k: int) -> np.ndarray:
         key = np.zeros(len(s), np.int64)
         for j in range(k, 0, -1):
-            prev = np.concatenate([np.zeros(j, np.int64), s[:-j]])
-            key = key * base + prev
+            key = key * base + np.concatenate([np.zeros(j, np.int64), s[:-j]])
         return key
 
-    # contexts: all of order 0, then those seen most often over all languages
+    # contexts: all of order 0, then the most frequent of each order
     contexts: list[np.ndarray] = [np.zeros(1, np.int64)]
+    full = s > 0
     for k in range(1, order + 1):
-        seen = []
-        for s in streams.values():
-            full = s > 0
-            for j in range(1, k + 1):
-                full = full & (np.concatenate([np.zeros(j, np.int64), s[:-j]]) > 0)
-            seen.append(history(s, k)[full])
-        keys, n = np.unique(np.concatenate(seen), return_counts=True)
+        full = full & (np.concatenate([np.zeros(k, np.int64), s[:-k]]) > 0)
+        keys, n = np.unique(history(k)[full], return_counts=True)
         room = max(0, max_contexts - sum(map(len, contexts)))
-        contexts.append(np.sort(keys[np.argsort(-n, kind="stable")[:room]][: len(keys)]))
+        contexts.append(np.sort(keys[np.argsort(-n, kind="stable")[:room]]))
     first = np.cumsum([0, *map(len, contexts)])
 
     def place(k: int, keys: np.ndarray) -> np.ndarray:
@@ -100,15 +102,15 @@ def build_tables(sample: Sequence[tuple[str, str]], order: int = ORDER, max_cont
         i = np.minimum(np.searchsorted(c, keys), len(c) - 1)
         return np.where(c[i] == keys, first[k] + i, -1)
 
-    cost = np.zeros((first[-1], base, len(langs)), np.float32)
-    for li, (_, s) in enumerate(sorted(streams.items())):
-        counts = np.zeros((first[-1], base), np.int64)
-        for k in range(order + 1):
-            row = place(k, history(s, k))
-            ok = (row >= 0) & (s > 0)
-            np.add.at(counts, (row[ok], s[ok]), 1)
-        for k in range(order + 1):
-            keys = contexts[k]
+    cost = np.zeros((first[-1], base), np.float32)
+    counts = np.zeros((first[-1], base), np.int32)
+    for k in range(order + 1):
+        row = place(k, history(k))
+        ok = (row >= 0) & (s > 0)
+        np.add.at(counts, (row[ok], s[ok]), 1)
+    for k in range(order + 1):
+        for at in range(0, len(contexts[k]), _ROWS):
+            keys = contexts[k][at:at + _ROWS]
             mass = np.ones(len(keys))
             p = np.zeros((len(keys), base))
             alive = np.ones((len(keys), base), bool)
@@ -125,14 +127,19 @@ def build_tables(sample: Sequence[tuple[str, str]], order: int = ORDER, max_cont
             each = (mass / np.maximum(rest, 1))[:, None]
             p = np.where(alive, each, p)
             p[:, 0] = each[:, 0]
-            cost[first[k]:first[k + 1], :, li] = -np.log2(np.maximum(p, 1e-12))
+            cost[first[k] + at:first[k] + at + len(keys)] = -np.log2(np.maximum(p, 1e-12))
     grid = np.arange(base**order)
-    longest = np.zeros(len(grid), np.int64)
+    longest = np.zeros(len(grid), np.uint16 if first[-1] < 65536 else np.int32)
     for k in range(1, order + 1):
         row = place(k, grid % base**k)
-        longest = np.where(row >= 0, row, longest)
-    return {"langs": langs, "cost": cost, "longest": longest.astype(np.uint16 if first[-1] < 65536 else np.int32),
-            "lut": lut, "base": base, "order": order}
+        longest = np.where(row >= 0, row, longest).astype(longest.dtype)
+    return {"cost": cost, "longest": longest, "lut": lut, "base": base, "order": order}
+
+
+def build_tables(sample: Sequence[tuple[str, str]], order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> dict:
+    """The trees of all languages of (language, text) rows."""
+    langs = sorted({lang for lang, _ in sample})
+    return {"langs": langs, "trees": [language_tree([t for k, t in sample if k == lang], order, max_contexts) for lang in langs]}
 
 
 def _folded(text: str) -> np.ndarray:
@@ -143,23 +150,25 @@ def code_lengths(t: dict, offsets: np.ndarray, data: np.ndarray, chunk: int = CH
     """Bits of each text (rows) in each language; ``offsets`` delimit the texts in
     the byte array ``data``. Works through ``chunk`` bytes at a time, so a very
     long text needs no more memory than a short one."""
-    order, base, cost = t["order"], t["base"], t["cost"]
     n = len(offsets) - 1
     bits = np.zeros((n, len(t["langs"])))
     begin, end = int(offsets[0]), int(offsets[-1])
     for a in range(begin, end, chunk):
         b = min(end, a + chunk)
-        codes = t["lut"][data[max(begin, a - order):b]]
-        skip = a - max(begin, a - order)
         row = np.searchsorted(offsets, np.arange(a, b), side="right") - 1
         into = np.arange(a, b) - offsets[row]  # bytes of the same text before this one
-        key = np.zeros(b - a, np.int64)
-        for j in range(order, 0, -1):
-            at = np.arange(skip - j, skip - j + b - a)
-            key = key * base + np.where(into >= j, codes[np.maximum(at, 0)], 0)
-        each = cost[t["longest"][key], codes[skip:]]
         starts = np.concatenate([[0], np.flatnonzero(np.diff(row)) + 1])
-        bits[row[starts]] += np.add.reduceat(each, starts, axis=0, dtype=np.float64)
+        for li, tree in enumerate(t["trees"]):
+            order, base = tree["order"], tree["base"]
+            codes = tree["lut"][data[max(begin, a - order):b]]
+            skip = a - max(begin, a - order)
+            key = np.zeros(b - a, np.int64)
+            for j in range(order, 0, -1):
+                prev = codes[max(skip - j, 0):skip - j + b - a]
+                prev = np.concatenate([np.zeros(b - a - len(prev), np.int64), prev])
+                key = key * base + np.where(into >= j, prev, 0)
+            each = tree["cost"][tree["longest"][key], codes[skip:]]
+            bits[row[starts], li] += np.add.reduceat(each, starts, dtype=np.float64)
     return bits
 
 
@@ -167,8 +176,9 @@ def predict(df: DataFrame, tables: dict, text: str = "text", lang: str = "lang_p
     """``df`` with the language of the shortest code and its share among all
     languages' probabilities of the text. A null text, a text without a letter and
     a model without a language give ``und`` with score 0; ties go to the first
-    language by name. Other columns stay; columns of these names are replaced."""
-    keep = [c for c in df.columns if c not in (lang, score)]
+    language by name. Other columns stay; columns of these names are replaced,
+    in whatever case they are written."""
+    keep = [c for c in df.columns if c.lower() not in (lang.lower(), score.lower())]
     (letters,) = fresh(df, "_letters")
     df = df.select(*[F.col(f"`{c}`") for c in keep],
                    F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)).alias(letters))
@@ -197,8 +207,15 @@ def predict(df: DataFrame, tables: dict, text: str = "text", lang: str = "lang_p
 
 
 def learn_languages(docs: DataFrame, folds: int = 5, **bounds) -> dict:
-    """Tables learned from the bounded sample of ``training_sample``."""
-    return build_tables([(r["lang"], r["text"]) for r in training_sample(docs, folds, **bounds).collect()])
+    """Tables learned from the bounded sample of ``training_sample``, a language a task."""
+
+    def tree(key, rows):
+        made = language_tree(rows.column("text").to_pylist())
+        return pa.table([pa.array([key[0].as_py()]), pa.array([pickle.dumps(made)], pa.binary())], ["lang", "tree"])
+
+    trees = training_sample(docs, folds, **bounds).groupBy("lang").applyInArrow(tree, "lang string, tree binary")
+    made = {r["lang"]: pickle.loads(r["tree"]) for r in trees.collect()}
+    return {"langs": sorted(made), "trees": [made[k] for k in sorted(made)]}
 
 
 def op10(docs: DataFrame, folds: int = 5) -> DataFrame:
