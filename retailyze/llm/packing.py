@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from .common import cut_lineage, text_slices
+from .textstats import fresh
 
 CAPACITY = 4096
 #: Rows of a block (a task's memory), fill below which a bin is packed again, rounds.
@@ -94,11 +95,11 @@ def pack_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
     return bins, offsets, np.array(fill, np.int64)
 
 
-def _block_packer(kept: list[str], length: str, capacity: int, level: int):
+def _block_packer(kept: list[str], length: str, fill_name: str, capacity: int, level: int):
     def run(key, pdf):
         bins, offsets, fill = pack_lengths(pdf[length].to_numpy(np.int64), capacity)
         first = (level << 56) + (int(key[0]) << 32)
-        return pdf[kept].assign(sequence_id=first + bins, offset=offsets, _fill=fill[bins])
+        return pdf[kept].assign(**{"sequence_id": first + bins, "offset": offsets, fill_name: fill[bins]})
 
     return run
 
@@ -108,35 +109,37 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, bl
     """``pieces`` with sequence_id and offset (gapless from 0 in each sequence).
 
     ``length`` must be 1 to ``capacity``; equal rows are packed each for itself,
-    ties in length go by row order. Input columns named like the added ones are
-    replaced. An empty table gives an empty result.
+    ties in length go by row order. Input columns named like the two added ones are
+    replaced, all others stay. An empty table gives an empty result. ``pieces`` is
+    read once, before this returns.
     """
-    pieces = pieces.drop("sequence_id", "offset", "_uid", "_len", "_fill")
-    tagged = cut_lineage(pieces.withColumn("_uid", F.monotonically_increasing_id()))
+    pieces = pieces.drop("sequence_id", "offset")
+    uid, filled, block = fresh(pieces, "_uid", "_fill", "_block")
+    tagged = cut_lineage(pieces.withColumn(uid, F.monotonically_increasing_id()))
     kept = tagged.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tagged.schema.fields)
-    schema += ", sequence_id long, offset long, _fill long"
+    schema += f", sequence_id long, offset long, `{filled}` long"
     todo, done, n = tagged, [], tagged.count()
     for r in range(rounds):
         blocks = max(1, -(-n // block_rows))
 
-        run = _block_packer(kept, length, capacity, r)
-        dealt = todo.withColumn("_block", F.pmod(F.xxhash64("_uid", F.lit(r)), F.lit(blocks)))
-        packed = dealt.groupBy("_block").applyInPandas(run, schema)
+        run = _block_packer(kept, length, filled, capacity, r)
+        dealt = todo.withColumn(block, F.pmod(F.xxhash64(uid, F.lit(r)), F.lit(blocks)))
+        packed = dealt.groupBy(block).applyInPandas(run, schema)
         if blocks == 1 or r == rounds - 1:
             done.append(packed)
             break
         packed = cut_lineage(packed)
-        good = F.col("_fill") >= int(good_fill * capacity)
+        good = F.col(filled) >= int(good_fill * capacity)
         done.append(packed.where(good))
-        todo = packed.where(~good).select(*kept)
+        todo = packed.where(~good).select(*[F.col(f"`{c}`") for c in kept])
         n = todo.count()
         if not n:
             break
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out.drop("_uid", "_fill")
+    return out.drop(uid, filled)
 
 
 def op1(docs: DataFrame, path: str) -> DataFrame:
