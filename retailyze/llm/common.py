@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of tables that nothing reads any more, in whatever file system it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def crc_fold(key: str | Column, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds`` (null key: null)."""
     c = F.col(key) if isinstance(key, str) else key

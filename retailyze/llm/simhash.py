@@ -199,6 +199,10 @@ def _rooted(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int) -
     fingerprint: its smallest key, the smallest fingerprint of its component, and the
     component's smallest key. Only _root is a component's own: keys may repeat or be null."""
     rows = cut_lineage(with_fingerprint(docs.select(F.col(key), F.col(text).cast("string").alias("_text")), "_text", "fp", shingle, keep_text=False))
+    return rows, _roots(rows, key, max_bits)
+
+
+def _roots(rows: DataFrame, key: str, max_bits: int) -> DataFrame:
     distinct = cut_lineage(rows.groupBy("fp").agg(F.min(key).alias("_first")))
     stars = components(fingerprint_links(distinct.select("fp"), max_bits))
     rooted = distinct.join(stars, distinct["fp"] == stars["node"], "left").select(
@@ -206,7 +210,7 @@ def _rooted(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int) -
     # written before it is joined back: the join's sides are then two plain
     # shuffles, and the rows of one large component are split over several tasks
     lowest = cut_lineage(rooted.groupBy("_root").agg(F.min("_first").alias("component_id")))
-    return rows, rooted.join(lowest, "_root")
+    return rooted.join(lowest, "_root")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -224,16 +228,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
              max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest key, a null
-    key last, then the smallest fingerprint (of equal rows, one). Components of one
-    key, or without any, each keep their row. Columns stay as they are."""
+    key last, then the smallest fingerprint, then the smallest values of its columns
+    from left to right, nulls first (of equal rows, one). Components of one key, or
+    without any, each keep their row. Columns stay as they are; those that can't be
+    ordered (maps) don't decide. Rows are fingerprinted once and kept with their
+    fingerprint in the checkpoint folder."""
     fp, one, want, want_fp = fresh(docs, "_fp", "_one", "_want", "_want_fp")
-    _, rooted = _rooted(docs, key, text, shingle, max_bits)
+    keyed = cut_lineage(with_fingerprint(docs, text, fp, shingle))
+    rooted = _roots(keyed.select(F.col(f"`{key}`").alias("_key"), F.col(fp).alias("fp")), "_key", max_bits)
+    ties = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
     keepers = rooted.where(F.col("_first").eqNullSafe(F.col("component_id"))).groupBy("_root").agg(
         F.min("component_id").alias(want), F.min("fp").alias(want_fp)).drop("_root")
-    keyed = with_fingerprint(docs, text, fp, shingle)
     same = F.col(key).eqNullSafe(F.col(want)) & (F.col(fp) == F.col(want_fp))
     return (keyed.join(keepers, same)
-            .withColumn(one, F.row_number().over(Window.partitionBy(want, want_fp).orderBy(fp)))
+            .withColumn(one, F.row_number().over(Window.partitionBy(want, want_fp).orderBy(*ties)))
             .where(F.col(one) == 1).select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from retailyze.llm import chat, components, fingerprints, langid, ngram_lm, qda, rules, sharding, simhash
+from retailyze.llm import chat, components, fingerprints, langid, ngram_lm, packing, qda, rules, sharding, simhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 RNG = random.Random(11)
@@ -528,3 +528,113 @@ def test_shards_keep_columns_named_like_helpers(spark):
     out = sharding.shard_records(df)
     assert {"_mid", "_part", "_n"} <= set(out.columns)
     assert sorted((r["_mid"], r["_part"], r["_n"]) for r in out.collect()) == [(i, -i, i) for i in range(50)]
+
+
+# --------------------------------------------------- round 3: bounds and clashes
+def test_templates_that_look_far_back_are_flagged(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(100)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+    def last_40(messages):
+        return "".join(f"<{m['role']}>{m['content']}</>" for m in messages[-40:])
+
+    def numbered(messages):
+        return f"({messages[0]['content'] if messages else ''})" + "".join(f"{i}:{m['content']};" for i, m in enumerate(messages))
+
+    flagged = [r[0] for r in chat.format_conversations(df, last_40).where("rewrites").select("position").collect()]
+    assert sorted(flagged) == list(range(40, 100))
+    spans = chat.format_conversations(df, numbered).orderBy("position").collect()
+    whole = numbered([{"role": r[2], "content": r[3]} for r in rows])
+    assert [r["position"] for r in spans if r["rewrites"]] == [0]  # the empty prefix has no first turn to show
+    assert whole.endswith("".join(r["formatted"] for r in spans[1:]))
+
+
+def test_languages_dont_share_a_context_budget():
+    rng = random.Random(4)
+    big = [("big", prose(300, rng)) for _ in range(40)]
+    small = [("small", "".join(rng.choice("αβγδεζηθ ") for _ in range(200))) for _ in range(2)]
+    alone, both = langid.build_tables(small), langid.build_tables([*big, *small])
+    assert both["langs"] == ["big", "small"]
+    one, other = alone["trees"][0], both["trees"][1]
+    assert all(np.array_equal(one[k], other[k]) for k in ("cost", "longest", "lut"))
+
+
+def test_long_documents_teach_only_where_short_ones_are_few(spark):
+    rows = [(i, "x" * 5000, "a") for i in range(50)] + [(100 + i, f"short {i}", "a") for i in range(50)] + [(999 + i, "y" * 9000, "b") for i in range(9)]
+    got = langid.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=60, size=4000).collect()
+    assert sum(r["lang"] == "a" and len(r["text"]) < 100 for r in got) >= 20
+    assert sum(r["lang"] == "b" for r in got) == 1
+
+
+def test_predict_replaces_columns_in_any_case(spark):
+    df = spark.createDataFrame([("abc", 1, 2)], "text string, Score int, n int")
+    out = langid.predict(df, langid.build_tables([("x", "abc abc")]))
+    assert out.columns == ["text", "n", "lang_pred", "score"] and out.first()["lang_pred"] == "x"
+
+
+def test_pack_keeps_columns_named_like_helpers(spark):
+    df = spark.createDataFrame([(i, 1 + i * 37 % 4096, -i, 2 * i, 3 * i, 7) for i in range(300)],
+                               "doc_id long, length long, _block long, _uid long, _fill long, offset long")
+    out = packing.pack(df, block_rows=64)
+    got = out.collect()
+    assert {"_block", "_uid", "_fill"} <= set(out.columns)
+    assert sorted((r["doc_id"], r["_block"], r["_uid"], r["_fill"]) for r in got) == [(i, -i, 2 * i, 3 * i) for i in range(300)]
+    bins = defaultdict(list)
+    for r in got:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for pieces in bins.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+
+
+def test_rows_of_one_key_and_text_are_chosen_by_their_columns(spark):
+    rows = [(7, "one two three four five", s, {"k": i}) for i, s in enumerate(["c", "a", "b"])] + [(8, None, "z", None), (8, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, tags map<string, int>")
+    for n in (1, 2, 5):
+        kept = simhash.keep_one(df.repartition(n)).collect()
+        assert sorted((r["doc_id"], r["source"] or "") for r in kept) == [(7, "a"), (8, "")]
+
+
+def test_pipeline_stages_by_brute_force(spark, docs, labels, tmp_dir):
+    import corpus_pipeline
+    given = docs.drop("n_words", "_stats", "score")
+    folder = f"{tmp_dir}/brute"
+    given.write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    odd = docs.withColumnsRenamed({"n_words": "_rules", "_stats": "_feats", "score": "_fp"})
+    rows = [tuple(r) for r in odd.select("doc_id", "text").collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "")
+    kept = Counter((r["doc_id"], r["kept"]) for r in rules.op3(given, labels).collect())
+    got = corpus_pipeline.quality_rules(spark, odd, folder)
+    assert got.columns == odd.columns
+    assert Counter(r["doc_id"] for r in got.collect()) == Counter({i: n for (i, k), n in kept.items() if k})
+    good = Counter(r["doc_id"] for r in qda.op5(given, labels).collect() if r["score"] >= qda.THRESHOLD)
+    assert Counter(r["doc_id"] for r in corpus_pipeline.quality_classifier(spark, odd, folder).collect()) == good
+    roots = linked([simhash_brute(t) for _, t in rows], 4)
+    least = {}
+    for r, root in zip(rows, roots):
+        rank = (r[0] is None, r[0] or 0, s - (1 << 64) if (s := simhash_brute(r[1])) >> 63 else s, key(r))
+        least[root] = min(least.get(root, (rank, r)), (rank, r), key=lambda x: x[0])
+    near = corpus_pipeline.near_duplicates(spark, odd, folder)
+    assert near.columns == odd.columns
+    assert sorted(map(key, ((r["doc_id"], r["text"]) for r in near.collect()))) == sorted(key(r) for _, r in least.values())
+    packed = corpus_pipeline.best_fit_packing(spark, odd, folder)
+    assert Counter(r["doc_id"] for r in packed.where("piece = 0").collect()) == Counter(i for i, _ in rows)
+    empty = odd.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, folder)
+        assert out.count() == 0 and (name == "best_fit_packing" or out.columns == odd.columns)
+
+
+def test_pipeline_leaves_no_tables(spark, docs, labels, tmp_dir):
+    import corpus_pipeline
+    from retailyze.session import ensure_checkpoint_dir
+    folder = f"{tmp_dir}/left"
+    docs.select("doc_id", "text", "lang", "source").write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, folder).count() > 0
+    path = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark) + "/pipeline-*")
+    assert not list(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
