@@ -5,7 +5,9 @@ more than once can have an equal. The fingerprints are counted (16 bytes a row i
 the shuffle, combined on the map side), and just the rows of the few groups above
 one are compared by value; two different rows with one fingerprint are told apart
 there, so results are exact whatever the hash does. Rows on their own are never
-shuffled.
+shuffled. The price is that the table is read again; one that is itself the result of
+large joins is dearer to read than to shuffle, so there ``reread=False`` makes all
+columns the key and reads it once (equal rows are combined on the map side).
 """
 
 from __future__ import annotations
@@ -97,10 +99,12 @@ def _by_value(df: DataFrame) -> DataFrame:
 
 
 def distinct_rows(df: DataFrame, fingerprint: Fingerprint = row_fingerprint,
-                  broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
+                  broadcast_groups: int = BROADCAST_GROUPS, reread: bool = True) -> DataFrame:
     """``df`` without repeated rows (NULLs equal each other)."""
     if not df.columns:
         return df.dropDuplicates()
+    if not reread:
+        return _by_value(df)
     tagged, names = _tagged(df, fingerprint)
     repeated = _repeated(tagged, names)
     groups = repeated.count()

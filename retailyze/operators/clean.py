@@ -65,10 +65,11 @@ def coerce_dates(df: DataFrame, cols: Iterable[str] = ("order_date", "ship_date"
     return parse_dates(df, present) if present else df
 
 
-def dedup_rows(df: DataFrame) -> DataFrame:
+def dedup_rows(df: DataFrame, reread: bool = True) -> DataFrame:
     """Drop exact duplicate rows. Fingerprints are counted first; only rows
-    whose fingerprint repeats are compared by value (``functions.rowhash``)."""
-    return distinct_rows(df)
+    whose fingerprint repeats are compared by value (``functions.rowhash``). With
+    ``reread=False`` (a table that is dear to read twice) all columns are the key."""
+    return distinct_rows(df, reread=reread)
 
 
 def trim_text(df: DataFrame, cols: Iterable[str] = (

@@ -55,7 +55,7 @@ def c05(spark, d):
 
 @register("c06_dedup_rows", DS + "SELECT DISTINCT * FROM dirty_sales")
 def c06(spark, d):
-    return C.dedup_rows(dirty_sales(spark, d))
+    return C.dedup_rows(dirty_sales(spark, d), reread=False)
 
 
 @register("c07_trim_text", DS + f"""
