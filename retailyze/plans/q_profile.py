@@ -126,7 +126,7 @@ def _basic_cleaning(df):
     written once: what follows reads it several times."""
     x = C.coerce_numeric(df, to="decimal(18,4)")
     x = C.coerce_dates(x)
-    x = C.dedup_rows(x)
+    x = C.dedup_rows(x, reread=False)
     return cut_lineage(C.trim_text(x))
 
 

@@ -46,3 +46,14 @@ def test_duplicates_by_value_read_once(counted, rows):
     df, seen = counted
     assert Counter(map(tuple, C.dedup_rows(df, reread=False).collect())) == Counter(set(rows))
     assert seen.value == len(rows)
+
+
+def test_upload_cleaning_reads_once(spark, monkeypatch, counted, rows):
+    from retailyze.plans import q_profile
+    df, seen = counted
+    monkeypatch.setattr(q_profile, "dirty_sales", lambda *_: df.selectExpr(
+        "order_id", "1 AS line_no", "cast(order_date AS date) AS order_date", "cast(order_date AS date) AS ship_date", "customer", "category",
+        "product_name", "cast(sales AS string) AS sales", "cast(profit AS string) AS profit", "cast(sales AS string) AS discount"))
+    got = q_profile.g50(spark, "").first()
+    assert got["rows"] == len(set(rows)) and got["duplicate_rows"] == 0
+    assert seen.value == len(rows)
