@@ -130,6 +130,12 @@ def repeated_row_count(df: DataFrame, fingerprint: Fingerprint = row_fingerprint
         return spark.range(1).select(none)
     if groups <= broadcast_groups:
         tagged = tagged.join(F.broadcast(repeated), names, "left_semi")
-    values = tagged.select(*[v.alias(f"_{i}") for i, v in enumerate(row_values(df))])
-    counted = values.groupBy(*values.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+    return counted_rows(tagged.select(*[F.col(f"`{c}`") for c in df.columns])).agg(
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+
+
+def counted_rows(df: DataFrame) -> DataFrame:
+    """Each distinct row once: its values ``_0``, ``_1``, ... in a form that can be
+    grouped, and ``_n``, how often it occurs."""
+    values = df.select(*[v.alias(f"_{i}") for i, v in enumerate(row_values(df))])
+    return values.groupBy(*values.columns).agg(F.count(F.lit(1)).alias("_n"))

@@ -48,6 +48,14 @@ def test_duplicates_by_value_read_once(counted, rows):
     assert seen.value == len(rows)
 
 
+def test_quality_report_reads_once(counted, rows):
+    df, seen = counted
+    got = tuple(G.quality_report(df, reread=False).first())
+    assert got == (len(rows), 7, sum(v is None for r in rows for v in r), len(rows) - len(set(rows)))
+    assert seen.value == len(rows)
+    assert tuple(G.quality_report(df.limit(0), reread=False).first()) == (0, 7, 0, 0)
+
+
 def test_upload_cleaning_reads_once(spark, monkeypatch, counted, rows):
     from retailyze.plans import q_profile
     df, seen = counted
