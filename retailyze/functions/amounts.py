@@ -41,22 +41,28 @@ SIMPLE = rf"^-?[{SIGNS}]?\d+(?:\.(?:\d{{1,2}}|\d{{4,}}))?$"
 
 
 def _split(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``_s<i>``: the text without blanks, and ``_p<i>``: mantissa and exponent of each
-    column that is no simple number. Each step is a projection of its own, so that
-    no pattern is matched twice."""
+    """``_s<i>``: the text without blanks, ``_p<i>``: mantissa and exponent of each
+    column that is no simple number, and ``_kinds``: what kinds of numbers they are (_kind).
+    Each step is a projection of its own, so that no pattern is matched twice. The kinds
+    come from one function over all columns, not a copy of it for each: else the code that
+    Spark generates for the stage gets too long for the JVM to compile, and is interpreted."""
     df = df.withColumns({f"_s{i}": F.btrim(F.col(f"`{c}`").cast("string"), F.lit(" ")) for i, c in enumerate(cols)})
     df = df.withColumns({f"_p{i}": F.col(f"_s{i}").rlike(SIMPLE) for i in range(len(cols))})
     df = df.withColumns({f"_s{i}": F.when(F.col(f"_p{i}"), F.translate(f"_s{i}", SIGNS, "")).otherwise(
         F.regexp_replace(f"_s{i}", NOTHING, "")) for i in range(len(cols))})
-    return df.withColumns({f"_p{i}": F.when(~F.col(f"_p{i}"), F.split(F.lower(F.regexp_extract(f"_s{i}", AMOUNT, 1)), "e"))
-                           for i in range(len(cols))})
+    df = df.withColumns({f"_p{i}": F.when(~F.col(f"_p{i}"), F.split(F.lower(F.regexp_extract(f"_s{i}", AMOUNT, 1)), "e"))
+                         for i in range(len(cols))})
+    return df.withColumn("_kinds", F.transform(F.array(*[F.col(f"_p{i}") for i in range(len(cols))]),
+                                           lambda p: _kind(F.get(p, F.lit(0)), F.size(p) > 1)))
 
 
-def _kinds(i: int) -> dict[str, Column]:
-    m, scientific = F.get(F.col(f"_p{i}"), F.lit(0)), F.size(f"_p{i}") > 1
-    return {"mantissa": m, "scientific": scientific, "power": F.get(F.col(f"_p{i}"), F.lit(1)),
-            "point": m.rlike(POINT) | (scientific & m.rlike(r"^\d+\.\d{3}$")),
-            "comma": m.rlike(COMMA) | (scientific & m.rlike(r"^\d+,\d{3}$"))}
+def _kind(m: Column, scientific: Column) -> Column:
+    """A mantissa has digits alone, tells a decimal point or comma, or leaves it open;
+    NULL: none of them."""
+    return (F.when(m.rlike(r"^\d+$"), "digits")
+             .when(m.rlike(POINT), "point").when(m.rlike(COMMA), "comma")
+             .when(m.rlike(r"^\d+\.\d{3}$"), F.when(scientific, "point").when(m.rlike(OPEN), "open"))
+             .when(m.rlike(r"^\d+,\d{3}$"), F.when(scientific, "comma").when(m.rlike(OPEN), "open")))
 
 
 def comma_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -64,9 +70,9 @@ def comma_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     comma / point."""
     aggs = []
     for i in range(len(cols)):
-        k = _kinds(i)
+        k = F.get("_kinds", F.lit(i))
         simple = F.col(f"_p{i}").isNull() & F.col(f"_s{i}").contains(".")
-        aggs += [F.count_if(k["comma"]).alias(f"{i}_yes"), F.count_if(simple | k["point"]).alias(f"{i}_no")]
+        aggs += [F.count_if(k == "comma").alias(f"{i}_yes"), F.count_if(simple | (k == "point")).alias(f"{i}_no")]
     return _split(df.select(*[F.col(f"`{c}`") for c in cols]), cols).agg(*aggs)
 
 
@@ -76,17 +82,20 @@ def comma_votes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _number(i: int, comma: Column, to: str) -> Column:
-    """The split text's number, by the grammar and the column's decimal mark."""
-    k = _kinds(i)
-    m, s = k["mantissa"], F.col(f"_s{i}")
-    by_point = F.translate(m, ",", "")
-    by_comma = F.translate(F.translate(m, ".", ""), ",", ".")
-    text = (F.when(m.rlike(r"^\d+$"), m).when(k["point"], by_point).when(k["comma"], by_comma)
-             .when(~k["scientific"] & m.rlike(OPEN), F.when(comma, by_comma).otherwise(by_point)))
-    number = F.when(k["scientific"], F.concat(text, F.lit("E"), k["power"])).otherwise(text).try_cast(to)
+    """The split text's number without its sign, by the grammar and the column's decimal
+    mark; a simple number as it stands."""
+    m, k, power = F.get(F.col(f"_p{i}"), F.lit(0)), F.get("_kinds", F.lit(i)), F.get(F.col(f"_p{i}"), F.lit(1))
+    by_comma = (k == "comma") | ((k == "open") & comma)
+    text = F.when(by_comma, F.translate(m, ",.", ".")).when(k.isNotNull(), F.translate(m, ",", ""))
+    text = F.concat(text, F.coalesce(F.concat(F.lit("E"), power), F.lit("")))
+    return F.when(F.col(f"_p{i}").isNull(), F.col(f"_s{i}")).otherwise(text).try_cast(to)
+
+
+def _negative(i: int) -> Column:
+    s = F.col(f"_s{i}")
     # the sign of the exponent isn't the amount's
-    unit = F.when(k["scientific"], F.regexp_replace(s, r"[eE][+\-]?\d{1,2}", "")).otherwise(s)
-    return F.when(F.col(f"_p{i}").isNull(), s.try_cast(to)).when(s.startswith("(") | unit.contains("-"), -number).otherwise(number)
+    unit = F.when(F.size(f"_p{i}") > 1, F.regexp_replace(s, r"[eE][+\-]?\d{1,2}", "")).otherwise(s)
+    return F.col(f"_p{i}").isNotNull() & (s.startswith("(") | unit.contains("-"))
 
 
 def parse_amounts(df: DataFrame, cols: Sequence[str], to: str = "decimal(18,2)",
@@ -101,5 +110,6 @@ def parse_amounts(df: DataFrame, cols: Sequence[str], to: str = "decimal(18,2)",
         votes = comma_votes(votes_from if votes_from is not None else df, cols)
     votes = votes.select(*[F.col(f"`{c}`").alias(m) for c, m in marks.items()])
     out = _split(with_stats(df, votes), cols)
-    return out.withColumns({c: _number(i, F.col(m), to) for i, (c, m) in enumerate(marks.items())}).select(
+    out = out.withColumns({c: _number(i, F.col(m), to) for i, (c, m) in enumerate(marks.items())})
+    return out.withColumns({c: F.when(_negative(i), -F.col(f"`{c}`")).otherwise(F.col(f"`{c}`")) for i, c in enumerate(cols)}).select(
         *[F.col(f"`{c}`") for c in df.columns])

@@ -65,3 +65,16 @@ def test_upload_cleaning_reads_once(spark, monkeypatch, counted, rows):
     got = q_profile.g50(spark, "").first()
     assert got["rows"] == len(set(rows)) and got["duplicate_rows"] == 0
     assert seen.value == len(rows)
+
+
+def largest_method(df) -> int:
+    """Bytes of the largest method that Spark generates for a plan; the JVM leaves methods
+    of more than 8,000 to its interpreter."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        debug = getattr(getattr(spark._jvm, "org.apache.spark.sql.execution.debug.package$"), "MODULE$")
+        stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
