@@ -41,6 +41,11 @@ VOTE_MONTH_FIRST = rf"^{_MONTH}[/.\-]{_DAY}[/.\-](\d{{4}}|\d{{2}}){_REST}"
 VOTE_DAY_FIRST = rf"^{_DAY}[/.\-]{_MONTH}[/.\-](\d{{4}}|\d{{2}}){_REST}"
 
 
+#: How numeric dates and year-first or eight-digit ones begin; a text of one of these
+#: beginnings, or of neither, can only have the shapes that begin so.
+NUMERIC_START, YEAR_START = r"^\d{1,2}[/.\-]\d", r"^\d{4}"
+
+
 def _trimmed(c: str) -> Column:
     return F.btrim(F.col(f"`{c}`").cast("string"), F.lit(" \t\r\n"))
 
@@ -59,21 +64,24 @@ def day_first_votes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def iso_text(s: Column, day_first: Column) -> Column:
     """A trimmed text with its date as year-month-day (a named month by its first three
-    letters), other texts as they are. Only shapes are matched, nothing is parsed."""
-    s = F.regexp_replace(F.regexp_replace(s, SHORT_1900, "${d}19${y}"), SHORT_2000, "${d}20${y}")
-    s = F.when(day_first, F.regexp_replace(s, DAY_FIRST, "$3-$2-$1$4")).otherwise(
-        F.regexp_replace(s, MONTH_FIRST, "$3-$1-$2$4"))
-    s = F.regexp_replace(F.regexp_replace(s, EIGHT_DIGITS, "$1-$2-$3$4"), YEAR_FIRST, "$1-$2-$3$4")
+    letters), other texts as they are. Only shapes are matched, nothing is parsed; how
+    a text begins tells which shapes it can have, so few patterns are tried on it."""
+    whole = F.regexp_replace(F.regexp_replace(s, SHORT_1900, "${d}19${y}"), SHORT_2000, "${d}20${y}")
+    # in a pattern that is given as a column, so that the order is no second copy of the text's steps
+    numeric = F.regexp_replace(whole, F.when(day_first, F.lit(DAY_FIRST)).otherwise(F.lit(MONTH_FIRST)),
+                               F.when(day_first, F.lit("$3-$2-$1$4")).otherwise(F.lit("$3-$1-$2$4")))
+    year_first = F.regexp_replace(F.regexp_replace(s, EIGHT_DIGITS, "$1-$2-$3$4"), YEAR_FIRST, "$1-$2-$3$4")
     after = "".join(f"${i}" for i in range(2, 14))
-    return F.regexp_replace(F.regexp_replace(s, MONTH_DAY, "${y}-" + _ANY + "-${d}${r}"),
-                            DAY_MONTH, "${y}-" + after + "-${d}${r}")
+    named = F.regexp_replace(F.regexp_replace(s, MONTH_DAY, "${y}-" + _ANY + "-${d}${r}"),
+                             DAY_MONTH, "${y}-" + after + "-${d}${r}")
+    return F.when(s.rlike(NUMERIC_START), numeric).when(s.rlike(YEAR_START), year_first).otherwise(named)
 
 
 def read_iso(t: Column) -> Column:
     """An ``iso_text`` as a timestamp, NULL if it is none. Each shape has one parser, so
     good texts are parsed once and few bad ones at all."""
     return (F.when(t.rlike(r"^\d{4}-[A-Za-z]{3}-"), F.try_to_timestamp(t, F.lit("yyyy-MMM-d[ H:mm[:ss]]")))
-             .when(t.rlike(r"(?i)^\d{4}-.* \d+:\d+.*[ap]m$"),
+             .when(F.right(t, F.lit(1)).isin("m", "M") & t.rlike(r"(?i)^\d{4}-.* \d+:\d+.*[ap]m$"),
                    F.try_to_timestamp(F.upper(F.regexp_replace(t, r" *([AaPp][Mm])$", " $1")), F.lit("yyyy-M-d h:mm[:ss] a")))
              .when(t.rlike(r"^[+\-]?\d{4}"), F.try_to_timestamp(t)))
 
@@ -96,6 +104,10 @@ def parse_dates(df: DataFrame, cols: Sequence[str], votes_from: DataFrame | None
         votes = day_first_votes(votes_from if votes_from is not None else df, text)
     votes = votes.select(*[F.col(f"`{c}`").alias(m) for c, m in marks.items()])
     out = with_stats(out, votes)
-    out = out.withColumns({c: F.when(_trimmed(c).rlike(ISO), _trimmed(c)).otherwise(iso_text(_trimmed(c), F.col(m)))
-                           for c, m in marks.items()})
-    return out.withColumns({c: read_iso(F.col(f"`{c}`")) for c in text}).drop(*marks.values())
+    # one function over all texts, not a copy of it for each: else the code that Spark
+    # generates for the stage gets too long for the JVM to compile, and is interpreted
+    day_first = F.array(*[F.col(m) for m in marks.values()])
+    iso = F.transform(F.array(*[_trimmed(c) for c in text]),
+                      lambda s, i: F.when(s.rlike(ISO), s).otherwise(iso_text(s, F.get(day_first, i))))
+    out = out.withColumn("_iso_texts", iso)
+    return out.withColumns({c: read_iso(F.get("_iso_texts", F.lit(i))) for i, c in enumerate(text)}).drop("_iso_texts", *marks.values())

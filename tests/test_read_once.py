@@ -78,3 +78,11 @@ def largest_method(df) -> int:
         return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_steps_of_dates_and_amounts_are_compiled(spark):
+    names = ["a", "b", "c"]
+    df = spark.range(10).selectExpr("id", *[f"cast(id AS string) AS {n}" for n in names])
+    votes = spark.range(1).selectExpr(*[f"true AS {n}" for n in names])
+    assert largest_method(amounts.parse_amounts(df, names, votes=votes)) < 8000
+    assert largest_method(layouts.parse_dates(df, names, votes=votes)) < 8000
