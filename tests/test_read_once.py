@@ -86,3 +86,8 @@ def test_steps_of_dates_and_amounts_are_compiled(spark):
     votes = spark.range(1).selectExpr(*[f"true AS {n}" for n in names])
     assert largest_method(amounts.parse_amounts(df, names, votes=votes)) < 8000
     assert largest_method(layouts.parse_dates(df, names, votes=votes)) < 8000
+
+
+@pytest.mark.parametrize("name", ["c05_voted_date_layouts", "c14_voted_date_types", "c20_voted_amounts"])
+def test_voted_queries_are_compiled(spark, name):
+    assert largest_method(QUERIES[name](spark, "/root/testdata/sf0.001")) < 8000
