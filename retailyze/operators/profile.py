@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import nan_as_null
+from ..session import cut_lineage
 
 # The type names counted as numeric by the profiler.
 NUMERIC_TYPES = ["double", "float", "int", "bigint"]
@@ -108,7 +109,9 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     types, fields = dict(df.dtypes), {f.name: f.dataType for f in df.schema.fields}
     whole = {i: _as_whole(fields[c], _q(c)) for i, c in enumerate(cols)}
     ranged = {i: v for i, v in whole.items() if v is not None and not isinstance(fields[cols[i]], (T.TimestampType, T.DecimalType))}
-    ends = df.agg(F.count(F.lit(1)).alias("rows"), *[
+    # these few narrow columns are read for their ends, then for their bitmaps: stored between
+    ints = cut_lineage(df.select(*[_q(cols[i]) for i in ranged])) if ranged else df.limit(0)
+    ends = ints.agg(F.count(F.lit(1)).alias("rows"), *[
         a for i, v in ranged.items() for a in (F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"))]).first()  # one row
     small, parts, rest = {}, [], {}
     for i, c in enumerate(cols):
@@ -119,7 +122,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
                 small[i] = (ranged[i], low, span)
                 continue
             if span <= SPARSE * ends["rows"]:
-                parts.append(_distinct_by_bitmap_groups(df, i, ranged[i], low))
+                parts.append(_distinct_by_bitmap_groups(ints, i, ranged[i], low))
                 continue
         if whole[i] is not None:
             rest[i] = ("l", whole[i])
@@ -128,7 +131,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         else:
             rest[i] = ("s", _q(c).cast("string"))
     if small:
-        parts.append(_distinct_by_bitmap(df, small))
+        parts.append(_distinct_by_bitmap(ints, small))
     if rest:
         parts.append(_distinct_by_value(df, rest))
     prof = parts[0]

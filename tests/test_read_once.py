@@ -67,6 +67,16 @@ def test_upload_cleaning_reads_once(spark, monkeypatch, counted, rows):
     assert seen.value == len(rows)
 
 
+def test_column_profile_reads_twice(counted, rows):
+    """Once for whole numbers and dates (here order_id as a number and the day), once for the rest."""
+    df, seen = counted
+    got = PR.column_profile(df.selectExpr("cast(order_id AS int) AS order_id", "cast(order_date AS date) AS day", "customer", "sales"))
+    expected = [{r[0] and int(r[0]) for r in rows}, {r[4] for r in rows}, {r[1] for r in rows}, {r[5] for r in rows}]
+    assert [r["distinct_values"] for r in sorted(got.collect(), key=lambda r: r["position"])] == [len(x) for x in expected]
+    assert seen.value == 2 * len(rows)
+    assert [r["distinct_values"] for r in PR.column_profile(df.limit(0)).collect()] == [0] * 7
+
+
 def largest_method(df) -> int:
     """Bytes of the largest method that Spark generates for a plan; the JVM leaves methods
     of more than 8,000 to its interpreter."""
