@@ -433,16 +433,25 @@ def business_summary(df: DataFrame, sales: str = "sales", profit: str = "profit"
                      category: str = "category", date: str = "order_date",
                      customer: str = "customer") -> DataFrame:
     """Margin %, best and worst category, peak calendar month, distinct
-    customers, mean sales - one row built from three small aggregates."""
-    tot = df.agg(fsum(sales).alias("_s"), fsum(profit).alias("_p"),
-                 F.countDistinct(customer).alias("customers"), mean(sales).alias("avg_sales"))
-    cat = _nn(df, category).groupBy(category).agg(fsum(sales).alias("_cs"))
-    cat1 = cat.agg(F.max_by(F.col(category), F.struct("_cs", category)).alias("_best"),
-                   F.min_by(F.col(category), F.struct("_cs", category)).alias("_worst"),
-                   F.max("_cs").alias("_cmax"), F.min("_cs").alias("_cmin"))
-    mon = df.where(F.col(date).isNotNull()).groupBy(F.month(date).alias("_m")).agg(fsum(sales).alias("_ms"))
-    mon1 = mon.agg(F.max_by("_m", F.struct("_ms", F.col("_m"))).alias("_bm"), F.max("_ms").alias("_mmax"))
-    j = _one_row_join(_one_row_join(tot, cat1), mon1)
+    customers, mean sales. The sums by customer, category and month are one
+    aggregate (grouping sets), so the rows are read once."""
+    rows = df.select(F.col(customer).alias("_k"), F.col(category).alias("_c"), F.month(date).alias("_m"),
+                     F.col(sales).alias("_v"), F.col(profit).alias("_w"))
+    keys = [F.col(k) for k in ("_k", "_c", "_m")]
+    g = rows.groupingSets([[k] for k in keys], *keys).agg(
+        F.sum("_v").alias("_s"), F.sum("_w").alias("_p"), F.count("_v").alias("_n"), F.grouping_id().alias("_of"))
+    # the bits of grouping_id stand for the keys that a row is not grouped by
+    by_customer, s = F.col("_of") == 0b011, F.coalesce("_s", F.lit(0))
+    by_category = (F.col("_of") == 0b101) & F.col("_c").isNotNull()
+    by_month = (F.col("_of") == 0b110) & F.col("_m").isNotNull()
+    cat, mon = F.when(by_category, F.struct(s.alias("s"), F.col("_c"))), F.when(by_month, F.struct(s.alias("s"), F.col("_m")))
+    j = g.agg(fsum(F.when(by_customer, F.col("_s"))).alias("_s"), fsum(F.when(by_customer, F.col("_p"))).alias("_p"),
+              F.count(F.when(by_customer, F.col("_k"))).alias("customers"),
+              F.try_divide(F.sum(F.when(by_customer, F.col("_s"))).cast("double"),
+                           F.sum(F.when(by_customer, F.col("_n"))).cast("double")).alias("avg_sales"),
+              F.max(cat).alias("_hi"), F.min(cat).alias("_lo"), F.max(mon).alias("_top"))
+    j = j.select("*", F.col("_hi._c").alias("_best"), F.col("_hi.s").alias("_cmax"), F.col("_lo._c").alias("_worst"),
+                 F.col("_lo.s").alias("_cmin"), F.col("_top._m").alias("_bm"), F.col("_top.s").alias("_mmax"))
     return j.select(
         F.when(F.col("_s") > 0, _dbl("_p") / _dbl("_s") * 100.0).otherwise(F.lit(0.0)).alias("profit_margin"),
         F.when(F.col("_cmax") > 0, F.col("_best")).otherwise(F.lit("N/A")).alias("best_category"),

@@ -67,6 +67,25 @@ def test_upload_cleaning_reads_once(spark, monkeypatch, counted, rows):
     assert seen.value == len(rows)
 
 
+def test_business_summary_reads_once(counted, rows):
+    df, seen = counted
+    got = G.business_summary(df).first()
+    sums = {k: defaultdict(Decimal) for k in "cm"}
+    for r in rows:
+        if r[2] is not None:
+            sums["c"][r[2]] += r[5] or 0
+        if r[4] is not None:
+            sums["m"][r[4].month] += r[5] or 0
+    sold = [r[5] for r in rows if r[5] is not None]
+    top = lambda k, f: f((s, key) for key, s in sums[k].items())[1]
+    assert got["best_category"] == top("c", max) and got["worst_category"] == top("c", min) and got["best_month"] == str(top("m", max))
+    assert got["customers"] == 3 and got["avg_sales"] == float(sum(sold)) / len(sold)
+    assert got["profit_margin"] == float(sum(r[6] or 0 for r in rows)) / float(sum(sold)) * 100.0
+    assert seen.value == len(rows)
+    none = G.business_summary(df.limit(0)).first()
+    assert tuple(none) == (0.0, "N/A", "N/A", "N/A", 0, None)
+
+
 def test_column_profile_reads_twice(counted, rows):
     """Once for whole numbers and dates (here order_id as a number and the day), once for the rest."""
     df, seen = counted
