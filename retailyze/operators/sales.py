@@ -336,7 +336,8 @@ def customer_segments(df: DataFrame, customer: str = "customer", sales: str = "s
                       method: str = "exact") -> DataFrame:
     """Customers by total sales: High > p80, Medium in (p50, p80],
     Low <= p50 (linear quantiles); count and revenue, all three rows always."""
-    tot = _nn(df, customer).groupBy(customer).agg(fsum(sales).alias("_t"))
+    # one narrow row a customer, read twice below: stored, so the sales are read once
+    tot = cut_lineage(_nn(df, customer).groupBy(customer).agg(fsum(sales).alias("_t")).select("_t"))
     q = quantiles(tot, "_t", [0.5, 0.8], out_prefix="_p", method=method)
     t = _one_row_join(tot, q)
     seg = (F.when(_dbl("_t") > F.col("_p_1"), F.lit(SEGMENTS[0]))

@@ -86,6 +86,13 @@ def test_business_summary_reads_once(counted, rows):
     assert tuple(none) == (0.0, "N/A", "N/A", "N/A", 0, None)
 
 
+def test_segments_read_once(counted, rows):
+    df, seen = counted
+    got = G.customer_segments(df).collect()
+    assert sum(r["customers"] for r in got) == 3
+    assert seen.value == len(rows)
+
+
 def test_column_profile_reads_twice(counted, rows):
     """Once for whole numbers and dates (here order_id as a number and the day), once for the rest."""
     df, seen = counted
