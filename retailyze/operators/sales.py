@@ -387,6 +387,8 @@ def histogram(df: DataFrame, c: str, bins: int, with_median: bool = False,
     Infinite values count as missing, as NaN does."""
     if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
         df = df.withColumn(c, F.when(F.abs(F.col(c)) < F.lit(float("inf")), F.col(c)))
+    # the ends have to be known before a row's bin is: the column is stored, so ``df`` is read once
+    df = cut_lineage(df.select(c))
     x = _dbl(c)
     # the mean is taken on the column itself (exact for decimal money); a
     # floating column's mean is rounded to 9 places, below the noise of the

@@ -93,6 +93,15 @@ def test_segments_read_once(counted, rows):
     assert seen.value == len(rows)
 
 
+def test_histogram_reads_once(counted, rows):
+    df, seen = counted
+    got = G.histogram(df, "sales", 4, with_median=True).collect()
+    sold = sorted(float(r[5]) for r in rows if r[5] is not None)
+    assert sum(r["count"] for r in got) == len(sold)
+    assert {r["median"] for r in got} == {(sold[(len(sold) - 1) // 2] + sold[len(sold) // 2]) / 2}
+    assert seen.value == len(rows)
+
+
 def test_column_profile_reads_twice(counted, rows):
     """Once for whole numbers and dates (here order_id as a number and the day), once for the rest."""
     df, seen = counted
