@@ -12,6 +12,7 @@ from ..operators import clean as C
 from ..operators import quality as Q
 from ..operators import sales as G
 from ..operators import shape as P
+from ..session import cut_lineage
 from .fixtures import SALES_FACT_SQL, sales_fact, with_sql
 from .registry import register
 
@@ -145,7 +146,9 @@ SELECT order_id, line_no, COALESCE(profit < f.q1 - 1.5 * (f.q3 - f.q1) OR profit
        COALESCE(noted < g.q1 - 1.5 * (g.q3 - g.q1) OR noted > g.q3 + 1.5 * (g.q3 - g.q1), false) AS noted_outlier
 FROM odd, f, g""")
 def c15_odd(spark, d):
-    out = C.outliers_iqr(odd_sales(spark, d), ["profit", "noted"], action="flag")
+    # read for the fences and for the flags: the columns in use are stored between
+    x = cut_lineage(odd_sales(spark, d).select("order_id", "line_no", "profit", "noted"))
+    out = C.outliers_iqr(x, ["profit", "noted"], action="flag")
     return out.select("order_id", "line_no", "profit_outlier", "noted_outlier")
 
 

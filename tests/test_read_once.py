@@ -102,6 +102,15 @@ def test_histogram_reads_once(counted, rows):
     assert seen.value == len(rows)
 
 
+def test_odd_outliers_read_once(spark, monkeypatch, counted, rows):
+    from retailyze.plans import q_odd
+    df, seen = counted
+    monkeypatch.setattr(q_odd, "odd_sales", lambda *_: df.selectExpr(
+        "order_id", "1 AS line_no", "customer", "cast(profit AS double) AS profit", "cast(sales AS string) AS noted"))
+    assert len(q_odd.c15_odd(spark, "").collect()) == len(rows)
+    assert seen.value == len(rows)
+
+
 def test_column_profile_reads_twice(counted, rows):
     """Once for whole numbers and dates (here order_id as a number and the day), once for the rest."""
     df, seen = counted
