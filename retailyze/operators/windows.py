@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fsum, month_key, nan_missing, pct, with_stats
 from ..functions.ordered import running_total
+from ..session import cut_lineage
 
 
 def _monthly(df: DataFrame, date: str, sales: str) -> DataFrame:
@@ -49,6 +50,8 @@ def abc_analysis(df: DataFrame, k: int | None = 50, product: str = "product_name
                                           "rank": F.row_number().over(w).cast("bigint")}), total)
         return out.select(product, "sales", "cumulative_sales",
                           pct("cumulative_sales", "_total").alias("cumulative_percent"), "rank")
+    per = cut_lineage(per)  # one row a product: the sales are read once for order and total
+    total = per.agg(F.sum("sales").alias("_total"))
     ranked = running_total(per, [F.desc("sales"), F.asc(product)], "sales",
                            out="cumulative_sales", rank="rank")
     out = with_stats(ranked, total)  # the grand total, as a scalar subquery

@@ -111,6 +111,19 @@ def test_odd_outliers_read_once(spark, monkeypatch, counted, rows):
     assert seen.value == len(rows)
 
 
+@pytest.mark.parametrize("k", [None, 2])
+def test_pareto_reads_once(counted, rows, k):
+    df, seen = counted
+    got = N.abc_analysis(df, k).collect()
+    sums = Counter()
+    for r in rows:
+        if r[3] is not None:
+            sums[r[3]] += r[5] or 0
+    assert [(r["product_name"], r["sales"]) for r in sorted(got, key=lambda r: r["rank"])] == sorted(
+        sums.items(), key=lambda x: (-x[1], x[0]))[:k]
+    assert seen.value == len(rows)
+
+
 def test_column_profile_reads_twice(counted, rows):
     """Once for whole numbers and dates (here order_id as a number and the day), once for the rest."""
     df, seen = counted
