@@ -27,13 +27,12 @@ MONTH_FIRST = rf"^{_MONTH}[/.\-]{_DAY}[/.\-](\d{{4}}){_REST}"
 DAY_FIRST = rf"^{_DAY}[/.\-]{_MONTH}[/.\-](\d{{4}}){_REST}"
 SHORT_1900 = r"^(?<d>\d{1,2}[/.\-]\d{1,2}[/.\-])(?<y>69|[7-9]\d)(?!\d)"
 SHORT_2000 = r"^(?<d>\d{1,2}[/.\-]\d{1,2}[/.\-])(?<y>\d{2})(?!\d)"
-EIGHT_DIGITS = rf"^(\d{{4}})(\d{{2}})(\d{{2}}){_REST}"
-YEAR_FIRST = rf"^(\d{{4}})[/.](\d{{1,2}})[/.](\d{{1,2}}){_REST}"
-_NAME = ("(?i:(jan)(?:uary)?|(feb)(?:ruary)?|(mar)(?:ch)?|(apr)(?:il)?|(may)|(jun)e?|(jul)y?|(aug)(?:ust)?"
-         "|(sep)(?:t|tember)?|(oct)(?:ober)?|(nov)(?:ember)?|(dec)(?:ember)?)")
-_ANY = "".join(f"${i}" for i in range(1, 13))
-MONTH_DAY = rf"^{_NAME}\.? +(?<d>\d{{1,2}}),? +(?<y>\d{{4}})(?<r>(?:[ T].*)?)$"
-DAY_MONTH = rf"^(?<d>\d{{1,2}})[ \-]+{_NAME}\.?[ \-,]+(?<y>\d{{4}})(?<r>(?:[ T].*)?)$"
+EIGHT_DIGITS_OR_YEAR_FIRST = rf"^(\d{{4}})(?:(\d{{2}})(\d{{2}})|[/.](\d{{1,2}})[/.](\d{{1,2}})){_REST}"
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
+_NAME = (rf"(?i:({_MONTHS.replace(' ', '|')})(?:(?<=jan)uary|(?<=feb)ruary|(?<=mar)ch|(?<=apr)il|(?<=jun)e|(?<=jul)y|(?<=aug)ust"
+         "|(?<=sep)(?:t|tember)|(?<=oct)ober|(?<=nov|dec)ember)?)")
+MONTH_DAY = rf"^{_NAME}\.? +(\d{{1,2}}),? +(\d{{4}}){_REST}"
+DAY_MONTH = rf"^(\d{{1,2}})[ \-]+{_NAME}\.?[ \-,]+(\d{{4}}){_REST}"
 
 
 #: What votes: a numeric date in one order, its year of two or four digits.
@@ -62,25 +61,34 @@ def day_first_votes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return day_first_counts(df, cols).select(*[(F.col(f"{i}_yes") > F.col(f"{i}_no")).alias(c) for i, c in enumerate(cols)])
 
 
+def _numeric(s: Column, day_first: Column) -> Column:
+    # two whole replacements: with the pattern given as a column, Spark would compile
+    # it anew wherever one row's columns differ in their order
+    return (F.when(day_first, F.regexp_replace(s, DAY_FIRST, "$3-$2-$1$4"))
+             .otherwise(F.regexp_replace(s, MONTH_FIRST, "$3-$1-$2$4")))
+
+
 def iso_text(s: Column, day_first: Column) -> Column:
     """A trimmed text with its date as year-month-day (a named month by its first three
     letters), other texts as they are. Only shapes are matched, nothing is parsed; how
-    a text begins tells which shapes it can have, so few patterns are tried on it."""
+    a text begins tells which shape it can have, so one replacement is tried on it."""
     whole = F.regexp_replace(F.regexp_replace(s, SHORT_1900, "${d}19${y}"), SHORT_2000, "${d}20${y}")
-    # in a pattern that is given as a column, so that the order is no second copy of the text's steps
-    numeric = F.regexp_replace(whole, F.when(day_first, F.lit(DAY_FIRST)).otherwise(F.lit(MONTH_FIRST)),
-                               F.when(day_first, F.lit("$3-$2-$1$4")).otherwise(F.lit("$3-$1-$2$4")))
-    year_first = F.regexp_replace(F.regexp_replace(s, EIGHT_DIGITS, "$1-$2-$3$4"), YEAR_FIRST, "$1-$2-$3$4")
-    after = "".join(f"${i}" for i in range(2, 14))
-    named = F.regexp_replace(F.regexp_replace(s, MONTH_DAY, "${y}-" + _ANY + "-${d}${r}"),
-                             DAY_MONTH, "${y}-" + after + "-${d}${r}")
+    numeric = F.when(s.rlike(SHORT_2000), _numeric(whole, day_first)).otherwise(_numeric(s, day_first))
+    year_first = F.regexp_replace(s, EIGHT_DIGITS_OR_YEAR_FIRST, "$1-$2$4-$3$5$6")
+    named = (F.when(s < ":", F.regexp_replace(s, DAY_MONTH, "$3-$2-$1$4"))  # digits are before the colon, letters behind
+              .otherwise(F.regexp_replace(s, MONTH_DAY, "$3-$1-$2$4")))
     return F.when(s.rlike(NUMERIC_START), numeric).when(s.rlike(YEAR_START), year_first).otherwise(named)
 
 
 def read_iso(t: Column) -> Column:
     """An ``iso_text`` as a timestamp, NULL if it is none. Each shape has one parser, so
     good texts are parsed once and few bad ones at all."""
-    return (F.when(t.rlike(r"^\d{4}-[A-Za-z]{3}-"), F.try_to_timestamp(t, F.lit("yyyy-MMM-d[ H:mm[:ss]]")))
+    month = F.instr(F.lit(_MONTHS), F.lower(F.substring(t, 6, 3)))
+    numbered = F.concat(F.substring(t, 1, 5), F.floor((month + 3) / 4).cast("string"), F.substring(t, 9, 3))
+    return (F.when((F.substring(t, 6, 1) >= "A") & t.rlike(r"^\d{4}-[A-Za-z]{3}-"),
+                   # without a time of day the month's number is put in, as a parser of names is slow
+                   F.when(t.rlike(r"^.{9}\d{1,2}\z"), F.when(month > 0, F.try_to_timestamp(numbered)))
+                    .otherwise(F.try_to_timestamp(t, F.lit("yyyy-MMM-d[ H:mm[:ss]]"))))
              .when(F.right(t, F.lit(1)).isin("m", "M") & t.rlike(r"(?i)^\d{4}-.* \d+:\d+.*[ap]m$"),
                    F.try_to_timestamp(F.upper(F.regexp_replace(t, r" *([AaPp][Mm])$", " $1")), F.lit("yyyy-M-d h:mm[:ss] a")))
              .when(t.rlike(r"^[+\-]?\d{4}"), F.try_to_timestamp(t)))
@@ -108,6 +116,6 @@ def parse_dates(df: DataFrame, cols: Sequence[str], votes_from: DataFrame | None
     # generates for the stage gets too long for the JVM to compile, and is interpreted
     day_first = F.array(*[F.col(m) for m in marks.values()])
     iso = F.transform(F.array(*[_trimmed(c) for c in text]),
-                      lambda s, i: F.when(s.rlike(ISO), s).otherwise(iso_text(s, F.get(day_first, i))))
+                      lambda s, i: F.when((F.substring(s, 5, 1) == "-") & s.rlike(ISO), s).otherwise(iso_text(s, F.get(day_first, i))))
     out = out.withColumn("_iso_texts", iso)
     return out.withColumns({c: read_iso(F.get("_iso_texts", F.lit(i))) for i, c in enumerate(text)}).drop("_iso_texts", *marks.values())

@@ -158,3 +158,41 @@ def test_steps_of_dates_and_amounts_are_compiled(spark):
 @pytest.mark.parametrize("name", ["c05_voted_date_layouts", "c14_voted_date_types", "c20_voted_amounts"])
 def test_voted_queries_are_compiled(spark, name):
     assert largest_method(QUERIES[name](spark, "/root/testdata/sf0.001")) < 8000
+
+
+def listed(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def expressions(e):
+    return [e, *(x for c in listed(e.children()) for x in expressions(c))]
+
+
+def plan_expressions(plan):
+    """Every expression of a plan, those inside others too."""
+    return [x for e in listed(plan.expressions()) for x in expressions(e)] + [x for c in listed(plan.children()) for x in plan_expressions(c)]
+
+
+def test_date_patterns_are_compiled_once(spark):
+    """A pattern that is no constant is compiled again whenever it differs from the last
+    one: with columns of both orders, twice a row."""
+    names = ["us", "eu"]
+    df = spark.range(10).selectExpr("id", *[f"cast(id AS string) AS {n}" for n in names])
+    votes = df.selectExpr("max(id) < 0 AS us", "max(id) > 0 AS eu")
+    plan = layouts.parse_dates(df, names, votes=votes)._jdf.queryExecution().analyzed()
+    found = [e for e in plan_expressions(plan) if e.getClass().getSimpleName() == "RegExpReplace"]
+    assert found and all(e.regexp().foldable() for e in found)
+
+
+def test_dates_of_all_shapes(spark):
+    shapes = {"5/3/16": "2016-05-03|2016-03-05", "05-03-69 7:05": "1969-05-03 07:05|1969-03-05 07:05", "31.1.2016": "|2016-01-31",
+              "1/31/2016 1:05 pm": "2016-01-31 13:05|", "20160305": "2016-03-05", "2016/3/5": "2016-03-05", "2016-3-5": "2016-03-05",
+              "SEPT. 5, 2016": "2016-09-05", "5 - december, 2016 10:30": "2016-12-05 10:30", "5-May-2016": "2016-05-05",
+              "Feb 30, 2016": "", "30 February 2016": "", "2016-anf-05": "", "Janu 5, 2016": "", "Jan 0, 2016": "", "12:30": "", "": "",
+              "5/3/16x": "", "2016-Oct-5": "2016-10-05", "2016-oct-5x": "", "2016-Oct-5 PM": "", None: ""}
+    df = spark.createDataFrame([(s, s) for s in shapes], "us string, eu string")
+    votes = spark.range(1).selectExpr("false AS us", "true AS eu")
+    got = layouts.parse_dates(df, ["us", "eu"], votes=votes).selectExpr(*[f"substr(cast({c} AS string), 1, 16)" for c in ("us", "eu")])
+    for (text, dates), row in zip(shapes.items(), got.collect()):
+        us, eu = (d and (d + " 00:00")[:16] for d in (dates.split("|") * 2)[:2])
+        assert (row[0] or "", row[1] or "") == (us, eu), text
