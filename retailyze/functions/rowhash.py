@@ -12,7 +12,7 @@ columns the key and reads it once (equal rows are combined on the map side).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,8 +134,10 @@ def repeated_row_count(df: DataFrame, fingerprint: Fingerprint = row_fingerprint
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
-def counted_rows(df: DataFrame) -> DataFrame:
+def counted_rows(df: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
     """Each distinct row once: its values ``_0``, ``_1``, ... in a form that can be
-    grouped, and ``_n``, how often it occurs."""
+    grouped, and ``_n``, how often it occurs; ``_s0``, ``_s1``, ...: the sum over its
+    occurrences of the values named in ``sums``."""
     values = df.select(*[v.alias(f"_{i}") for i, v in enumerate(row_values(df))])
-    return values.groupBy(*values.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return values.groupBy(*values.columns).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_s{i}") for i, v in enumerate(sums)])

@@ -10,7 +10,6 @@ from ..operators import profile as PR
 from ..operators import quality as Q
 from ..operators import sales as G
 from ..operators.rules import DEFAULT_RULES
-from ..session import cut_lineage
 from .fixtures import (CONFIG_ORDERS_SQL, DIRTY_ORDERS_SQL, DIRTY_SALES_SQL, config_orders,
                        dirty_orders, dirty_sales, table, with_sql)
 from .registry import register
@@ -122,12 +121,11 @@ _CLEAN_NULLS = " + ".join(f"(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in
 
 
 def _basic_cleaning(df):
-    """The upload cleaning path: numbers, dates, exact duplicates, text. The result is
-    written once: what follows reads it several times."""
+    """The upload cleaning path: numbers, dates, exact duplicates, text."""
     x = C.coerce_numeric(df, to="decimal(18,4)")
     x = C.coerce_dates(x)
     x = C.dedup_rows(x, reread=False)
-    return cut_lineage(C.trim_text(x))
+    return C.trim_text(x)
 
 
 @register("g50_cleaning_summary", _CLEANED_SQL + f"""
@@ -138,7 +136,8 @@ SELECT COUNT(*) AS rows, CAST({len(_CLEAN_COLS)} AS BIGINT) AS columns,
        CAST(SUM(discount) AS DOUBLE) / CAST(COUNT(discount) AS DOUBLE) * 100.0 AS avg_discount_pct
 FROM cleaned""")
 def g50(spark, d):
-    return G.cleaning_summary(_basic_cleaning(dirty_sales(spark, d)))
+    # rows dealt by order stay where they are for both groupings by value
+    return G.cleaning_summary(_basic_cleaning(dirty_sales(spark, d, True)), reread=False)
 
 
 _SUMMARY_SQL = with_sql(DIRTY_ORDERS_SQL) + """,

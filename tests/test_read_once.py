@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 from datetime import datetime
 from decimal import Decimal
@@ -14,7 +15,7 @@ from retailyze.operators import clean as C
 from retailyze.operators import profile as PR
 from retailyze.operators import sales as G
 from retailyze.operators import windows as N
-from retailyze.plans import QUERIES
+from retailyze.plans import QUERIES, fixtures
 
 SCHEMA = ("order_id string, customer string, category string, product_name string, order_date timestamp, "
           "sales decimal(18,4), profit decimal(18,4)")
@@ -67,6 +68,65 @@ def test_upload_cleaning_reads_once(spark, monkeypatch, counted, rows):
     assert seen.value == len(rows)
 
 
+def test_cleaning_summary_reads_once(counted, rows):
+    df, seen = counted
+    columns = ("sales", "profit", "profit")
+    got = G.cleaning_summary(df, *columns, reread=False)
+    first = got.first()
+    assert seen.value == len(rows)
+    stored = df.sparkSession.createDataFrame(rows, SCHEMA)
+    assert got.schema == G.cleaning_summary(stored, *columns).schema
+    assert first == G.cleaning_summary(stored, *columns).first()
+    assert first["duplicate_rows"] == len(rows) - len(set(rows)) and first["total_sales"] == sum(r[5] or 0 for r in rows)
+    fine = stored.selectExpr("cast(sales AS decimal(38,12)) / 7 AS sales", "cast(order_id AS double) AS profit", "cast(order_id AS int) AS discount")
+    assert G.cleaning_summary(fine, reread=False).collect() == G.cleaning_summary(fine).collect()
+    assert G.cleaning_summary(stored.limit(0), *columns, reread=False).collect() == G.cleaning_summary(stored.limit(0), *columns).collect()
+
+
+def star_tables(spark, folder):
+    """Few rows with null and repeated keys; keys without a partner."""
+    day = datetime(2024, 5, 6)
+    tables = {
+        "lineitem": ([(k, p, n, 2.0, 10.5, 0.05, day) for k in (1, 1, 2, 23, 46, 99, None) for p in (1, 2, 7, None) for n in (1, 2)],
+                     "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp"),
+        "orders": ([(1, 1, "O", day, "5-LOW"), (1, 2, None, None, "1-URGENT"), (2, None, "O", day, "x"), (23, 2, "O", day, "x"), (46, 9, "F", day, "x"), (None, 1, "F", day, "x")],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string"),
+        "part": ([(1, "p", "b", "t", 3.0), (1, "p", "b", "t", 3.0), (2, None, None, None, None), (None, "n", "b", "t", 1.0)],
+                 "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double"),
+        "customer": ([(1, "c", 0), (2, None, 0), (2, "d", 1), (3, "e", None), (None, "f", 0)], "c_custkey long, c_name string, c_nationkey int"),
+        "nation": ([(0, "N", 0), (1, "M", 0)], "n_nationkey int, n_name string, n_regionkey int"), "region": ([(0, "R")], "r_regionkey int, r_name string")}
+    for name, (values, schema) in tables.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{folder}/{name}.parquet")
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_rows_by_order_are_the_same(spark, tmp_dir, broadcast):
+    star_tables(spark, tmp_dir)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m" if broadcast else "-1")
+    try:
+        plain, by_order = (Counter(map(tuple, fixtures.dirty_sales(spark, tmp_dir, x).collect())) for x in (False, True))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plain and plain == by_order
+
+
+def test_cleaning_summary_shuffles_no_whole_rows(spark, tmp_dir):
+    """With joins that shuffle, rows are dealt by the keys of the joins alone: for both
+    groupings by value they lie right, and nothing is stored."""
+    star_tables(spark, tmp_dir)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        plan = QUERIES["g50_cleaning_summary"](spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    keys = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\((.*), \d+\), ", plan)]
+    assert set(keys) == {"l_partkey", "p_partkey", "o_custkey", "c_custkey", "cast(l_orderkey as string)", "cast(o_orderkey as string)"}
+    assert "ExistingRDD" not in plan
+
+
 def test_business_summary_reads_once(counted, rows):
     df, seen = counted
     got = G.business_summary(df).first()
