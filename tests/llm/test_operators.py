@@ -549,6 +549,45 @@ def test_templates_that_look_far_back_are_flagged(spark):
     assert whole.endswith("".join(r["formatted"] for r in spans[1:]))
 
 
+def template(name):
+    marked = chat.marked_turns
+
+    def last_40(messages):
+        return marked(messages[-40:])
+
+    def numbered(messages):
+        return f"({messages[0]['content'] if messages else ''})" + "".join(f"{i}:{m['content']};" for i, m in enumerate(messages))
+
+    return {"last_40": last_40, "numbered": numbered, "marked": marked}[name]
+
+
+def test_registered_chats_render_whole_prefixes(spark, monkeypatch):
+    """A template that drops the turn 40 before the last one rewrites what it said."""
+    rows = [(c, i, "assistant" if i % 2 else "user", f"t{i}") for c, n in ((1, 60), (2, 30)) for i in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    whole = chat.format_conversations
+    monkeypatch.setattr(chat, "format_conversations", lambda df, **kw: whole(df, render=template("last_40"), **kw))
+    assert {r["conv_id"]: r["rewrites"] for r in chat.op8(spark, df).collect()} == {-1: False, 1: True, 2: False}
+
+
+@pytest.mark.parametrize("name", ["marked", "last_40", "numbered"])
+def test_long_chats_dealt_into_blocks(spark, monkeypatch, name):
+    rows = [(c, i // 2, "assistant" if i % 3 else "user", f"{i}<|\\" * (i % 7)) for c, n in ((1, 70), (2, 6), (None, 55)) for i in range(n)]
+    rows += [(3, 0, None, None)] * 50 + [(4, 0, "user", "x" * 5000), (4, 1, "assistant", ""), (4, 2, "user", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    spans = lambda: sorted((tuple(r) for r in chat.format_conversations(df, template(name)).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    alone, read = spans(), sorted(map(tuple, chat.op8(spark, df).collect()), key=str)
+    dealt = []
+    whole = chat._dealt
+    monkeypatch.setattr(chat, "_dealt", lambda rows, *a: dealt.append(rows.select("conv_id").distinct().count()) or whole(rows, *a))
+    monkeypatch.setattr(chat, "BLOCK_CHARS", 10_000)
+    assert spans() == alone and dealt == [4]
+    assert sorted(map(tuple, chat.op8(spark, df).collect()), key=str) == read
+    monkeypatch.setattr(chat, "MAX_BLOCKS", 3)
+    monkeypatch.setattr(chat, "BROADCAST_KEYS", 0)
+    assert spans() == alone
+
+
 def test_languages_dont_share_a_context_budget():
     rng = random.Random(4)
     big = [("big", prose(300, rng)) for _ in range(40)]
